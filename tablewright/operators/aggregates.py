@@ -180,7 +180,7 @@ def median_of_counts(df: DataFrame, key: str, out: str = "median") -> DataFrame:
     """
     counts = df.groupBy(key).agg(F.count("*").alias("_n"))
     histogram = counts.groupBy("_n").agg(F.count("*").alias("_groups"))
-    return histogram.agg(F.percentile("_n", F.lit(0.5), "_groups").alias(out))
+    return histogram.agg(F.percentile("_n", F.lit(0.5), F.col("_groups")).alias(out))
 
 
 def champion_argmax(df: DataFrame, key: str, out: str = "rows") -> DataFrame:

@@ -83,29 +83,30 @@ def with_adjacent(
     if step not in (-1, 1):
         raise ValueError("step is -1 or 1")
     full_order = [*group, *order]
-    payload = F.struct(*group, *take)
+    payload = F.struct(
+        *[F.col(g).alias(f"g{i}") for i, g in enumerate(group)],
+        *[F.col(source).alias(f"t{i}") for i, source in enumerate(take)],
+    )
     sort_cols = [F.col(c).asc_nulls_first() for c in full_order]
     in_slice = Window.partitionBy(SLICE).orderBy(*sort_cols)
     shift = F.lag if step < 0 else F.lead
     pick = F.max_by if step < 0 else F.min_by
-    across = F.lag if step < 0 else F.lead
 
     # the last (first) row of each slice, handed to the slice after (before) it
     edge = slices.groupBy(SLICE).agg(pick(payload, F.struct(*full_order)).alias("_edge"))
     handed = edge.select(
-        F.col(SLICE).alias("_at"), across("_edge").over(Window.orderBy(SLICE)).alias("_edge")
+        F.col(SLICE).alias("_at"), shift("_edge").over(Window.orderBy(SLICE)).alias("_edge")
     )
     rows = slices.withColumn("_near", shift(payload).over(in_slice))
     joined = rows.join(F.broadcast(handed), rows[SLICE] == handed["_at"], "left")
     near = F.coalesce("_near", "_edge")
     same = reduce(
         lambda x, y: x & y,
-        [F.col(g).eqNullSafe(near[g]) for g in group],
+        [F.col(g).eqNullSafe(near[f"g{i}"]) for i, g in enumerate(group)],
         near.isNotNull(),
     )
-    for source, name in take.items():
-        joined = joined.withColumn(name, F.when(same, near[source]))
-    return joined.drop("_near", "_edge", "_at")
+    added = {name: F.when(same, near[f"t{i}"]) for i, name in enumerate(take.values())}
+    return joined.withColumns(added).drop("_near", "_edge", "_at")
 
 
 def explode_range(df: DataFrame, lo: str, hi: str, out: str, chunk: int = 65_536) -> DataFrame:

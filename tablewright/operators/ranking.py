@@ -57,8 +57,8 @@ def surrogate_keys(new: DataFrame, existing: DataFrame, key: str, order: Sequenc
     top = F.coalesce(existing.agg(F.max(key)).scalar(), F.lit(0))
     missing = F.col(key).isNull() | (F.col(key) == 0)
     given = new.filter(~F.coalesce(missing, F.lit(True)))
-    numbered = with_row_index(ordered_slices(new.filter(missing), list(order)), [], list(order), "_at")
-    fresh = numbered.withColumn(key, (top + F.col("_at") + 1).cast(new.schema[key].dataType))
+    numbered = with_row_index(ordered_slices(new.filter(missing), list(order)), [], list(order), "_nth")
+    fresh = numbered.withColumn(key, (top + F.col("_nth") + 1).cast(new.schema[key].dataType))
     return given.unionByName(fresh.select(*new.columns))
 
 

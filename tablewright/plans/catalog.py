@@ -2,7 +2,9 @@
 
 from importlib import import_module
 
-MODULES = ("projections", "joining", "aggregation", "ranking", "setting")
+MODULES = (
+    "sourcing", "projections", "joining", "aggregation", "ranking", "setting", "scalars", "modification",
+)
 
 for _name in MODULES:
     import_module(f"tablewright.plans.{_name}")
