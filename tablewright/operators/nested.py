@@ -145,13 +145,16 @@ def nested_move_value(df: DataFrame, from_id: int, to_id: int, arr: str = ARR) -
     child = df.select(F.explode(arr).alias("d")).select("d.*")
     moved = child.agg(F.max(F.when(F.col("id") == from_id, F.col("employees_count")))).scalar()
     target = child.agg(F.max(F.when(F.col("id") == to_id, 1))).scalar()
-    possible = moved.isNotNull() & target.isNotNull()
+    # a subquery may not stand inside the array function, so its value comes in as a column
+    ready = df.withColumn("_moved", F.when(target.isNotNull(), moved))
 
     def value(d: Column) -> Column:
+        possible = F.col("_moved").isNotNull()
         return (
             F.when(possible & (d["id"] == from_id), 0)
-            .when(possible & (d["id"] == to_id), d["employees_count"] + moved)
+            .when(possible & (d["id"] == to_id), d["employees_count"] + F.col("_moved"))
             .otherwise(d["employees_count"])
         )
 
-    return df.withColumn(arr, F.transform(F.col(arr), lambda d: d.withField("employees_count", value(d))))
+    shifted = F.transform(F.col(arr), lambda d: d.withField("employees_count", value(d)))
+    return ready.withColumn(arr, shifted).drop("_moved")

@@ -4,6 +4,7 @@ from importlib import import_module
 
 MODULES = (
     "sourcing", "projections", "joining", "aggregation", "ranking", "setting", "scalars", "modification",
+    "maintaining", "nesting", "checking",
 )
 
 for _name in MODULES:

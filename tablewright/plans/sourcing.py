@@ -90,9 +90,13 @@ SELECT l_returnflag, 'rewrite' AS decision, count(*) AS rows, true AS fewer_file
 def compact_dataset(t):
     # a copy in many files, then compaction of that copy: the given tables are read-only
     copy, out = scratch_path(t.spark, "many"), scratch_path(t.spark, "compacted")
-    lines = t.lineitem
-    lines.repartition(4 * max(2, lines.rdd.getNumPartitions())).write.parquet(copy)
-    decision = snapshots.compact_dataset(t.spark, copy, out, small_bytes=64 * 1024 * 1024)
+    many = 4 * int(t.spark.conf.get("spark.sql.shuffle.partitions"))
+    t.lineitem.repartition(many).write.parquet(copy)
+    stats = snapshots.small_file_stats(t.spark, copy, 1).first()
+    typical = stats["bytes"] // stats["files"]
+    decision = snapshots.compact_dataset(
+        t.spark, copy, out, small_bytes=2 * typical, target_bytes=8 * typical
+    )
     before, after = (snapshots.small_file_stats(t.spark, p, 1).select("files").scalar() for p in (copy, out))
     return (
         t.spark.read.parquet(out).groupBy("l_returnflag").agg(F.count("*").alias("rows"))
