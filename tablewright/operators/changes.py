@@ -51,7 +51,7 @@ def inc_library_totals(
 ) -> DataFrame:
     """Next (total, given, rest). Deleting a book also takes its active loans, read from the loans after the batch."""
     dropped = book_changes.filter(F.col("op") == "delete").select(F.col(f"old.{book_key}").alias(loan_book))
-    cascaded = loans_after.filter(active).join(dropped, loan_book, "left_semi").agg(F.count("*")).scalar()
+    cascaded = loans_after.filter(active).join(dropped.distinct(), loan_book, "left_semi").agg(F.count("*")).scalar()
     moved = state.select(
         (F.col("total") + _delta(book_changes, F.col(quantity))).alias("total"),
         (F.col("given") + _delta(loan_changes, F.when(active, 1).otherwise(0)) - cascaded).alias("given"),
@@ -76,7 +76,7 @@ def inc_denormalised_copy(
     touched = (
         changes.select(F.explode(F.array(f"old.{key}", f"new.{key}")).alias(key))
         .filter(F.col(key).isNotNull())
-        .unionByName(facts_after.join(renamed, person, "left_semi").select(key))
+        .unionByName(facts_after.join(renamed.select(person).distinct(), person, "left_semi").select(key))
         .distinct()
     )
     rebuilt = readable(facts_after.join(touched, key, "left_semi"))

@@ -1,8 +1,11 @@
 """Joins and subquery forms, always on equal keys.
 
 No side is forced to be broadcast: Spark broadcasts a side only when its measured size is under
-the session's threshold, and adaptive execution splits a hot key of a sort-merge join. One-row
-results (a maximum, a count) come in as scalar subqueries, not as joins.
+the session's threshold. Hot keys: adaptive execution splits them on both sides of an inner join,
+but only on the left side of a semi, anti or left join. So the right side of a semi or anti join is
+reduced to its distinct keys first (combined on the map side), counts are taken before joining, and
+a left join is an inner join plus the unmatched rows. One-row results (a maximum, a count) come in
+as scalar subqueries, not as joins.
 """
 
 from __future__ import annotations
@@ -32,8 +35,18 @@ def inner_join_comma(a: DataFrame, b: DataFrame, lk: str, rk: str, pred: Column
     return joined if pred is None else joined.filter(pred)
 
 
+def key_set(df: DataFrame, key: str, name: str) -> DataFrame:
+    """Distinct values of ``key`` under another name: a hot value shrinks to one row per map task."""
+    return df.select(F.col(key).alias(name)).distinct()
+
+
 def left_outer_join(a: DataFrame, b: DataFrame, lk: str, rk: str) -> DataFrame:
-    return a.join(b, a[lk] == b[rk], "left")
+    """All rows of ``a``, with their matches or NULLs. Column names of the two sides must differ."""
+    matched = a.join(b, a[lk] == b[rk])
+    keys = key_set(b, rk, "_rk")
+    unmatched = a.join(keys, a[lk] == keys["_rk"], "left_anti")
+    nulls = {f.name: F.lit(None).cast(f.dataType) for f in b.schema.fields}
+    return matched.unionByName(unmatched.withColumns(nulls))
 
 
 def full_outer_ledger(inc: DataFrame, out: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -51,30 +64,33 @@ def full_outer_daily_totals(
 
 
 def semi_join_in(a: DataFrame, b: DataFrame, lk: str, rk: str) -> DataFrame:
-    return a.join(b, a[lk] == b[rk], "left_semi")
+    keys = key_set(b, rk, "_rk")
+    return a.join(keys, a[lk] == keys["_rk"], "left_semi")
 
 
 def semi_join_nested(a: DataFrame, link: DataFrame, dim: DataFrame, keys: tuple[str, str], names: Column) -> DataFrame:
     """Rows of ``a`` linked to a dimension row that meets ``names``; keys = (a-link, link-dim)."""
     a_key, dim_key = keys
-    wanted = link.join(dim.filter(names), dim_key, "left_semi")
-    return a.join(wanted, a_key, "left_semi")
+    wanted = link.join(dim.filter(names).select(dim_key).distinct(), dim_key, "left_semi")
+    return a.join(wanted.select(a_key).distinct(), a_key, "left_semi")
 
 
 def semi_join_then_join(a: DataFrame, link: DataFrame, keys: tuple[str, str], wanted: DataFrame) -> DataFrame:
     """Join ``a`` to the link rows whose other key is wanted, then drop the repeats."""
     a_key, other = keys
-    return a.join(link.join(wanted, other, "left_semi").select(a_key), a_key).distinct()
+    linked = link.join(wanted.select(other).distinct(), other, "left_semi").select(a_key).distinct()
+    return a.join(linked, a_key).distinct()
 
 
 def semi_join_intersection(a: DataFrame, b: DataFrame, owner: str) -> DataFrame:
     """Owners present in both inputs."""
-    return a.select(owner).distinct().join(b.select(owner), owner, "left_semi")
+    return a.select(owner).distinct().join(b.select(owner).distinct(), owner, "left_semi")
 
 
 def anti_join_null_filter(a: DataFrame, b: DataFrame, lk: str, rk: str) -> DataFrame:
     """Rows of ``a`` never matched in ``b``."""
-    return a.join(b, a[lk] == b[rk], "left_anti")
+    keys = key_set(b, rk, "_rk")
+    return a.join(keys, a[lk] == keys["_rk"], "left_anti")
 
 
 def anti_join_not_in(a: DataFrame, b: DataFrame, lk: str, rk: str) -> DataFrame:
@@ -86,13 +102,13 @@ def anti_join_not_in(a: DataFrame, b: DataFrame, lk: str, rk: str) -> DataFrame:
     right = b.select(F.col(rk).alias("_rk"))
     nulls = right.agg(F.count(F.when(F.col("_rk").isNull(), 1))).scalar()
     total = right.agg(F.count("*")).scalar()
-    unmatched = a.join(right, a[lk] == right["_rk"], "left_anti")
+    unmatched = anti_join_null_filter(a, b, lk, rk)
     return unmatched.filter((nulls == 0) & (F.col(lk).isNotNull() | (total == 0)))
 
 
 def anti_join_conditional_count(a: DataFrame, b: DataFrame, lk: str, rk: str, active: Column) -> DataFrame:
     """Rows of ``a`` with no active match: an anti join on the active rows."""
-    return a.join(b.filter(active).select(F.col(rk).alias("_rk")), F.col(lk) == F.col("_rk"), "left_anti")
+    return anti_join_null_filter(a, b.filter(active), lk, rk)
 
 
 def not_exists_guard(df: DataFrame, key: str, v=1) -> DataFrame:
@@ -248,8 +264,8 @@ def join_unmatched_parent_union(
     A lead ship bears the name of its class; it counts when it occurs in outcomes and not in ships.
     """
     fleet = ships.select(F.col(ship_name).alias("name"), F.col(ship_class).alias("_class"))
-    listed = classes.join(fleet, classes[key] == fleet["_class"], "left").drop("_class")
+    listed = left_outer_join(classes, fleet, key, "_class").drop("_class")
     seen = outcomes.select(F.col(outcome_ship).alias("name")).distinct()
-    unlisted = seen.join(fleet.filter(F.col("name").isNotNull()), "name", "left_anti")
+    unlisted = seen.join(fleet.select("name").distinct(), "name", "left_anti")
     leads = classes.join(unlisted, classes[key] == unlisted["name"]).distinct()
     return listed.unionByName(leads)

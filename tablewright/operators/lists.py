@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablewright.operators.numbering import ordered_slices, with_running_sum
+from tablewright.sources.scratch import write_scratch
 
 PART = 100_000
 
@@ -41,6 +42,8 @@ def ordered_list(
     )
     if distinct:
         names = names.withColumn("_n", F.lit(1).cast("bigint"))
+    # written once, since both the size check and the lists read it
+    names = write_scratch(names, "names")
     sizes = names.groupBy(*keys).agg(F.sum("_n").alias("_size"))
     large = sizes.filter(F.col("_size") > part).drop("_size")
     if large.isEmpty():

@@ -77,7 +77,7 @@ def replace_into(df: DataFrame, rows: DataFrame, unique: str, key: str) -> DataF
 
     Keys go on after the largest key before the deletion, as an auto-increment column would.
     """
-    kept = df.join(rows.select(unique), unique, "left_anti").select(*df.columns)
+    kept = df.join(rows.select(unique).distinct(), unique, "left_anti").select(*df.columns)
     keyed = surrogate_keys(rows.select(*df.columns), df, key, [unique])
     return kept.unionByName(keyed)
 
@@ -136,4 +136,4 @@ def view_update_through(base: DataFrame, edited: DataFrame, inverse: Mapping[str
 
 
 def view_delete_through(base: DataFrame, deleted: DataFrame, key: str) -> DataFrame:
-    return base.join(deleted.select(key), key, "left_anti")
+    return base.join(deleted.select(key).distinct(), key, "left_anti")

@@ -131,7 +131,7 @@ def nested_rename(
 
 
 def nested_delete_parent(df: DataFrame, ids: DataFrame) -> DataFrame:
-    return df.join(ids.select("id"), "id", "left_anti")
+    return df.join(ids.select("id").distinct(), "id", "left_anti")
 
 
 def nested_delete_child_if_empty(df: DataFrame, ids: Sequence[int], arr: str = ARR) -> DataFrame:

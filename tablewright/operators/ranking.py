@@ -48,7 +48,7 @@ def rank_over_grouped_dates(df: DataFrame, key: str, date: str, id_col: str) ->
     """Per key, the row with the smallest id of the earliest date: group by date, rank, join back."""
     per_date = df.groupBy(key, date).agg(F.min(id_col).alias("_id"))
     earliest = per_date.groupBy(key).agg(F.min(date).alias(date))
-    ids = per_date.join(earliest, [key, date]).select(F.col("_id"))
+    ids = per_date.join(earliest, [key, date]).select("_id")
     return df.join(ids, df[id_col] == ids["_id"], "left_semi")
 
 
@@ -115,4 +115,4 @@ def extreme_of_extreme(df: DataFrame, a: str, b: str, owners: DataFrame, item: s
     """Owners of the rows with the largest ``b`` among those with the smallest ``a``."""
     least = df.filter(F.col(a) == _extreme(df, a, False))
     best = least.filter(F.col(b) == _extreme(least, b, True))
-    return owners.join(best, item, "left_semi").select(owner).distinct()
+    return owners.join(best.select(item).distinct(), item, "left_semi").select(owner).distinct()

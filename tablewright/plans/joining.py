@@ -16,17 +16,20 @@ bg AS (SELECT DISTINCT b_id, s_nationkey AS g_id FROM ba JOIN supplier ON a_id =
 
 
 @query(f"""
-WITH {LINKS}
-SELECT p_name AS b_name, s_name AS a_name, n_name AS g_name
-FROM part, ba, supplier, bg, nation
-WHERE p_partkey = ba.b_id AND ba.a_id = s_suppkey AND p_partkey = bg.b_id AND bg.g_id = n_nationkey
+WITH {LINKS}, br AS (SELECT DISTINCT b_id, n_regionkey AS r_id FROM bg JOIN nation ON g_id = n_nationkey)
+SELECT p_name AS b_name, s_name AS a_name, r_name AS g_name
+FROM part, ba, supplier, br, region
+WHERE p_partkey = ba.b_id AND ba.a_id = s_suppkey AND p_partkey = br.b_id AND br.r_id = r_regionkey
 """)
 def inner_join_using_chain(t):
+    # the genre of a book is here the region of a supplier: at most five per book
+    regions = t.nation.select(F.col("n_nationkey").alias("g_id"), F.col("n_regionkey").alias("r_regionkey"))
+    book_regions = t.book_genres.join(regions, "g_id").select("b_id", "r_regionkey").distinct()
     joined = jn.inner_join_using_chain(
         t.books.select("b_id", "b_name"),
-        [(t.book_authors, "b_id"), (t.authors, "a_id"), (t.book_genres, "b_id"), (t.genres, "g_id")],
+        [(t.book_authors, "b_id"), (t.authors, "a_id"), (book_regions, "b_id"), (t.region, "r_regionkey")],
     )
-    return joined.select("b_name", "a_name", "g_name")
+    return joined.select("b_name", "a_name", F.col("r_name").alias("g_name"))
 
 
 @query("""

@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from tablewright.operators import ranking as rk
+from tablewright.operators.joins import left_outer_join
 from tablewright.plans.aggregation import list_sql
 from tablewright.plans.joining import LOANS
 from tablewright.plans.registry import query
@@ -78,7 +79,7 @@ SELECT c_custkey, c_name, CAST(o_orderdate AS DATE) AS o_orderdate
 FROM customer LEFT JOIN orders ON o_custkey = c_custkey ORDER BY c_custkey, o_orderdate
 """)
 def sort_multi_key(t):
-    visits = t.customer.join(t.dated_orders, F.col("c_custkey") == F.col("o_custkey"), "left")
+    visits = left_outer_join(t.customer, t.dated_orders, "c_custkey", "o_custkey")
     return rk.sort_multi_key(visits.select("c_custkey", "c_name", "o_orderdate"), ["c_custkey", "o_orderdate"])
 
 

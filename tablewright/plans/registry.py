@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tablewright.session import prepare
 from tablewright.sources.trial import Trial
 
 
@@ -17,6 +18,7 @@ class Registered:
     oracle: str | None
 
     def run(self, spark: SparkSession, folder: str) -> DataFrame:
+        prepare(spark)
         return self.build(Trial(spark, folder))
 
 

@@ -5,6 +5,13 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 
+def prepare(spark: SparkSession) -> None:
+    """Runtime settings the jobs count on: split hot join keys even where that costs another shuffle."""
+    spark.conf.set("spark.sql.adaptive.enabled", "true")
+    spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
+    spark.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
+
+
 def build_session(
     app: str = "tablewright",
     master: str | None = None,
