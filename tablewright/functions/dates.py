@@ -62,9 +62,9 @@ def dates_as_text(start: Column, end: Column) -> Column:
 
 
 def first_date_of(text: Column) -> Column:
-    return F.to_date(F.substring_index(text, " ", 1), "yyyy-MM-dd")
+    return F.substring_index(text, " ", 1).try_cast("date")
 
 
 def second_date_of(text: Column) -> Column:
     """The date three characters after the first blank."""
-    return F.to_date(F.substring(text, F.instr(text, " ") + 3, F.length(text)), "yyyy-MM-dd")
+    return F.substring(text, F.instr(text, " ") + 3, F.length(text)).try_cast("date")

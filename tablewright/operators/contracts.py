@@ -55,7 +55,7 @@ def json_schema_check(df: DataFrame, body: str, schema: Mapping[str, str], out:
     Types are those of ``schema_of_variant``, in lower case (string, bigint, array<string>, ...); an empty
     array fits any array type. Text that is no JSON object reports 'not an object'.
     """
-    parsed = F.try_parse_json(body)
+    parsed = F.col("_parsed")
 
     def fits(field: str, kind: str) -> Column:
         found = F.lower(F.schema_of_variant(F.try_variant_get(parsed, f"$.{field}", "variant")))
@@ -66,7 +66,9 @@ def json_schema_check(df: DataFrame, body: str, schema: Mapping[str, str], out:
     bad = F.array_compact(
         F.array(*[F.when(~F.coalesce(fits(f, k), F.lit(False)), f) for f, k in schema.items()])
     )
-    return df.withColumn(out, F.when(is_object, bad).otherwise(F.array(F.lit("not an object"))))
+    # parsed once per row, in its own projection
+    ready = df.withColumn("_parsed", F.try_parse_json(body))
+    return ready.withColumn(out, F.when(is_object, bad).otherwise(F.array(F.lit("not an object")))).drop("_parsed")
 
 
 def json_exact_body(df: DataFrame, body: str, expected: Mapping, out: str = "same") -> DataFrame:

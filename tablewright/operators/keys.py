@@ -46,7 +46,7 @@ def free_keys(df: DataFrame, key: str) -> DataFrame:
 def fn_free_keys_list(df: DataFrame, key: str, part: int = PART) -> DataFrame:
     """Missing keys as comma lists (list_no, keys) of at most ``part`` keys each."""
     numbered = free_keys(df, key).withColumn("list_no", F.floor(F.col("nth") / part) + 1)
-    gathered = F.transform(F.array_sort(F.collect_list("free_key")), lambda k: k.cast("string"))
+    gathered = F.transform(F.sort_array(F.collect_list("free_key")), lambda k: k.cast("string"))
     return numbered.groupBy("list_no").agg(F.array_join(gathered, ",").alias("keys"))
 
 

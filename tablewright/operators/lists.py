@@ -19,9 +19,11 @@ PART = 100_000
 
 
 def _joined(rows: DataFrame, keys: Sequence[str], col: str, sep: str, out: str) -> DataFrame:
-    # names repeat _n times; array_repeat keeps repeats without shuffling them one by one
-    gathered = F.array_sort(F.collect_list(F.struct(F.col(col).alias("name"), F.col("_n").alias("n"))))
-    names = F.flatten(F.transform(gathered, lambda p: F.array_repeat(p["name"], p["n"].cast("int"))))
+    """Gather (name, _n) rows per group; a name that came _n times is written _n times."""
+    gathered = F.sort_array(F.collect_list(F.struct(F.col(col).alias("name"), F.col("_n").alias("n"))))
+    once = F.transform(gathered, lambda p: p["name"])
+    repeated = F.flatten(F.transform(gathered, lambda p: F.array_repeat(p["name"], p["n"].cast("int"))))
+    names = F.when(F.max("_n") == 1, once).otherwise(repeated)
     return rows.groupBy(*keys).agg(F.array_join(names, sep).alias(out))
 
 

@@ -18,9 +18,13 @@ def tree_flatten(
     children and is written before the next starts, so lineage does not grow with depth and there is
     no depth limit. The job ends at the first empty level; a cycle is never reached from a root.
     """
-    rows = edges.select(
-        F.col(node).alias("node"), F.col(parent).alias("parent"),
-        F.col(ordinal).cast("bigint").alias("ordinal"), F.col(name).alias("name"), F.col(count).alias("count"),
+    # every level reads the edges again, so they are written once
+    rows = write_scratch(
+        edges.select(
+            F.col(node).alias("node"), F.col(parent).alias("parent"),
+            F.col(ordinal).cast("bigint").alias("ordinal"), F.col(name).alias("name"), F.col(count).alias("count"),
+        ),
+        "edges",
     )
     level = write_scratch(
         rows.filter(F.col("parent").isNull()).select(

@@ -6,6 +6,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem",
@@ -14,6 +15,9 @@ TABLES = (
 
 AS_OF = "2001-06-01"
 
+# schema per table folder, so that footers are sampled once and not by every query
+_schemas: dict[str, StructType] = {}
+
 
 class Trial:
     """Lazily read tables of one data folder."""
@@ -26,7 +30,10 @@ class Trial:
         return f"{self.folder}/{name}.parquet"
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(name))
+        path = self.path(name)
+        if path not in _schemas:
+            _schemas[path] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(_schemas[path]).parquet(path)
 
     def __getattr__(self, name: str) -> DataFrame:
         if name in TABLES:
