@@ -33,10 +33,13 @@ def apply_changes(base: DataFrame, feed: DataFrame, key: str) -> DataFrame:
     return base.join(gone, key, "left_anti").select(*base.columns).unionByName(arrived.select(*base.columns))
 
 
-def _delta(feed: DataFrame, measure: Column) -> Column:
-    """Sum of a measure over new rows minus its sum over old rows, as a one-row subquery."""
-    rows = signed_rows(feed)
-    return rows.agg(F.coalesce(F.sum(F.col("sign") * measure), F.lit(0)).cast("bigint")).scalar()
+def _deltas(feed: DataFrame, **measures: Column) -> Column:
+    """Per measure its sum over new rows minus its sum over old rows: one subquery, a struct, one pass."""
+    sums = [
+        F.coalesce(F.sum(F.col("sign") * measure), F.lit(0)).cast("bigint").alias(name)
+        for name, measure in measures.items()
+    ]
+    return signed_rows(feed).agg(F.struct(*sums)).scalar()
 
 
 def inc_library_totals(
@@ -52,9 +55,11 @@ def inc_library_totals(
     """Next (total, given, rest). Deleting a book also takes its active loans, read from the loans after the batch."""
     dropped = book_changes.filter(F.col("op") == "delete").select(F.col(f"old.{book_key}").alias(loan_book))
     cascaded = loans_after.filter(active).join(dropped.distinct(), loan_book, "left_semi").agg(F.count("*")).scalar()
+    copies = _deltas(book_changes, total=F.col(quantity))
+    lent = _deltas(loan_changes, given=F.when(active, 1).otherwise(0))
     moved = state.select(
-        (F.col("total") + _delta(book_changes, F.col(quantity))).alias("total"),
-        (F.col("given") + _delta(loan_changes, F.when(active, 1).otherwise(0)) - cascaded).alias("given"),
+        (F.col("total") + copies["total"]).alias("total"),
+        (F.col("given") + lent["given"] - cascaded).alias("given"),
     )
     return moved.withColumn("rest", F.col("total") - F.col("given"))
 
@@ -109,12 +114,16 @@ def inc_averages(
     state: DataFrame, people_changes: DataFrame, loan_changes: DataFrame, active: Column, start: str, end: str
 ) -> DataFrame:
     """Next (persons, active, inactive, days): the sums behind the three ratios."""
-    days = F.when(~active, F.datediff(end, start)).otherwise(0)
+    people = _deltas(people_changes, persons=F.lit(1))
+    loans = _deltas(
+        loan_changes,
+        active=F.when(active, 1).otherwise(0),
+        inactive=F.when(active, 0).otherwise(1),
+        days=F.when(~active, F.datediff(end, start)).otherwise(0),
+    )
     return state.select(
-        (F.col("persons") + _delta(people_changes, F.lit(1))).alias("persons"),
-        (F.col("active") + _delta(loan_changes, F.when(active, 1).otherwise(0))).alias("active"),
-        (F.col("inactive") + _delta(loan_changes, F.when(active, 0).otherwise(1))).alias("inactive"),
-        (F.col("days") + _delta(loan_changes, days)).alias("days"),
+        (F.col("persons") + people["persons"]).alias("persons"),
+        *[(F.col(name) + loans[name]).alias(name) for name in ("active", "inactive", "days")],
     )
 
 

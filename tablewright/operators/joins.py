@@ -41,10 +41,15 @@ def key_set(df: DataFrame, key: str, name: str) -> DataFrame:
 
 
 def left_outer_join(a: DataFrame, b: DataFrame, lk: str, rk: str) -> DataFrame:
-    """All rows of ``a``, with their matches or NULLs. Column names of the two sides must differ."""
-    matched = a.join(b, a[lk] == b[rk])
+    """All rows of ``a``, with their matches or NULLs. Column names of the two sides must differ.
+
+    Rows with a NULL key go straight to the unmatched ones; both joins then shuffle the same rows of
+    ``a``, and that shuffle runs once.
+    """
+    known = a.filter(a[lk].isNotNull())
+    matched = known.join(b, known[lk] == b[rk])
     keys = key_set(b, rk, "_rk")
-    unmatched = a.join(keys, a[lk] == keys["_rk"], "left_anti")
+    unmatched = known.join(keys, known[lk] == keys["_rk"], "left_anti").unionByName(a.filter(a[lk].isNull()))
     nulls = {f.name: F.lit(None).cast(f.dataType) for f in b.schema.fields}
     return matched.unionByName(unmatched.withColumns(nulls))
 
@@ -99,11 +104,9 @@ def anti_join_not_in(a: DataFrame, b: DataFrame, lk: str, rk: str) -> DataFrame:
     SQL NOT IN would broadcast the whole right side. Here two counts of the right side decide what
     NULLs mean: any NULL there leaves no rows; a NULL on the left stays only if the right is empty.
     """
-    right = b.select(F.col(rk).alias("_rk"))
-    nulls = right.agg(F.count(F.when(F.col("_rk").isNull(), 1))).scalar()
-    total = right.agg(F.count("*")).scalar()
+    right = b.agg(F.struct(F.count("*").alias("rows"), F.count(rk).alias("known"))).scalar()
     unmatched = anti_join_null_filter(a, b, lk, rk)
-    return unmatched.filter((nulls == 0) & (F.col(lk).isNotNull() | (total == 0)))
+    return unmatched.filter((right["rows"] == right["known"]) & (F.col(lk).isNotNull() | (right["rows"] == 0)))
 
 
 def anti_join_conditional_count(a: DataFrame, b: DataFrame, lk: str, rk: str, active: Column) -> DataFrame:
@@ -201,10 +204,11 @@ def greater_than_all(df: DataFrame, id_col: str, col: str) -> DataFrame:
 
 def less_than_all(a: DataFrame, b: DataFrame, col: str) -> DataFrame:
     """Rows of ``a`` below every value of ``b``: all rows if ``b`` is empty, none if it holds a NULL."""
-    rows = b.agg(F.count("*")).scalar()
-    known = b.agg(F.count(col)).scalar()
-    lowest = b.agg(F.min(col)).scalar()
-    return a.filter((rows == 0) | ((rows == known) & (F.col(col) < lowest)))
+    other = b.agg(
+        F.struct(F.count("*").alias("rows"), F.count(col).alias("known"), F.min(col).alias("lowest"))
+    ).scalar()
+    below = (other["rows"] == other["known"]) & (F.col(col) < other["lowest"])
+    return a.filter((other["rows"] == 0) | below)
 
 
 def correlated_count(

@@ -143,10 +143,12 @@ def nested_delete_child_if_empty(df: DataFrame, ids: Sequence[int], arr: str = A
 def nested_move_value(df: DataFrame, from_id: int, to_id: int, arr: str = ARR) -> DataFrame:
     """Move the whole count of one child to another; nothing happens unless both exist."""
     child = df.select(F.explode(arr).alias("d")).select("d.*")
-    moved = child.agg(F.max(F.when(F.col("id") == from_id, F.col("employees_count")))).scalar()
-    target = child.agg(F.max(F.when(F.col("id") == to_id, 1))).scalar()
+    found = child.agg(F.struct(
+        F.max(F.when(F.col("id") == from_id, F.col("employees_count"))).alias("moved"),
+        F.max(F.when(F.col("id") == to_id, 1)).alias("target"),
+    )).scalar()
     # a subquery may not stand inside the array function, so its value comes in as a column
-    ready = df.withColumn("_moved", F.when(target.isNotNull(), moved))
+    ready = df.withColumn("_moved", F.when(found["target"].isNotNull(), found["moved"]))
 
     def value(d: Column) -> Column:
         possible = F.col("_moved").isNotNull()
