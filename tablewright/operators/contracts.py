@@ -8,7 +8,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablewright.operators.numbering import ordered_slices, with_adjacent
+from tablewright.operators.numbering import adjacent
 
 
 def json_contract_report(df: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
@@ -85,10 +85,10 @@ def status_flow_audit(
 ) -> DataFrame:
     """(key, steps, violations): steps not in ``allowed`` (from, to); from None is the first state.
 
-    Neighbours come from ordered slices, so the events of one key may lie in many tasks.
+    The events of a hot key may lie in many tasks.
     """
-    rows = df.select(key, *order, state)
-    near = with_adjacent(ordered_slices(rows, [key, *order]), [key], list(order), {state: "_before", key: "_same"})
+    rows = df.select(key, *order, state, F.lit(True).alias("_here"))
+    near = adjacent(rows, [key], list(order), {state: "_before", "_here": "_same"})
     fine = F.lit(False)
     for before, after in allowed:
         came_from = F.col("_same").isNull() if before is None else F.col("_before").eqNullSafe(F.lit(before))

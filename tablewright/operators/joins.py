@@ -15,7 +15,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablewright.operators.numbering import ordered_slices, with_adjacent, with_row_index
+from tablewright.operators.numbering import adjacent, ordered_slices, with_adjacent, with_row_index
+from tablewright.sources.scratch import write_scratch
 
 
 def inner_join_using_chain(fact: DataFrame, steps: Sequence[tuple[DataFrame, str]]) -> DataFrame:
@@ -174,7 +175,8 @@ def cross_anti_pairs(
     taken = used.select(a_key, b_key).distinct().join(placed, b_key).select(a_key, "pos")
     # a closing mark at position n for everyone, so the run after the last used key is seen as well
     marks = taken.unionByName(a.select(a_key, total.alias("pos")))
-    near = with_adjacent(ordered_slices(marks, [a_key, "pos"]), [a_key], ["pos"], {"pos": "prev_pos"})
+    # written once: both the search for hot rows of ``a`` and the runs read it
+    near = adjacent(write_scratch(marks, "marks"), [a_key], ["pos"], {"pos": "prev_pos"})
     runs = near.select(
         a_key,
         (F.coalesce("prev_pos", F.lit(-1).cast("bigint")) + 1).alias("from_pos"),
@@ -233,7 +235,7 @@ def correlated_next_key(df: DataFrame, key: str) -> DataFrame:
 
 def shifted_self_join(df: DataFrame, key: str) -> DataFrame:
     """key + 1 wherever that key is absent: the first free key after each run."""
-    keys = df.select(F.col(key).cast("bigint").alias(key)).distinct()
+    keys = df.select(F.col(key).cast("bigint").alias(key)).filter(F.col(key).isNotNull()).distinct()
     after = keys.select((F.col(key) + 1).alias("empty_key"))
     return after.join(keys, after["empty_key"] == keys[key], "left_anti")
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tablewright.functions.dates import fn_all_broken_dates
 from tablewright.functions.text import changed_message, fn_check_name
-from tablewright.operators.numbering import ordered_slices, with_running_sum
+from tablewright.operators.numbering import running_sum
 
 BROKEN = "broken"
 
@@ -54,7 +54,7 @@ def rule_max_active(
     """
     stored = loans.filter(active).groupBy(person).agg(F.count("*").alias("_stored"))
     adds = F.when(is_insert & active, 1).otherwise(0)
-    ahead = with_running_sum(ordered_slices(changes, [person, seq]), [person], [seq], adds, "_ahead")
+    ahead = running_sum(changes, [person], [seq], adds, "_ahead")
     held = F.coalesce("_stored", F.lit(0)) + F.when(is_insert, F.col("_ahead")).otherwise(0)
     flagged = flag_rules(ahead.join(stored, person, "left"), {"max_active": held >= limit})
     return flagged.select(*changes.columns, BROKEN)

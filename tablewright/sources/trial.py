@@ -86,10 +86,15 @@ class Trial:
 
     @cached_property
     def book_authors(self) -> DataFrame:
-        """Distinct (b_id, a_id): line items repeat these pairs."""
+        """Distinct (b_id, a_id): line items repeat these pairs.
+
+        Both keys are known in a link table; saying so keeps later joins from adding their own filters,
+        and two uses in one query share one shuffle.
+        """
         return (
             self.table("lineitem")
             .select(F.col("l_partkey").alias("b_id"), F.col("l_suppkey").alias("a_id"))
+            .filter(F.col("b_id").isNotNull() & F.col("a_id").isNotNull())
             .distinct()
         )
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tablewright.operators import keys as ky
 from tablewright.operators.lists import ordered_list
 from tablewright.operators.numbering import (
-    SLICE, explode_range, ordered_slices, with_adjacent, with_row_index, with_running_sum,
+    SLICE, adjacent, explode_range, ordered_slices, running_sum, with_adjacent, with_row_index, with_running_sum,
 )
 from tablewright.operators.ranking import surrogate_keys
 
@@ -64,6 +64,21 @@ def test_neighbours(spark, skewed, rows, step):
     assert rows(done, "i", "near", "near_i") == sorted(want, key=lambda r: r[0])
 
 
+@pytest.mark.parametrize("hot_rows", [0, 100, 10**6])
+def test_hot_groups_apart(spark, skewed, rows, hot_rows):
+    """All groups hot, one hot, none hot: the same answer."""
+    df = frame(spark, skewed)
+    sums, near = [], []
+    for members in by_group(skewed).values():
+        total, before = 0, None
+        for i, v in members:
+            sums.append((i, total))
+            near.append((i, before))
+            total, before = total + v, v
+    assert rows(running_sum(df, ["g"], ["i"], F.col("v"), "before", hot_rows), "i", "before") == sorted(sums)
+    assert rows(adjacent(df, ["g"], ["i"], {"v": "prev"}, hot_rows=hot_rows), "i", "prev") == sorted(near, key=lambda r: r[0])
+
+
 def test_global_order(spark, rows):
     data = random.Random(3).sample(range(10_000), 500)
     df = spark.createDataFrame([(k,) for k in data], "k bigint")
