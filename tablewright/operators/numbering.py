@@ -27,10 +27,12 @@ HOT_ROWS = 1_000_000
 def ordered_slices(df: DataFrame, by: Sequence[str], slices: int | None = None) -> DataFrame:
     """Rows of ``df`` written in slices that follow each other in ascending order of ``by``, NULLs first.
 
-    ``by`` should end in a unique column, or equal rows pile up in one slice.
+    ``by`` should end in a unique column, or equal rows pile up in one slice. Without a number of
+    slices there are as many as the session's shuffle partitions, and adaptive execution joins
+    neighbouring slices that came out small.
     """
-    n = slices or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(n, *[F.col(c).asc_nulls_first() for c in by])
+    order = [F.col(c).asc_nulls_first() for c in by]
+    ranged = df.repartitionByRange(slices, *order) if slices else df.repartitionByRange(*order)
     return write_scratch(ranged.withColumn(SLICE, F.spark_partition_id()), "slices")
 
 
