@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 # fixed values: the name pattern (two words, Latin or Cyrillic) and the letter classes
 NAME_PATTERN = "^[a-zA-Zа-яА-ЯёЁ'-]+([^a-zA-Zа-яА-ЯёЁ'-]+[a-zA-Zа-яА-ЯёЁ'.-]+){1,}$"
-VOWELS = "[eyuioa]"
-CONSONANTS = "[qwrtpsdfghjklzxcvbnm]"
+VOWELS = "eyuioa"
+CONSONANTS = "qwrtpsdfghjklzxcvbnm"
 
 
 def fn_check_name(name: Column) -> Column:
@@ -17,12 +17,18 @@ def fn_check_name(name: Column) -> Column:
     return F.when(proper, 1).otherwise(0)
 
 
+def _letters_of(text: Column, letters: str) -> Column:
+    """How many characters of ``text`` are among ``letters``, in any case: what is lost by taking them out."""
+    lowered = F.lower(text)
+    return F.length(lowered) - F.length(F.translate(lowered, letters, ""))
+
+
 def vowels(text: Column) -> Column:
-    return F.regexp_count(F.lower(text), F.lit(VOWELS))
+    return _letters_of(text, VOWELS)
 
 
 def consonants(text: Column) -> Column:
-    return F.regexp_count(F.lower(text), F.lit(CONSONANTS))
+    return _letters_of(text, CONSONANTS)
 
 
 def is_palindrome(word: Column) -> Column:

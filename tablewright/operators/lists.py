@@ -69,3 +69,13 @@ def ordered_list(
     )
     both = heads.unionByName(tails)
     return _joined(both, [*keys, "list_no"], col, sep, out).select(*keys, "list_no", out)
+
+
+def concat_ordered(df: DataFrame, keys: Sequence[str], col: str, sep: str = ", ", out: str = "names") -> DataFrame:
+    """All names of a group in order, repeats kept."""
+    return ordered_list(df, keys, col, sep, out)
+
+
+def concat_default_separator(df: DataFrame, keys: Sequence[str], col: str, out: str = "names") -> DataFrame:
+    """Different names of a group in order, with bare commas."""
+    return ordered_list(df, keys, col, ",", out, distinct=True)

@@ -3,7 +3,8 @@
 from pyspark.sql import functions as F
 
 from tablewright.operators import aggregates as ag
-from tablewright.operators.lists import PART, ordered_list
+from tablewright.operators import lists as ls
+from tablewright.operators.lists import PART
 from tablewright.plans.joining import LINKS, LOANS
 from tablewright.plans.registry import query
 from tablewright.sources.trial import AS_OF
@@ -232,7 +233,7 @@ WITH {LINKS}, x AS (SELECT b_id, s_name FROM ba JOIN supplier ON a_id = s_suppke
 {list_sql('x', 'b_id', 's_name', ', ', 'names')}
 """)
 def concat_ordered(t):
-    return ordered_list(t.book_authors.join(t.authors, "a_id"), ["b_id"], "a_name", ", ")
+    return ls.concat_ordered(t.book_authors.join(t.authors, "a_id"), ["b_id"], "a_name")
 
 
 @query(f"""
@@ -253,7 +254,7 @@ WITH {LINKS}, x AS (SELECT DISTINCT b_id, n_name FROM bg JOIN nation ON g_id = n
 {list_sql('x', 'b_id', 'n_name', ',', 'names')}
 """)
 def concat_default_separator(t):
-    return ordered_list(t.book_genres.join(t.genres, "g_id"), ["b_id"], "g_name", ",", distinct=True)
+    return ls.concat_default_separator(t.book_genres.join(t.genres, "g_id"), ["b_id"], "g_name")
 
 
 @query("SELECT CAST(median(n) AS DOUBLE) AS median FROM (SELECT count(*) AS n FROM lineitem GROUP BY l_suppkey)")

@@ -171,9 +171,8 @@ def fn_stats_delta(t):
     active = F.col("l_linestatus") == "O"
     path = scratch_path(t.spark, "stats")
     before = ag.library_totals(t.part.filter(F.col("p_type") != "PROMO"), t.lineitem, "p_size", active)
-    old = snapshots.write_snapshot(before, before.schema, path)
-    new = snapshots.refresh_stats_strict(ag.library_totals(t.part, t.lineitem, "p_size", active), path)
-    return new.select((F.col("total") - old.select("total").scalar()).alias("delta"))
+    snapshots.write_snapshot(before, before.schema, path)
+    return snapshots.fn_stats_delta(ag.library_totals(t.part, t.lineitem, "p_size", active), path)
 
 
 @query(f"""

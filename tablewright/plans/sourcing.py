@@ -25,7 +25,7 @@ def _nothing_lent(t):
 
 @query("SELECT * FROM customer")
 def scan_table(t):
-    return t.table("customer")
+    return snapshots.scan_table(t.spark, t.path("customer"))
 
 
 @query("SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k, false AS corrupt FROM events")

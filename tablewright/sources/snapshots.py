@@ -19,6 +19,11 @@ from tablewright.sources.files import child_names, exists
 _VERSION = "version="
 
 
+def scan_table(spark: SparkSession, path: str) -> DataFrame:
+    """Every row and column of a Parquet table."""
+    return spark.read.parquet(path)
+
+
 def latest_version(spark: SparkSession, path: str) -> int | None:
     numbers = [
         int(name.removeprefix(_VERSION)) for name in child_names(spark, path) if name.startswith(_VERSION)
@@ -71,6 +76,12 @@ def refresh_stats_strict(stats: DataFrame, path: str) -> DataFrame:
     return reload_snapshot(stats, path)
 
 
+def fn_stats_delta(stats: DataFrame, path: str, col: str = "total") -> DataFrame:
+    """Refresh the one-row statistics table and return its new value minus the old one."""
+    old = read_snapshot(stats.sparkSession, path).select(col).scalar()
+    return refresh_stats_strict(stats, path).select((F.col(col) - old).alias("delta"))
+
+
 def named_view(df: DataFrame, name: str) -> DataFrame:
     df.createOrReplaceTempView(name)
     return df.sparkSession.table(name)
