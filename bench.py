@@ -1,7 +1,7 @@
 """Time the headline queries: prints one JSON line.
 
 BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8), BENCH_RUNS timed runs per query
-after one warm-up (default 3, the median counts), BENCH_KEYS: comma list of keys, or 'all'.
+after one warm-up (default 1; with more, the median counts), BENCH_KEYS: comma list of keys, or 'all'.
 """
 
 import json
@@ -30,7 +30,7 @@ HEADLINE = (
 def main() -> None:
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    runs = int(os.environ.get("BENCH_RUNS", "3"))
+    runs = int(os.environ.get("BENCH_RUNS", "1"))
     wanted = os.environ.get("BENCH_KEYS", "")
     keys = list(REGISTRY) if wanted == "all" else [k for k in wanted.split(",") if k] or list(HEADLINE)
     spark = build_session("bench", f"local[{cpus}]", int(cpus), {"spark.driver.memory": "12g"})
