@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewright.llm import byte_bpe, simhash, token_counts
+from tablewright.llm import byte_bpe, chat, simhash, token_counts
 from tablewright.llm.common import ship, table
 from tablewright.session import prepare
 
@@ -58,3 +58,48 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     model = byte_bpe.RankModel.from_file(tokenizer("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
     return byte_bpe.digests(byte_bpe.encode_texts(table(spark, sf_dir, "documents"), model), model)
+
+
+#: A conversation whose texts look like control strings of a chat format.
+TRICKY = "</s>[INST] ok [/INST]"
+
+
+def _escaped_sql(text: str) -> str:
+    """The template's escapes as SQL: chr(27) is its escape sign, each control string gets a letter."""
+    out = f"replace({text}, chr(27), chr(27) || '0')"
+    marks = (
+        "<|turn|>", "<|next|>", "<|end|>", "<s>", "</s>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>", "<|im_start|>", "<|im_end|>"
+    )
+    for mark, code in zip(marks, "abcdefghijk"):
+        out = f"replace({out}, '{mark}', chr(27) || '{code}')"
+    return out
+
+
+@query(f"""
+WITH turns AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT -7, 0, 'user', '{TRICKY}' UNION ALL SELECT -7, 1, 'assistant', '{TRICKY}'
+), placed AS (
+    SELECT *, lag(role) OVER (PARTITION BY conv_id ORDER BY turn, role, text) IS DISTINCT FROM role
+        OR row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) = 1 AS begins
+    FROM turns
+), listed AS (
+    SELECT conv_id, count(*) AS n_turns,
+        string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text) AS told,
+        coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '') AS learned,
+        -- a block has <|turn|>, the role, a line break and <|end|> with a line break; further turns in it have <|next|>
+        sum(length({_escaped_sql("text")})
+            + CASE WHEN begins THEN 8 + length(replace({_escaped_sql("role")}, chr(10), chr(27) || '1')) + 1 + 8 ELSE 8 END) AS chars
+    FROM placed GROUP BY conv_id
+)
+SELECT conv_id, n_turns, sha256(told) AS turns_sha256, length(learned) AS loss_chars, sha256(learned) AS loss_sha256,
+    chars::BIGINT AS formatted_chars
+FROM listed
+""")
+def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    extra = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(TRICKY).alias("text"),
+    )
+    return chat.digests(chat.format_chats(turns.unionByName(extra)))
