@@ -66,17 +66,21 @@ class Encoder:
         if len(self.known) + len(new) > KNOWN:
             self.known = {}
             new = words
-        todo = []
+        todo, raws = [], []
         for w in new:
             raw = w.encode("utf-8", "surrogatepass")
             # a pre-token that is itself an entry is that entry
             if (rank := self.model.whole.get(raw)) is not None:
                 self.known[w] = rank.to_bytes(4, "little")
             else:
-                todo.append((w, raw))
-        starts = [self.model.start[np.frombuffer(raw, dtype=np.uint8)] for _, raw in todo]
-        for (w, _), ids in zip(todo, merge_all(starts, self.model.pairs)):
-            self.known[w] = ids.astype("<u4").tobytes()
+                todo.append(w), raws.append(raw)
+        if not todo:
+            return
+        start = self.model.start[np.frombuffer(b"".join(raws), dtype=np.uint8)]
+        ids, lengths = merge_all(start, np.fromiter(map(len, raws), dtype=np.int64, count=len(raws)), self.model.pairs)
+        raw, ends = ids.astype("<u4").tobytes(), (np.cumsum(lengths) * 4).tolist()
+        for w, begin, end in zip(todo, [0, *ends], ends):
+            self.known[w] = raw[begin:end]
 
     def encode(self, texts: list[str]):
         """The ids of each text as little-endian bytes."""

@@ -117,31 +117,37 @@ def scan(docs: DataFrame, key: str = "doc_id", text: str = "text", templates=TEM
     found = split.select("k", "words", hits.alias("hits"))
 
     kinds = "array<struct<label:string,at:int,base:boolean,share:double>>"
-    places = []
-    for t, words, phrase, start, anchor in index:
-        total = sum(rarity[w] for w in words)
-        # places of the anchor where the key phrase stands word for word; ``at`` is where the phrase begins
-        here = F.transform(F.filter("hits", lambda h, a=phrase[anchor]: h["word"] == F.lit(a)), lambda h, j=anchor: h["at"] - j)
-        full = F.filter(
-            here,
-            lambda at, p=phrase: (at >= 0) & (F.slice("words", F.greatest(at, F.lit(0)) + 1, F.lit(len(p))) == _strings(p)),
-        )
-
-        def share(at, words=words, start=start, total=total):
-            got = F.lit(0)
-            for j, w in enumerate(words):
-                place = at + (j - start)
-                got = got + F.when((place >= 0) & (F.get("words", place) == F.lit(w)), F.lit(rarity[w])).otherwise(F.lit(0))
-            return F.round(got / F.lit(float(total)), 6)
-
-        as_place = F.transform(
-            full, lambda at, t=t, share=share: F.struct(F.lit(t.label).alias("label"), at.alias("at"), F.lit(t.base).alias("base"), share(at).alias("share"))
-        )
-        places.append(F.filter(as_place, lambda p: p["share"] >= F.lit(threshold)))
+    places = [_places(*entry, rarity, threshold) for entry in index]
     listed = F.when(F.size("hits") > 0, F.concat(*places)).otherwise(F.array().cast(kinds)).cast(kinds)
     return found.select(F.col("k").alias(key), F.size("words").cast("long").alias("n_words"), F.array_sort(listed).alias("places"))
 
 
+def _places(t: Template, words: list[str], phrase: list[str], start: int, anchor: int, rarity: dict[str, int], threshold: float) -> Column:
+    """Where one template stands, from the positions of its anchor: array of (label, at, base, share); ``at`` is where the key phrase begins."""
+    total = sum(rarity[w] for w in words)
+
+    def weight(at: Column) -> Column:
+        got = F.lit(0)
+        for j, w in enumerate(words):
+            place = at + (j - start)
+            got = got + F.when((place >= 0) & (F.get("words", place) == F.lit(w)), F.lit(rarity[w])).otherwise(F.lit(0))
+        return got
+
+    def stands(at: Column) -> Column:
+        """The mandatory phrase, word for word."""
+        return (at >= 0) & (F.slice("words", F.greatest(at, F.lit(0)) + 1, F.lit(len(phrase))) == _strings(phrase))
+
+    begins = F.transform(F.filter("hits", lambda h: h["word"] == F.lit(phrase[anchor])), lambda h: h["at"] - anchor)
+    marked = F.transform(
+        F.filter(begins, stands),
+        lambda at: F.struct(
+            F.lit(t.label).alias("label"), at.alias("at"), F.lit(t.base).alias("base"),
+            F.round(weight(at) / F.lit(float(total)), 6).alias("share"),
+        ),
+    )
+    return F.filter(marked, lambda p: p["share"] >= F.lit(threshold))
+
+
 def report(places: DataFrame, key: str = "doc_id") -> DataFrame:
     """Places to one summary row each: how many base places, where they begin and end, labels, best share."""
     base = F.filter("places", lambda p: p["base"])

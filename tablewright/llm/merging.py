@@ -69,25 +69,20 @@ class PairTable:
 LONG = 512
 
 
-def merge_all(sequences: list, pairs: PairTable) -> list[np.ndarray]:
-    """The surviving symbols of each sequence of symbol ids."""
-    done: list = [None] * len(sequences)
-    short = []
-    for k, s in enumerate(sequences):
-        if len(s) > LONG:
-            done[k] = np.array(pairs.one_by_one(list(s)), dtype=np.int32)
-        elif len(s) < 2:
-            done[k] = np.asarray(s, dtype=np.int32)
-        else:
-            short.append(k)
-    if not short:
-        return done
-    ids = np.concatenate([np.asarray(sequences[k], dtype=np.int32) for k in short])
-    lengths = np.array([len(sequences[k]) for k in short])
-    names = np.array(short)
-    again: list[int] = []
+def merge_all(ids: np.ndarray, lengths: np.ndarray, pairs: PairTable) -> tuple[np.ndarray, np.ndarray]:
+    """Flat symbol ids of sequences of the given lengths (all at least 1) to the surviving symbols: flat ids and lengths."""
+    n = len(lengths)
+    starts = np.cumsum(lengths) - lengths
+    alone: dict[int, np.ndarray] = {}
+    for k in np.flatnonzero(lengths > LONG).tolist():
+        alone[k] = np.array(pairs.one_by_one(ids[starts[k]:starts[k] + lengths[k]].tolist()), dtype=np.int32)
+    first_ids, first_starts, first_lengths = ids, starts, lengths
+    names = np.flatnonzero(lengths <= LONG)
+    ids = ids[np.repeat(lengths <= LONG, lengths)].astype(np.int32)
+    lengths = lengths[names]
+    done_ids, done_names, done_lengths = [], [], []
     while len(names):
-        starts = np.concatenate(([0], np.cumsum(lengths)[:-1]))
+        starts = np.cumsum(lengths) - lengths
         owner = np.repeat(np.arange(len(names)), lengths)
         rank = np.full(len(ids), NONE, dtype=np.int32)
         place = np.zeros(len(ids), dtype=np.int64)
@@ -96,10 +91,9 @@ def merge_all(sequences: list, pairs: PairTable) -> list[np.ndarray]:
         low = np.minimum.reduceat(rank, starts)
         over = low == NONE
         if over.any():
-            for k in np.flatnonzero(over).tolist():
-                done[names[k]] = ids[starts[k]:starts[k] + lengths[k]]
-            keep = ~over[owner]
-            ids, rank, place = ids[keep], rank[keep], place[keep]
+            ended = over[owner]
+            done_ids.append(ids[ended]), done_names.append(names[over]), done_lengths.append(lengths[over])
+            ids, rank, place = ids[~ended], rank[~ended], place[~ended]
             names, lengths, low = names[~over], lengths[~over], low[~over]
             if not len(names):
                 break
@@ -115,24 +109,33 @@ def merge_all(sequences: list, pairs: PairTable) -> list[np.ndarray]:
         several = np.bincount(owner[at], minlength=len(names)) > 1
         odd = np.zeros(len(names), dtype=bool)
         check = np.flatnonzero(several[owner[at]])
-        if len(check):
+        for shift in (-1, 2) if len(check) else ():
             p, made = at[check], product[check]
-            for other, left in ((p - 1, True), (p + 2, False)):
-                fine = (other >= 0) & (other < len(ids))
-                fine[fine] &= owner[other[fine]] == owner[p[fine]]
-                o, m = ids[other[fine]], made[fine]
-                new = pairs.find(o, m)[0] if left else pairs.find(m, o)[0]
-                odd[owner[p[fine]][new <= low[owner[p[fine]]]]] = True
+            fine = (p + shift >= 0) & (p + shift < len(ids))
+            p, made = p[fine], made[fine]
+            same = owner[p + shift] == owner[p]
+            p, made = p[same], made[same]
+            other = ids[p + shift]
+            new = pairs.find(other, made)[0] if shift < 0 else pairs.find(made, other)[0]
+            odd[owner[p][new <= low[owner[p]]]] = True
         ids[at] = product
         keep = np.ones(len(ids), dtype=bool)
         keep[at + 1] = False
-        if odd.any():
-            again += names[odd].tolist()
-            keep &= ~odd[owner]
-        lengths = np.bincount(owner[keep], minlength=len(names))
-        ids = ids[keep]
-        if odd.any():
-            names, lengths = names[~odd], lengths[~odd]
-    for k in again:
-        done[k] = np.array(pairs.one_by_one(list(sequences[k])), dtype=np.int32)
-    return done
+        for k in names[odd].tolist():
+            alone[k] = np.array(
+                pairs.one_by_one(first_ids[first_starts[k]:first_starts[k] + first_lengths[k]].tolist()), dtype=np.int32
+            )
+        keep &= ~odd[owner]
+        lengths = np.bincount(owner[keep], minlength=len(names))[~odd]
+        ids, names = ids[keep], names[~odd]
+    for k, own in alone.items():
+        done_ids.append(own), done_names.append(np.array([k])), done_lengths.append(np.array([len(own)]))
+    # back to the order of the sequences
+    names, lengths = np.concatenate([np.empty(0, np.int64), *done_names]), np.concatenate([np.empty(0, np.int64), *done_lengths])
+    flat = np.concatenate([np.empty(0, np.int32), *done_ids])
+    order = np.argsort(names, kind="stable")
+    begins = (np.cumsum(lengths) - lengths)[order]
+    out = lengths[order]
+    take = np.repeat(begins - (np.cumsum(out) - out), out) + np.arange(out.sum())
+    assert len(out) == n
+    return flat[take], out

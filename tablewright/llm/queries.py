@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewright.llm import byte_bpe, chat, simhash, token_counts
+from tablewright.llm import byte_bpe, chat, licenses, simhash, token_counts
 from tablewright.llm.common import ship, table
 from tablewright.session import prepare
 
@@ -60,6 +60,59 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.digests(byte_bpe.encode_texts(table(spark, sf_dir, "documents"), model), model)
 
 
+def _phrases_sql() -> str:
+    """The licence templates as rows (no, label, base, words, first word of the key phrase, its length)."""
+    rows = []
+    for no, t in enumerate(licenses.TEMPLATES):
+        words, phrase = t.words.split(), t.key.split()
+        start = (" " + t.words + " ").index(" " + t.key + " ")
+        start = len(t.words[:start].split())
+        rows.append(f"({no}, '{t.label}', {t.base}, string_split('{t.words}', ' '), {start}, {len(phrase)})")
+    return ", ".join(rows)
+
+
+@query(rf"""
+WITH split AS (
+    SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+    FROM documents
+), templates(no, label, base, words, start, n_key) AS (VALUES {_phrases_sql()}
+), vocabulary AS (SELECT DISTINCT unnest(words) AS word FROM templates
+), placed AS (
+    SELECT r, unnest(words) AS word, generate_subscripts(words, 1) - 1 AS pos FROM split
+), held AS (SELECT * FROM placed WHERE word IN (SELECT word FROM vocabulary)
+), levels AS (
+    -- rarity: binary digits of (files + 1) div (files with the word + 1)
+    SELECT word, length(bin(((SELECT count(*) FROM split) + 1) // (count(DISTINCT r) + 1))) AS level
+    FROM vocabulary LEFT JOIN held USING (word) GROUP BY word
+), postings AS (
+    SELECT no, unnest(words) AS word, generate_subscripts(words, 1) - 1 AS j FROM templates
+), totals AS (SELECT no, sum(level) AS total FROM postings JOIN levels USING (word) GROUP BY no
+), matched AS (
+    SELECT r, no, pos - j AS origin, sum(level) AS got,
+        count(*) FILTER (j >= start AND j < start + n_key) AS n_found, any_value(n_key) AS n_key, any_value(start) AS start
+    FROM held JOIN postings USING (word) JOIN levels USING (word) JOIN templates USING (no)
+    GROUP BY r, no, pos - j
+), places AS (
+    SELECT r, label, base, origin + matched.start AS pos, round(got / total::DOUBLE, 6) AS share
+    FROM matched JOIN totals USING (no) JOIN templates USING (no)
+    WHERE n_found = matched.n_key AND round(got / total::DOUBLE, 6) >= 0.6
+), told AS (
+    SELECT r, count(*) FILTER (base) AS n_base, min(pos) FILTER (base) AS first_word, max(pos) FILTER (base) AS last_word,
+        string_agg(DISTINCT label, ',' ORDER BY label) FILTER (base) AS base_labels,
+        string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(share) AS score
+    FROM places GROUP BY r
+)
+SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base, first_word::BIGINT AS first_word,
+    last_word::BIGINT AS last_word, coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels,
+    coalesce(score, 0)::DOUBLE AS score
+FROM split LEFT JOIN told USING (r)
+""")
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.report(licenses.scan(table(spark, sf_dir, "documents")))
+
+
 #: A conversation whose texts look like control strings of a chat format.
 TRICKY = "</s>[INST] ok [/INST]"
 

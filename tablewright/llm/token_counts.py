@@ -43,7 +43,10 @@ class PieceModel:
                 if a is not None and b is not None:
                     left.append(a), right.append(b), ranks.append(rank[p]), product.append(self.symbols[p])
         # letters outside the vocabulary: one symbol for each length in bytes, which is their cost
-        self.outside = [n, n, n + 1, n + 2, n + 3]
+        points = np.arange(0x110000)
+        self.point_symbol = (n + (points > 0x7F) + (points > 0x7FF) + (points > 0xFFFF)).astype(np.int32)
+        for c in singles:
+            self.point_symbol[ord(c)] = self.symbols[c]
         self.cost = np.array([1 if s in known else len(s.encode()) for s in self.symbols] + [1, 2, 3, 4], dtype=np.int64)
         self.pairs = PairTable(left, right, ranks, product, n + 4)
         spaced = [p for p in pieces if re.search(f"[^{SPACE}]{SPACE}", p)]
@@ -63,9 +66,10 @@ class PieceModel:
         ]
         return cls([sp.id_to_piece(i) for i in plain], [sp.get_score(i) for i in plain])
 
-    def symbols_of(self, word: str) -> list[int]:
-        get = self.symbols.get
-        return [i if (i := get(c)) is not None else self.outside[len(c.encode("utf-8", "surrogatepass"))] for c in word]
+    def symbols_of(self, text: str) -> np.ndarray:
+        """One symbol per code point."""
+        points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype="<u4")
+        return self.point_symbol[np.minimum(points, len(self.point_symbol) - 1)] if len(points) else np.empty(0, np.int32)
 
 
 def _counter(model: PieceModel):
@@ -85,10 +89,9 @@ def _counter(model: PieceModel):
                 if len(known) + len(new) > KNOWN:
                     known = {}
                     new = list(set().union(*split))
-                merged = merge_all([model.symbols_of(w) for w in new], model.pairs)
-                lengths = np.array([len(m) for m in merged])
-                cost = model.cost[np.concatenate(merged)]
-                sums = np.add.reduceat(cost, np.concatenate(([0], np.cumsum(lengths)[:-1])))
+                sizes = np.fromiter(map(len, new), dtype=np.int64, count=len(new))
+                merged, lengths = merge_all(model.symbols_of("".join(new)), sizes, model.pairs)
+                sums = np.add.reduceat(model.cost[merged], np.cumsum(lengths) - lengths)
                 known.update(zip(new, sums.tolist()))
             out += [sum(map(known.__getitem__, w)) for w in split]
         return out
