@@ -81,13 +81,17 @@ def merge_all(ids: np.ndarray, lengths: np.ndarray, pairs: PairTable) -> tuple[n
     ids = ids[np.repeat(lengths <= LONG, lengths)].astype(np.int32)
     lengths = lengths[names]
     done_ids, done_names, done_lengths = [], [], []
+    # rank and place of the pair each symbol begins; after a merge only the pairs around it are looked up again
+    rank = np.full(len(ids), NONE, dtype=np.int32)
+    place = np.zeros(len(ids), dtype=np.int64)
+    stale = np.arange(len(ids))
     while len(names):
         starts = np.cumsum(lengths) - lengths
         owner = np.repeat(np.arange(len(names)), lengths)
-        rank = np.full(len(ids), NONE, dtype=np.int32)
-        place = np.zeros(len(ids), dtype=np.int64)
-        inside = np.flatnonzero(owner[:-1] == owner[1:])
-        rank[inside], place[inside] = pairs.find(ids[inside], ids[inside + 1])
+        rank[stale] = NONE
+        stale = stale[stale < len(ids) - 1]
+        stale = stale[owner[stale] == owner[stale + 1]]
+        rank[stale], place[stale] = pairs.find(ids[stale], ids[stale + 1])
         low = np.minimum.reduceat(rank, starts)
         over = low == NONE
         if over.any():
@@ -127,7 +131,14 @@ def merge_all(ids: np.ndarray, lengths: np.ndarray, pairs: PairTable) -> tuple[n
             )
         keep &= ~odd[owner]
         lengths = np.bincount(owner[keep], minlength=len(names))[~odd]
-        ids, names = ids[keep], names[~odd]
+        changed = np.zeros(len(ids), dtype=bool)
+        changed[at] = True
+        # the symbol before a product, which may itself have been a product
+        before = at - 1
+        before = before[before >= 0]
+        changed[np.where(keep[before], before, np.maximum(before - 1, 0))] = True
+        stale = np.flatnonzero(changed[keep])
+        ids, rank, place, names = ids[keep], rank[keep], place[keep], names[~odd]
     for k, own in alone.items():
         done_ids.append(own), done_names.append(np.array([k])), done_lengths.append(np.array([len(own)]))
     # back to the order of the sequences
