@@ -32,7 +32,7 @@ NODE_ROWS = 2_048
 #: Members of an inner node, and of a node above those.
 FAN = 8
 #: Pairs held in memory while a node is searched.
-PAIRS_AT_ONCE = 1 << 20
+PAIRS_AT_ONCE = 1 << 17
 
 _BYTE_BITS = ((np.arange(256)[:, None] >> np.arange(8)[None, :]) & 1).astype(np.int64)
 
