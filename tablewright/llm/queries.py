@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewright.llm import byte_bpe, chat, licenses, simhash, token_counts
+from tablewright.llm import byte_bpe, chat, decontam, licenses, simhash, token_counts, toxicity
 from tablewright.llm.common import ship, table
 from tablewright.session import prepare
 
@@ -46,12 +46,24 @@ def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", hex16("fp").alias("fingerprint"), "component_id")
 
 
+@query()
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score_texts(docs, toxicity.learn(docs, table(spark, sf_dir, "labels")))
+
+
 @query()
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = token_counts.PieceModel.from_file(tokenizer("piece_bpe_32k.model"))
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), model)
 
 
+@query()
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), ["doc_id"])
+    return found.select("doc_id", "item_id", F.round("coverage", 6).alias("coverage"), "n_tiles")
+
+
 @query()
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
