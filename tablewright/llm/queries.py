@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewright.llm import byte_bpe, chat, decontam, licenses, simhash, token_counts, toxicity
+from tablewright.llm import byte_bpe, chat, decontam, licenses, lm_score, neighbours, simhash, token_counts, toxicity
 from tablewright.llm.common import ship, table
 from tablewright.session import prepare
 
@@ -64,6 +64,12 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "item_id", F.round("coverage", 6).alias("coverage"), "n_tiles")
 
 
+@query()
+def op7_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0)
+    return found.select(F.col("query").alias("query_id"), "rank", F.col("id").alias("vec_id"), "score")
+
+
 @query()
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
@@ -168,3 +174,8 @@ def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(TRICKY).alias("text"),
     )
     return chat.digests(chat.format_chats(turns.unionByName(extra)))
+
+
+@query()
+def op9_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.score_texts(table(spark, sf_dir, "documents"))
