@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewright.llm import byte_bpe, chat, decontam, licenses, lm_score, neighbours, simhash, token_counts, toxicity
+from tablewright.llm import byte_bpe, chat, decontam, licenses, lm_score, neighbours, pii, simhash, token_counts, toxicity
 from tablewright.llm.common import ship, table
 from tablewright.session import prepare
 
@@ -179,3 +179,8 @@ def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op9_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_score.score_texts(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.report(pii.find_spans(table(spark, sf_dir, "documents")))
