@@ -1,0 +1,125 @@
+"""Near copies of texts: SimHash candidates from the Gray-order index, verified on word shingles.
+
+A fingerprint of word shingles moves by many bits when single words change, so it would miss copies with scattered edits. Candidates are
+therefore found on fingerprints of the set of words, which move little; several fingerprints with own seeds (tags of one
+index) make a miss by chance unlikely. A candidate counts only if its shingles of ``shingle`` words agree with its
+partner's in at least ``similarity`` (Jaccard). Texts are compared once each, however many copies they have, and each with the representatives
+its index nodes name, not with every member of its group.
+
+Edge cases: NULL counts as an empty text; all texts without words are copies of each other; a text of fewer words than a shingle is one shingle; of
+a group the row with the smallest doc_id stays (rows without doc_id come last, then by text), of rows equal in doc_id and text
+one; all columns are kept; an empty table gives no rows.
+"""
+
+from __future__ import annotations
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from tablewright.llm.common import bitmap_of, mix64, text_column, write_scratch
+from tablewright.llm.components import components
+from tablewright.llm.decontam import _WordHashes, window_hashes, word_hashes
+from tablewright.llm.simhash import near_links, simhash
+
+SHINGLE, SIMILARITY, DISTANCE, SEEDS = 5, 0.8, 3, 4
+
+
+def _fingerprints(texts: DataFrame, seeds: int) -> DataFrame:
+    """(k, key, text) to (k, key, fps)."""
+    kind = texts.schema["k"].dataType.simpleString()
+
+    def run(batches):
+        known = _WordHashes()
+        for batch in batches:
+            rows = []
+            for text in batch.column(2).to_pylist():
+                words = np.unique(word_hashes(text, known))
+                rows.append([simhash(mix64(words ^ np.uint64(0x9E3779B97F4A7C15 * s & (2**64 - 1)))) for s in range(1, seeds + 1)])
+            fps = pa.array(np.array(rows, dtype=np.uint64).view(np.int64).tolist(), type=pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], fps], names=["k", "key", "fps"])
+
+    return texts.mapInArrow(run, f"k {kind}, key string, fps array<long>")
+
+
+def _shingles(texts: DataFrame, codes: DataFrame, shingle: int) -> DataFrame:
+    """(key, code, text) to (key, shingles) for the texts whose code is among ``codes``."""
+    bitmap = texts.sparkSession.sparkContext.broadcast(bitmap_of(codes, "code"))
+
+    def run(batches):
+        known = _WordHashes()
+        for batch in batches:
+            hit = np.flatnonzero(bitmap.value.holds(batch.column(1).to_numpy()))
+            if not len(hit):
+                continue
+            lists = []
+            for text in batch.column(2).take(pa.array(hit)).to_pylist():
+                words = word_hashes(text, known)
+                # 32 bits tell the shingles of two texts apart well enough
+                lists.append(np.unique(window_hashes(words, max(1, min(shingle, len(words)))).astype(np.uint32)).view(np.int32))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(pa.array(hit)), pa.array(lists, type=pa.list_(pa.int32()))], names=["key", "shingles"]
+            )
+
+    found = texts.mapInArrow(run, "key string, shingles array<int>")
+    return found.groupBy("key").agg(F.any_value("shingles").alias("shingles"))
+
+
+def _similar(pairs: DataFrame, similarity: float) -> DataFrame:
+    """Pairs (a, b, sa, sb) whose shingle sets are that similar: (a, b)."""
+
+    def run(batches):
+        for batch in batches:
+            keep = []
+            for i, (x, y) in enumerate(zip(batch.column(2), batch.column(3))):
+                p, q = (v.values.to_numpy(zero_copy_only=False) for v in (x, y))
+                both = len(np.intersect1d(p, q, assume_unique=True))
+                if both >= similarity * (len(p) + len(q) - both):
+                    keep.append(i)
+            yield pa.RecordBatch.from_arrays([batch.column(c).take(pa.array(keep, type=pa.int64())) for c in (0, 1)], names=["a", "b"])
+
+    return pairs.mapInArrow(run, "a string, b string")
+
+
+def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE, similarity: float = SIMILARITY, distance: int = DISTANCE, seeds: int = SEEDS) -> DataFrame:
+    """(k, key, class) of each row: its id, the digest of its text, and the smallest digest of its group of near copies."""
+    plain = docs.select(F.col(key).alias("k"), F.md5(text_column(text)).alias("key"), text_column(text).alias("text"))
+    marked = write_scratch(_fingerprints(plain, seeds), "near-marks")
+    tagged = marked.select("key", F.posexplode("fps").alias("tag", "fp"))
+    # one representative text for each fingerprint
+    reps = write_scratch(tagged.groupBy("tag", "fp").agg(F.min("key").alias("rep")), "near-reps")
+    links = near_links(reps, distance)
+    across = (
+        links.join(reps.withColumnsRenamed({"fp": "a", "rep": "x"}), ["tag", "a"])
+        .join(reps.withColumnsRenamed({"fp": "b", "rep": "y"}), ["tag", "b"]).select("x", "y")
+    )
+    within = tagged.join(reps, ["tag", "fp"]).select(F.col("key").alias("x"), F.col("rep").alias("y"))
+    pairs = across.union(within).where("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    pairs = write_scratch(pairs, "near-pairs")
+    codes = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct().select(F.xxhash64("key").alias("code"))
+    sets = write_scratch(_shingles(plain.select("key", F.xxhash64("key").alias("code"), "text"), codes, shingle), "near-sets")
+    both = (
+        pairs.join(sets.withColumnsRenamed({"key": "a", "shingles": "sa"}), "a")
+        .join(sets.withColumnsRenamed({"key": "b", "shingles": "sb"}), "b").select("a", "b", "sa", "sb")
+    )
+    labels = components(_similar(both, similarity))
+    return marked.select("k", "key").join(labels.withColumnRenamed("node", "key"), "key", "left").select(
+        "k", "key", F.coalesce("component", "key").alias("class")
+    )
+
+
+def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", **settings) -> DataFrame:
+    """The rows of ``docs`` with all their columns, one of each group of near copies."""
+    marked = write_scratch(classes(docs, key, text, **settings), "near-classes")
+    chosen = marked.groupBy("class").agg(F.min(F.struct(F.col("k").isNull().alias("none"), F.col("k"), F.col("key"))).alias("first"))
+    # rows that repeat both: only they need to be looked at as a whole
+    times = marked.groupBy("k", "key").agg(F.count("*").alias("times"))
+    chosen = chosen.select("first.k", "first.key")
+    kept = chosen.join(times, chosen["k"].eqNullSafe(times["k"]) & (chosen["key"] == times["key"])).select(chosen["k"], chosen["key"], "times")
+    kept = write_scratch(kept, "near-kept").withColumnsRenamed({"k": "__k", "key": "__rep"})
+    keyed = docs.withColumn("__key", F.md5(text_column(text)))
+    same = (keyed["__key"] == F.col("__rep")) & keyed[key].eqNullSafe(F.col("__k"))
+    single = keyed.join(kept.where("times = 1"), same, "left_semi").select(*docs.columns)
+    several = keyed.join(kept.where("times > 1"), same, "left_semi").dropDuplicates([key, "__key"]).select(*docs.columns)
+    return single.union(several)

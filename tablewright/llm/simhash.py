@@ -176,25 +176,25 @@ def search_nodes(node: np.ndarray, codes: np.ndarray, distance: int) -> np.ndarr
 
 
 def _node_links(rows: DataFrame, distance: int) -> DataFrame:
-    """Rows (mask, pattern, fp, rank) of nodes that fit a task to links (a, b)."""
+    """Rows (tag, mask, pattern, fp, rank) of nodes that fit a task to links (tag, a, b)."""
+    node = ("tag", "mask", "pattern")
 
     def run(batches):
         held: list[pa.RecordBatch] = []
 
         def links(part: pa.Table):
-            mask, pattern, fp = (part.column(c).to_numpy() for c in ("mask", "pattern", "fp"))
-            new = np.concatenate(([False], (mask[1:] != mask[:-1]) | (pattern[1:] != pattern[:-1])))
+            fp, names = part.column("fp").to_numpy(), [part.column(c).to_numpy() for c in node]
+            new = np.concatenate(([False], np.any([x[1:] != x[:-1] for x in names], axis=0)))
             root = search_nodes(np.cumsum(new), fp.view(np.uint64), distance)
             moved = np.flatnonzero(root != np.arange(len(root)))
-            return pa.RecordBatch.from_arrays([pa.array(fp[moved]), pa.array(fp[root[moved]])], names=["a", "b"])
+            return pa.RecordBatch.from_arrays([pa.array(x) for x in (names[0][moved], fp[moved], fp[root[moved]])], names=["tag", "a", "b"])
 
         for batch in batches:
             if not batch.num_rows:
                 continue
             held.append(batch)
-            mask, pattern = batch.column("mask").to_numpy(), batch.column("pattern").to_numpy()
             # the last node may go on in the next batch; it has at most NODE_ROWS members
-            ended = np.flatnonzero((mask != mask[-1]) | (pattern != pattern[-1]))
+            ended = np.flatnonzero(np.any([(x := batch.column(c).to_numpy()) != x[-1] for c in node], axis=0))
             if len(ended):
                 cut = int(ended[-1]) + 1
                 yield links(pa.Table.from_batches([*held[:-1], batch.slice(0, cut)]))
@@ -202,41 +202,42 @@ def _node_links(rows: DataFrame, distance: int) -> DataFrame:
         if held:
             yield links(pa.Table.from_batches(held))
 
-    ordered = rows.repartition("mask", "pattern").sortWithinPartitions("mask", "pattern", "rank")
-    return ordered.select("mask", "pattern", "fp").mapInArrow(run, "a long, b long")
+    ordered = rows.repartition(*node).sortWithinPartitions(*node, "rank")
+    return ordered.select(*node, "fp").mapInArrow(run, "tag int, a long, b long")
 
 
 def near_links(fps: DataFrame, distance: int = 2, node_rows: int = NODE_ROWS) -> DataFrame:
-    """Links (a, b) that connect all distinct fingerprints (column fp) within ``distance`` bits of each other.
+    """Links (tag, a, b) that connect all distinct fingerprints (columns tag, fp) of one tag within ``distance`` bits of each other.
 
     Two fingerprints that near are connected by links, directly or through others that are as near to each other.
     """
-    level = fps.select("fp").distinct().select("fp", F.lit(0).cast("long").alias("mask"), F.lit(0).cast("long").alias("pattern"))
+    node = ["tag", "mask", "pattern"]
+    level = fps.select("tag", "fp").distinct().withColumn("mask", F.lit(0).cast("long"))
     masks = {0: block_masks(2**64 - 1, distance)}
     found = None
     while True:
         # factor every node of this level by the bits it does not share yet
         upper = F.create_map(*[x for m, below in masks.items() for x in (F.lit(_signed(m)), F.array(*[F.lit(_signed(m | b)) for b in below]))])
-        rows = level.select("fp", F.explode(F.element_at(upper, F.col("mask"))).alias("mask")).withColumn(
+        rows = level.select("tag", "fp", F.explode(F.element_at(upper, F.col("mask"))).alias("mask")).withColumn(
             "pattern", F.col("fp").bitwiseAND(F.col("mask"))
         )
         rows = write_scratch(rows, "simhash-nodes")
-        sizes = rows.groupBy("mask", "pattern").count()
-        fit = rows.join(sizes.where(F.col("count").between(2, node_rows)).drop("count"), ["mask", "pattern"], "left_semi")
+        sizes = rows.groupBy(*node).count()
+        fit = rows.join(sizes.where(F.col("count").between(2, node_rows)).drop("count"), node, "left_semi")
         links = _node_links(fit.withColumn("rank", gray_rank("fp")), distance)
         found = links if found is None else found.union(links)
         large = sizes.where(F.col("count") > node_rows).drop("count")
         if large.isEmpty():
             return found
         masks = {m | b: block_masks((2**64 - 1) & ~(m | b), distance) for m, below in masks.items() for b in below}
-        level = rows.join(large, ["mask", "pattern"], "left_semi").select("fp", "mask", "pattern")
+        level = rows.join(large, node, "left_semi").select("tag", "fp", "mask")
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 3, distance: int = 2) -> DataFrame:
     """One row per row of ``docs``: key, fp (long), component_id: the smallest key among all texts that links lead to."""
     marked = write_scratch(with_fingerprint(docs.select(F.col(key).alias("k"), text_column(text).alias("t")), "t", shingle).select("k", "fp"), "simhash")
     codes = marked.groupBy("fp").agg(F.min("k").alias("least"))
-    labels = components(near_links(codes, distance))
+    labels = components(near_links(codes.select(F.lit(0).alias("tag"), "fp"), distance).select("a", "b"))
     named = codes.join(labels.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "least", F.coalesce("component", "fp").alias("component"))
     lowest = named.groupBy("component").agg(F.min("least").alias("component_id"))
     # first the fingerprints get their component's id, one row each; only then the documents theirs
