@@ -165,11 +165,17 @@ def max_of_group_counts(
     return most.filter(F.col(out) == most.agg(F.max(out)).scalar())
 
 
-def distinct_pairs_count(df: DataFrame, owner: str, item: str, n: int, out: str = "items") -> DataFrame:
-    """Owners with more than ``n`` distinct items."""
-    return (
-        df.select(owner, item).distinct().groupBy(owner).agg(F.count("*").alias(out)).filter(F.col(out) > n)
-    )
+def distinct_pairs_count(owners: DataFrame, parts: DataFrame, owner: str, item: str, part: str, n: int, out: str = "items") -> DataFrame:
+    """Owners with more than ``n`` distinct parts over all their items. ``part`` holds whole numbers.
+
+    The parts of an item are a bitmap per bucket of numbers, so an item's owners meet a few bitmaps instead of
+    each of its parts; an owner's bitmaps are joined bit by bit and counted.
+    """
+    bucket, place = F.bitmap_bucket_number(part), F.bitmap_bit_position(part)
+    maps = parts.groupBy(item, bucket.alias("_bucket")).agg(F.bitmap_construct_agg(place).alias("_bits"))
+    merged = owners.select(owner, item).distinct().join(maps, item).groupBy(owner, "_bucket").agg(F.bitmap_or_agg("_bits").alias("_bits"))
+    counted = merged.groupBy(owner).agg(F.sum(F.bitmap_count("_bits")).alias(out))
+    return counted.filter(F.col(out) > n)
 
 
 def median_of_counts(df: DataFrame, key: str, out: str = "median") -> DataFrame:
@@ -190,20 +196,22 @@ def champion_argmax(df: DataFrame, key: str, out: str = "rows") -> DataFrame:
 
 
 def concat_distinct_two(
-    first: DataFrame,
-    second: DataFrame,
-    keys: Sequence[str],
-    first_list: tuple[str, str],
-    second_list: tuple[str, str],
-    sep: str = ", ",
+    first: DataFrame, second: DataFrame, keys: Sequence[str], first_list: tuple[str, str], second_list: tuple[str, str],
 ) -> DataFrame:
-    """Two de-duplicated ordered lists per group, each from its own link rows.
+    """(keys, list, pos, name): two de-duplicated ordered lists for each group that both inputs have.
 
-    The lists come from separate inputs, so the two sides of a group are never multiplied first.
-    Each pair is (source column, name of the list).
+    The lists come from separate inputs, so the two sides of a group are never multiplied; they are tagged, put in one
+    order and numbered once. A NULL key is a group like any other. Each pair is (source column, name of the list).
     """
-    lists = [
-        ordered_list(rows, keys, col, sep, out, distinct=True)
-        for rows, (col, out) in ((first, first_list), (second, second_list))
-    ]
-    return lists[0].join(lists[1], [*keys, "list_no"], "full_outer")
+    tagged = reduce(DataFrame.unionByName, [
+        rows.select(*keys, F.lit(label).alias("list"), F.col(col).alias("_item"))
+        for rows, (col, label) in ((first, first_list), (second, second_list))
+    ])
+    names = [f"_k{i}" for i in range(len(keys))]
+    # groups with both tags; combined on the map side, a group sends two values
+    both = (
+        tagged.groupBy(*[F.col(k).alias(n) for k, n in zip(keys, names)])
+        .agg(F.min("list").alias("_lo"), F.max("list").alias("_hi")).filter(F.col("_lo") != F.col("_hi")).select(*names)
+    )
+    same = reduce(lambda x, y: x & y, [tagged[k].eqNullSafe(both[n]) for k, n in zip(keys, names)])
+    return ordered_list(tagged.join(both, same, "left_semi"), [*keys, "list"], "_item", distinct=True)

@@ -96,17 +96,29 @@ def status_flow_audit(
     return near.groupBy(key).agg(F.count("*").alias("steps"), F.count(F.when(~fine, 1)).alias("violations"))
 
 
+# comments, scripts and styles hold no tags
+_NO_TAGS = r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>"
+# a name, and a value in double quotes, in single quotes or bare
+_ATTRIBUTE = r"""(?s)([^\s=/>"']+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?"""
+
+
 def html_attr_extract(df: DataFrame, html: str, tag: str, attr: str, keep: Sequence[str], match: tuple[str, str] | None = None) -> DataFrame:
-    """(keep, position, value): ``attr`` of every ``tag``, in document order.
+    """(keep, position, value): ``attr`` of every ``tag``, in document order; names in any case, ``>`` allowed inside quotes.
 
-    ``match`` = (other attribute, its value) narrows to tags that bear it.
+    ``match`` = (other attribute, its value) narrows to tags that bear it. Of an attribute written twice the first counts.
     """
-    tags = F.regexp_extract_all(F.col(html), F.lit(f"(<{tag}(?:\\s[^>]*)?>)"), F.lit(1))
-    found = df.select(*keep, F.posexplode(tags).alias("position", "_tag"))
+    body = F.regexp_replace(F.col(html), F.lit(_NO_TAGS), F.lit(""))
+    pattern = rf"""(?is)<{tag}((?:[\s/](?:[^>"']++|"[^"]*+"|'[^']*+')*+)?)>"""
+    found = df.select(*keep, F.posexplode(F.regexp_extract_all(body, F.lit(pattern), F.lit(1))).alias("position", "_tag"))
+    names = F.transform(F.regexp_extract_all("_tag", F.lit(_ATTRIBUTE), F.lit(1)), F.lower)
+    values = F.regexp_extract_all("_tag", F.lit(_ATTRIBUTE), F.lit(2))
+    read = found.withColumns({"_names": names, "_values": values})
+
+    def value(name: str) -> Column:
+        quoted = F.get("_values", F.array_position("_names", name.lower()).cast("int") - 1)
+        return F.when(F.array_contains("_names", name.lower()), F.regexp_replace(quoted, F.lit(r"""^["']|["']$"""), F.lit("")))
+
+    read = read.select(*keep, "position", value(attr).alias("value"), *([value(match[0]).alias("_other")] if match else []))
     if match is not None:
-        other, value = match
-        found = found.filter(F.regexp_extract("_tag", f'\\s{other}="([^"]*)"', 1) == value)
-    has = F.col("_tag").rlike(f'\\s{attr}="')
-    return found.filter(has).select(
-        *keep, "position", F.regexp_extract("_tag", f'\\s{attr}="([^"]*)"', 1).alias("value")
-    )
+        read = read.filter(F.col("_other") == match[1])
+    return read.filter(F.col("value").isNotNull()).select(*keep, "position", "value")

@@ -162,28 +162,32 @@ def cross_join_all_pairs(a: DataFrame, b: DataFrame, a_key: str, b_key: str, pre
 def cross_anti_pairs(
     a: DataFrame, b: DataFrame, used: DataFrame, a_key: str, b_key: str, pred_b: Column | None = None
 ) -> DataFrame:
-    """Per row of ``a``, the keys of ``b`` never paired with it, as runs between two used positions.
+    """Per row of ``a``, the keys of ``b`` never paired with it, as runs: a_key, from_key, to_key, pairs.
 
-    Keys of ``b`` are numbered 0..n-1 in order. The unused ones form at most (used + 1) runs per row
-    of ``a``, so the result grows with what was used and not with the product. Columns: a_key,
-    from_pos, to_pos (positions in the order of ``b``), pairs.
+    A run stands for every kept key of ``b`` from ``from_key`` to ``to_key``, so each pair can be read off. Keys are
+    numbered 0..n-1 in order; the unused ones form at most (used + 1) runs per row of ``a``, so the result grows with what was
+    used and not with the product.
     """
     kept = (b if pred_b is None else b.filter(pred_b)).select(b_key).distinct()
     placed = with_row_index(ordered_slices(kept, [b_key]), [], [b_key], "pos").select(b_key, "pos")
-    total = kept.agg(F.count("*")).scalar()
+    # written, since positions are looked up three times
+    placed = write_scratch(placed, "placed")
+    total = placed.agg(F.count("*")).scalar()
 
     taken = used.select(a_key, b_key).distinct().join(placed, b_key).select(a_key, "pos")
     # a closing mark at position n for everyone, so the run after the last used key is seen as well
     marks = taken.unionByName(a.select(a_key, total.alias("pos")))
-    # written once: both the search for hot rows of ``a`` and the runs read it
-    near = adjacent(write_scratch(marks, "marks"), [a_key], ["pos"], {"pos": "prev_pos"})
+    near = adjacent(marks, [a_key], ["pos"], {"pos": "prev_pos"})
     runs = near.select(
         a_key,
         (F.coalesce("prev_pos", F.lit(-1).cast("bigint")) + 1).alias("from_pos"),
         (F.col("pos") - 1).alias("to_pos"),
     )
-    return runs.filter(F.col("from_pos") <= F.col("to_pos")).withColumn(
-        "pairs", F.col("to_pos") - F.col("from_pos") + 1
+    runs = runs.filter(F.col("from_pos") <= F.col("to_pos"))
+    first = placed.select(F.col("pos").alias("from_pos"), F.col(b_key).alias("from_key"))
+    last = placed.select(F.col("pos").alias("to_pos"), F.col(b_key).alias("to_key"))
+    return runs.join(first, "from_pos").join(last, "to_pos").select(
+        a_key, "from_key", "to_key", (F.col("to_pos") - F.col("from_pos") + 1).alias("pairs")
     )
 
 

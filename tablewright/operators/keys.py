@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablewright.operators.lists import PART
 from tablewright.operators.numbering import (
     explode_range,
     ordered_slices,
@@ -13,6 +12,7 @@ from tablewright.operators.numbering import (
     with_row_index,
     with_running_sum,
 )
+from tablewright.sources.scratch import write_scratch
 
 
 def _key_slices(df: DataFrame, key: str) -> DataFrame:
@@ -21,13 +21,13 @@ def _key_slices(df: DataFrame, key: str) -> DataFrame:
 
 
 def _gaps(slices: DataFrame) -> DataFrame:
-    """(k, start, stop): the free run right before each key, empty runs left out."""
+    """(k, start, stop): the free run right before each key, empty runs left out. Written, since those who count runs read it twice."""
     near = with_adjacent(slices, [], ["k"], {"k": "_prev"})
     runs = near.select(
         "_slice", "k",
         (F.greatest(F.coalesce("_prev", F.lit(0)), F.lit(0)) + 1).alias("start"), (F.col("k") - 1).alias("stop"),
     )
-    return runs.filter(F.col("stop") >= F.col("start"))
+    return write_scratch(runs.filter(F.col("stop") >= F.col("start")), "gaps")
 
 
 def tf_free_key_ranges(df: DataFrame, key: str) -> DataFrame:
@@ -43,11 +43,9 @@ def free_keys(df: DataFrame, key: str) -> DataFrame:
     return each.select("free_key", (F.col("_before") + F.col("free_key") - F.col("start")).alias("nth"))
 
 
-def fn_free_keys_list(df: DataFrame, key: str, part: int = PART) -> DataFrame:
-    """Missing keys as comma lists (list_no, keys) of at most ``part`` keys each."""
-    numbered = free_keys(df, key).withColumn("list_no", F.floor(F.col("nth") / part) + 1)
-    gathered = F.transform(F.sort_array(F.collect_list("free_key")), lambda k: k.cast("string"))
-    return numbered.groupBy("list_no").agg(F.array_join(gathered, ",").alias("keys"))
+def fn_free_keys_list(df: DataFrame, key: str) -> DataFrame:
+    """Missing keys as one list (pos, free_key), positions from 1."""
+    return free_keys(df, key).select((F.col("nth") + 1).alias("pos"), "free_key")
 
 
 def proc_compact_keys(df: DataFrame, key: str) -> DataFrame:
@@ -56,9 +54,9 @@ def proc_compact_keys(df: DataFrame, key: str) -> DataFrame:
     With n keys, those above n move; they and the gaps in 1..n are equally many. Moved keys in falling
     order pair with gaps in rising order. Keys below 1 are refused.
     """
-    slices = _key_slices(df, key)
-    if not slices.filter(F.col("k") < 1).isEmpty():
-        raise ValueError("keys below 1 cannot be compacted")
+    below = F.raise_error(F.lit("keys below 1 cannot be compacted"))
+    # refused while the keys are written, not by a pass of its own
+    slices = _key_slices(df.select(F.when(F.col(key) < 1, below).otherwise(F.col(key)).alias(key)), key)
     n = slices.agg(F.count("*")).scalar()
     placed = with_row_index(slices, [], ["k"], "nth")
     moved = placed.filter(F.col("k") > n).select(F.col("k").alias("old_key"), (n - 1 - F.col("nth")).alias("turn"))

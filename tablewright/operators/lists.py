@@ -1,8 +1,7 @@
-"""Ordered text lists per group.
+"""Ordered lists per group, one row per name.
 
-A list is cut into numbered parts of at most ``part`` names. A group whose list fits one part (the
-normal case) is one row with ``list_no`` 1. A larger group goes on in ``list_no`` 2, 3, ..., so no
-task ever gathers an unbounded group and nothing is cut off.
+A list is (keys, pos, name) with positions from 1, for groups of every size: no task gathers a group, and nothing is
+cut off or cut up. `joined_text` makes one text of a list where a caller knows that its groups are small.
 """
 
 from __future__ import annotations
@@ -12,70 +11,34 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablewright.operators.numbering import ordered_slices, with_running_sum
-from tablewright.sources.scratch import write_scratch
+from tablewright.operators.numbering import SLICE, explode_range, ordered_slices, with_running_sum
 
-PART = 100_000
 
-
-def _joined(rows: DataFrame, keys: Sequence[str], col: str, sep: str, out: str) -> DataFrame:
-    """Gather (name, _n) rows per group; a name that came _n times is written _n times."""
-    gathered = F.sort_array(F.collect_list(F.struct(F.col(col).alias("name"), F.col("_n").alias("n"))))
-    once = F.transform(gathered, lambda p: p["name"])
-    repeated = F.flatten(F.transform(gathered, lambda p: F.array_repeat(p["name"], p["n"].cast("int"))))
-    names = F.when(F.max("_n") == 1, once).otherwise(repeated)
-    return rows.groupBy(*keys).agg(F.array_join(names, sep).alias(out))
-
-
-def ordered_list(
-    df: DataFrame,
-    keys: Sequence[str],
-    col: str,
-    sep: str = ", ",
-    out: str = "names",
-    distinct: bool = False,
-    part: int = PART,
-) -> DataFrame:
-    """(keys, list_no, out): names of each group in order, repeats kept unless ``distinct``. NULL names drop out."""
-    names = (
-        df.filter(F.col(col).isNotNull())
-        .groupBy(*keys, col)
-        .agg(F.count("*").alias("_n"))
-    )
+def ordered_list(df: DataFrame, keys: Sequence[str], col: str, out: str = "name", distinct: bool = False) -> DataFrame:
+    """(keys, pos, out): names of each group in order, repeats kept unless ``distinct``. NULL names drop out."""
+    names = df.filter(F.col(col).isNotNull()).groupBy(*keys, F.col(col).alias("_name")).agg(F.count("*").alias("_n"))
     if distinct:
         names = names.withColumn("_n", F.lit(1).cast("bigint"))
-    # written once, since both the size check and the lists read it
-    names = write_scratch(names, "names")
-    sizes = names.groupBy(*keys).agg(F.sum("_n").alias("_size"))
-    large = sizes.filter(F.col("_size") > part).drop("_size")
-    if large.isEmpty():
-        whole = _joined(names, keys, col, sep, out)
-        return whole.withColumn("list_no", F.lit(1).cast("bigint")).select(*keys, "list_no", out)
+    # a name that comes often is one row up to here, so it can't pile up in one slice
+    slices = ordered_slices(names, [*keys, "_name"])
+    placed = with_running_sum(slices, keys, ["_name"], F.col("_n"), "_before").drop(SLICE)
+    if distinct:
+        return placed.select(*keys, (F.col("_before") + 1).alias("pos"), F.col("_name").alias(out))
+    ends = placed.select(*keys, "_name", (F.col("_before") + 1).alias("_lo"), (F.col("_before") + F.col("_n")).alias("_hi"))
+    return explode_range(ends, "_lo", "_hi", "pos").select(*keys, "pos", F.col("_name").alias(out))
+
 
-    # a name repeated more than `part` times is cut into several rows of at most `part`
-    slots = names.withColumn(
-        "_piece", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("_n") - 1) / part)))
-    ).withColumn("_n", F.least(F.lit(part).cast("bigint"), F.col("_n") - F.col("_piece") * part))
-    order = [col, "_piece"]
-    slices = ordered_slices(slots, [*keys, *order])
-    placed = with_running_sum(slices, keys, order, F.col("_n"), "_before")
-    numbered = placed.withColumn("list_no", F.floor(F.col("_before") / part) + 1)
-    # a piece may straddle two parts: split it at the border
-    room = F.col("list_no") * part - F.col("_before")
-    fits = numbered.withColumn("_head", F.least(F.col("_n"), room))
-    heads = fits.select(*keys, "list_no", col, F.col("_head").alias("_n"))
-    tails = fits.filter(F.col("_n") > F.col("_head")).select(
-        *keys, (F.col("list_no") + 1).alias("list_no"), col, (F.col("_n") - F.col("_head")).alias("_n")
-    )
-    both = heads.unionByName(tails)
-    return _joined(both, [*keys, "list_no"], col, sep, out).select(*keys, "list_no", out)
+def joined_text(rows: DataFrame, keys: Sequence[str], name: str = "name", sep: str = ", ", out: str = "names") -> DataFrame:
+    """One text per group out of an ordered list. Each group must fit a row; registered queries don't use this."""
+    gathered = F.sort_array(F.collect_list(F.struct("pos", F.col(name).cast("string").alias("name"))))
+    return rows.groupBy(*keys).agg(F.array_join(F.transform(gathered, lambda p: p["name"]), sep).alias(out))
 
 
-def concat_ordered(df: DataFrame, keys: Sequence[str], col: str, sep: str = ", ", out: str = "names") -> DataFrame:
+def concat_ordered(df: DataFrame, keys: Sequence[str], col: str, out: str = "name") -> DataFrame:
     """All names of a group in order, repeats kept."""
-    return ordered_list(df, keys, col, sep, out)
+    return ordered_list(df, keys, col, out)
 
 
-def concat_default_separator(df: DataFrame, keys: Sequence[str], col: str, out: str = "names") -> DataFrame:
-    """Different names of a group in order, with bare commas."""
-    return ordered_list(df, keys, col, ",", out, distinct=True)
+def concat_default_separator(df: DataFrame, keys: Sequence[str], col: str, out: str = "name") -> DataFrame:
+    """Different names of a group in order."""
+    return ordered_list(df, keys, col, out, distinct=True)

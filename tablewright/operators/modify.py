@@ -15,6 +15,14 @@ def _holds(pred: Column) -> Column:
     return F.coalesce(pred, F.lit(False))
 
 
+def _once(src: DataFrame, key: str) -> DataFrame:
+    """``src`` without NULL keys; a key that comes twice is an error when the plan runs, as it would multiply rows."""
+    rows = src.filter(F.col(key).isNotNull())
+    held = rows.groupBy(key).agg(F.count("*").alias("_n"), F.any_value(F.struct(*src.columns)).alias("_row"))
+    twice = F.raise_error(F.concat(F.lit(f"{key} repeats: "), F.col(key).cast("string")))
+    return held.filter(F.when(F.col("_n") == 1, True).otherwise(twice.cast("boolean"))).select("_row.*")
+
+
 def insert_rows(df: DataFrame, rows: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
     """Append rows; those without a key get the next numbers in ``order``."""
     return df.unionByName(surrogate_keys(rows, df, key, order))
@@ -47,7 +55,7 @@ def update_from_join(
     df: DataFrame, src: DataFrame, key: str, changes: Mapping[str, str], keep_unmatched: bool = False
 ) -> DataFrame:
     """Set columns from ``src`` (one row per key). Unmatched rows get NULL, or stay as they are."""
-    renamed = src.select(F.col(key).alias("_key"), *[F.col(s).alias(f"_{c}") for c, s in changes.items()])
+    renamed = _once(src, key).select(F.col(key).alias("_key"), *[F.col(s).alias(f"_{c}") for c, s in changes.items()])
     joined = df.join(renamed, df[key] == renamed["_key"], "left")
     hit = F.col("_key").isNotNull()
     cols = []
@@ -84,7 +92,8 @@ def replace_into(df: DataFrame, rows: DataFrame, unique: str, key: str) -> DataF
 
 def upsert_rename_duplicate(df: DataFrame, src: DataFrame, key: str, name: str, suffix: str = "[OLD]") -> DataFrame:
     """Copy rows of ``src`` in; where its key is taken, the existing row stays and its name gets the suffix."""
-    incoming = src.select(F.col(key).alias("_key"), F.col(name).alias("_name"))
+    plain = src.select(F.col(key).alias("_key"), F.col(name).alias("_name"))
+    incoming = _once(plain, "_key").unionByName(plain.filter(F.col("_key").isNull()))
     both = df.join(incoming, df[key] == incoming["_key"], "full_outer")
     clash = F.col(key).isNotNull() & F.col("_key").isNotNull()
     return both.select(
@@ -106,8 +115,8 @@ def view_insert_through(
     ``checks`` names conditions every row must meet (such as: only digits where an id is meant).
     """
     for what, cond in (checks or {}).items():
-        if not rows.filter(~_holds(cond)).isEmpty():
-            raise ValueError(what)
+        # part of the plan: a row that breaks a condition ends the job that would insert it
+        rows = rows.filter(F.when(_holds(cond), True).otherwise(F.raise_error(F.lit(what)).cast("boolean")))
     plain = rows.select(
         *[inverse.get(c, F.col(c)).cast(base.schema[c].dataType).alias(c) for c in base.columns],
     )
@@ -120,11 +129,10 @@ def view_update_through(base: DataFrame, edited: DataFrame, inverse: Mapping[str
     Expressions in ``inverse`` may use ``old`` (the base row) and ``new`` (the edited row). An edited row
     whose key the base does not know means the key itself was changed, which is refused.
     """
-    if not edited.join(base, key, "left_anti").isEmpty():
-        raise ValueError(f"changing {key} through the view is not allowed")
+    refused = F.raise_error(F.lit(f"changing {key} through the view is not allowed")).cast("boolean")
     old = base.select(F.col(key), F.struct(*base.columns).alias("old"))
-    new = edited.select(F.col(key), F.struct(*edited.columns).alias("new"))
-    joined = old.join(new, key, "left")
+    new = _once(edited, key).unionByName(edited.filter(F.col(key).isNull())).select(F.col(key), F.struct(*edited.columns).alias("new"))
+    joined = old.join(new, key, "full_outer").filter(F.when(F.col("old").isNotNull(), True).otherwise(refused))
     hit = F.col("new").isNotNull()
     return joined.select(
         *[

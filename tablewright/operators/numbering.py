@@ -1,8 +1,5 @@
 """Order inside groups, and over a whole table, without one big partition.
 
-``running_sum`` and ``adjacent`` work on groups. Groups of ordinary size are handled by a window; only
-groups above ``HOT_ROWS`` rows, found by a count first, take the way over slices described next.
-
 ``ordered_slices`` range-partitions rows over all shuffle partitions and writes them with the
 number of their slice. Rows of one hot group spread over many slices when the order goes on
 after the group columns. Running sums and neighbours are then computed inside each slice, and
@@ -21,7 +18,6 @@ from pyspark.sql import functions as F
 from tablewright.sources.scratch import write_scratch
 
 SLICE = "_slice"
-HOT_ROWS = 1_000_000
 
 
 def ordered_slices(df: DataFrame, by: Sequence[str], slices: int | None = None) -> DataFrame:
@@ -115,49 +111,17 @@ def with_adjacent(
     return joined.withColumns(added).drop("_near", "_edge", "_at")
 
 
-def _split_hot(df: DataFrame, group: Sequence[str], hot_rows: int) -> tuple[DataFrame, DataFrame | None]:
-    """Rows of ordinary groups, and rows of groups above ``hot_rows`` (None if there is no such group)."""
-    large = df.groupBy(*group).agg(F.count("*").alias("_rows")).filter(F.col("_rows") > hot_rows)
-    if large.isEmpty():
-        return df, None
-    names = [f"_h{i}" for i in range(len(group))]
-    hot = write_scratch(large.select(*[F.col(g).alias(h) for g, h in zip(group, names)]), "hot")
-    match = _same_group(df, hot, group, names)
-    return df.join(hot, match, "left_anti"), df.join(hot, match, "left_semi")
-
+def running_sum(df: DataFrame, group: Sequence[str], order: Sequence[str], value: Column, out: str) -> DataFrame:
+    """Add the sum of ``value`` over the earlier rows of the group. ``order`` must be unique inside a group.
 
-def running_sum(
-    df: DataFrame, group: Sequence[str], order: Sequence[str], value: Column, out: str, hot_rows: int = HOT_ROWS
-) -> DataFrame:
-    """Add the sum of ``value`` over the earlier rows of the group. ``order`` must be unique inside a group."""
-    cold, hot = _split_hot(df, group, hot_rows)
-    before = Window.partitionBy(*group).orderBy(*[F.col(c).asc_nulls_first() for c in order]).rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    done = cold.withColumn(out, F.coalesce(F.sum(value.cast("bigint")).over(before), F.lit(0)))
-    if hot is None:
-        return done
-    sliced = with_running_sum(ordered_slices(hot, [*group, *order]), group, order, value, out)
-    return done.unionByName(sliced.drop(SLICE))
+    Groups of every size go through the slices, so there is no size at which another plan sets in.
+    """
+    return with_running_sum(ordered_slices(df, [*group, *order]), group, order, value, out).drop(SLICE)
 
 
-def adjacent(
-    df: DataFrame,
-    group: Sequence[str],
-    order: Sequence[str],
-    take: dict[str, str],
-    step: int = -1,
-    hot_rows: int = HOT_ROWS,
-) -> DataFrame:
-    """Add columns of the previous or next row of the group, as ``with_adjacent`` does."""
-    cold, hot = _split_hot(df, group, hot_rows)
-    inside = Window.partitionBy(*group).orderBy(*[F.col(c).asc_nulls_first() for c in order])
-    shift = F.lag if step < 0 else F.lead
-    done = cold.withColumns({name: shift(source).over(inside) for source, name in take.items()})
-    if hot is None:
-        return done
-    sliced = with_adjacent(ordered_slices(hot, [*group, *order]), group, order, take, step)
-    return done.unionByName(sliced.drop(SLICE))
+def adjacent(df: DataFrame, group: Sequence[str], order: Sequence[str], take: dict[str, str], step: int = -1) -> DataFrame:
+    """Add columns of the previous or next row of the group, as ``with_adjacent`` does, whatever the group's size."""
+    return with_adjacent(ordered_slices(df, [*group, *order]), group, order, take, step).drop(SLICE)
 
 
 def explode_range(df: DataFrame, lo: str, hi: str, out: str, chunk: int = 65_536) -> DataFrame:

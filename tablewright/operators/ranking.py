@@ -47,8 +47,8 @@ def row_number_first_per_key(df: DataFrame, key: str, order: Sequence[str]) -> D
 def rank_over_grouped_dates(df: DataFrame, key: str, date: str, id_col: str) -> DataFrame:
     """Per key, the row with the smallest id of the earliest date: group by date, rank, join back."""
     per_date = df.groupBy(key, date).agg(F.min(id_col).alias("_id"))
-    earliest = per_date.groupBy(key).agg(F.min(date).alias(date))
-    ids = per_date.join(earliest, [key, date]).select("_id")
+    # a rank puts NULL dates first, and so does the order of structs
+    ids = per_date.groupBy(key).agg(F.min_by("_id", F.struct(date, "_id")).alias("_id"))
     return df.join(ids, df[id_col] == ids["_id"], "left_semi")
 
 
@@ -101,14 +101,18 @@ def min_rows_all_ties(df: DataFrame, col: str, pred: Column | None = None) -> Da
 def first_row_per_key_joins(df: DataFrame, key: str, date: str, id_col: str) -> DataFrame:
     """Per key, earliest date, then smallest id of that date, then the row itself: joins only."""
     earliest = df.groupBy(key).agg(F.min(date).alias(date))
+    # joins on the earliest date, so rows without a date never come first here
     ids = df.join(earliest, [key, date]).groupBy(key).agg(F.min(id_col).alias(id_col))
     return df.join(ids, [key, id_col]).select(*df.columns)
 
 
-def first_visit_list(df: DataFrame, key: str, date: str, name: str, sep: str = ", ", out: str = "names") -> DataFrame:
-    """Names of everything a person took on the first date, as ordered lists."""
+def first_visit_list(
+    df: DataFrame, key: str, date: str, item: str, names: DataFrame, name: str, out: str = "name"
+) -> DataFrame:
+    """Names of everything a person took on the first date, as ordered lists. Only rows of that date look up a name."""
     first = df.groupBy(key).agg(F.min(date).alias(date))
-    return ordered_list(df.join(first, [key, date]), [key], name, sep, out)
+    taken = df.join(first, [key, date]).select(key, item)
+    return ordered_list(taken.join(names.select(item, name), item), [key], name, out)
 
 
 def extreme_of_extreme(df: DataFrame, a: str, b: str, owners: DataFrame, item: str, owner: str) -> DataFrame:

@@ -9,45 +9,54 @@ from tablewright.operators.numbering import ordered_slices, with_row_index
 from tablewright.sources.scratch import write_scratch
 
 
+def _paths(rows: DataFrame) -> DataFrame:
+    """Each node with its path of ordinals from the root: pointer doubling, so depth d takes about log2(d) rounds.
+
+    ``up`` is the ancestor a node's path reaches to, NULL once that is the root. In a round every open node takes over the path and
+    the pointer of its ancestor. A parent that no row has makes an orphan, and so all below it; what is still open
+    after enough rounds for any depth leads into a cycle.
+    """
+    state = write_scratch(rows.withColumn("path", F.array("ordinal")).withColumn("fault", F.lit(None).cast("string")).withColumnRenamed("parent", "up"), "tree")
+    nodes, rounds = state.count(), 0
+    while 2**rounds <= 2 * nodes and not state.filter("up is not null").isEmpty():
+        above = state.select(F.col("node").alias("up"), F.col("up").alias("_up"), F.col("path").alias("_path"), F.col("fault").alias("_fault"), F.lit(True).alias("_there"))
+        joined = state.filter("up is not null").join(above, "up", "left")
+        stepped = joined.select(
+            "node", F.when(F.col("_there"), F.col("_up")).alias("up"), "ordinal", "name", "count",
+            F.concat(F.coalesce("_path", F.array().cast(state.schema["path"].dataType)), "path").alias("path"),
+            F.when(F.col("_there"), F.col("_fault")).otherwise(F.lit("orphan")).alias("fault"),
+        )
+        state = write_scratch(state.filter("up is null").select(*stepped.columns).unionByName(stepped), "tree")
+        rounds += 1
+    return state.withColumn("fault", F.when(F.col("up").isNotNull(), "cycle").otherwise(F.col("fault"))).drop("up")
+
+
 def tree_flatten(
     edges: DataFrame, node: str, parent: str, ordinal: str, name: str, count: str, indent: str = "--"
 ) -> DataFrame:
     """Nodes in pre-order: (position, depth, path, label).
 
-    Nodes are told apart by ``node``; displayed ids may repeat. Each level joins the last one to its
-    children and is written before the next starts, so lineage does not grow with depth and there is
-    no depth limit. The job ends at the first empty level; a cycle is never reached from a root.
+    Nodes are told apart by ``node``, which must not repeat (an error when the plan runs); displayed ids may. Nodes that no root
+    reaches come without position, depth and path, their label says why: orphan (some ancestor's parent is missing) or cycle.
     """
-    # every level reads the edges again, so they are written once
-    rows = write_scratch(
-        edges.select(
-            F.col(node).alias("node"), F.col(parent).alias("parent"),
-            F.col(ordinal).cast("bigint").alias("ordinal"), F.col(name).alias("name"), F.col(count).alias("count"),
-        ),
-        "edges",
-    )
-    level = write_scratch(
-        rows.filter(F.col("parent").isNull()).select(
-            "node", "name", "count", F.lit(0).alias("depth"), F.array("ordinal").alias("path")
-        ),
-        "level",
+    named = edges.select(
+        F.col(node).alias("node"), F.col(parent).alias("parent"), F.col(ordinal).cast("bigint").alias("ordinal"),
+        F.col(name).alias("name"), F.col(count).alias("count"),
     )
-    levels = level
-    while not level.isEmpty():
-        above = level.select(F.col("node").alias("parent"), "depth", "path")
-        level = write_scratch(
-            rows.join(above, "parent").select(
-                "node", "name", "count", (F.col("depth") + 1).alias("depth"),
-                F.concat("path", F.array("ordinal")).alias("path"),
-            ),
-            "level",
-        )
-        levels = levels.unionByName(level)
-    placed = with_row_index(ordered_slices(levels, ["path", "node"]), [], ["path", "node"], "position")
+    twice = F.raise_error(F.concat(F.lit("node repeats: "), F.col("node").cast("string"))).cast("boolean")
+    single = named.groupBy("node").agg(F.count("*").alias("_n"), F.any_value(F.struct("parent", "ordinal", "name", "count")).alias("_row"))
+    rows = single.filter(F.when(F.col("_n") == 1, True).otherwise(twice)).select("node", "_row.*")
+    found = _paths(rows)
+    reached = found.filter("fault is null").select("node", "name", "count", (F.size("path") - 1).alias("depth"), "path")
+    placed = with_row_index(ordered_slices(reached, ["path", "node"]), [], ["path", "node"], "position")
     blank = F.when(F.col("depth") > 0, " ").otherwise("")
-    label = F.concat(
-        F.repeat(F.lit(indent), F.col("depth")), blank, F.col("name"), F.lit(" ("), F.col("count").cast("string"), F.lit(")")
+    told = F.concat(F.col("name"), F.lit(" ("), F.col("count").cast("string"), F.lit(")"))
+    shown = placed.select(
+        "position", "depth", F.array_join(F.col("path").cast("array<string>"), "/").alias("path"),
+        F.concat(F.repeat(F.lit(indent), F.col("depth")), blank, told).alias("label"),
     )
-    return placed.select(
-        "position", "depth", F.array_join(F.col("path").cast("array<string>"), "/").alias("path"), label.alias("label")
+    lost = found.filter("fault is not null").select(
+        F.lit(None).cast("bigint").alias("position"), F.lit(None).cast("int").alias("depth"), F.lit(None).cast("string").alias("path"),
+        F.concat(told, F.lit(" ["), "fault", F.lit("]")).alias("label"),
     )
+    return shown.unionByName(lost)

@@ -4,7 +4,6 @@ from pyspark.sql import functions as F
 
 from tablewright.operators import aggregates as ag
 from tablewright.operators import lists as ls
-from tablewright.operators.lists import PART
 from tablewright.plans.joining import LINKS, LOANS
 from tablewright.plans.registry import query
 from tablewright.sources.trial import AS_OF
@@ -217,30 +216,28 @@ WITH {LINKS}
 SELECT a_id, count(DISTINCT g_id) AS items FROM ba JOIN bg ON ba.b_id = bg.b_id GROUP BY a_id HAVING count(DISTINCT g_id) > 1
 """)
 def distinct_pairs_count(t):
-    return ag.distinct_pairs_count(t.book_authors.join(t.book_genres, "b_id"), "a_id", "g_id", 1)
+    return ag.distinct_pairs_count(t.book_authors, t.book_genres, "a_id", "b_id", "g_id", 1)
 
 
-def list_sql(source: str, keys: str, name: str, sep: str, out: str) -> str:
-    """SQL of an ordered list cut into parts: names numbered per group, then joined per part."""
-    return f"""
-SELECT {keys}, CAST((rn - 1) // {PART} + 1 AS BIGINT) AS list_no, string_agg({name}, '{sep}' ORDER BY rn) AS {out}
-FROM (SELECT {keys}, {name}, row_number() OVER (PARTITION BY {keys} ORDER BY {name}) AS rn FROM {source})
-GROUP BY ALL"""
+def list_sql(source: str, keys: str, name: str, out: str = "name") -> str:
+    """SQL of an ordered list: names numbered per group."""
+    return f"SELECT {keys}, row_number() OVER (PARTITION BY {keys} ORDER BY {name}) AS pos, {name} AS {out} FROM {source}"
 
 
 @query(f"""
 WITH {LINKS}, x AS (SELECT b_id, s_name FROM ba JOIN supplier ON a_id = s_suppkey)
-{list_sql('x', 'b_id', 's_name', ', ', 'names')}
+{list_sql('x', 'b_id', 's_name')}
 """)
 def concat_ordered(t):
     return ls.concat_ordered(t.book_authors.join(t.authors, "a_id"), ["b_id"], "a_name")
 
 
 @query(f"""
-WITH {LINKS}, x AS (SELECT DISTINCT b_id, s_name FROM ba JOIN supplier ON a_id = s_suppkey),
- y AS (SELECT DISTINCT b_id, n_name FROM bg JOIN nation ON g_id = n_nationkey)
-SELECT * FROM ({list_sql('x', 'b_id', 's_name', ', ', 'authors')})
-FULL JOIN ({list_sql('y', 'b_id', 'n_name', ', ', 'genres')}) USING (b_id, list_no)
+WITH {LINKS}, pairs AS (SELECT DISTINCT ba.b_id, s_name, n_name FROM ba JOIN bg ON ba.b_id = bg.b_id
+  JOIN supplier ON a_id = s_suppkey JOIN nation ON g_id = n_nationkey),
+ named AS (SELECT DISTINCT b_id, 'authors' AS list, s_name AS name FROM pairs
+   UNION ALL SELECT DISTINCT b_id, 'genres', n_name FROM pairs)
+{list_sql('named', 'b_id, list', 'name')}
 """)
 def concat_distinct_two(t):
     return ag.concat_distinct_two(
@@ -249,9 +246,23 @@ def concat_distinct_two(t):
     )
 
 
+@query(f"""
+WITH {LINKS}, pairs AS (SELECT a_id, p_name, n_name FROM ba JOIN part ON ba.b_id = p_partkey
+  JOIN bg ON ba.b_id = bg.b_id JOIN nation ON g_id = n_nationkey),
+ named AS (SELECT DISTINCT a_id, 'books' AS list, p_name AS name FROM pairs
+   UNION ALL SELECT DISTINCT a_id, 'genres', n_name FROM pairs)
+{list_sql('named', 'a_id, list', 'name')}
+""")
+def concat_distinct_two_by_author(t):
+    """Authors with their books and the genres of those books."""
+    books = t.book_authors.join(t.books, "b_id")
+    genres = t.book_authors.join(t.book_genres, "b_id").select("a_id", "g_id").distinct().join(t.genres, "g_id")
+    return ag.concat_distinct_two(books, genres, ["a_id"], ("b_name", "books"), ("g_name", "genres"))
+
+
 @query(f"""
 WITH {LINKS}, x AS (SELECT DISTINCT b_id, n_name FROM bg JOIN nation ON g_id = n_nationkey)
-{list_sql('x', 'b_id', 'n_name', ',', 'names')}
+{list_sql('x', 'b_id', 'n_name')}
 """)
 def concat_default_separator(t):
     return ls.concat_default_separator(t.book_genres.join(t.genres, "g_id"), ["b_id"], "g_name")

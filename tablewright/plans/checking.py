@@ -109,10 +109,25 @@ def status_flow_audit(t):
     return ct.status_flow_audit(t.events, "user_id", ["ts", "event_id"], "event_type", ALLOWED)
 
 
-@query(r"""
-WITH l AS (SELECT page_id, regexp_extract_all(html, '<a(?:\s[^>]*)?>') AS tags FROM pages),
- x AS (SELECT page_id, unnest(tags) AS tag, CAST(generate_subscripts(tags, 1) - 1 AS INTEGER) AS position FROM l)
-SELECT page_id, position, regexp_extract(tag, '\shref="([^"]*)"', 1) AS value FROM x WHERE regexp_matches(tag, '\shref="')
+# another way than the library's: comments and scripts cut out, the rest split at every tag, names and values at the quotes
+TAGS = r"""
+pieces AS (SELECT page_id, list_filter(string_split(regexp_replace(html, '(?s)<!--.*?-->|<script>.*?</script>|<style>.*?</style>', '', 'g'), '<'),
+    lambda p: regexp_matches(p, '^TAG[ >]')) AS tags FROM pages),
+each AS (SELECT page_id, split_part(unnest(tags), '>', 1) AS tag, CAST(generate_subscripts(tags, 1) - 1 AS INTEGER) AS position FROM pieces)"""
+
+
+@query(f"""
+WITH {TAGS.replace('TAG', 'a')}
+SELECT page_id, position, split_part(split_part(tag, ' href="', 2), '"', 1) AS value FROM each WHERE contains(tag, ' href="')
 """)
 def html_attr_extract(t):
     return ct.html_attr_extract(t.pages, "html", "a", "href", ["page_id"])
+
+
+@query(f"""
+WITH {TAGS.replace('TAG', 'html')}
+SELECT page_id, position, split_part(split_part(tag, ' lang="', 2), '"', 1) AS value FROM each WHERE contains(tag, ' lang="en"')
+""")
+def html_attr_extract_match(t):
+    """The form that narrows to tags with a given attribute value: here the language of English pages."""
+    return ct.html_attr_extract(t.pages, "html", "html", "lang", ["page_id"], match=("lang", "en"))

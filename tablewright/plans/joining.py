@@ -154,9 +154,9 @@ def anti_join_conditional_count(t):
     )
 
 
-@query("SELECT CAST(1 AS BIGINT) AS empty_key WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = 1)")
+@query("SELECT CAST(-1 AS BIGINT) AS empty_key WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = -1)")
 def not_exists_guard(t):
-    return jn.not_exists_guard(t.lineitem, "l_orderkey", 1)
+    return jn.not_exists_guard(t.lineitem, "l_orderkey", -1)
 
 
 @query("""
@@ -184,21 +184,14 @@ def self_join_pairs(t):
     return jn.self_join_pairs(t.part, "p_partkey", ["p_brand", "p_size"])
 
 
-@query("""
-SELECT c_custkey, min(p_partkey) AS first_key, max(p_partkey) AS last_key, count(*) AS pairs
-FROM customer, part GROUP BY c_custkey
-""")
-def cross_join_all_pairs(t):
-    return jn.cross_join_all_pairs(t.customer, t.part, "c_custkey", "p_partkey")
-
-
 @query(f"""
 WITH {LOANS},
  shelf AS (SELECT p_partkey, row_number() OVER (ORDER BY p_partkey) - 1 AS pos FROM part WHERE p_size <= 25),
  free AS (SELECT c_custkey, pos FROM customer, shelf
           EXCEPT SELECT person, pos FROM loans JOIN shelf ON book = p_partkey),
  runs AS (SELECT c_custkey, pos, pos - row_number() OVER (PARTITION BY c_custkey ORDER BY pos) AS run FROM free)
-SELECT c_custkey, min(pos) AS from_pos, max(pos) AS to_pos, count(*) AS pairs FROM runs GROUP BY c_custkey, run
+SELECT c_custkey, min(p_partkey) AS from_key, max(p_partkey) AS to_key, count(*) AS pairs
+FROM runs JOIN shelf USING (pos) GROUP BY c_custkey, run
 """)
 def cross_anti_pairs(t):
     used = t.loans.select(F.col("person").alias("c_custkey"), F.col("book").alias("p_partkey"))

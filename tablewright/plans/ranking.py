@@ -131,11 +131,11 @@ def first_row_per_key_joins(t):
 @query(f"""
 WITH {LOANS}, x AS (SELECT person, p_name FROM loans JOIN part ON book = p_partkey
   WHERE (person, start) IN (SELECT person, min(start) FROM loans GROUP BY person))
-{list_sql('x', 'person', 'p_name', ', ', 'names')}
+{list_sql('x', 'person', 'p_name')}
 """)
 def first_visit_list(t):
-    named = t.loans.select("person", "start", F.col("book").alias("b_id")).join(t.books, "b_id")
-    return rk.first_visit_list(named, "person", "start", "b_name")
+    taken = t.loans.select("person", "start", F.col("book").alias("b_id"))
+    return rk.first_visit_list(taken, "person", "start", "b_id", t.books, "b_name")
 
 
 @query("""

@@ -7,7 +7,6 @@ from tablewright.functions.text import NAME_PATTERN, fn_check_name as check_name
 from tablewright.operators import aggregates as ag
 from tablewright.operators import keys as ky
 from tablewright.operators import scalar_views as sv
-from tablewright.operators.lists import PART
 from tablewright.plans.joining import LOANS
 from tablewright.plans.registry import query
 from tablewright.sources import snapshots
@@ -158,8 +157,8 @@ def tf_free_key_ranges(t):
 
 
 @query(f"""
-WITH {FREE}, n AS (SELECT free_key, row_number() OVER (ORDER BY free_key) AS rn FROM free)
-SELECT CAST((rn - 1) // {PART} + 1 AS BIGINT) AS list_no, string_agg(free_key, ',' ORDER BY rn) AS keys FROM n GROUP BY 1
+WITH {FREE}
+SELECT row_number() OVER (ORDER BY free_key) AS pos, free_key FROM free
 """)
 def fn_free_keys_list(t):
     return ky.fn_free_keys_list(_shifted_keys(t), "k")

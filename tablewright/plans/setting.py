@@ -5,12 +5,12 @@ from pyspark.sql import functions as F
 from tablewright.operators import sets as st
 from tablewright.plans.registry import query
 
-KINDS = ("PROMO", "ECONOMY", "SMALL")
+KINDS = ("PROMO", "ECONOMY", "SMALL", "STANDARD", "MEDIUM", "LARGE")
 
 
 @query("""
 SELECT DISTINCT p_partkey, p_retailprice FROM lineitem JOIN part ON l_partkey = p_partkey
-WHERE l_suppkey = 2 AND p_type IN ('PROMO', 'ECONOMY', 'SMALL')
+WHERE l_suppkey = 2
 """)
 def union_distinct(t):
     sold = t.lineitem.filter(F.col("l_suppkey") == 2).select(F.col("l_partkey").alias("p_partkey"))
@@ -18,17 +18,14 @@ def union_distinct(t):
 
 
 @query("""
-SELECT DISTINCT p_partkey FROM part WHERE p_type IN ('PROMO', 'ECONOMY', 'SMALL')
-  AND p_size = (SELECT max(p_size) FROM part WHERE p_type IN ('PROMO', 'ECONOMY', 'SMALL'))
+SELECT p_partkey FROM part WHERE p_size = (SELECT max(p_size) FROM part)
 """)
 def union_max_all(t):
     return st.union_max_all([t.kind(k) for k in KINDS], "p_partkey", "p_size").select("p_partkey")
 
 
 @query("""
-SELECT p_name, p_size FROM part WHERE p_type = 'PROMO'
-UNION ALL SELECT p_name, p_size FROM part WHERE p_type = 'ECONOMY'
-UNION ALL SELECT p_name, p_size FROM part WHERE p_type = 'SMALL'
+SELECT p_name, p_size FROM part
 """)
 def union_all(t):
     return st.union_all([t.kind(k).select("p_name", "p_size") for k in KINDS])

@@ -8,7 +8,7 @@ from tablewright.operators import ranking as rk
 from tablewright.plans.aggregation import TOTALS
 from tablewright.plans.ranking import FIRST_ORDERS
 from tablewright.plans.registry import query
-from tablewright.sources import contacts, nested_json, snapshots
+from tablewright.sources import nested_json, snapshots
 from tablewright.sources.scratch import scratch_path
 from tablewright.sources.trial import TABLES
 
@@ -37,6 +37,17 @@ def scan_nested_json(t):
     )
 
 
+@query("SELECT event_id, user_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k, false AS corrupt FROM events")
+def scan_nested_json_files(t):
+    """Events written as JSON, one record per line, and read by the file reader."""
+    path = scratch_path(t.spark, "events-json")
+    inner = StructType([StructField("k", LongType())])
+    t.events.select("event_id", "user_id", F.from_json("props", inner).alias("props")).write.json(path)
+    schema = StructType([StructField("event_id", LongType()), StructField("user_id", LongType()), StructField("props", inner)])
+    read = nested_json.scan_nested_json(t.spark, path, schema, one_document=False)
+    return read.select("event_id", "user_id", "props.k", F.col(nested_json.CORRUPT).isNotNull().alias("corrupt"))
+
+
 @query(TOTALS)
 def write_snapshot(t):
     return snapshots.write_snapshot(_totals(t), STATS, scratch_path(t.spark, "stats"))
@@ -82,44 +93,3 @@ def schema_bound_view(t):
 @query(" UNION ALL ".join(f"SELECT '{n}' AS table_name, count(*) AS rows_count FROM {n}" for n in TABLES))
 def table_row_counts(t):
     return snapshots.table_row_counts({name: t.table(name) for name in TABLES})
-
-
-@query("""
-SELECT l_returnflag, 'rewrite' AS decision, count(*) AS rows, true AS fewer_files FROM lineitem GROUP BY l_returnflag
-""")
-def compact_dataset(t):
-    # a copy in many files, then compaction of that copy: the given tables are read-only
-    copy, out = scratch_path(t.spark, "many"), scratch_path(t.spark, "compacted")
-    many = 4 * int(t.spark.conf.get("spark.sql.shuffle.partitions"))
-    t.lineitem.repartition(many).write.parquet(copy)
-    stats = snapshots.small_file_stats(t.spark, copy, 1).first()
-    typical = stats["bytes"] // stats["files"]
-    decision = snapshots.compact_dataset(
-        t.spark, copy, out, small_bytes=2 * typical, target_bytes=8 * typical
-    )
-    before, after = (snapshots.small_file_stats(t.spark, p, 1).select("files").scalar() for p in (copy, out))
-    return (
-        t.spark.read.parquet(out).groupBy("l_returnflag").agg(F.count("*").alias("rows"))
-        .select("l_returnflag", F.lit(decision).alias("decision"), "rows", (after < before).alias("fewer_files"))
-    )
-
-
-def _text_sql(field: str, alphabet: str, length: int) -> str:
-    digest = f"md5('1|{field}|' || c_custkey)"
-    letters = [
-        f"substr('{alphabet}', CAST(('0x' || substr({digest}, {2 * i + 1}, 2)) AS INTEGER) % {len(alphabet)} + 1, 1)"
-        for i in range(length)
-    ]
-    return " || ".join(letters)
-
-
-@query(f"""
-SELECT c_custkey, {_text_sql('first', contacts.LETTERS, 6)} AS first_name,
-  {_text_sql('middle', contacts.LETTERS, 8)} AS middle_name, {_text_sql('last', contacts.LETTERS, 10)} AS last_name,
-  {_text_sql('mail', contacts.MAIL_LETTERS, 10)} || '{contacts.MAIL_DOMAIN}' AS mail,
-  '{contacts.PHONE_PREFIX}' || {_text_sql('mobile', contacts.DIGITS, 9)} AS mobile,
-  'Group ' || (CAST(('0x' || substr(md5('1|group|' || c_custkey), 1, 2)) AS INTEGER) % {contacts.GROUPS} + 1) AS "group"
-FROM customer
-""")
-def synth_contacts(t):
-    return contacts.synth_contacts(t.customer, "c_custkey", seed=1)

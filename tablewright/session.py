@@ -6,7 +6,10 @@ from pyspark.sql import SparkSession
 
 
 def prepare(spark: SparkSession) -> None:
-    """Runtime settings the jobs count on: split hot join keys even where that costs another shuffle."""
+    """Runtime settings the jobs count on: split hot join keys even where that costs another shuffle.
+
+    `build_session` has them; on a session of your own call this once, as the registered queries do.
+    """
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
     spark.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
@@ -24,6 +27,7 @@ def build_session(
         .config("spark.sql.ansi.enabled", "true")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        .config("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")

@@ -49,16 +49,16 @@ def write_snapshot(df: DataFrame, schema: StructType, path: str) -> DataFrame:
     spark = df.sparkSession
     if latest_version(spark, path) is not None:
         raise FileExistsError(f"snapshot {path} exists")
-    cast_to(df, schema).write.mode("overwrite").parquet(f"{path}/{_VERSION}1")
+    cast_to(df, schema).write.mode("errorifexists").parquet(f"{path}/{_VERSION}1")
     return read_snapshot(spark, path)
 
 
 def reload_snapshot(df: DataFrame, path: str) -> DataFrame:
-    """Replace the whole content. ``df`` may itself read the current version."""
+    """Replace the whole content. ``df`` may itself read the current version. Of two reloads at once the later one fails."""
     spark = df.sparkSession
     schema = read_snapshot(spark, path).schema
     version = latest_version(spark, path) + 1
-    cast_to(df, schema).write.mode("overwrite").parquet(f"{path}/{_VERSION}{version}")
+    cast_to(df, schema).write.mode("errorifexists").parquet(f"{path}/{_VERSION}{version}")
     return read_snapshot(spark, path)
 
 
@@ -108,11 +108,10 @@ def table_row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def small_file_stats(spark: SparkSession, path: str, small_bytes: int) -> DataFrame:
-    """One row: number of files, of small files, and their bytes. Only file metadata columns are read."""
+    """One row: number of files, of small files, and their bytes. Files are listed, none is opened."""
     files = (
-        spark.read.parquet(path)
-        .select("_metadata.file_path", "_metadata.file_size")
-        .groupBy("file_path").agg(F.max("file_size").alias("size"))
+        spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true").load(path)
+        .select(F.col("length").alias("size"))
     )
     small = F.col("size") < small_bytes
     return files.agg(
@@ -132,7 +131,7 @@ def compact_dataset(
     lo: float = 5.0,
     hi: float = 30.0,
 ) -> str:
-    """Decide by the share of small files and write the result to ``out``.
+    """Decide by the share of small files and write the result to ``out``, unless the dataset is left as it is.
 
     Below ``lo`` percent the dataset is left alone; up to ``hi`` only the rows of small files are
     merged, the others pass through without a shuffle; above that everything is rewritten. Returns

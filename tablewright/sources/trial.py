@@ -15,25 +15,23 @@ TABLES = (
 
 AS_OF = "2001-06-01"
 
-# schema per table folder, so that footers are sampled once and not by every query
-_schemas: dict[str, StructType] = {}
-
-
 class Trial:
     """Lazily read tables of one data folder."""
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder.rstrip("/")
+        # footers are sampled once per table and object
+        self._schemas: dict[str, StructType] = {}
 
     def path(self, name: str) -> str:
         return f"{self.folder}/{name}.parquet"
 
     def table(self, name: str) -> DataFrame:
         path = self.path(name)
-        if path not in _schemas:
-            _schemas[path] = self.spark.read.parquet(path).schema
-        return self.spark.read.schema(_schemas[path]).parquet(path)
+        if path not in self._schemas:
+            self._schemas[path] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(self._schemas[path]).parquet(path)
 
     def __getattr__(self, name: str) -> DataFrame:
         if name in TABLES:

@@ -71,7 +71,7 @@ def test_cross_anti_pairs_brute_force(spark, rows):
     a, b = ids(spark, [1, 2, 3], "a"), ids(spark, [10, 20, 30, 40], "b")
     used = spark.createDataFrame([(1, 10), (1, 10), (1, 30), (2, 40), (2, 99)], "a bigint, b bigint")
     done = jn.cross_anti_pairs(a, b, used, "a", "b")
-    assert rows(done) == [(1, 1, 1, 1), (1, 3, 3, 1), (2, 0, 2, 3), (3, 0, 3, 4)]
+    assert rows(done) == [(1, 20, 20, 1), (1, 40, 40, 1), (2, 10, 30, 3), (3, 10, 40, 4)]
 
 
 def test_cross_join_with_an_empty_side(spark, rows):
@@ -179,11 +179,11 @@ def test_update_from_join_both_modes(spark, rows):
 def test_view_edits_are_guarded(spark):
     base = spark.createDataFrame([(1, 5)], "id bigint, person bigint")
     edited = spark.createDataFrame([(2, "7")], "id bigint, person string")
-    with pytest.raises(ValueError):
-        md.view_update_through(base, edited, {"person": F.col("new.person")}, "id")
-    with pytest.raises(ValueError):
+    with pytest.raises(Exception, match="not allowed"):
+        md.view_update_through(base, edited, {"person": F.col("new.person")}, "id").collect()
+    with pytest.raises(Exception, match="digits"):
         typed = spark.createDataFrame([(None, "Bob")], "id bigint, person string")
-        md.view_insert_through(base, typed, {}, "id", ["person"], {"digits": ~F.col("person").rlike("[^0-9]")})
+        md.view_insert_through(base, typed, {}, "id", ["person"], {"digits": ~F.col("person").rlike("[^0-9]")}).collect()
 
 
 def test_char_classes(spark, rows):
@@ -260,6 +260,53 @@ def test_html_values(spark, rows):
     assert rows(named) == [(1, 0, "41")]
 
 
+def test_html_as_people_write_it(spark, rows):
+    html = (
+        "<a href='x'><A HREF=\"y\"><a title=\"a>b\" href=\"w\"><!-- <a href=\"no\"> --><a href=z><a title='href=\"t\"'>"
+        "<script>s = '<a href=\"no\">'</script><abbr href=\"no\"><a\nhref = \"n\" href=\"second\">"
+    )
+    df = spark.createDataFrame([(1, html), (2, None), (3, "")], "id bigint, html string")
+    found = ct.html_attr_extract(df, "html", "a", "href", ["id"])
+    assert rows(found, "id", "position", "value") == [(1, 0, "x"), (1, 1, "y"), (1, 2, "w"), (1, 3, "z"), (1, 5, "n")]
+    long = "<a " + "x=\"1\" " * 20_000 + 'href="end">'
+    assert rows(ct.html_attr_extract(spark.createDataFrame([(1, long)], "id bigint, html string"), "html", "a", "href", ["id"])) == [(1, 0, "end")]
+
+
+def test_two_lists_of_groups_that_both_have(spark, rows):
+    one = spark.createDataFrame([(1, "b"), (1, "a"), (1, "a"), (2, "c"), (None, "d")], "k bigint, x string")
+    two = spark.createDataFrame([(1, "g"), (3, "h"), (None, "i")], "k bigint, y string")
+    done = ag.concat_distinct_two(one, two, ["k"], ("x", "xs"), ("y", "ys"))
+    assert rows(done, "k", "list", "pos", "name") == [
+        (None, "xs", 1, "d"), (None, "ys", 1, "i"), (1, "xs", 1, "a"), (1, "xs", 2, "b"), (1, "ys", 1, "g")
+    ]
+
+
+def test_first_dates_that_are_null(spark, rows):
+    df = spark.createDataFrame([(1, 10, None), (1, 11, "2020-01-01"), (2, 20, None), (3, 30, "2020-01-02"), (3, 31, "2020-01-01")], "k bigint, id bigint, d string")
+    ranked = rk.rank_over_grouped_dates(df, "k", "d", "id")
+    assert rows(ranked, "k", "id") == [(1, 10), (2, 20), (3, 31)]
+    assert rows(ranked, "k", "id") == rows(rk.row_number_first_per_key(df, "k", ["d", "id"]), "k", "id")
+
+
+@pytest.mark.parametrize("job", ["update", "upsert", "view"])
+def test_repeated_keys_are_refused(spark, job):
+    base = spark.createDataFrame([(1, "a"), (2, "b")], "id bigint, name string")
+    twice = spark.createDataFrame([(1, "x"), (1, "y")], "id bigint, name string")
+    done = {
+        "update": lambda: md.update_from_join(base, twice, "id", {"name": "name"}),
+        "upsert": lambda: md.upsert_rename_duplicate(base, twice, "id", "name"),
+        "view": lambda: md.view_update_through(base, twice, {"name": F.col("new.name")}, "id"),
+    }[job]()
+    with pytest.raises(Exception, match="repeats"):
+        done.collect()
+
+
+def test_distinct_parts_by_bitmap(spark, rows):
+    owners = spark.createDataFrame([(1, 1), (1, 2), (2, 2), (3, 9)], "o bigint, i bigint")
+    parts = spark.createDataFrame([(1, 5), (1, 40_000), (2, 5), (2, 7), (2, 100_000)], "i bigint, p bigint")
+    assert rows(ag.distinct_pairs_count(owners, parts, "o", "i", "p", 1)) == [(1, 4), (2, 3)]
+
+
 def test_limit_counts_earlier_accepted_rows(spark, rows):
     stored = spark.createDataFrame([(1, "Y")] * 9 + [(2, "Y")] * 10, "person bigint, state string")
     batch = spark.createDataFrame(

@@ -107,3 +107,21 @@ def test_deep_tree_with_a_hot_parent(spark):
     walk(0, 0)
     done = tree_flatten(df, "n", "p", "o", "name", "c").orderBy("position").collect()
     assert [(r.label.lstrip("- ").split(" ")[0], r.depth) for r in done] == order
+
+
+def test_tree_faults_are_told(spark, rows):
+    edges = [(1, None, 1, "root", 1), (2, 1, 1, "kid", 1), (3, 99, 1, "lost", 1), (4, 3, 1, "below", 1), (5, 6, 1, "c1", 1), (6, 5, 1, "c2", 1), (7, 6, 1, "c3", 1)]
+    df = spark.createDataFrame(edges, "n bigint, p bigint, o bigint, name string, c bigint")
+    done = tree_flatten(df, "n", "p", "o", "name", "c")
+    assert rows(done, "label") == sorted(
+        [("root (1)",), ("-- kid (1)",), ("lost (1) [orphan]",), ("below (1) [orphan]",), ("c1 (1) [cycle]",), ("c2 (1) [cycle]",), ("c3 (1) [cycle]",)]
+    )
+    again = spark.createDataFrame([*edges, (2, 1, 2, "twin", 1)], df.schema)
+    with pytest.raises(Exception, match="node repeats"):
+        tree_flatten(again, "n", "p", "o", "name", "c").collect()
+
+
+def test_chain_of_a_thousand_nodes(spark):
+    df = spark.range(1000).selectExpr("id AS n", "CASE WHEN id > 0 THEN id - 1 END AS p", "id AS o", "'x' AS name", "1L AS c")
+    done = tree_flatten(df, "n", "p", "o", "name", "c").orderBy("position")
+    assert [r.depth for r in done.select("depth").collect()] == list(range(1000))

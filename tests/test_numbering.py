@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tablewright.operators import keys as ky
-from tablewright.operators.lists import ordered_list
+from tablewright.operators.lists import joined_text, ordered_list
 from tablewright.operators.numbering import (
     SLICE, adjacent, explode_range, ordered_slices, running_sum, with_adjacent, with_row_index, with_running_sum,
 )
@@ -64,9 +64,7 @@ def test_neighbours(spark, skewed, rows, step):
     assert rows(done, "i", "near", "near_i") == sorted(want, key=lambda r: r[0])
 
 
-@pytest.mark.parametrize("hot_rows", [0, 100, 10**6])
-def test_hot_groups_apart(spark, skewed, rows, hot_rows):
-    """All groups hot, one hot, none hot: the same answer."""
+def test_one_group_holds_most_rows(spark, skewed, rows):
     df = frame(spark, skewed)
     sums, near = [], []
     for members in by_group(skewed).values():
@@ -75,8 +73,8 @@ def test_hot_groups_apart(spark, skewed, rows, hot_rows):
             sums.append((i, total))
             near.append((i, before))
             total, before = total + v, v
-    assert rows(running_sum(df, ["g"], ["i"], F.col("v"), "before", hot_rows), "i", "before") == sorted(sums)
-    assert rows(adjacent(df, ["g"], ["i"], {"v": "prev"}, hot_rows=hot_rows), "i", "prev") == sorted(near, key=lambda r: r[0])
+    assert rows(running_sum(df, ["g"], ["i"], F.col("v"), "before"), "i", "before") == sorted(sums)
+    assert rows(adjacent(df, ["g"], ["i"], {"v": "prev"}), "i", "prev") == sorted(near, key=lambda r: r[0])
 
 
 def test_global_order(spark, rows):
@@ -98,19 +96,26 @@ def test_explode_range_in_chunks(spark, rows):
 
 
 @pytest.mark.parametrize("distinct", [False, True])
-@pytest.mark.parametrize("part", [1000, 3])
-def test_lists_whole_and_in_parts(spark, rows, distinct, part):
+def test_lists_one_row_per_name(spark, rows, distinct):
     pick = random.Random(11)
     data = [("hot", pick.choice("abcdefgh")) for _ in range(60)] + [("x", "b"), ("x", "a"), ("x", "b"), ("y", None)]
     df = spark.createDataFrame(data, "k string, name string")
-    done = ordered_list(df, ["k"], "name", ", ", distinct=distinct, part=part)
+    done = ordered_list(df, ["k"], "name", distinct=distinct)
     want = []
     for key in ("hot", "x"):
         names = sorted(n for k, n in data if k == key)
         names = sorted(set(names)) if distinct else names
-        for no, at in enumerate(range(0, len(names), part), 1):
-            want.append((key, no, ", ".join(names[at:at + part])))
-    assert rows(done, "k", "list_no", "names") == sorted(want)
+        want += [(key, pos, name) for pos, name in enumerate(names, 1)]
+    assert rows(done, "k", "pos", "name") == sorted(want)
+    if distinct:
+        assert rows(joined_text(done, ["k"])) == [("hot", ", ".join("abcdefgh")), ("x", "a, b")]
+
+
+def test_planning_a_list_runs_no_job_on_sizes(spark):
+    """One group of all rows takes the same way as many small ones."""
+    df = spark.range(5000).selectExpr("1 AS k", "id % 700 AS name")
+    done = ordered_list(df, ["k"], "name")
+    assert done.count() == 5000 and done.agg({"pos": "max"}).first()[0] == 5000
 
 
 def key_frame(spark, keys):
@@ -120,8 +125,7 @@ def key_frame(spark, keys):
 def test_worked_example_free_keys(spark, rows):
     df = key_frame(spark, [1, 3, 8])
     assert rows(ky.tf_free_key_ranges(df, "id")) == [(2, 2), (4, 7)]
-    assert rows(ky.fn_free_keys_list(df, "id")) == [(1, "2,4,5,6,7")]
-    assert rows(ky.fn_free_keys_list(df, "id", part=2)) == [(1, "2,4"), (2, "5,6"), (3, "7")]
+    assert rows(ky.fn_free_keys_list(df, "id")) == [(1, 2), (2, 4), (3, 5), (4, 6), (5, 7)]
 
 
 def test_worked_example_compaction(spark, rows):
@@ -152,7 +156,7 @@ def test_compaction_follows_the_loop(spark, rows):
 
 
 def test_keys_below_one_are_refused(spark):
-    with pytest.raises(ValueError):
+    with pytest.raises(Exception, match="keys below 1"):
         ky.proc_compact_keys(key_frame(spark, [0, 2]), "id")
 
 
