@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tablewright.llm.common import groups_of, text_column
+from tablewright.llm.common import groups_of, sliced, text_column
 from tablewright.llm.merging import PairTable, merge_all
 
 #: Texts above CHUNK code points are cut; neighbours share OVERLAP code points.
@@ -126,7 +126,7 @@ def encode_long(texts: DataFrame, model: RankModel, chunk: int, overlap: int) ->
     def edges(batches):
         """Boundaries in the stretch a chunk shares with its predecessor (head) and with its successor (tail)."""
         encoder = Encoder(shared.value)
-        for batch in batches:
+        for batch in sliced(batches):
             head, tail = [], []
             for no, at, piece in zip(*(batch.column(c).to_pylist() for c in ("no", "at", "piece"))):
                 found = encoder.boundaries(piece)
@@ -167,7 +167,7 @@ def encode_long(texts: DataFrame, model: RankModel, chunk: int, overlap: int) ->
 
     def encode(batches):
         encoder = Encoder(shared.value)
-        for batch in batches:
+        for batch in sliced(batches):
             ids = list(encoder.encode(batch.column(2).to_pylist()))
             yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(ids, type=pa.binary())], names=["key", "no", "ids"])
 
@@ -189,7 +189,7 @@ def encode_texts(
 
     def run(batches):
         encoder = Encoder(shared.value)
-        for batch in batches:
+        for batch in sliced(batches):
             ids = list(encoder.encode(batch.column(1).to_pylist()))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, type=pa.binary())], names=["k", "ids"])
 
@@ -217,7 +217,7 @@ def digests(encoded: DataFrame, model: RankModel, key: str = "doc_id") -> DataFr
     kind = encoded.schema[key].dataType.simpleString()
 
     def run(batches):
-        for batch in batches:
+        for batch in sliced(batches):
             ids = batch.column(1).to_pylist()
             yield pa.RecordBatch.from_arrays(
                 [

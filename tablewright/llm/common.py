@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tablewright.sources.scratch import write_scratch
 
-__all__ = ["Bitmap", "bitmap_of", "groups_of", "mix64", "ship", "table", "text_column", "write_scratch"]
+__all__ = ["Bitmap", "bitmap_of", "groups_of", "mix64", "ship", "sliced", "table", "text_column", "write_scratch"]
 
 _shipped: set[str] = set()
 
@@ -92,6 +92,13 @@ def bitmap_of(keys: DataFrame, column: str, bits: int = BITMAP_BITS) -> Bitmap:
     return Bitmap(words, bits)
 
 
+def sliced(batches, rows: int = 1_024):
+    """Arrow batches in smaller ones, so that a task holds the texts of few rows as Python strings at a time."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def groups_of(items: Iterable, size_of, most: int) -> Iterable[list]:
     """Consecutive lists of items whose sizes add up to about ``most``; one large item makes a list of its own."""
     held, total = [], 0
