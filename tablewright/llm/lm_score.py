@@ -1,13 +1,14 @@
 """Language-model scores with stupid backoff, as joins of count tables.
 
-A word w after v scores c(vw) / c(v) where other texts have that pair, else ``backoff`` * c(w) / n. Counts are over the whole table less
-what the text itself contributes, so that no text is scored by itself. A text's score is the mean natural logarithm over its words; its
-first word follows a start symbol.
+A word w after v scores c(vw) / c(v) where other texts have that pair, else ``backoff`` * c(w) / n. Counts are over the whole table; what
+the text itself has of the pair is taken out of all three, so that no text is scored by its own pairs. A text's score is the mean
+natural logarithm over its words; its first word follows a start symbol.
 
 The vocabulary is closed: the ``vocabulary`` most frequent words of the whole table keep their name, all others are one symbol. So the word
-counts are a table of known size, which goes to every task, while the table of pair counts grows with the input and is partitioned by
-pair. Every text's pairs are exploded, joined with it and summed per text; Spark splits the partitions of frequent pairs in
-that join. Texts are told apart by 128 bits of hash: copies have the same pairs and so the same mean, however many there are.
+counts are a table of known size, which goes to every task, while the pair counts grow with the input and are partitioned by pair: one exchange
+brings the exploded pairs of all texts together by pair, where they are counted, scored and summed per text. Pairs of two of the
+``frequent`` most frequent words, which most texts have, would make hot partitions; they are counted on the map side, are few by
+their number of words, and are scored where the text is. A pair with a rarer word is at most as frequent as that. Texts are told apart by 128 bits of hash: copies have the same pairs and so the same mean, however many there are.
 
 Edge cases: NULL and empty texts have no words, n_words 0 and a NULL score; a text whose words no other text has is scored by
 backed-off counts of at least one; rows with a NULL doc_id are scored; repeated rows each give their row and count as other texts
@@ -18,14 +19,16 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tablewright.llm.common import groups_of, text_column
+from tablewright.llm.common import groups_of, text_column, write_scratch
 from tablewright.llm.decontam import word_hashes
 
 #: Stupid backoff's factor, and how many words keep their name.
 BACKOFF, VOCABULARY = 0.4, 65_534
+#: Words whose pairs with each other are counted on the map side.
+FREQUENT = 512
 #: Ids of the start of a text and of a word outside the vocabulary; named words follow.
 START, OTHER = 0, 1
 
@@ -34,7 +37,7 @@ class _Hashes(dict):
     def __missing__(self, word: bytes) -> int:
         import xxhash
 
-        if len(self) > 300_000:
+        if len(self) > 100_000:
             self.clear()
         value = self[word] = xxhash.xxh64_intdigest(word)
         return value
@@ -50,7 +53,7 @@ class _Ids(dict):
     def __missing__(self, word: bytes) -> int:
         import xxhash
 
-        if len(self) > 300_000:
+        if len(self) > 100_000:
             self.clear()
         value = self[word] = self.vocabulary.get(xxhash.xxh64_intdigest(word), OTHER)
         return value
@@ -69,41 +72,86 @@ def word_counts(texts: DataFrame) -> DataFrame:
     return texts.select("text").mapInArrow(run, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def text_pairs(texts: DataFrame, vocabulary: dict[int, int]) -> DataFrame:
-    """(a, b, text) to (a, b, pair, n, n_v, n_w): the pairs of each text, how often it has them and their two words."""
-    shared = texts.sparkSession.sparkContext.broadcast(vocabulary)
+def _group_pairs(ids: list[np.ndarray]):
+    """Distinct pairs of each text of a group: (text, v, w, n), sorted by text."""
+    sizes = np.array([len(x) for x in ids])
+    w = np.concatenate(ids)
+    if not len(w):
+        return None
+    of = np.repeat(np.arange(len(ids), dtype=np.int64), sizes)
+    v = np.concatenate(([START], w[:-1]))
+    v[(np.cumsum(sizes) - sizes)[sizes > 0]] = START
+    # one sortable number for (text, v, w): ids have 16 bits, and a group has far fewer than 2**31 texts
+    code, n = np.unique(of << 32 | v << 16 | w, return_counts=True)
+    return code >> 32, code >> 16 & 0xFFFF, code & 0xFFFF, n
+
+
+def frequent_pairs(texts: DataFrame, shared, frequent: int) -> dict[int, int]:
+    """Counts over the whole table of the pairs of two frequent words: at most (frequent + 2)**2 of them."""
 
     def run(batches):
-        known = _Ids(shared.value)
+        known, held = _Ids(shared.value), np.zeros((frequent + 2) ** 2, dtype=np.int64)
         for batch in batches:
-            keys = [batch.column(c).to_numpy() for c in ("a", "b")]
-            numbered = enumerate(batch.column("text").to_pylist())
-            for some in groups_of(numbered, lambda x: len(x[1]) // 4 + 1, 200_000):
-                ids = [word_hashes(t, known).astype(np.int64) for _, t in some]
-                sizes = np.array([len(x) for x in ids])
-                w = np.concatenate(ids)
-                if not len(w):
-                    continue
-                of = np.repeat(np.arange(len(some), dtype=np.int64), sizes)
-                v = np.concatenate(([START], w[:-1]))
-                v[(np.cumsum(sizes) - sizes)[sizes > 0]] = START
-                # one sortable number for (text, v, w): ids have 16 bits, a group of texts has far fewer than 2**31 rows
-                code, n = np.unique(of << 32 | v << 16 | w, return_counts=True)
-                single, times = np.unique(of << 16 | w, return_counts=True)
-                at, v, w = code >> 32, code >> 16 & 0xFFFF, code & 0xFFFF
+            for some in groups_of(batch.column(0).to_pylist(), lambda t: len(t) // 4 + 1, 200_000):
+                found = _group_pairs([word_hashes(t, known).astype(np.int64) for t in some])
+                if found is not None:
+                    _, v, w, n = found
+                    both = (v < frequent + 2) & (w < frequent + 2)
+                    np.add.at(held, v[both] * (frequent + 2) + w[both], n[both])
+        at = np.flatnonzero(held)
+        pair = at // (frequent + 2) << 16 | at % (frequent + 2)
+        yield pa.RecordBatch.from_arrays([pa.array(pair), pa.array(held[at])], names=["pair", "n"])
 
-                def own(x, at=at, single=single, times=times):
-                    place = np.minimum(np.searchsorted(single, at << 16 | x), len(single) - 1)
-                    return np.where(single[place] == (at << 16 | x), times[place], 1)
+    rows = texts.select("text").mapInArrow(run, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).collect()
+    return {r["pair"]: r["n"] for r in rows}
 
-                row = np.array([i for i, _ in some])[at]
-                columns = [keys[0][row], keys[1][row], code & 0xFFFFFFFF, n.astype(np.int32), own(v).astype(np.int32), own(w).astype(np.int32)]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["a", "b", "pair", "n", "n_v", "n_w"])
 
-    return texts.select("a", "b", "text").mapInArrow(run, "a long, b long, pair long, n int, n_v int, n_w int")
+def text_pairs(texts: DataFrame, shared, words: np.ndarray, pairs: dict[int, int], frequent: int, backoff: float, total: int) -> DataFrame:
+    """(a, b, text) to (a, b, pair, n, s).
 
+    For pairs whose count is still open, how often the text has them; for a text's pairs of frequent words, which need no
+    table beyond the bounded ones, one row with a negative ``pair``, their number and the sum of their logarithms.
+    """
+    context = texts.sparkSession.sparkContext
+    tables = context.broadcast((words, np.array(sorted(pairs), dtype=np.int64), np.array([pairs[p] for p in sorted(pairs)], dtype=np.int64)))
 
-def score_texts(docs: DataFrame, key: str = "doc_id", text: str = "text", backoff: float = BACKOFF, vocabulary: int = VOCABULARY) -> DataFrame:
+    def run(batches):
+        known = _Ids(shared.value)
+        c, codes, counts = tables.value
+        for batch in batches:
+            keys = [batch.column(k).to_numpy() for k in ("a", "b")]
+            for some in groups_of(enumerate(batch.column("text").to_pylist()), lambda x: len(x[1]) // 4 + 1, 200_000):
+                found = _group_pairs([word_hashes(t, known).astype(np.int64) for _, t in some])
+                if found is None:
+                    continue
+                at, v, w, n = found
+                row = np.array([i for i, _ in some])
+                both = (v < frequent + 2) & (w < frequent + 2)
+                hot = np.searchsorted(codes, v[both] << 16 | w[both])
+                known_sums = n[both] * log_score(counts[hot], c[v[both]], c[w[both]], n[both], backoff, total)
+                sums = np.bincount(at[both], weights=known_sums, minlength=len(some))
+                times = np.bincount(at[both], weights=n[both], minlength=len(some)).astype(np.int64)
+                own, cold = np.flatnonzero(times), ~both
+                out = np.concatenate((row[at[cold]], row[own]))
+                pair = np.concatenate((v[cold] << 16 | w[cold], -1 - (keys[0][row[own]] & 0xFFFFFFFF)))
+                s = pa.array(np.concatenate((np.zeros(cold.sum()), sums[own])), mask=np.concatenate((np.ones(cold.sum(), bool), np.zeros(len(own), bool))))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(keys[0][out]), pa.array(keys[1][out]), pa.array(pair), pa.array(np.concatenate((n[cold], times[own])).astype(np.int32)), s],
+                    names=["a", "b", "pair", "n", "s"],
+                )
+
+    return texts.select("a", "b", "text").mapInArrow(run, "a long, b long, pair long, n int, s double")
+
+
+def log_score(c_vw, c_v, c_w, n, backoff: float, total: int) -> np.ndarray:
+    """Logarithm of the score of a pair of which the text itself has ``n``; those are taken out of all its counts."""
+    with np.errstate(divide="ignore", invalid="ignore"):
+        return np.where(c_vw > n, np.log((c_vw - n) / (c_v - n)), np.log(backoff * np.maximum(c_w - n, 1) / total))
+
+
+def score_texts(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", backoff: float = BACKOFF, vocabulary: int = VOCABULARY, frequent: int = FREQUENT
+) -> DataFrame:
     """One row per row of ``docs``: key, n_words, score."""
     if vocabulary > VOCABULARY:
         raise ValueError(f"at most {VOCABULARY} words keep their name")
@@ -111,27 +159,29 @@ def score_texts(docs: DataFrame, key: str = "doc_id", text: str = "text", backof
     named = docs.select(F.col(key).alias("k"), text_column(text).alias("text"))
     # 128 bits: the second hash starts from the hash of a constant
     texts = named.withColumn("a", F.xxhash64("text")).withColumn("b", F.xxhash64(F.lit("text"), "text"))
-    counts = word_counts(texts)
+    counts = write_scratch(word_counts(texts), "word-counts")
     top = counts.orderBy(F.desc("n"), "word").limit(vocabulary).collect()
-    total = counts.agg(F.sum("n")).first()[0] or 0
+    total = max(1, counts.agg(F.sum("n")).first()[0] or 0)
     starts = texts.where(F.col("text").rlike(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]")).count()
-    ids = {r["word"] & (2**64 - 1): i + 2 for i, r in enumerate(top)}
-    sums = [(START, starts), (OTHER, total - sum(r["n"] for r in top)), *((i + 2, r["n"]) for i, r in enumerate(top))]
+    shared = spark.sparkContext.broadcast({r["word"] & (2**64 - 1): i + 2 for i, r in enumerate(top)})
+    sums = [starts, total - sum(r["n"] for r in top), *(r["n"] for r in top)]
     # at most VOCABULARY + 2 rows, so the broadcasts are bounded
-    words = F.broadcast(spark.createDataFrame(sums, "id int, c long"))
+    words = F.broadcast(spark.createDataFrame(list(enumerate(sums)), "id int, c long"))
 
-    pairs = text_pairs(texts, ids)
-    pair_counts = pairs.groupBy("pair").agg(F.sum("n").alias("c_vw"))
-    joined = pairs.join(pair_counts, "pair")
+    pairs = text_pairs(texts, shared, np.array(sums, dtype=np.int64), frequent_pairs(texts, shared, frequent), frequent, backoff, total)
+    # one exchange by pair brings the rows of a pair together, and its count with them
+    counted = pairs.withColumn("c_vw", F.sum("n").over(Window.partitionBy("pair")))
     v = words.select(F.col("id").alias("v"), F.col("c").alias("c_v"))
     w = words.select(F.col("id").alias("w"), F.col("c").alias("c_w"))
     joined = (
-        joined.withColumn("v", F.shiftright("pair", 16).cast("int")).withColumn("w", F.col("pair").bitwiseAND(F.lit(0xFFFF)).cast("int"))
+        counted.withColumn("v", F.when(F.col("s").isNull(), F.shiftright("pair", 16)).otherwise(0).cast("int"))
+        .withColumn("w", F.when(F.col("s").isNull(), F.col("pair").bitwiseAND(F.lit(0xFFFF))).otherwise(0).cast("int"))
         .join(v, "v").join(w, "w")
     )
-    seen = F.log((F.col("c_vw") - F.col("n")) / (F.col("c_v") - F.col("n_v")))
-    backed = F.log(F.lit(backoff) * F.greatest(F.col("c_w") - F.col("n_w"), F.lit(1)) / F.lit(float(max(1, total))))
-    each = joined.select("a", "b", "n", (F.col("n") * F.when(F.col("c_vw") > F.col("n"), seen).otherwise(backed)).alias("s"))
+    n = F.col("n")
+    seen = F.log((F.col("c_vw") - n) / (F.col("c_v") - n))
+    backed = F.log(F.lit(backoff) * F.greatest(F.col("c_w") - n, F.lit(1)) / F.lit(float(total)))
+    each = joined.select("a", "b", "n", F.when(F.col("s").isNotNull(), F.col("s")).when(F.col("c_vw") > n, n * seen).otherwise(n * backed).alias("s"))
     scores = each.groupBy("a", "b").agg((F.sum("s") / F.sum("n")).alias("score"))
     n_words = F.size(F.array_remove(F.split("text", r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"), "")).cast("long")
     return (
