@@ -22,8 +22,15 @@ _shipped: set[str] = set()
 BITMAP_BITS = 26
 
 
+#: Rows of an Arrow batch, where the session has Spark's own default.
+ARROW_ROWS = 2_048
+
+
 def ship(spark: SparkSession) -> None:
     """Give the Python workers this package, once per application (as `spark-submit --py-files` would)."""
+    # whole texts go to Python: fewer of them at a time keep a task's memory small
+    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
     context = spark.sparkContext
     if context.applicationId in _shipped:
         return

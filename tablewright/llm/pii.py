@@ -150,7 +150,7 @@ def _document_counts(docs: DataFrame, terms: DataFrame) -> DataFrame:
                 words = set(_TERM.findall(text.lower()))
                 new = [w for w in words if w not in known]
                 if new:
-                    if len(known) > 300_000:
+                    if len(known) > 100_000:
                         known.clear()
                         new = list(words)
                     codes = np.array([xxhash.xxh64_intdigest(w, 42) for w in new], dtype=np.uint64).view(np.int64)

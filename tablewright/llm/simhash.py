@@ -94,10 +94,6 @@ def block_masks(within: int, distance: int) -> list[int]:
     return [a | b for a, b in itertools.combinations(blocks, 2)]
 
 
-def _signed(mask: int) -> int:
-    return mask - (1 << 64) if mask >> 63 else mask
-
-
 def _bits(values: np.ndarray) -> np.ndarray:
     return np.bitwise_count(values)
 
@@ -175,6 +171,28 @@ def search_nodes(node: np.ndarray, codes: np.ndarray, distance: int) -> np.ndarr
     return root
 
 
+def _factored(level: DataFrame, distance: int) -> DataFrame:
+    """(tag, fp, mask) to (tag, fp, mask, pattern): each code in every node below its own, by the bits its node does not share yet."""
+    full = 2**64 - 1
+
+    def run(batches):
+        below: dict[int, np.ndarray] = {}
+        for batch in batches:
+            tag, fp, mask = (batch.column(c).to_numpy() for c in ("tag", "fp", "mask"))
+            for m in np.unique(mask).tolist():
+                if m not in below:
+                    bits = m & full
+                    below[m] = np.array([bits | b for b in block_masks(full & ~bits, distance)], dtype=np.uint64).view(np.int64)
+                at, masks = np.flatnonzero(mask == m), below[m]
+                codes = np.repeat(fp[at], len(masks))
+                lower = np.tile(masks, len(at))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(x) for x in (np.repeat(tag[at], len(masks)), codes, lower, codes & lower)], names=["tag", "fp", "mask", "pattern"]
+                )
+
+    return level.select("tag", "fp", "mask").mapInArrow(run, "tag int, fp long, mask long, pattern long")
+
+
 def _node_links(rows: DataFrame, distance: int) -> DataFrame:
     """Rows (tag, mask, pattern, fp, rank) of nodes that fit a task to links (tag, a, b)."""
     node = ("tag", "mask", "pattern")
@@ -211,17 +229,13 @@ def near_links(fps: DataFrame, distance: int = 2, node_rows: int = NODE_ROWS) ->
 
     Two fingerprints that near are connected by links, directly or through others that are as near to each other.
     """
+    if node_rows < 256:
+        raise ValueError("factoring ends at nodes of 256 patterns")
     node = ["tag", "mask", "pattern"]
     level = fps.select("tag", "fp").distinct().withColumn("mask", F.lit(0).cast("long"))
-    masks = {0: block_masks(2**64 - 1, distance)}
     found = None
     while True:
-        # factor every node of this level by the bits it does not share yet
-        upper = F.create_map(*[x for m, below in masks.items() for x in (F.lit(_signed(m)), F.array(*[F.lit(_signed(m | b)) for b in below]))])
-        rows = level.select("tag", "fp", F.explode(F.element_at(upper, F.col("mask"))).alias("mask")).withColumn(
-            "pattern", F.col("fp").bitwiseAND(F.col("mask"))
-        )
-        rows = write_scratch(rows, "simhash-nodes")
+        rows = write_scratch(_factored(level, distance), "simhash-nodes")
         sizes = rows.groupBy(*node).count()
         fit = rows.join(sizes.where(F.col("count").between(2, node_rows)).drop("count"), node, "left_semi")
         links = _node_links(fit.withColumn("rank", gray_rank("fp")), distance)
@@ -229,8 +243,8 @@ def near_links(fps: DataFrame, distance: int = 2, node_rows: int = NODE_ROWS) ->
         large = sizes.where(F.col("count") > node_rows).drop("count")
         if large.isEmpty():
             return found
-        masks = {m | b: block_masks((2**64 - 1) & ~(m | b), distance) for m, below in masks.items() for b in below}
-        level = rows.join(large, node, "left_semi").select("tag", "fp", "mask")
+        # two nodes may lead to one and the same node below
+        level = rows.join(large, node, "left_semi").select("tag", "fp", "mask").distinct()
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 3, distance: int = 2) -> DataFrame:

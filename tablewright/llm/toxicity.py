@@ -68,7 +68,7 @@ class Model:
 
     def features(self, text: str) -> list[int]:
         """Places of the model's features that occur in a text, ascending."""
-        if len(self.known) > 300_000:
+        if len(self.known) > 100_000:
             self.known.clear()
         found: set[int] = set()
         known = self.known
