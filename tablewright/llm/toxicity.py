@@ -81,6 +81,8 @@ class Model:
         return sorted(found)
 
     def score(self, text: str) -> float:
+        if self.bias == -np.inf:
+            return 0.0
         at = self.features(text)
         total = self.bias + (float(self.values[at].sum()) if at else 0.0)
         return float(1 / (1 + np.exp(-np.clip(total, -500, 500))))

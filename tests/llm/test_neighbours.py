@@ -46,7 +46,7 @@ def test_small_tables_are_exact(spark):
     pick = np.random.default_rng(1)
     rows = [(i, pick.normal(size=6).astype(np.float32).tolist()) for i in range(60)]
     rows += [(100 + i, rows[3][1]) for i in range(40)]  # copies: ties go to the smaller id
-    rows += [(200, None), (201, []), (202, [0.0] * 6), (203, [1.0, None, 1, 1, 1, 1]), (204, [float("nan")] * 6), (205, [float("inf")] * 6), (206, [1.0, 2.0]), (None, [1.0] * 6)]
+    rows += [(200, None), (201, []), (202, [0.0] * 6), (203, [1.0, None, 1.0, 1.0, 1.0, 1.0]), (204, [float("nan")] * 6), (205, [float("inf")] * 6), (206, [1.0, 2.0]), (None, [1.0] * 6)]
     s = nb.Settings(k=7)
     got = nb.nearest(frame(spark, rows), F.col("id") % 5 == 0, settings=s).collect()
     check(got, {q: [(i, pytest.approx(x, abs=1e-12)) for i, x in near] for q, near in brute(rows, 7).items()}, exact=False)

@@ -112,9 +112,9 @@ def test_patterns_like_plain_regular_expressions():
 
 def planted():
     """An address that always stands beside a rare surname, among texts that share everything else."""
-    rows = [(i, f"Write to Zorblatt at z@secret.org today, note {i} of all.") for i in range(1, 6)]
-    rows += [(10 + i, f"Nothing to write today, note {i} of all.") for i in range(60)]
-    return rows + [(90, "Call +1 (555) 555-1234 today."), (91, "today Zorblatt")]
+    rows = [(300 + i, f"Write to Zorblatt at z@secret.org today, note {i} of all.") for i in range(1, 6)]
+    rows += [(310 + i, f"Nothing to write today, note {i} of all.") for i in range(60)]
+    return rows + [(390, "Call +1 (555) 555-1234 today."), (391, "today Zorblatt")]
 
 
 def disclosed(rows, s=pii.Settings()):
@@ -145,7 +145,7 @@ def test_terms_that_give_an_entity_away(spark, docs):
         terms = {(a, 4 if want[e, w] >= 0.9 else 5, b) for e, w, a, b in near if (e, w) in want}
         assert [tuple(s) for s in r.spans] == sorted([*base, *terms])
     told = pii.report(pii.find_spans(docs(planted()))).collect()
-    assert all(r.n_email == (r.doc_id < 6) and r.n_phone == (r.doc_id == 90) for r in told)
+    assert all(r.n_email == (r.doc_id < 306) and r.n_phone == (r.doc_id == 390) for r in told)
     assert pii.report(pii.find_spans(docs([]).limit(0))).collect() == []
 
 
@@ -155,8 +155,8 @@ def test_covered_texts(spark, docs):
     out = pii.sanitise(source, length="n_chars")
     assert out.columns == source.columns and out.count() == len(rows)
     text = {r.doc_id: r for r in out.collect()}
-    assert "z@secret" not in text[1 + 1].text and "zorblatt" not in text[2].text.lower() and "[EMAIL]" in text[2].text
-    assert text[90].text == "Call [PHONE] today." and text[10 + 3].text == "Nothing to write today, note 3 of all."
+    assert "z@secret" not in text[302].text and "zorblatt" not in text[302].text.lower() and "[EMAIL]" in text[302].text
+    assert text[390].text == "Call [PHONE] today." and text[313].text == "Nothing to write today, note 3 of all."
     assert all(r.n_chars == len(r.text) for r in out.collect() if r.text is not None)
     assert pii.cover("abcdef", [(1, 0, 3), (2, 1, 5)]) == "a[EMAIL]f"
 
@@ -217,7 +217,7 @@ def test_benchmark_passages(spark, docs):
             a, b = words(item), words(t)
             if len(a) >= 5 and (share := tiles_by_hand(a, b, 5) / len(a)) >= 0.8:
                 want[i, k] = share
-    assert got == pytest.approx(want) and len(want) >= 18
+    assert got == pytest.approx(want) and len(want) >= 15
     source = docs(rows)
     kept = decontam.keep_clean(source, bench)
     assert kept.columns == source.columns
