@@ -12,6 +12,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tablewright.sources.scratch import write_scratch
+
 
 def signed_rows(feed: DataFrame) -> DataFrame:
     """-1 for each old row and +1 for each new row, with the row's columns."""
@@ -84,6 +86,8 @@ def inc_denormalised_copy(
         .unionByName(facts_after.join(renamed.select(person).distinct(), person, "left_semi").select(key))
         .distinct()
     )
+    # read twice below, so written once
+    touched = write_scratch(touched, "touched")
     rebuilt = readable(facts_after.join(touched, key, "left_semi"))
     return state.join(touched, key, "left_anti").select(*state.columns).unionByName(rebuilt.select(*state.columns))
 
@@ -103,6 +107,7 @@ def inc_last_visit(
         .filter(F.col(person).isNotNull())
         .distinct()
     )
+    touched = write_scratch(touched, "touched")
     again = loans_after.join(touched, person, "left_semi").groupBy(person).agg(F.max(start).alias("_again"))
     judged = touched.join(again, person, "left").withColumn("_touched", F.lit(True))
     joined = state.join(raised, person, "left").join(judged, person, "left")

@@ -8,9 +8,9 @@ from tablewright.operators import rules as rl
 from tablewright.plans.joining import LINKS, LOANS
 from tablewright.plans.registry import query
 from tablewright.plans.scalars import NAME_PATTERN_SQL, TITLES, titles
-from tablewright.sources.scratch import scratch_path
+from tablewright.sources.scratch import scratch_path, write_scratch
 from tablewright.sources.trial import AS_OF
-from tablewright.streaming import feeds
+from tablewright.streaming import feeds, keeping
 from tablewright.streaming import totals as st
 
 
@@ -34,7 +34,20 @@ def _base(t):
 
 
 def _after(t):
-    return ch.apply_changes(_base(t), t.order_feed, "o_orderkey")
+    """Orders after the feed, as a stored table."""
+    return write_scratch(ch.apply_changes(_base(t), t.order_feed, "o_orderkey"), "orders-after")
+
+
+def _feed_stream(t, feed):
+    """A change feed as a stream of three micro-batches: written in three files, taken one by one."""
+    path = scratch_path(t.spark, "feed")
+    feed.repartition(3).write.parquet(path)
+    return feeds.table_stream(t.spark, path, t.spark.read.parquet(path).schema, files_per_batch=1)
+
+
+def _kept(t, feed, states, step):
+    place = scratch_path(t.spark, "kept")
+    return keeping.keep(_feed_stream(t, feed), states, step, f"{place}/state", f"{place}/checkpoint")
 
 
 def _book_feed(t):
@@ -108,15 +121,35 @@ def inc_library_totals(t):
     )
 
 
+def _readable(people):
+    return lambda facts: facts.join(people, "o_custkey").select("o_orderkey", "person", "o_orderdate", "o_orderstatus")
+
+
+COPY_AFTER = f"""
+WITH {AFTER}
+SELECT o_orderkey, c_name AS person, o_orderdate, o_orderstatus FROM after JOIN customer ON o_custkey = c_custkey"""
+
+
+@query(COPY_AFTER)
+def stream_denormalised_copy(t):
+    """The readable copy kept over a stream of order changes; orders and copy are both states."""
+    people = t.customer.select(F.col("c_custkey").alias("o_custkey"), F.col("c_name").alias("person"))
+    nobody = people.filter(F.lit(False)).select("o_custkey")
+
+    def step(now, batch):
+        facts = write_scratch(ch.apply_changes(now["facts"], batch, "o_orderkey"), "facts")
+        return {"facts": facts, "copy": ch.inc_denormalised_copy(now["copy"], batch, facts, nobody, "o_orderkey", "o_custkey", _readable(people))}
+
+    return _kept(t, t.order_feed, {"facts": _base(t), "copy": _readable(people)(_base(t))}, step)["copy"]
+
+
 @query(f"""
 WITH {AFTER}
 SELECT o_orderkey, CASE c_mktsegment WHEN 'BUILDING' THEN upper(c_name) ELSE c_name END AS person, o_orderdate, o_orderstatus
 FROM after JOIN customer ON o_custkey = c_custkey
 """)
 def inc_denormalised_copy(t):
-    def readable(people):
-        return lambda facts: facts.join(people, "o_custkey").select("o_orderkey", "person", "o_orderdate", "o_orderstatus")
-
+    readable = _readable
     renamed = F.col("c_mktsegment") == "BUILDING"
     people = t.customer.select(F.col("c_custkey").alias("o_custkey"), F.col("c_name").alias("person"))
     people_after = t.customer.select(
@@ -130,62 +163,116 @@ def inc_denormalised_copy(t):
     )
 
 
-@query(f"""
+LAST_VISITS = f"""
 WITH {AFTER}
-SELECT c_custkey AS o_custkey, (SELECT max(o_orderdate) FROM after WHERE after.o_custkey = c_custkey) AS last_visit FROM customer
-""")
-def inc_last_visit(t):
+SELECT c_custkey AS o_custkey, (SELECT max(o_orderdate) FROM after WHERE after.o_custkey = c_custkey) AS last_visit FROM customer"""
+
+
+def _visits(t):
     people = t.customer.select(F.col("c_custkey").alias("o_custkey"))
-    visits = _base(t).groupBy("o_custkey").agg(F.max("o_orderdate").alias("last_visit"))
-    state = people.join(visits, "o_custkey", "left")
-    return ch.inc_last_visit(state, t.order_feed, _after(t), "o_custkey", "o_orderdate")
+    return people.join(_base(t).groupBy("o_custkey").agg(F.max("o_orderdate").alias("last_visit")), "o_custkey", "left")
 
 
-@query(f"""
+@query(LAST_VISITS)
+def inc_last_visit(t):
+    return ch.inc_last_visit(_visits(t), t.order_feed, _after(t), "o_custkey", "o_orderdate")
+
+
+@query(LAST_VISITS)
+def stream_last_visit(t):
+    def step(now, batch):
+        facts = write_scratch(ch.apply_changes(now["facts"], batch, "o_orderkey"), "facts")
+        return {"facts": facts, "visits": ch.inc_last_visit(now["visits"], batch, facts, "o_custkey", "o_orderdate")}
+
+    return _kept(t, t.order_feed, {"facts": _base(t), "visits": _visits(t)}, step)["visits"]
+
+
+RATIOS = f"""
 WITH {LOANS_AFTER}
 SELECT round(count(*) FILTER (WHERE active) / (SELECT count(*) FROM customer), 6) AS books_taken,
   round(CAST(sum(days) FILTER (WHERE NOT active) AS DOUBLE) / count(*) FILTER (WHERE NOT active), 6) AS days_to_read,
   round(count(*) FILTER (WHERE NOT active) / (SELECT count(*) FROM customer), 6) AS books_returned
-FROM loans_after
-""")
-def inc_averages(t):
-    loans = _flagged_loans(t)
-    arriving = F.col("c_mktsegment") == "BUILDING"
-    before = _loans_before(loans)
+FROM loans_after"""
+
+
+def _sums(loans, persons):
+    """The sums behind the ratios before the feed."""
     active = F.col("active")
-    persons = t.customer.filter(~arriving).agg(F.count("*")).scalar()
-    state = before.agg(
+    return _loans_before(loans).agg(
         F.count(F.when(active, 1)).alias("active"), F.count(F.when(~active, 1)).alias("inactive"),
         F.coalesce(F.sum(F.when(~active, F.datediff("finish", "start"))), F.lit(0)).alias("days"),
     ).withColumn("persons", persons)
+
+
+def _people_feed(people):
     nobody = F.lit(None).cast("struct<c_custkey:bigint>")
-    people_feed = t.customer.filter(arriving).select(
-        F.lit("insert").alias("op"), nobody.alias("old"), F.struct("c_custkey").alias("new")
-    )
-    after = ch.inc_averages(state, people_feed, _loan_feed(loans), active, "start", "finish")
-    ratios = ch.averages_of(after)
+    return people.select(F.lit("insert").alias("op"), nobody.alias("old"), F.struct("c_custkey").alias("new"))
+
+
+def _rounded(state):
+    ratios = ch.averages_of(state)
     return ratios.select(*[F.round(c, 6).alias(c) for c in ratios.columns])
 
 
-@query(f"""
+@query(RATIOS)
+def inc_averages(t):
+    loans = _flagged_loans(t)
+    arriving = F.col("c_mktsegment") == "BUILDING"
+    persons = t.customer.filter(~arriving).agg(F.count("*")).scalar()
+    feed = _people_feed(t.customer.filter(arriving))
+    return _rounded(ch.inc_averages(_sums(loans, persons), feed, _loan_feed(loans), F.col("active"), "start", "finish"))
+
+
+@query(RATIOS)
+def stream_averages(t):
+    """The same sums over a stream of loan changes, with all people there from the start."""
+    loans = _flagged_loans(t)
+    state = _sums(loans, t.customer.agg(F.count("*")).scalar())
+    nobody = _people_feed(t.customer.filter(F.lit(False)))
+
+    def step(now, batch):
+        return {"sums": ch.inc_averages(now["sums"], nobody, batch, F.col("active"), "start", "finish").select(*now["sums"].columns)}
+
+    return _rounded(_kept(t, _loan_feed(loans), {"sums": state}, step)["sums"])
+
+
+ACTIVE = f"""
 WITH {AFTER}
 SELECT c_custkey AS o_custkey, count(o_orderkey) AS books
-FROM customer LEFT JOIN after ON o_custkey = c_custkey AND o_orderstatus = 'O' GROUP BY c_custkey
-""")
-def inc_active_count(t):
-    active = F.col("o_orderstatus") == "O"
-    counts = _base(t).filter(active).groupBy("o_custkey").agg(F.count("*").alias("books"))
+FROM customer LEFT JOIN after ON o_custkey = c_custkey AND o_orderstatus = 'O' GROUP BY c_custkey"""
+
+
+def _active_counts(t):
+    counts = _base(t).filter(_open()).groupBy("o_custkey").agg(F.count("*").alias("books"))
     people = t.customer.select(F.col("c_custkey").alias("o_custkey"))
-    state = people.join(counts, "o_custkey", "left").select("o_custkey", F.coalesce("books", F.lit(0)).alias("books"))
-    return ch.inc_active_count(state, t.order_feed, "o_custkey", active)
+    return people.join(counts, "o_custkey", "left").select("o_custkey", F.coalesce("books", F.lit(0)).alias("books"))
 
 
-@query(f"""
+def _open():
+    return F.col("o_orderstatus") == "O"
+
+
+@query(ACTIVE)
+def inc_active_count(t):
+    return ch.inc_active_count(_active_counts(t), t.order_feed, "o_custkey", _open())
+
+
+@query(ACTIVE)
+def stream_active_count(t):
+    def step(now, batch):
+        return {"counts": ch.inc_active_count(now["counts"], batch, "o_custkey", _open())}
+
+    return _kept(t, t.order_feed, {"counts": _active_counts(t)}, step)["counts"]
+
+
+GENRES = f"""
 WITH {LINKS}
 SELECT n_nationkey AS g_id, count(p_partkey) AS books FROM nation LEFT JOIN bg ON g_id = n_nationkey
-LEFT JOIN part ON p_partkey = b_id AND p_type <> 'LARGE' GROUP BY n_nationkey
-""")
-def inc_genre_count(t):
+LEFT JOIN part ON p_partkey = b_id AND p_type <> 'LARGE' GROUP BY n_nationkey"""
+
+
+def _genre_parts(t):
+    """(state, arriving links, deleted books, all links): PROMO parts arrive, LARGE parts go away."""
     kinds = t.part.select(F.col("p_partkey").alias("b_id"), "p_type")
     links = t.book_genres.join(kinds, "b_id")
     before = links.filter(F.col("p_type") != "PROMO").groupBy("g_id").agg(F.count("*").alias("books"))
@@ -194,10 +281,32 @@ def inc_genre_count(t):
     arriving = links.filter(F.col("p_type") == "PROMO").select(
         F.lit("insert").alias("op"), nothing.alias("old"), F.struct("b_id", "g_id").alias("new")
     )
-    gone = kinds.filter(F.col("p_type") == "LARGE")
+    return state, arriving, kinds.filter(F.col("p_type") == "LARGE"), links
+
+
+@query(GENRES)
+def inc_genre_count(t):
+    state, arriving, gone, links = _genre_parts(t)
     return ch.inc_genre_count(state, arriving, gone, links, "g_id", "b_id")
 
 
+@query(GENRES)
+def stream_genre_count(t):
+    """Links that arrive and books that go away in one stream; the links are a state as well."""
+    state, arriving, gone, links = _genre_parts(t)
+    none = F.lit(None).cast("struct<b_id:bigint,g_id:int>")
+    deletes = gone.select(F.lit("drop").alias("op"), none.alias("old"), F.struct("b_id", F.lit(None).cast("int").alias("g_id")).alias("new"))
+    stored = links.filter(F.col("p_type") != "PROMO").select("b_id", "g_id")
+
+    def step(now, batch):
+        come = batch.filter(F.col("op") == "insert")
+        lost = batch.filter(F.col("op") == "drop").select("new.b_id")
+        after = write_scratch(now["links"].unionByName(come.select("new.b_id", "new.g_id")), "links")
+        return {"links": after, "counts": ch.inc_genre_count(now["counts"], come, lost, after, "g_id", "b_id")}
+
+    return _kept(t, arriving.unionByName(deletes), {"links": stored, "counts": state}, step)["counts"]
+
+
 def codes(flagged):
     """Broken rules as text."""
     return flagged.withColumn(rl.BROKEN, F.array_join(rl.BROKEN, ","))
