@@ -3,11 +3,13 @@
 A job that needs stable row positions writes its rows once to the shared folder named by
 ``spark.checkpoint.dir`` and reads them back, so a lost executor re-reads files and never
 renumbers rows. The folder is taken from the session; only a local session that names none
-gets a temporary one.
+gets a temporary one, anywhere else a missing setting is an error. `scratch_scope` drops what a job wrote in one call.
 """
 
 from __future__ import annotations
 
+import contextlib
+import contextvars
 import tempfile
 import uuid
 
@@ -32,8 +34,27 @@ def shared_dir(spark: SparkSession) -> str:
     return _local_dirs[context.applicationId]
 
 
+_scope: contextvars.ContextVar[str] = contextvars.ContextVar("scratch_scope", default="tablewright")
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_dir(spark)}/tablewright/{label}-{uuid.uuid4().hex}"
+    return f"{shared_dir(spark)}/{_scope.get()}/{label}-{uuid.uuid4().hex}"
+
+
+@contextlib.contextmanager
+def scratch_scope(spark: SparkSession):
+    """Scratch tables written inside lie in a folder of their own, which is dropped at the end.
+
+    Results must be written or collected before the scope ends, as they may read those tables.
+    """
+    name = f"tablewright/run-{uuid.uuid4().hex}"
+    token = _scope.set(name)
+    try:
+        yield f"{shared_dir(spark)}/{name}"
+    finally:
+        _scope.reset(token)
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/{name}")
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def write_scratch(df: DataFrame, label: str) -> DataFrame:

@@ -1,6 +1,7 @@
 """State after each random batch equals full recomputation; rules and corrections on a feed."""
 
 import datetime as dtm
+import os
 import random
 
 import pytest
@@ -8,6 +9,8 @@ from pyspark.sql import functions as F
 
 from tablewright.operators import changes as ch
 from tablewright.operators import rules as rl
+from tablewright.sources import scratch
+from tablewright.streaming import feeds, keeping
 
 LOAN = "struct<id:bigint,person:bigint,book:bigint,start:date,finish:date,active:boolean>"
 FEED = f"seq bigint, op string, old {LOAN}, new {LOAN}"
@@ -194,3 +197,30 @@ def test_reactivation_and_age(spark, rows):
     years = spark.createDataFrame([(1920,), (1919,)], "y int")
     flagged = rl.rule_year_window(years, F.col("y"), F.lit("2020-05-05").cast("date"))
     assert rows(rl.split(flagged)[1], "y") == [(1919,)]
+
+
+def test_replayed_batches_change_nothing(spark, rows, tmp_path):
+    """The same stream from a new checkpoint: every batch writes the state it wrote before."""
+    row = "struct<id:bigint,v:bigint>"
+    feed = spark.createDataFrame(
+        [("insert", None, (i, i)) for i in range(20)] + [("update", (100, 1), (100, 5)), ("delete", (101, 1), None)], f"op string, old {row}, new {row}"
+    )
+    feed.repartition(4).write.parquet(str(tmp_path / "feed"))
+    base = spark.createDataFrame([(100, 1), (101, 1)], "id bigint, v bigint")
+
+    def step(now, batch):
+        return {"rows": ch.apply_changes(now["rows"], batch, "id")}
+
+    found = []
+    for checkpoint in ("one", "one", "two"):
+        stream = feeds.table_stream(spark, str(tmp_path / "feed"), feed.schema, files_per_batch=1)
+        kept = keeping.keep(stream, {"rows": base}, step, str(tmp_path / "state"), str(tmp_path / checkpoint))
+        found.append(rows(kept["rows"]))
+    assert found[0] == found[1] == found[2] == [*((i, i) for i in range(20)), (100, 5)]
+
+
+def test_scratch_of_a_scope_is_dropped(spark):
+    with scratch.scratch_scope(spark) as folder:
+        table = scratch.write_scratch(spark.range(5), "t")
+        assert table.count() == 5 and table.inputFiles()[0].removeprefix("file://").startswith(folder.removeprefix("file:"))
+    assert not os.path.exists(folder.removeprefix("file:"))
