@@ -8,6 +8,7 @@ import json
 import os
 import statistics
 import sys
+import tempfile
 import time
 
 from tablewright import build_session
@@ -33,7 +34,7 @@ def main() -> None:
     runs = int(os.environ.get("BENCH_RUNS", "1"))
     wanted = os.environ.get("BENCH_KEYS", "")
     keys = list(REGISTRY) if wanted == "all" else [k for k in wanted.split(",") if k] or list(HEADLINE)
-    spark = build_session("bench", f"local[{cpus}]", int(cpus), {"spark.driver.memory": "12g"})
+    spark = build_session("bench", f"local[{cpus}]", int(cpus), {"spark.driver.memory": "12g", "spark.checkpoint.dir": tempfile.mkdtemp(prefix="bench-")})
     spark.sparkContext.setLogLevel("ERROR")
 
     def once(key: str) -> float:

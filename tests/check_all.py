@@ -1,6 +1,7 @@
 """Run queries against their SQL from the command line: python -m tests.check_all [folder] [key ...]"""
 
 import sys
+import tempfile
 import time
 
 from tablewright import build_session
@@ -9,7 +10,7 @@ from tests.oracle import compare, connect
 
 
 def main(folder: str, keys: list[str]) -> int:
-    spark = build_session(master="local[8]", shuffle_partitions=8, extra={"spark.driver.memory": "8g"})
+    spark = build_session(master="local[8]", shuffle_partitions=8, extra={"spark.driver.memory": "8g", "spark.checkpoint.dir": tempfile.mkdtemp(prefix="check-")})
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(folder)
     bad = 0

@@ -1,3 +1,5 @@
+import tempfile
+
 import pytest
 
 from tablewright import build_session
@@ -6,7 +8,7 @@ from tablewright.session import prepare
 
 @pytest.fixture(scope="session")
 def spark():
-    session = build_session("tests", "local[8]", 4, {"spark.driver.memory": "4g"})
+    session = build_session("tests", "local[8]", 4, {"spark.driver.memory": "4g", "spark.checkpoint.dir": tempfile.mkdtemp(prefix="tests-")})
     session.sparkContext.setLogLevel("ERROR")
     prepare(session)
     yield session
