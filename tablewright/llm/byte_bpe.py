@@ -106,14 +106,24 @@ def common_start(mine: list[int], theirs: list[int]) -> int | None:
 
 
 def chunk_rows(texts: DataFrame, chunk: int, overlap: int) -> DataFrame:
-    """(key, text) to one row per chunk: key, no, n_chunks, at (start), piece (the chunk with what it reads on)."""
-    n = F.ceil(F.length("text") / F.lit(chunk)).cast("int")
-    return (
-        texts.withColumn("n_chunks", F.greatest(n, F.lit(1)))
-        .withColumn("no", F.explode(F.sequence(F.lit(0), F.col("n_chunks") - 1)))
-        .withColumn("at", F.col("no") * chunk)
-        .select("key", "n_chunks", "no", "at", F.substring("text", F.col("at") + 1, F.lit(chunk + overlap)).alias("piece"))
-    )
+    """(key, text) to one row per chunk: key, no, at (start), piece (the chunk with what it reads on). A text is gone through once."""
+
+    def run(batches):
+        for batch in sliced(batches, 16):
+            for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                starts = range(0, max(1, len(text)), chunk)
+                for some in groups_of(enumerate(starts), lambda _: 1, 64):
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array([key] * len(some), type=pa.string()),
+                            pa.array([no for no, _ in some], type=pa.int32()),
+                            pa.array([at for _, at in some], type=pa.int32()),
+                            pa.array([text[at:at + chunk + overlap] for _, at in some], type=pa.string()),
+                        ],
+                        names=["key", "no", "at", "piece"],
+                    )
+
+    return texts.select("key", "text").mapInArrow(run, "key string, no int, at int, piece string")
 
 
 def encode_long(texts: DataFrame, model: RankModel, chunk: int, overlap: int) -> DataFrame:
@@ -141,7 +151,7 @@ def encode_long(texts: DataFrame, model: RankModel, chunk: int, overlap: int) ->
 
     # a repartition spreads the chunks of one text over the executors
     pieces = chunk_rows(texts, chunk, overlap).repartition("key", "no")
-    known = pieces.mapInArrow(edges, "key string, n_chunks int, no int, at int, piece string, head array<int>, tail array<int>")
+    known = pieces.mapInArrow(edges, "key string, no int, at int, piece string, head array<int>, tail array<int>")
     in_order = Window.partitionBy("key").orderBy("no")
 
     def stitch(tails, heads):
