@@ -31,11 +31,6 @@ def consonants(text: Column) -> Column:
     return _letters_of(text, CONSONANTS)
 
 
-def is_palindrome(word: Column) -> Column:
-    lowered = F.lower(word)
-    return lowered == F.reverse(lowered)
-
-
 def changed_message(before: Column, after: Column) -> Column:
     return F.concat(
         F.lit("Value ["), before.cast("string"), F.lit("] was automatically changed to ["),
