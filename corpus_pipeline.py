@@ -50,7 +50,7 @@ def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     _ready(spark)
     model = byte_bpe.RankModel.from_file(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
-    return byte_bpe.digests(byte_bpe.encode_texts(docs, model), model)
+    return byte_bpe.encoding_digests(docs, model)
 
 
 STAGES = [

@@ -189,25 +189,56 @@ def encode_long(texts: DataFrame, model: RankModel, chunk: int, overlap: int) ->
     )
 
 
-def encode_texts(
-    docs: DataFrame, model: RankModel, key: str = "doc_id", text: str = "text", chunk: int = CHUNK, overlap: int = OVERLAP
-) -> DataFrame:
-    """One row per row of ``docs``: key, ids (binary, little-endian unsigned 32-bit each)."""
+def _as_ids(column, ids: list[bytes], _model) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([column, pa.array(ids, type=pa.binary())], names=["k", "ids"])
+
+
+def _as_digests(column, ids: list[bytes], model: RankModel) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [
+            column,
+            pa.array([len(raw) // 4 for raw in ids], type=pa.int64()),
+            pa.array([hashlib.sha256(raw).hexdigest() for raw in ids], type=pa.string()),
+            pa.array([hashlib.sha256(decode(raw, model)).hexdigest() for raw in ids], type=pa.string()),
+        ],
+        names=["k", "n_tokens", "ids_sha256", "decoded_sha256"],
+    )
+
+
+def _encoded(docs: DataFrame, model: RankModel, key: str, text: str, chunk: int, overlap: int, finish, columns: str) -> DataFrame:
+    """Encodings of all rows, finished where they are made: a task never has two Python stages, and so two sets of workers, at once."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     plain = docs.select(F.col(key).alias("k"), text_column(text).alias("text"))
-    kind = plain.schema["k"].dataType.simpleString()
+    schema = f"k {plain.schema['k'].dataType.simpleString()}, {columns}"
 
     def run(batches):
         encoder = Encoder(shared.value)
         for batch in sliced(batches):
-            ids = list(encoder.encode(batch.column(1).to_pylist()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, type=pa.binary())], names=["k", "ids"])
+            yield finish(batch.column(0), list(encoder.encode(batch.column(1).to_pylist())), shared.value)
 
-    short = plain.where(F.length("text") <= chunk).mapInArrow(run, f"k {kind}, ids binary")
+    def take(batches):
+        for batch in sliced(batches):
+            yield finish(batch.column(0), batch.column(1).to_pylist(), shared.value)
+
+    short = plain.where(F.length("text") <= chunk).mapInArrow(run, schema)
     long = plain.where(F.length("text") > chunk).withColumn("key", F.sha2("text", 256))
-    texts = long.groupBy("key").agg(F.any_value("text").alias("text"))
-    encoded = encode_long(texts, model, chunk, overlap)
-    return short.unionByName(long.select("k", "key").join(encoded, "key").select("k", "ids")).withColumnRenamed("k", key)
+    encoded = encode_long(long.groupBy("key").agg(F.any_value("text").alias("text")), model, chunk, overlap)
+    whole = long.select("k", "key").join(encoded, "key").select("k", "ids").mapInArrow(take, schema)
+    return short.unionByName(whole).withColumnRenamed("k", key)
+
+
+def encode_texts(
+    docs: DataFrame, model: RankModel, key: str = "doc_id", text: str = "text", chunk: int = CHUNK, overlap: int = OVERLAP
+) -> DataFrame:
+    """One row per row of ``docs``: key, ids (binary, little-endian unsigned 32-bit each)."""
+    return _encoded(docs, model, key, text, chunk, overlap, _as_ids, "ids binary")
+
+
+def encoding_digests(
+    docs: DataFrame, model: RankModel, key: str = "doc_id", text: str = "text", chunk: int = CHUNK, overlap: int = OVERLAP
+) -> DataFrame:
+    """The same encodings told by digest: key, n_tokens, ids_sha256, decoded_sha256 (of the bytes the ids decode to)."""
+    return _encoded(docs, model, key, text, chunk, overlap, _as_digests, "n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
 def decode_ids(encoded: DataFrame, model: RankModel, ids: str = "ids", into: str = "decoded") -> DataFrame:
@@ -219,24 +250,3 @@ def decode_ids(encoded: DataFrame, model: RankModel, ids: str = "ids", into: str
         return column.map(lambda raw: decode(raw, shared.value))
 
     return encoded.withColumn(into, joined(F.col(ids)))
-
-
-def digests(encoded: DataFrame, model: RankModel, key: str = "doc_id") -> DataFrame:
-    """(key, ids) to key, n_tokens, ids_sha256, decoded_sha256: encodings checked by digest, decoded again."""
-    shared = encoded.sparkSession.sparkContext.broadcast(model)
-    kind = encoded.schema[key].dataType.simpleString()
-
-    def run(batches):
-        for batch in sliced(batches):
-            ids = batch.column(1).to_pylist()
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0),
-                    pa.array([len(raw) // 4 for raw in ids], type=pa.int64()),
-                    pa.array([hashlib.sha256(raw).hexdigest() for raw in ids]),
-                    pa.array([hashlib.sha256(decode(raw, shared.value)).hexdigest() for raw in ids]),
-                ],
-                names=[key, "n_tokens", "ids_sha256", "decoded_sha256"],
-            )
-
-    return encoded.select(key, "ids").mapInArrow(run, f"`{key}` {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")

@@ -250,23 +250,30 @@ def sanitise(docs: DataFrame, text: str = "text", length: str | None = None, set
 
         return pd.Series(bitmap.value.holds(codes.to_numpy(dtype=np.int64)))
 
+    def one(t, extra):
+        spans = base_spans(t) + ([(s["start"], s["kind"], s["end"]) for s in extra] if extra is not None else [])
+        return cover(t, spans) if spans else t
+
     @F.pandas_udf("string")
     def covered(texts, more):
         import pandas as pd
 
-        def one(t, extra):
-            spans = base_spans(t) + ([(s["start"], s["kind"], s["end"]) for s in extra] if extra is not None else [])
-            return cover(t, spans) if spans else t
-
         return pd.Series([one(t, m) for t, m in zip(texts, more)])
 
-    keyed = docs.withColumn("__key", F.md5(text_column(text))).withColumn("__may", may_have(F.xxhash64("__key")))
-    none = F.lit(None).cast(terms.schema["terms"].dataType)
-    joined = keyed.where("__may").join(terms.withColumnRenamed("key", "__key"), "__key", "left").withColumnRenamed("terms", "__terms")
-    rest = keyed.where("not __may").withColumn("__terms", none)
-    out = rest.unionByName(joined.select(*rest.columns)).withColumn(
-        text, F.when(F.col(text).isNotNull(), covered(text_column(text), F.col("__terms")))
-    )
+    @F.pandas_udf("string")
+    def covered_alone(texts, codes):
+        """NULL for texts that the bitmap leaves to the join."""
+        import pandas as pd
+
+        held = bitmap.value.holds(codes.to_numpy(dtype=np.int64))
+        return pd.Series([None if h else one(t, None) for t, h in zip(texts, held)])
+
+    keyed = docs.withColumn("__key", F.md5(text_column(text)))
+    rest = keyed.withColumn("__new", covered_alone(text_column(text), F.xxhash64("__key"))).where(F.col("__new").isNotNull())
+    # written, so that no task has two Python stages, and so two sets of workers, at once
+    maybe = write_scratch(keyed.where(may_have(F.xxhash64("__key"))), "maybe-terms")
+    joined = maybe.join(terms.withColumnRenamed("key", "__key"), "__key", "left").withColumn("__new", covered(text_column(text), F.col("terms")))
+    out = rest.unionByName(joined.select(*rest.columns)).withColumn(text, F.when(F.col(text).isNotNull(), F.col("__new")))
     if length in docs.columns:
         kind = docs.schema[length].dataType
         out = out.withColumn(length, F.when(F.col(length).isNotNull(), F.length(F.col(text)).cast(kind)))

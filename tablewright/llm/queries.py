@@ -75,7 +75,7 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     model = byte_bpe.RankModel.from_file(tokenizer("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
-    return byte_bpe.digests(byte_bpe.encode_texts(table(spark, sf_dir, "documents"), model), model)
+    return byte_bpe.encoding_digests(table(spark, sf_dir, "documents"), model)
 
 
 def _phrases_sql() -> str:

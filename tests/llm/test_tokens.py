@@ -80,12 +80,14 @@ def test_counts_like_the_library(spark, docs, pieces):
 @pytest.mark.parametrize("chunk,overlap", [(byte_bpe.CHUNK, byte_bpe.OVERLAP), (64, 16), (100, 99)])
 def test_encoding_like_the_library(spark, docs, ranks, library, chunk, overlap):
     rows = [*EDGES, *enumerate(TEXTS, 100), (200, " ".join(f"w{i}  'll x" for i in range(300)))]
-    encoded = byte_bpe.encode_texts(docs(rows), ranks, chunk=chunk, overlap=overlap)
+    source = docs(rows)
+    encoded = byte_bpe.encode_texts(source, ranks, chunk=chunk, overlap=overlap)
+    told = byte_bpe.encoding_digests(source, ranks, chunk=chunk, overlap=overlap)
     want = []
     for i, t in rows:
         raw = np.array(library.encode_ordinary(t or ""), dtype="<u4").tobytes()
         want.append((i, len(raw) // 4, hashlib.sha256(raw).hexdigest(), hashlib.sha256((t or "").encode()).hexdigest()))
-    assert sorted(map(tuple, byte_bpe.digests(encoded, ranks).collect()), key=repr) == sorted(want, key=repr)
+    assert sorted(map(tuple, told.collect()), key=repr) == sorted(want, key=repr)
     back = byte_bpe.decode_ids(encoded, ranks).collect()
     assert sorted(bytes(r.decoded) for r in back) == sorted((t or "").encode() for _, t in rows)
 
@@ -93,4 +95,4 @@ def test_encoding_like_the_library(spark, docs, ranks, library, chunk, overlap):
 def test_empty_tables(spark, docs, pieces, ranks):
     none = docs([]).limit(0)
     assert token_counts.count_tokens(none, pieces).collect() == []
-    assert byte_bpe.digests(byte_bpe.encode_texts(none, ranks), ranks).collect() == []
+    assert byte_bpe.encoding_digests(none, ranks).collect() == []
