@@ -29,6 +29,8 @@ from tablewright.llm.decontam import word_hashes
 BACKOFF, VOCABULARY = 0.4, 65_534
 #: Words whose pairs with each other are counted on the map side.
 FREQUENT = 512
+#: Logarithms are summed in units of 1 / SCALE.
+SCALE = 1 << 24
 #: Ids of the start of a text and of a word outside the vocabulary; named words follow.
 START, OTHER = 0, 1
 
@@ -72,8 +74,26 @@ def word_counts(texts: DataFrame) -> DataFrame:
     return texts.select("text").mapInArrow(run, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def _group_pairs(ids: list[np.ndarray]):
+def coded_texts(texts: DataFrame, vocabulary: dict[int, int]) -> DataFrame:
+    """(k, row, text) to (k, row, ids, n_words): each whole text as vocabulary ids, two bytes a word."""
+    shared = texts.sparkSession.sparkContext.broadcast(vocabulary)
+    kind = texts.schema["k"].dataType.simpleString()
+
+    def run(batches):
+        known = _Ids(shared.value)
+        for batch in batches:
+            ids = [word_hashes(t, known).astype("<u2").tobytes() for t in batch.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:2], pa.array(ids, type=pa.binary()), pa.array([len(x) // 2 for x in ids], type=pa.int64())],
+                names=["k", "row", "ids", "n_words"],
+            )
+
+    return texts.select("k", "row", "text").mapInArrow(run, f"k {kind}, row long, ids binary, n_words long")
+
+
+def _group_pairs(some: list[bytes]):
     """Distinct pairs of each text of a group: (text, v, w, n), sorted by text."""
+    ids = [np.frombuffer(x, dtype="<u2").astype(np.int64) for x in some]
     sizes = np.array([len(x) for x in ids])
     w = np.concatenate(ids)
     if not len(w):
@@ -86,14 +106,14 @@ def _group_pairs(ids: list[np.ndarray]):
     return code >> 32, code >> 16 & 0xFFFF, code & 0xFFFF, n
 
 
-def frequent_pairs(texts: DataFrame, shared, frequent: int) -> dict[int, int]:
+def frequent_pairs(coded: DataFrame, frequent: int) -> dict[int, int]:
     """Counts over the whole table of the pairs of two frequent words: at most (frequent + 2)**2 of them."""
 
     def run(batches):
-        known, held = _Ids(shared.value), np.zeros((frequent + 2) ** 2, dtype=np.int64)
+        held = np.zeros((frequent + 2) ** 2, dtype=np.int64)
         for batch in batches:
-            for some in groups_of(batch.column(0).to_pylist(), lambda t: len(t) // 4 + 1, 200_000):
-                found = _group_pairs([word_hashes(t, known).astype(np.int64) for t in some])
+            for some in groups_of(batch.column(0).to_pylist(), lambda x: len(x) // 2 + 1, 200_000):
+                found = _group_pairs(some)
                 if found is not None:
                     _, v, w, n = found
                     both = (v < frequent + 2) & (w < frequent + 2)
@@ -102,45 +122,47 @@ def frequent_pairs(texts: DataFrame, shared, frequent: int) -> dict[int, int]:
         pair = at // (frequent + 2) << 16 | at % (frequent + 2)
         yield pa.RecordBatch.from_arrays([pa.array(pair), pa.array(held[at])], names=["pair", "n"])
 
-    rows = texts.select("text").mapInArrow(run, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).collect()
+    rows = coded.select("ids").mapInArrow(run, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).collect()
     return {r["pair"]: r["n"] for r in rows}
 
 
-def text_pairs(texts: DataFrame, shared, words: np.ndarray, pairs: dict[int, int], frequent: int, backoff: float, total: int) -> DataFrame:
-    """(a, b, text) to (a, b, pair, n, s).
+def text_pairs(coded: DataFrame, words: np.ndarray, pairs: dict[int, int], frequent: int, backoff: float, total: int) -> DataFrame:
+    """(row, ids) to (row, pair, n, s).
 
     For pairs whose count is still open, how often the text has them; for a text's pairs of frequent words, which need no
-    table beyond the bounded ones, one row with a negative ``pair``, their number and the sum of their logarithms.
+    table beyond the bounded ones, one row with a negative ``pair`` and the sum of their logarithms.
     """
-    context = texts.sparkSession.sparkContext
-    tables = context.broadcast((words, np.array(sorted(pairs), dtype=np.int64), np.array([pairs[p] for p in sorted(pairs)], dtype=np.int64)))
+    names = np.array(sorted(pairs), dtype=np.int64)
+    tables = coded.sparkSession.sparkContext.broadcast((words, names, np.array([pairs[p] for p in names.tolist()], dtype=np.int64)))
 
     def run(batches):
-        known = _Ids(shared.value)
         c, codes, counts = tables.value
         for batch in batches:
-            keys = [batch.column(k).to_numpy() for k in ("a", "b")]
-            for some in groups_of(enumerate(batch.column("text").to_pylist()), lambda x: len(x[1]) // 4 + 1, 200_000):
-                found = _group_pairs([word_hashes(t, known).astype(np.int64) for _, t in some])
+            rows = batch.column(0).to_numpy()
+            for some in groups_of(enumerate(batch.column(1).to_pylist()), lambda x: len(x[1]) // 2 + 1, 200_000):
+                found = _group_pairs([x for _, x in some])
                 if found is None:
                     continue
                 at, v, w, n = found
-                row = np.array([i for i, _ in some])
+                row = rows[[i for i, _ in some]]
                 both = (v < frequent + 2) & (w < frequent + 2)
                 hot = np.searchsorted(codes, v[both] << 16 | w[both])
-                known_sums = n[both] * log_score(counts[hot], c[v[both]], c[w[both]], n[both], backoff, total)
-                sums = np.bincount(at[both], weights=known_sums, minlength=len(some))
-                times = np.bincount(at[both], weights=n[both], minlength=len(some)).astype(np.int64)
-                own, cold = np.flatnonzero(times), ~both
-                out = np.concatenate((row[at[cold]], row[own]))
-                pair = np.concatenate((v[cold] << 16 | w[cold], -1 - (keys[0][row[own]] & 0xFFFFFFFF)))
-                s = pa.array(np.concatenate((np.zeros(cold.sum()), sums[own])), mask=np.concatenate((np.ones(cold.sum(), bool), np.zeros(len(own), bool))))
+                logs = np.rint(SCALE * n[both] * log_score(counts[hot], c[v[both]], c[w[both]], n[both], backoff, total))
+                sums = np.bincount(at[both], weights=logs, minlength=len(some)).astype(np.int64)
+                own, cold = np.unique(at[both]), ~both
+                pair = np.concatenate((v[cold] << 16 | w[cold], -1 - row[own]))
+                known = np.concatenate((np.ones(cold.sum(), bool), np.zeros(len(own), bool)))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys[0][out]), pa.array(keys[1][out]), pa.array(pair), pa.array(np.concatenate((n[cold], times[own])).astype(np.int32)), s],
-                    names=["a", "b", "pair", "n", "s"],
+                    [
+                        pa.array(np.concatenate((row[at[cold]], row[own]))),
+                        pa.array(pair),
+                        pa.array(np.concatenate((n[cold], np.zeros(len(own), np.int64))).astype(np.int32)),
+                        pa.array(np.concatenate((np.zeros(cold.sum(), np.int64), sums[own])), mask=known),
+                    ],
+                    names=["row", "pair", "n", "s"],
                 )
 
-    return texts.select("a", "b", "text").mapInArrow(run, "a long, b long, pair long, n int, s double")
+    return coded.select("row", "ids").mapInArrow(run, "row long, pair long, n int, s long")
 
 
 def log_score(c_vw, c_v, c_w, n, backoff: float, total: int) -> np.ndarray:
@@ -156,19 +178,19 @@ def score_texts(
     if vocabulary > VOCABULARY:
         raise ValueError(f"at most {VOCABULARY} words keep their name")
     spark = docs.sparkSession
-    named = docs.select(F.col(key).alias("k"), text_column(text).alias("text"))
-    # 128 bits: the second hash starts from the hash of a constant
-    texts = named.withColumn("a", F.xxhash64("text")).withColumn("b", F.xxhash64(F.lit("text"), "text"))
+    texts = docs.select(F.col(key).alias("k"), text_column(text).alias("text"))
     counts = write_scratch(word_counts(texts), "word-counts")
     top = counts.orderBy(F.desc("n"), "word").limit(vocabulary).collect()
     total = max(1, counts.agg(F.sum("n")).first()[0] or 0)
-    starts = texts.where(F.col("text").rlike(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]")).count()
-    shared = spark.sparkContext.broadcast({r["word"] & (2**64 - 1): i + 2 for i, r in enumerate(top)})
+    # rows are numbered in the job that writes them, so that every later job sees the same numbers
+    named = {r["word"] & (2**64 - 1): i + 2 for i, r in enumerate(top)}
+    coded = write_scratch(coded_texts(texts.withColumn("row", F.monotonically_increasing_id()), named), "coded-texts")
+    starts = coded.where("n_words > 0").count()
     sums = [starts, total - sum(r["n"] for r in top), *(r["n"] for r in top)]
     # at most VOCABULARY + 2 rows, so the broadcasts are bounded
     words = F.broadcast(spark.createDataFrame(list(enumerate(sums)), "id int, c long"))
 
-    pairs = text_pairs(texts, shared, np.array(sums, dtype=np.int64), frequent_pairs(texts, shared, frequent), frequent, backoff, total)
+    pairs = text_pairs(coded, np.array(sums, dtype=np.int64), frequent_pairs(coded, frequent), frequent, backoff, total)
     # one exchange by pair brings the rows of a pair together, and its count with them
     counted = pairs.withColumn("c_vw", F.sum("n").over(Window.partitionBy("pair")))
     v = words.select(F.col("id").alias("v"), F.col("c").alias("c_v"))
@@ -181,9 +203,10 @@ def score_texts(
     n = F.col("n")
     seen = F.log((F.col("c_vw") - n) / (F.col("c_v") - n))
     backed = F.log(F.lit(backoff) * F.greatest(F.col("c_w") - n, F.lit(1)) / F.lit(float(total)))
-    each = joined.select("a", "b", "n", F.when(F.col("s").isNotNull(), F.col("s")).when(F.col("c_vw") > n, n * seen).otherwise(n * backed).alias("s"))
-    scores = each.groupBy("a", "b").agg((F.sum("s") / F.sum("n")).alias("score"))
-    n_words = F.size(F.array_remove(F.split("text", r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"), "")).cast("long")
-    return (
-        texts.select("k", "a", "b", n_words.alias("n_words")).join(scores, ["a", "b"], "left").select(F.col("k").alias(key), "n_words", "score")
+    log = F.when(F.col("c_vw") > n, seen).otherwise(backed)
+    each = joined.select("row", F.when(F.col("s").isNotNull(), F.col("s")).otherwise(F.rint(n * log * SCALE).cast("long")).alias("s"))
+    scores = each.groupBy("row").agg(F.sum("s").alias("s"))
+    mean = F.col("s") / (F.lit(float(SCALE)) * F.col("n_words"))
+    return coded.select("k", "row", "n_words").join(scores, "row", "left").select(
+        F.col("k").alias(key), "n_words", F.when(F.col("n_words") > 0, F.round(mean, 6)).alias("score")
     )
