@@ -45,6 +45,7 @@ class Settings:
     members: int = 3
     steps: int = 300
     rate: float = 0.05
+    #: pull of the weights to zero: 1 / positives, as a prior of fixed weight has, and at most this
     decay: float = 3e-3
     folds: int = 5
 
@@ -116,6 +117,7 @@ def _train(rows: list[np.ndarray], kinds: np.ndarray, n_words: int, prior: float
     is_p = kinds == 1
     n_p, n_u = max(1, is_p.sum()), max(1, (~is_p).sum())
     rng = np.random.default_rng(seed)
+    decay = min(s.decay, 1 / n_p)
     w, b = rng.normal(0, 0.01, n_words), float(np.log(prior / (1 - prior)))
     m, v = np.zeros(n_words + 1), np.zeros(n_words + 1)
     for step in range(1, s.steps + 1):
@@ -127,7 +129,7 @@ def _train(rows: list[np.ndarray], kinds: np.ndarray, n_words: int, prior: float
         towards = np.where(is_p, -prior * (1 - sig) / n_p, 0.0)
         back = np.where(is_p, -prior * sig / n_p, sig / n_u)
         d = towards + back if negative >= 0 else -back
-        grad = np.append(np.bincount(flat, weights=d[of], minlength=n_words) + s.decay * w, d.sum())
+        grad = np.append(np.bincount(flat, weights=d[of], minlength=n_words) + decay * w, d.sum())
         m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad**2
         move = s.rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
         w, b = w - move[:-1], b - move[-1]
