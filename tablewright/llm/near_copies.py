@@ -1,10 +1,14 @@
-"""Near copies of texts: SimHash candidates from the Gray-order index, verified on word shingles.
+"""Near copies of texts: every pair of texts whose word shingles agree in at least ``similarity`` (Jaccard) is joined.
 
-A fingerprint of word shingles moves by many bits when single words change, so it would miss copies with scattered edits. Candidates are
-therefore found on fingerprints of the set of words, which move little; several fingerprints with own seeds (tags of one
-index) make a miss by chance unlikely. A candidate counts only if its shingles of ``shingle`` words agree with its
-partner's in at least ``similarity`` (Jaccard). Texts are compared once each, however many copies they have, and each with the representatives
-its index nodes name, not with every member of its group.
+Candidates come from two ways, and count only after the same check on their shingles. SimHash fingerprints of the set of words
+(several, with own seeds, as tags of one Gray-order index) bring large groups together with few comparisons, but miss pairs. The exact
+way finds the rest: shingles have one order, rare ones first, and two sets that are similar enough share a shingle among the first
+(1 - similarity) of the larger and the first (1 - similarity) / (1 + similarity) of the smaller one; the place of the first shared shingle also bounds how many can
+follow. The order comes from counts of fixed size over a sample of the texts; whatever they are, no pair is lost.
+
+Texts are compared once each, however many copies they have. Each is first compared with its fingerprint's representative and, for each
+of its first shingles, with one representative and the next text by size. What is joined by then needs no further check; of all other pairs those between
+two groups are checked a few at a time, more each round, until they are joined or none is left.
 
 Edge cases: NULL counts as an empty text; all texts without words are copies of each other; a text of fewer words than a shingle is one shingle; of
 a group the row with the smallest doc_id stays (rows without doc_id come last, then by text), of rows equal in doc_id and text
@@ -13,34 +17,78 @@ one; all columns are kept; an empty table gives no rows.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tablewright.llm.common import bitmap_of, mix64, text_column, write_scratch
+from tablewright.llm.common import bitmap_of, mix64, sliced, text_column, write_scratch
 from tablewright.llm.components import components
 from tablewright.llm.decontam import _WordHashes, window_hashes, word_hashes
 from tablewright.llm.simhash import near_links, simhash
 
 SHINGLE, SIMILARITY, DISTANCE, SEEDS = 5, 0.8, 3, 4
+#: Slots of the shingle counts that rare shingles are told by, and one in how many texts is counted.
+SLOT_BITS, SAMPLE = 20, 8
+SLOTS = np.uint64((1 << SLOT_BITS) - 1)
+#: Pairs checked between two groups in the first round after the representatives.
+CHECKED = 4
+#: Bounds are loosened by this much, so that rounding loses no pair.
+SLACK = 1e-6
+
+
+def _sets(text: str, shingle: int, known: dict) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct words and distinct shingles, as hashes. A text without words has one shingle, zero."""
+    words = word_hashes(text, known)
+    if not len(words):
+        return words, np.zeros(1, dtype=np.uint64)
+    return np.unique(words), np.unique(window_hashes(words, min(shingle, len(words))))
+
+
+def shingle_counts(texts: DataFrame, shingle: int) -> np.ndarray:
+    """How often shingles occur in the texts, added up in 2**SLOT_BITS slots by their last bits."""
+
+    def run(batches):
+        known, held = _WordHashes(), np.zeros(1 << SLOT_BITS, dtype=np.int64)
+        for batch in batches:
+            for text in batch.column(0).to_pylist():
+                np.add.at(held, (_sets(text, shingle, known)[1] & SLOTS).astype(np.int64), 1)
+        at = np.flatnonzero(held)
+        for k in range(0, len(at), 1 << 16):
+            some = at[k:k + (1 << 16)]
+            yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(held[some])], names=["slot", "n"])
 
+    rows = texts.select("text").mapInArrow(run, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toPandas()
+    out = np.zeros(1 << SLOT_BITS, dtype=np.int64)
+    out[rows["slot"].to_numpy(dtype=np.int64)] = rows["n"].to_numpy(dtype=np.int64)
+    return out
 
-def _fingerprints(texts: DataFrame, seeds: int) -> DataFrame:
-    """(k, key, text) to (k, key, fps)."""
+
+def _marks(texts: DataFrame, seeds: int, shingle: int, similarity: float, counts: np.ndarray) -> DataFrame:
+    """(k, key, text) to (k, key, fps, size, first): fingerprints, number of shingles, and the rarest of them that a similar text could share."""
     kind = texts.schema["k"].dataType.simpleString()
+    shared = texts.sparkSession.sparkContext.broadcast(counts)
 
     def run(batches):
         known = _WordHashes()
-        for batch in batches:
-            rows = []
+        for batch in sliced(batches, 256):
+            fps, sizes, first = [], [], []
             for text in batch.column(2).to_pylist():
-                words = np.unique(word_hashes(text, known))
-                rows.append([simhash(mix64(words ^ np.uint64(0x9E3779B97F4A7C15 * s & (2**64 - 1)))) for s in range(1, seeds + 1)])
-            fps = pa.array(np.array(rows, dtype=np.uint64).view(np.int64).tolist(), type=pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:2], fps], names=["k", "key", "fps"])
+                words, found = _sets(text, shingle, known)
+                fps.append([simhash(mix64(words ^ np.uint64(0x9E3779B97F4A7C15 * s & (2**64 - 1)))) for s in range(1, seeds + 1)])
+                order = np.lexsort((found, shared.value[(found & SLOTS).astype(np.int64)]))
+                n = len(found)
+                sizes.append(n)
+                first.append(found[order[: n - math.ceil(similarity * n - SLACK) + 1]].view(np.int64))
+            fps = pa.array(np.array(fps, dtype=np.uint64).view(np.int64).tolist(), type=pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:2], fps, pa.array(sizes, type=pa.int32()), pa.array(first, type=pa.list_(pa.int64()))],
+                names=["k", "key", "fps", "size", "first"],
+            )
 
-    return texts.mapInArrow(run, f"k {kind}, key string, fps array<long>")
+    return texts.mapInArrow(run, f"k {kind}, key string, fps array<long>, size int, first array<long>")
 
 
 def _shingles(texts: DataFrame, codes: DataFrame, shingle: int) -> DataFrame:
@@ -49,15 +97,14 @@ def _shingles(texts: DataFrame, codes: DataFrame, shingle: int) -> DataFrame:
 
     def run(batches):
         known = _WordHashes()
-        for batch in batches:
+        for batch in sliced(batches, 256):
             hit = np.flatnonzero(bitmap.value.holds(batch.column(1).to_numpy()))
             if not len(hit):
                 continue
             lists = []
             for text in batch.column(2).take(pa.array(hit)).to_pylist():
-                words = word_hashes(text, known)
                 # 32 bits tell the shingles of two texts apart well enough
-                lists.append(np.unique(window_hashes(words, max(1, min(shingle, len(words)))).astype(np.uint32)).view(np.int32))
+                lists.append(np.unique(_sets(text, shingle, known)[1].astype(np.uint32)).view(np.int32))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).take(pa.array(hit)), pa.array(lists, type=pa.list_(pa.int32()))], names=["key", "shingles"]
             )
@@ -66,46 +113,108 @@ def _shingles(texts: DataFrame, codes: DataFrame, shingle: int) -> DataFrame:
     return found.groupBy("key").agg(F.any_value("shingles").alias("shingles"))
 
 
-def _similar(pairs: DataFrame, similarity: float) -> DataFrame:
-    """Pairs (a, b, sa, sb) whose shingle sets are that similar: (a, b)."""
-
-    def run(batches):
-        for batch in batches:
-            keep = []
-            for i, (x, y) in enumerate(zip(batch.column(2), batch.column(3))):
-                p, q = (v.values.to_numpy(zero_copy_only=False) for v in (x, y))
-                both = len(np.intersect1d(p, q, assume_unique=True))
-                if both >= similarity * (len(p) + len(q) - both):
-                    keep.append(i)
-            yield pa.RecordBatch.from_arrays([batch.column(c).take(pa.array(keep, type=pa.int64())) for c in (0, 1)], names=["a", "b"])
-
-    return pairs.mapInArrow(run, "a string, b string")
+def _similar(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """Pairs (a, b) of ids whose shingle sets (id, shingles) are that similar."""
+    both = (
+        pairs.select("a", "b").join(sets.withColumnsRenamed({"id": "a", "shingles": "sa"}), "a")
+        .join(sets.withColumnsRenamed({"id": "b", "shingles": "sb"}), "b")
+        .select("a", "b", F.size("sa").alias("na"), F.size("sb").alias("nb"), F.size(F.array_intersect("sa", "sb")).alias("n"))
+    )
+    return both.where(F.col("n") >= F.lit(similarity) * (F.col("na") + F.col("nb") - F.col("n"))).select("a", "b")
 
 
-def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE, similarity: float = SIMILARITY, distance: int = DISTANCE, seeds: int = SEEDS) -> DataFrame:
-    """(k, key, class) of each row: its id, the digest of its text, and the smallest digest of its group of near copies."""
-    plain = docs.select(F.col(key).alias("k"), F.md5(text_column(text)).alias("key"), text_column(text).alias("text"))
-    marked = write_scratch(_fingerprints(plain, seeds), "near-marks")
-    tagged = marked.select("key", F.posexplode("fps").alias("tag", "fp"))
-    # one representative text for each fingerprint
-    reps = write_scratch(tagged.groupBy("tag", "fp").agg(F.min("key").alias("rep")), "near-reps")
+def _fingerprint_pairs(texts: DataFrame, distance: int) -> DataFrame:
+    """(id, fps) to pairs (a, b) of ids: each text with the representative of its fingerprint, and those of near fingerprints."""
+    tagged = texts.select("id", F.posexplode("fps").alias("tag", "fp"))
+    reps = write_scratch(tagged.groupBy("tag", "fp").agg(F.min("id").alias("rep")), "near-reps")
     links = near_links(reps, distance)
     across = (
         links.join(reps.withColumnsRenamed({"fp": "a", "rep": "x"}), ["tag", "a"])
         .join(reps.withColumnsRenamed({"fp": "b", "rep": "y"}), ["tag", "b"]).select("x", "y")
     )
-    within = tagged.join(reps, ["tag", "fp"]).select(F.col("key").alias("x"), F.col("rep").alias("y"))
-    pairs = across.union(within).where("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-    pairs = write_scratch(pairs, "near-pairs")
-    codes = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct().select(F.xxhash64("key").alias("code"))
-    sets = write_scratch(_shingles(plain.select("key", F.xxhash64("key").alias("code"), "text"), codes, shingle), "near-sets")
-    both = (
-        pairs.join(sets.withColumnsRenamed({"key": "a", "shingles": "sa"}), "a")
-        .join(sets.withColumnsRenamed({"key": "b", "shingles": "sb"}), "b").select("a", "b", "sa", "sb")
+    within = tagged.join(reps, ["tag", "fp"]).select(F.col("id").alias("x"), F.col("rep").alias("y"))
+    return across.union(within).where("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+
+
+def _shared_first(texts: DataFrame) -> DataFrame:
+    """(sh, id, size, pos, rep, next): the first shingles that several texts have, with one of these texts and the next one by size."""
+    each = texts.select("id", "size", F.posexplode("first").alias("pos", "sh"))
+    all_of, ordered = Window.partitionBy("sh"), Window.partitionBy("sh").orderBy("size", "id")
+    return (
+        each.withColumn("next", F.lead(F.struct("id", "size")).over(ordered)).withColumn("rep", F.min(F.struct("id", "size")).over(all_of))
+        .withColumn("most", F.max("id").over(all_of)).where(F.col("rep.id") < F.col("most")).drop("most")
     )
-    labels = components(_similar(both, similarity))
-    return marked.select("k", "key").join(labels.withColumnRenamed("node", "key"), "key", "left").select(
-        "k", "key", F.coalesce("component", "key").alias("class")
+
+
+def _open_pairs(shared: DataFrame, labels: DataFrame, similarity: float) -> DataFrame:
+    """Pairs (a, b) of texts of different groups (id, label) that their first shingles do not rule out."""
+    rows = shared.select("sh", "id", "size", "pos").join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
+    sizes = rows.groupBy("sh", "label").agg(F.count("*").alias("n"))
+    # of a shingle that one large group has, pairs within that group are not even listed
+    main = sizes.groupBy("sh").agg(F.max_by("label", "n").alias("main"), F.count("*").alias("labels")).where("labels > 1").drop("labels")
+    rows = write_scratch(rows.join(main, "sh").withColumn("is_main", F.col("label") == F.col("main")).drop("main"), "near-open")
+    t = similarity
+    last = F.col("size") - F.ceil(F.lit(2 * t / (1 + t)) * F.col("size") - SLACK)
+    small = rows.where(F.col("pos") <= last).alias("s")
+    found = None
+    for a, b in (("not is_main", "true"), ("is_main", "not is_main")):
+        pairs = small.where(a).join(rows.where(b).alias("l"), "sh").where(
+            (F.col("s.label") != F.col("l.label")) & (F.col("s.size") <= F.col("l.size")) & (F.col("s.size") >= t * F.col("l.size") - SLACK)
+            & (F.least(F.col("s.size") - F.col("s.pos"), F.col("l.size") - F.col("l.pos")) >= t / (1 + t) * (F.col("s.size") + F.col("l.size")) - SLACK)
+        ).select(F.least("s.id", "l.id").alias("a"), F.greatest("s.id", "l.id").alias("b"))
+        found = pairs if found is None else found.union(pairs)
+    return found.distinct()
+
+
+def _labels(links: DataFrame) -> DataFrame:
+    return components(links).select(F.col("node").alias("id"), F.col("component").alias("label"))
+
+
+def _joined(texts: DataFrame, plain: DataFrame, shingle: int, similarity: float, distance: int) -> DataFrame:
+    """(id, label) of the texts (id, key, fps, size, first) that have near copies."""
+    shared = write_scratch(_shared_first(texts), "near-shared")
+    star = None
+    for other in ("rep", "next"):
+        fits = F.least("size", f"{other}.size") >= F.lit(similarity) * F.greatest("size", f"{other}.size") - SLACK
+        part = shared.where(fits & (F.col("id") != F.col(f"{other}.id"))).select(F.least("id", f"{other}.id").alias("a"), F.greatest("id", f"{other}.id").alias("b"))
+        star = part if star is None else star.union(part)
+    pairs = write_scratch(_fingerprint_pairs(texts, distance).union(star).distinct(), "near-pairs")
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).union(shared.select("id")).distinct()
+    named = write_scratch(texts.select("id", "key").join(ids, "id", "left_semi"), "near-named")
+    codes = named.select(F.xxhash64("key").alias("code"))
+    found = _shingles(plain.select("key", F.xxhash64("key").alias("code"), "text"), codes, shingle)
+    sets = write_scratch(found.join(named, "key").select("id", "shingles"), "near-sets")
+    links = write_scratch(_similar(pairs, sets, similarity), "near-links")
+    labels = _labels(links)
+    left = write_scratch(_open_pairs(shared, labels, similarity), "near-open-pairs")
+    most = CHECKED
+    while True:
+        of = lambda x: labels.withColumnsRenamed({"id": x, "label": f"l{x}"})
+        now = left.join(of("a"), "a", "left").join(of("b"), "b", "left")
+        now = now.withColumn("la", F.coalesce("la", "a")).withColumn("lb", F.coalesce("lb", "b")).where("la <> lb")
+        turn = Window.partitionBy(F.least("la", "lb"), F.greatest("la", "lb")).orderBy(F.xxhash64("a", "b"), "a", "b")
+        now = write_scratch(now.select("a", "b", F.row_number().over(turn).alias("turn")), "near-open-pairs")
+        if now.isEmpty():
+            return labels
+        new = write_scratch(_similar(now.where(F.col("turn") <= most), sets, similarity), "near-links")
+        if not new.isEmpty():
+            links = links.union(new)
+            labels = _labels(links)
+        left, most = now.where(F.col("turn") > most).select("a", "b"), most * 8
+
+
+def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE, similarity: float = SIMILARITY, distance: int = DISTANCE, seeds: int = SEEDS) -> DataFrame:
+    """(k, key, class) of each row: its id, the digest of its text, and the smallest digest of its group of near copies."""
+    plain = docs.select(F.col(key).alias("k"), F.md5(text_column(text)).alias("key"), text_column(text).alias("text"))
+    counts = shingle_counts(plain.where(F.pmod(F.xxhash64("key"), F.lit(SAMPLE)) == 0), shingle)
+    marked = write_scratch(_marks(plain, seeds, shingle, similarity, counts), "near-marks")
+    texts = marked.groupBy("key").agg(F.any_value(F.struct("fps", "size", "first")).alias("x")).select("key", "x.*")
+    # numbered in the job that writes them, so that every later job sees the same numbers
+    texts = write_scratch(texts.withColumn("id", F.monotonically_increasing_id()), "near-texts")
+    named = _joined(texts, plain, shingle, similarity, distance).join(texts.select("id", "key"), "id")
+    least = named.groupBy("label").agg(F.min("key").alias("class"))
+    return marked.select("k", "key").join(named.join(least, "label").select("key", "class"), "key", "left").select(
+        "k", "key", F.coalesce("class", "key").alias("class")
     )
 
 

@@ -150,3 +150,42 @@ def test_similarity_is_exact(spark, docs):
 def test_fingerprints_in_spark(spark, docs):
     got = simhash.with_fingerprint(docs(EDGES), "text").select("text", F.hex("fp")).collect()
     assert all(int(r[1], 16) == fingerprint(r[0]) for r in got)
+
+
+def grouped(spark_rows):
+    groups = {}
+    for r in spark_rows:
+        groups.setdefault(r["class"], set()).add(r.k)
+    return sorted(map(sorted, groups.values()))
+
+
+def jaccard(a, b):
+    return len(a & b) / len(a | b)
+
+
+def by_all_pairs(rows):
+    sets = {i: shingles(t) for i, t in rows}
+    want = {}
+    for i, c in reachable([i for i, _ in rows], lambda a, b: jaccard(sets[a], sets[b]) >= 0.8).items():
+        want.setdefault(c, set()).add(i)
+    return sorted(map(sorted, want.values()))
+
+
+def test_appended_cut_and_replaced_copies(spark, docs):
+    """Copies down to a similarity of 0.8, whose fingerprints of words lie many bits apart."""
+    pick, rows = random.Random(21), []
+    fresh = iter(range(10**6))
+    for group in range(60):
+        words = [f"g{pick.randrange(20_000)}" for _ in range(pick.randrange(100, 400))]
+        n = len(words)
+        share = 0.02 + 0.2 * pick.random()
+        if group % 3 == 0:
+            copy = words + [f"new{next(fresh)}" for _ in range(int(n * share))]
+        elif group % 3 == 1:
+            copy = words[int(n * share):]
+        else:
+            copy = list(words)
+            for at in pick.sample(range(n), int(n * share / 8)):
+                copy[at] = f"new{next(fresh)}"
+        rows += [(2 * group, " ".join(words)), (2 * group + 1, " ".join(copy))]
+    assert grouped(near_copies.classes(docs(rows)).collect()) == by_all_pairs(rows)
