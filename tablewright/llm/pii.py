@@ -1,16 +1,19 @@
 """Personal data by patterns, and what gives it away by co-occurrence.
 
-The patterns find protected entities: e-mail addresses, IP addresses, card and phone numbers. Terms that stand near an entity
+The patterns find protected entities: e-mail addresses, IP addresses, card and phone numbers. Terms in a text with an entity
 can reveal it without being it. How much a term t reveals an entity e is estimated from the whole corpus, as the part
 of the information in e that t carries:
 
     disclosure = PMI(t, e) / IC(e) = log(n(t, e) * N / (n(t) * n(e))) / log(N / n(e))
 
-with document counts over all rows. It is 1 if t occurs only with e, 0 if they are independent. A term near an entity that reaches
-``remove`` is removed, one that reaches ``generalise`` is generalised; both need ``support`` different texts in which the two
-stand together, so that a single text does not condemn its own words.
+with document counts over all rows. It is 1 if t occurs only with e, 0 if they are independent. A term that reaches
+``remove`` is removed, one that reaches ``generalise`` is generalised, wherever it stands in a text with the entity. Pairs of fewer than ``support``
+different texts are smoothed: they count as if the term stood in ``support`` more documents without the entity. So terms of entities that
+occur once can be found, while the words of a single text in a small table are not condemned by that text alone.
 
-Context words of the entities are few; only they are shuffled. The counts n(t) come from one pass over all texts that counts, per batch,
+Terms and entities stand together if one text holds both, on whatever lines (``reach`` narrows this to so many characters around an entity). Only the words of
+texts with entities are shuffled, once per text; words too frequent to disclose an entity, n(t) > N * (n(e) / N) ** generalise, are left out before they
+meet it, as n(t, e) is at most n(e). The counts n(t) come from one pass over all texts that counts, per batch,
 the words that may be such terms (a bitmap of fixed size lets them through) and joins exactly afterwards.
 
 Edge cases: NULL and empty texts have no spans; rows with a NULL doc_id are kept; texts that repeat have the same spans; repeated rows
@@ -28,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablewright.llm.common import bitmap_of, text_column, write_scratch
+from tablewright.llm.common import bitmap_of, sliced, text_column, write_scratch
 
 #: Kinds in the order of the contract; terms found by co-occurrence come last.
 KINDS = ("email", "ip", "card", "phone", "term", "general")
@@ -44,7 +47,7 @@ _TERM = re.compile(r"[^\W\d_]{3,}")
 
 @dataclass(frozen=True)
 class Settings:
-    reach: int = 80
+    reach: int | None = None
     support: int = 3
     generalise: float = 0.7
     remove: float = 0.9
@@ -94,44 +97,63 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(found)
 
 
-def contexts(text: str, spans: list[tuple[int, int, int]], reach: int) -> list[tuple[str, str, int, int]]:
-    """(entity, term, start, end): the terms within ``reach`` characters of each span on its line, outside all spans."""
-    taken = [(a, b) for a, _, b in spans]
-    out = []
-    for start, kind, end in spans:
-        left = max(start - reach, text.rfind("\n", 0, start) + 1, 0)
-        stop = text.find("\n", end)
-        right = min(end + reach, len(text) if stop < 0 else stop)
-        value = text[start:end].lower()
-        entity = f"{KINDS[kind]}:{value if kind < 2 else _digits(value)}"
-        # a word that the window cuts is left out
-        for m in _TERM.finditer(text, left, right):
-            if (m.start() == left and left > 0 and text[left - 1].isalpha()) or (m.end() == right and right < len(text) and text[right].isalpha()):
-                continue
-            if not any(m.start() < b and a < m.end() for a, b in taken):
-                out.append((entity, m.group().lower(), m.start(), m.end()))
+def entity_of(text: str, span: tuple[int, int, int]) -> str:
+    start, kind, end = span
+    value = text[start:end].lower()
+    return f"{KINDS[kind]}:{value if kind < 2 else _digits(value)}"
+
+
+def _terms(text: str, spans: list[tuple[int, int, int]]) -> list[tuple[str, int, int]]:
+    """(term, start, end) of the words outside all spans, which are sorted."""
+    out, at, last = [], 0, -1
+    for m in _TERM.finditer(text):
+        while at < len(spans) and spans[at][0] < m.end():
+            last = max(last, spans[at][2])
+            at += 1
+        if last <= m.start():
+            out.append((m.group().lower(), m.start(), m.end()))
     return out
 
 
-def _scan(docs: DataFrame, reach: int) -> DataFrame:
-    """(k, key, text) to (k, key, base, near)."""
+def contexts(text: str, spans: list[tuple[int, int, int]], reach: int | None = None) -> list[tuple[str, str, int, int]]:
+    """(entity, term, start, end): the terms of the text, or those within ``reach`` characters of each span, outside all spans."""
+    terms = _terms(text, spans)
+    return [
+        (entity_of(text, span), *t) for span in spans for t in terms if reach is None or (span[0] - reach <= t[1] and t[2] <= span[2] + reach)
+    ]
+
+
+def _units(text: str, spans: list[tuple[int, int, int]], reach: int | None) -> list[dict]:
+    """Entities and terms that stand together: of the whole text, or around each span."""
+    if not spans:
+        return []
+    if reach is None:
+        return [{"entities": sorted({entity_of(text, s) for s in spans}), "terms": sorted({t for t, _, _ in _terms(text, spans)})}]
+    near: dict[str, set] = {entity_of(text, s): set() for s in spans}
+    for entity, term, _, _ in contexts(text, spans, reach):
+        near[entity].add(term)
+    return [{"entities": [e], "terms": sorted(t)} for e, t in near.items()]
+
+
+def _scan(docs: DataFrame, reach: int | None) -> DataFrame:
+    """(k, key, text) to (k, key, base, units)."""
     span = pa.list_(pa.struct([("start", pa.int32()), ("kind", pa.int32()), ("end", pa.int32())]))
-    term = pa.list_(pa.struct([("entity", pa.string()), ("term", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
+    unit = pa.list_(pa.struct([("entities", pa.list_(pa.string())), ("terms", pa.list_(pa.string()))]))
     kind = docs.schema["k"].dataType.simpleString()
 
     def run(batches):
-        for batch in batches:
-            base, near = [], []
+        for batch in sliced(batches, 256):
+            base, units = [], []
             for text in batch.column(2).to_pylist():
                 spans = base_spans(text)
                 base.append([dict(zip(("start", "kind", "end"), s)) for s in spans])
-                near.append([dict(zip(("entity", "term", "start", "end"), c)) for c in contexts(text, spans, reach)] if spans else [])
-            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(base, type=span), pa.array(near, type=term)], names=["k", "key", "base", "near"])
+                units.append(_units(text, spans, reach))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(base, type=span), pa.array(units, type=unit)], names=["k", "key", "base", "units"])
 
     return docs.mapInArrow(
         run,
         f"k {kind}, key string, base array<struct<start:int,kind:int,end:int>>,"
-        " near array<struct<entity:string,term:string,start:int,end:int>>",
+        " units array<struct<entities:array<string>,terms:array<string>>>",
     )
 
 
@@ -165,40 +187,82 @@ def _document_counts(docs: DataFrame, terms: DataFrame) -> DataFrame:
 
 
 def disclosing_terms(found: DataFrame, docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """(entity, term, kind): kind 4 for terms to remove, 5 for terms to generalise. ``found`` comes from `_scan`, ``docs`` has text."""
+    """(key, term, kind): kind 4 for terms to remove in the texts of ``key``, 5 for terms to generalise. ``found`` comes from `_scan`, ``docs`` has text."""
     s = settings
-    near = found.select("key", F.explode(F.array_distinct(F.transform("near", lambda t: F.struct(t["entity"].alias("entity"), t["term"].alias("term"))))).alias("x"))
+    n = F.lit(float(max(1, found.count())))
+    held = found.where(F.size("units") > 0)
     # rows of one text are one supporting text, but as many documents
-    together = (
-        near.groupBy("x", "key").agg(F.count("*").alias("n")).groupBy("x").agg(F.sum("n").alias("n_te"), F.count("*").alias("texts"))
-        .where(F.col("texts") >= s.support).select("x.entity", "x.term", "n_te")
+    rows = held.groupBy("key").agg(F.count("*").alias("rows"))
+    units = held.select("key", F.posexplode("units").alias("unit", "x")).select("key", "unit", "x.*")
+    entities = write_scratch(units.select("key", "unit", F.explode("entities").alias("entity")).distinct().join(rows, "key"), "entities")
+    n_e = entities.select("key", "entity", "rows").distinct().groupBy("entity").agg(F.sum("rows").alias("n_e"))
+    terms = write_scratch(units.select("key", "unit", F.explode("terms").alias("term")).distinct(), "terms")
+    n_t = _document_counts(docs, terms.select("term").distinct().withColumn("code", F.xxhash64("term")))
+    rare = F.col("n_t") <= n * F.pow(F.col("n_e") / n, F.lit(s.generalise)) * (1 + 1e-6)
+    pairs = write_scratch(
+        entities.join(n_e.where(F.col("n_e") < n), "entity").join(terms.join(n_t, "term"), ["key", "unit"]).where(rare)
+        .select("key", "entity", "term", "rows", "n_e", "n_t").distinct(),
+        "disclosure",
     )
-    together = write_scratch(together, "disclosure")
-    terms = together.select("term").distinct().withColumn("code", F.xxhash64("term"))
-    n_t = _document_counts(docs, terms)
-    entity = found.select(F.explode(F.array_distinct(F.transform("near", lambda t: t["entity"]))).alias("entity"))
-    n_e = entity.groupBy("entity").agg(F.count("*").alias("n_e"))
-    n = F.lit(float(max(1, found.count())))
-    joined = together.join(n_t, "term").join(n_e, "entity").where(F.col("n_e") < n)
-    told = F.log(F.col("n_te") * n / (F.col("n_t") * F.col("n_e"))) / F.log(n / F.col("n_e"))
-    return joined.withColumn("disclosure", F.round(told, 9)).where(F.col("disclosure") >= s.generalise).select(
+    together = pairs.groupBy("entity", "term").agg(
+        F.sum("rows").alias("n_te"), F.count("*").alias("texts"), F.first("n_e").alias("n_e"), F.first("n_t").alias("n_t")
+    )
+    seen = F.col("n_t") + F.when(F.col("texts") < s.support, s.support).otherwise(0)
+    told = F.log(F.col("n_te") * n / (seen * F.col("n_e"))) / F.log(n / F.col("n_e"))
+    chosen = together.withColumn("disclosure", F.round(told, 9)).where(F.col("disclosure") >= s.generalise).select(
         "entity", "term", F.when(F.col("disclosure") >= s.remove, 4).otherwise(5).alias("kind")
     )
+    return pairs.select("key", "entity", "term").join(chosen, ["entity", "term"]).groupBy("key", "term").agg(F.min("kind").alias("kind"))
+
+
+def _terms_of_texts(told: DataFrame) -> DataFrame:
+    """(key, terms): the disclosing terms of each text, at most its distinct words."""
+    return told.groupBy("key").agg(F.collect_list(F.struct("term", "kind")).alias("terms"))
+
+
+def term_spans(text: str, spans: list[tuple[int, int, int]], told: dict[str, int]) -> list[tuple[int, int, int]]:
+    """(start, kind, end) of every occurrence of the terms, outside all spans."""
+    return [(a, told[t], b) for t, a, b in _terms(text, spans) if t in told]
+
+
+def _may_have(terms: DataFrame):
+    """A column function that tells by a bitmap which digests of texts may be among (key)."""
+    bitmap = terms.sparkSession.sparkContext.broadcast(bitmap_of(terms.select(F.xxhash64("key").alias("code")), "code"))
+
+    @F.pandas_udf("boolean")
+    def may_have(codes):
+        import pandas as pd
+
+        return pd.Series(bitmap.value.holds(codes.to_numpy(dtype=np.int64)))
 
+    return bitmap, may_have
 
-def _term_spans(found: DataFrame, terms: DataFrame) -> DataFrame:
-    """(key, terms): the spans of the disclosing terms of each text."""
-    near = found.where(F.size("near") > 0).select("key", F.explode("near").alias("t")).select("key", "t.entity", "t.term", "t.start", "t.end").distinct()
-    spans = near.join(terms, ["entity", "term"]).groupBy("key", "start", "end").agg(F.min("kind").alias("kind"))
-    # at most the context words of one text
-    return spans.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("start", "kind", "end"))).alias("terms"))
+
+def _term_spans(docs: DataFrame, terms: DataFrame) -> DataFrame:
+    """(key, terms): the spans of the disclosing terms of each text that has any."""
+    _, may_have = _may_have(terms)
+    maybe = write_scratch(docs.select("key", "text").where(may_have(F.xxhash64("key"))), "maybe-terms")
+    span = pa.list_(pa.struct([("start", pa.int32()), ("kind", pa.int32()), ("end", pa.int32())]))
+
+    def run(batches):
+        for batch in sliced(batches, 256):
+            out = []
+            for text, told in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+                spans = term_spans(text, base_spans(text), {t["term"]: t["kind"] for t in told})
+                out.append([dict(zip(("start", "kind", "end"), x)) for x in spans])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, type=span)], names=["key", "terms"])
+
+    joined = maybe.join(terms, "key").select("key", "text", "terms")
+    spans = joined.mapInArrow(run, "key string, terms array<struct<start:int,kind:int,end:int>>")
+    return spans.groupBy("key").agg(F.any_value("terms").alias("terms"))
 
 
 def find_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", settings: Settings = Settings()) -> DataFrame:
     """One row per row of ``docs``: key, base and spans (arrays of start, kind as a place in KINDS, end; by start, then kind)."""
     plain = docs.select(F.col(key).alias("k"), F.md5(text_column(text)).alias("key"), text_column(text).alias("text"))
     found = write_scratch(_scan(plain, settings.reach), "spans")
-    terms = _term_spans(found, disclosing_terms(found, plain, settings))
+    told = write_scratch(_terms_of_texts(disclosing_terms(found, plain, settings)), "terms-of-texts")
+    terms = _term_spans(plain, told)
     none = F.array().cast("array<struct<start:int,kind:int,end:int>>")
     return found.join(terms, "key", "left").select(
         F.col("k").alias(key), "base", F.sort_array(F.concat("base", F.coalesce("terms", none))).alias("spans")
@@ -240,18 +304,14 @@ def sanitise(docs: DataFrame, text: str = "text", length: str | None = None, set
     """``docs`` with all their columns, spans in the text replaced; ``length`` names a column that holds the text's length."""
     plain = docs.select(F.lit(0).alias("k"), F.md5(text_column(text)).alias("key"), text_column(text).alias("text"))
     found = write_scratch(_scan(plain, settings.reach), "spans")
-    terms = write_scratch(_term_spans(found, disclosing_terms(found, plain, settings)), "term-spans")
-    # texts with such terms are few; only what may be one of them is joined, the rest is covered where it is
-    bitmap = docs.sparkSession.sparkContext.broadcast(bitmap_of(terms.select(F.xxhash64("key").alias("code")), "code"))
-
-    @F.pandas_udf("boolean")
-    def may_have(codes):
-        import pandas as pd
-
-        return pd.Series(bitmap.value.holds(codes.to_numpy(dtype=np.int64)))
-
-    def one(t, extra):
-        spans = base_spans(t) + ([(s["start"], s["kind"], s["end"]) for s in extra] if extra is not None else [])
+    terms = write_scratch(_terms_of_texts(disclosing_terms(found, plain, settings)), "terms-of-texts")
+    # only texts that may have such terms are joined, the rest is covered where it is
+    bitmap, may_have = _may_have(terms)
+
+    def one(t, told):
+        spans = base_spans(t)
+        if told is not None:
+            spans += term_spans(t, spans, {x["term"]: x["kind"] for x in told})
         return cover(t, spans) if spans else t
 
     @F.pandas_udf("string")

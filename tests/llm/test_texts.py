@@ -161,6 +161,16 @@ def test_covered_texts(spark, docs):
     assert pii.cover("abcdef", [(1, 0, 3), (2, 1, 5)]) == "a[EMAIL]f"
 
 
+def test_terms_of_entities_of_one_text(spark, docs):
+    """Each address stands in one text only; its owner's rare name discloses it all the same, common words do not."""
+    rows = [(i, f"nothing to say about plain things {i}") for i in range(300)]
+    rows += [(1000 + i, f"plain things say {name} to {name.lower()}@mail{i}.org") for i, name in enumerate(("Zorblatt", "Quimby"))]
+    got = {r.doc_id: r for r in pii.find_spans(docs(rows)).collect()}
+    for i, name in ((1000, "Zorblatt"), (1001, "Quimby")):
+        text = dict(rows)[i]
+        assert [tuple(s)[1:2] + (text[s.start:s.end],) for s in got[i].spans if s.kind > 3] == [(5, name)]
+
+
 def tiles_by_hand(a, b, least):
     """Greedy string tiling by comparing every pair of places."""
     free_a, free_b, total = [True] * len(a), [True] * len(b), 0
