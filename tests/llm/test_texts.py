@@ -171,6 +171,16 @@ def test_terms_of_entities_of_one_text(spark, docs):
         assert [tuple(s)[1:2] + (text[s.start:s.end],) for s in got[i].spans if s.kind > 3] == [(5, name)]
 
 
+def test_terms_on_other_lines_and_far_away(spark, docs):
+    rows = [(300 + i, f"Zorblatt\nnote {'filler ' * 40}\nz@secret.org\n{'filler ' * 40} by zorblatt {i}") for i in range(1, 6)]
+    rows += [(310 + i, f"note filler by none {i}") for i in range(60)]
+    for r in pii.find_spans(docs(rows)).collect():
+        text = dict(rows)[r.doc_id]
+        assert [text[s.start:s.end] for s in r.spans if s.kind > 3] == (["Zorblatt", "zorblatt"] if r.doc_id < 310 else [])
+    text = {r.doc_id: r.text for r in pii.sanitise(docs(rows), length="n_chars").collect()}
+    assert all("zorblatt" not in text[i].lower() and "[EMAIL]" in text[i] for i in range(301, 306))
+
+
 def tiles_by_hand(a, b, least):
     """Greedy string tiling by comparing every pair of places."""
     free_a, free_b, total = [True] * len(a), [True] * len(b), 0
