@@ -181,6 +181,14 @@ def test_terms_on_other_lines_and_far_away(spark, docs):
     assert all("zorblatt" not in text[i].lower() and "[EMAIL]" in text[i] for i in range(301, 306))
 
 
+def test_entities_without_words_around_them_count(spark, docs):
+    """n(e) takes rows that hold nothing but the entity, so the name tells little of it."""
+    rows = [(i, f"Zorblatt z@secret.org {i}") for i in range(3)] + [(100 + i, f"z@secret.org {i}") for i in range(40)]
+    rows += [(200 + i, f"none {i}") for i in range(40)] + [(300, "zorblatt")]
+    assert math.log(3 * 84 / (4 * 43)) / math.log(84 / 43) < 0.7 < 0.9 < math.log(3 * 84 / (4 * 3)) / math.log(84 / 3)
+    assert {s.kind for r in pii.find_spans(docs(rows)).collect() for s in r.spans} == {0}
+
+
 def tiles_by_hand(a, b, least):
     """Greedy string tiling by comparing every pair of places."""
     free_a, free_b, total = [True] * len(a), [True] * len(b), 0
