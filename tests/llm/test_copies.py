@@ -189,3 +189,32 @@ def test_appended_cut_and_replaced_copies(spark, docs):
                 copy[at] = f"new{next(fresh)}"
         rows += [(2 * group, " ".join(words)), (2 * group + 1, " ".join(copy))]
     assert grouped(near_copies.classes(docs(rows)).collect()) == by_all_pairs(rows)
+
+
+def test_copies_of_one_set_of_words_in_other_orders(spark, docs):
+    """All texts have the same words, so one fingerprint and one representative; pairs of them are copies of each other only."""
+    pick, rows = random.Random(22), []
+    words = [f"w{i}" for i in range(150)]
+    for group in range(25):
+        order = pick.sample(words, len(words))
+        swapped = list(order)
+        swapped[10], swapped[11] = swapped[11], swapped[10]
+        rows += [(2 * group, " ".join(order)), (2 * group + 1, " ".join(swapped))]
+    want = by_all_pairs(rows)
+    assert len(want) == 25
+    assert grouped(near_copies.classes(docs(rows)).collect()) == want
+
+
+def test_groups_around_a_template(spark, docs):
+    """Texts near 0.7 of each other by a shared template, some of them with a copy."""
+    pick, rows = random.Random(23), []
+    template = [f"t{i}" for i in range(250)]
+    for page in range(60):
+        own = [f"p{page}x{i}" for i in range(48)]
+        rows.append((2 * page, " ".join(template + own)))
+        if page % 3 == 0:
+            own[pick.randrange(48)] = "other"
+            rows.append((2 * page + 1, " ".join(template + own)))
+    want = by_all_pairs(rows)
+    assert len(want) == 60
+    assert grouped(near_copies.classes(docs(rows)).collect()) == want
