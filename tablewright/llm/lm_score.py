@@ -4,11 +4,13 @@ A word w after v scores c(vw) / c(v) where other texts have that pair, else ``ba
 the text itself has of the pair is taken out of all three, so that no text is scored by its own pairs. A text's score is the mean
 natural logarithm over its words; its first word follows a start symbol.
 
-The vocabulary is closed: the ``vocabulary`` most frequent words of the whole table keep their name, all others are one symbol. So the word
-counts are a table of known size, which goes to every task, while the pair counts grow with the input and are partitioned by pair: one exchange
-brings the exploded pairs of all texts together by pair, where they are counted, scored and summed per text. Pairs of two of the
+The vocabulary is open: every word has its own counts. The ``NAMED`` most frequent words have short ids and a count table of fixed size that goes to
+every task; all other words are told by 63 bits of hash, and their counts are a table partitioned by word. The pair counts are
+partitioned by pair: one exchange brings the exploded pairs of all texts together by pair, where they are counted. A pair then needs the count of one word,
+of v if another text has the pair and else of w; only pairs that need that of a rare word go through a second exchange, by that word. Pairs of two of the
 ``frequent`` most frequent words, which most texts have, would make hot partitions; they are counted on the map side, are few by
-their number of words, and are scored where the text is. A pair with a rarer word is at most as frequent as that. Texts are told apart by 128 bits of hash: copies have the same pairs and so the same mean, however many there are.
+their number of words, and are scored where the text is. A pair with a rarer word is at most as frequent as that. With a number as ``vocabulary`` only so many
+words keep their name and all others are one symbol. Texts are told apart by 128 bits of hash: copies have the same pairs and so the same mean, however many there are.
 
 Edge cases: NULL and empty texts have no words, n_words 0 and a NULL score; a text whose words no other text has is scored by
 backed-off counts of at least one; rows with a NULL doc_id are scored; repeated rows each give their row and count as other texts
@@ -25,14 +27,18 @@ from pyspark.sql import functions as F
 from tablewright.llm.common import groups_of, text_column, write_scratch
 from tablewright.llm.decontam import word_hashes
 
-#: Stupid backoff's factor, and how many words keep their name.
-BACKOFF, VOCABULARY = 0.4, 65_534
+#: Stupid backoff's factor, and how many words keep their name (None: all).
+BACKOFF, VOCABULARY = 0.4, None
+#: Words with a short id, whose counts go to every task.
+NAMED = 65_534
 #: Words whose pairs with each other are counted on the map side.
 FREQUENT = 512
 #: Logarithms are summed in units of 1 / SCALE.
 SCALE = 1 << 24
-#: Ids of the start of a text and of a word outside the vocabulary; named words follow.
+#: Ids of the start of a text and of a word without a short id; named words follow.
 START, OTHER = 0, 1
+#: Added to the last 63 bits of a rare word's hash, so that its id is negative.
+RARE = -(2**63)
 
 
 class _Hashes(dict):
@@ -46,18 +52,19 @@ class _Hashes(dict):
 
 
 class _Ids(dict):
-    """Vocabulary ids of words, remembered up to a bound."""
+    """Ids of words, remembered up to a bound: short ones, or OTHER or the hash with its first bit set for rare words."""
 
-    def __init__(self, vocabulary: dict[int, int]):
+    def __init__(self, vocabulary: dict[int, int], open_ended: bool):
         super().__init__()
-        self.vocabulary = vocabulary
+        self.vocabulary, self.open_ended = vocabulary, open_ended
 
     def __missing__(self, word: bytes) -> int:
         import xxhash
 
         if len(self) > 100_000:
             self.clear()
-        value = self[word] = self.vocabulary.get(xxhash.xxh64_intdigest(word), OTHER)
+        code = xxhash.xxh64_intdigest(word)
+        value = self[word] = self.vocabulary.get(code, code | 1 << 63 if self.open_ended else OTHER)
         return value
 
 
@@ -74,36 +81,52 @@ def word_counts(texts: DataFrame) -> DataFrame:
     return texts.select("text").mapInArrow(run, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def coded_texts(texts: DataFrame, vocabulary: dict[int, int]) -> DataFrame:
-    """(k, row, text) to (k, row, ids, n_words): each whole text as vocabulary ids, two bytes a word."""
+def coded_texts(texts: DataFrame, vocabulary: dict[int, int], open_ended: bool) -> DataFrame:
+    """(k, row, text) to (k, row, ids, rare, n_words): each whole text as ids, two bytes a word; those of rare words in order, eight bytes each."""
     shared = texts.sparkSession.sparkContext.broadcast(vocabulary)
     kind = texts.schema["k"].dataType.simpleString()
 
     def run(batches):
-        known = _Ids(shared.value)
+        known = _Ids(shared.value, open_ended)
         for batch in batches:
-            ids = [word_hashes(t, known).astype("<u2").tobytes() for t in batch.column(2).to_pylist()]
+            ids, rare = [], []
+            for t in batch.column(2).to_pylist():
+                codes = word_hashes(t, known)
+                long = codes >= np.uint64(1 << 63)
+                ids.append(np.where(long, np.uint64(OTHER), codes).astype("<u2").tobytes())
+                rare.append(codes[long].astype("<u8").tobytes())
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:2], pa.array(ids, type=pa.binary()), pa.array([len(x) // 2 for x in ids], type=pa.int64())],
-                names=["k", "row", "ids", "n_words"],
+                [*batch.columns[:2], pa.array(ids, type=pa.binary()), pa.array(rare, type=pa.binary()), pa.array([len(x) // 2 for x in ids], type=pa.int64())],
+                names=["k", "row", "ids", "rare", "n_words"],
             )
 
-    return texts.select("k", "row", "text").mapInArrow(run, f"k {kind}, row long, ids binary, n_words long")
+    return texts.select("k", "row", "text").mapInArrow(run, f"k {kind}, row long, ids binary, rare binary, n_words long")
 
 
-def _group_pairs(some: list[bytes]):
-    """Distinct pairs of each text of a group: (text, v, w, n), sorted by text."""
-    ids = [np.frombuffer(x, dtype="<u2").astype(np.int64) for x in some]
+def _group_pairs(some: list[tuple[bytes, bytes]]):
+    """Distinct pairs of each text of a group of (ids, rare): (text, v, w, n), sorted by text."""
+    ids = [np.frombuffer(x, dtype="<u2").astype(np.int64) for x, _ in some]
     sizes = np.array([len(x) for x in ids])
     w = np.concatenate(ids)
     if not len(w):
         return None
+    # rare words are numbered within the group
+    names, place = np.unique(np.concatenate([np.frombuffer(x, dtype="<i8") for _, x in some]), return_inverse=True)
+    if len(names):
+        w[w == OTHER] = NAMED + 2 + place
     of = np.repeat(np.arange(len(ids), dtype=np.int64), sizes)
     v = np.concatenate(([START], w[:-1]))
     v[(np.cumsum(sizes) - sizes)[sizes > 0]] = START
-    # one sortable number for (text, v, w): ids have 16 bits, and a group has far fewer than 2**31 texts
-    code, n = np.unique(of << 32 | v << 16 | w, return_counts=True)
-    return code >> 32, code >> 16 & 0xFFFF, code & 0xFFFF, n
+    # pairs are numbered too, which makes one sortable number of (text, v, w) for any number of words
+    pair, place = np.unique(v * (NAMED + 2 + len(names)) + w, return_inverse=True)
+    code, n = np.unique(of * len(pair) + place, return_counts=True)
+    v, w = np.divmod(pair[code % len(pair)], NAMED + 2 + len(names))
+    real = np.concatenate((np.arange(NAMED + 2), names))
+    return code // len(pair), real[v], real[w], n
+
+
+def _is_frequent(v: np.ndarray, w: np.ndarray, frequent: int) -> np.ndarray:
+    return (v >= 0) & (w >= 0) & (v < frequent + 2) & (w < frequent + 2) & (v != OTHER) & (w != OTHER)
 
 
 def frequent_pairs(coded: DataFrame, frequent: int) -> dict[int, int]:
@@ -112,25 +135,25 @@ def frequent_pairs(coded: DataFrame, frequent: int) -> dict[int, int]:
     def run(batches):
         held = np.zeros((frequent + 2) ** 2, dtype=np.int64)
         for batch in batches:
-            for some in groups_of(batch.column(0).to_pylist(), lambda x: len(x) // 2 + 1, 200_000):
+            for some in groups_of(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()), lambda x: len(x[0]) // 2 + 1, 200_000):
                 found = _group_pairs(some)
                 if found is not None:
                     _, v, w, n = found
-                    both = (v < frequent + 2) & (w < frequent + 2)
+                    both = _is_frequent(v, w, frequent)
                     np.add.at(held, v[both] * (frequent + 2) + w[both], n[both])
         at = np.flatnonzero(held)
         pair = at // (frequent + 2) << 16 | at % (frequent + 2)
         yield pa.RecordBatch.from_arrays([pa.array(pair), pa.array(held[at])], names=["pair", "n"])
 
-    rows = coded.select("ids").mapInArrow(run, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).collect()
+    rows = coded.select("ids", "rare").mapInArrow(run, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).collect()
     return {r["pair"]: r["n"] for r in rows}
 
 
 def text_pairs(coded: DataFrame, words: np.ndarray, pairs: dict[int, int], frequent: int, backoff: float, total: int) -> DataFrame:
-    """(row, ids) to (row, pair, n, s).
+    """(row, ids, rare) to (row, v, w, n, s).
 
     For pairs whose count is still open, how often the text has them; for a text's pairs of frequent words, which need no
-    table beyond the bounded ones, one row with a negative ``pair`` and the sum of their logarithms.
+    table beyond the bounded ones, one row with its ``row`` for v, -1 for n and the sum of their logarithms.
     """
     names = np.array(sorted(pairs), dtype=np.int64)
     tables = coded.sparkSession.sparkContext.broadcast((words, names, np.array([pairs[p] for p in names.tolist()], dtype=np.int64)))
@@ -139,30 +162,31 @@ def text_pairs(coded: DataFrame, words: np.ndarray, pairs: dict[int, int], frequ
         c, codes, counts = tables.value
         for batch in batches:
             rows = batch.column(0).to_numpy()
-            for some in groups_of(enumerate(batch.column(1).to_pylist()), lambda x: len(x[1]) // 2 + 1, 200_000):
+            for some in groups_of(enumerate(zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())), lambda x: len(x[1][0]) // 2 + 1, 200_000):
                 found = _group_pairs([x for _, x in some])
                 if found is None:
                     continue
                 at, v, w, n = found
                 row = rows[[i for i, _ in some]]
-                both = (v < frequent + 2) & (w < frequent + 2)
+                both = _is_frequent(v, w, frequent)
                 hot = np.searchsorted(codes, v[both] << 16 | w[both])
                 logs = np.rint(SCALE * n[both] * log_score(counts[hot], c[v[both]], c[w[both]], n[both], backoff, total))
                 sums = np.bincount(at[both], weights=logs, minlength=len(some)).astype(np.int64)
                 own, cold = np.unique(at[both]), ~both
-                pair = np.concatenate((v[cold] << 16 | w[cold], -1 - row[own]))
+                none = np.zeros(len(own), np.int64)
                 known = np.concatenate((np.ones(cold.sum(), bool), np.zeros(len(own), bool)))
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(np.concatenate((row[at[cold]], row[own]))),
-                        pa.array(pair),
-                        pa.array(np.concatenate((n[cold], np.zeros(len(own), np.int64))).astype(np.int32)),
+                        pa.array(np.concatenate((v[cold], row[own]))),
+                        pa.array(np.concatenate((w[cold], none))),
+                        pa.array(np.concatenate((n[cold], none - 1)).astype(np.int32)),
                         pa.array(np.concatenate((np.zeros(cold.sum(), np.int64), sums[own])), mask=known),
                     ],
-                    names=["row", "pair", "n", "s"],
+                    names=["row", "v", "w", "n", "s"],
                 )
 
-    return coded.select("row", "ids").mapInArrow(run, "row long, pair long, n int, s long")
+    return coded.select("row", "ids", "rare").mapInArrow(run, "row long, v long, w long, n int, s long")
 
 
 def log_score(c_vw, c_v, c_w, n, backoff: float, total: int) -> np.ndarray:
@@ -172,38 +196,39 @@ def log_score(c_vw, c_v, c_w, n, backoff: float, total: int) -> np.ndarray:
 
 
 def score_texts(
-    docs: DataFrame, key: str = "doc_id", text: str = "text", backoff: float = BACKOFF, vocabulary: int = VOCABULARY, frequent: int = FREQUENT
+    docs: DataFrame, key: str = "doc_id", text: str = "text", backoff: float = BACKOFF, vocabulary: int | None = VOCABULARY, frequent: int = FREQUENT
 ) -> DataFrame:
     """One row per row of ``docs``: key, n_words, score."""
-    if vocabulary > VOCABULARY:
-        raise ValueError(f"at most {VOCABULARY} words keep their name")
+    if vocabulary is not None and vocabulary > NAMED:
+        raise ValueError(f"a closed vocabulary has at most {NAMED} words")
     spark = docs.sparkSession
     texts = docs.select(F.col(key).alias("k"), text_column(text).alias("text"))
     counts = write_scratch(word_counts(texts), "word-counts")
-    top = counts.orderBy(F.desc("n"), "word").limit(vocabulary).collect()
+    top = counts.orderBy(F.desc("n"), "word").limit(NAMED if vocabulary is None else vocabulary).collect()
     total = max(1, counts.agg(F.sum("n")).first()[0] or 0)
     # rows are numbered in the job that writes them, so that every later job sees the same numbers
     named = {r["word"] & (2**64 - 1): i + 2 for i, r in enumerate(top)}
-    coded = write_scratch(coded_texts(texts.withColumn("row", F.monotonically_increasing_id()), named), "coded-texts")
+    coded = write_scratch(coded_texts(texts.withColumn("row", F.monotonically_increasing_id()), named, vocabulary is None), "coded-texts")
     starts = coded.where("n_words > 0").count()
     sums = [starts, total - sum(r["n"] for r in top), *(r["n"] for r in top)]
-    # at most VOCABULARY + 2 rows, so the broadcasts are bounded
-    words = F.broadcast(spark.createDataFrame(list(enumerate(sums)), "id int, c long"))
+    # at most NAMED + 2 rows, so the broadcast is bounded
+    words = F.broadcast(spark.createDataFrame(list(enumerate(sums)), "word long, c long"))
+    few = F.broadcast(spark.createDataFrame([(r["word"],) for r in top], "word long"))
+    # two words whose hashes differ in the first bit alone count as one, as their ids are one
+    rare = counts.join(few, "word", "left_anti").groupBy(F.col("word").bitwiseOR(F.lit(RARE)).alias("word")).agg(F.sum("n").alias("c"))
 
     pairs = text_pairs(coded, np.array(sums, dtype=np.int64), frequent_pairs(coded, frequent), frequent, backoff, total)
     # one exchange by pair brings the rows of a pair together, and its count with them
-    counted = pairs.withColumn("c_vw", F.sum("n").over(Window.partitionBy("pair")))
-    v = words.select(F.col("id").alias("v"), F.col("c").alias("c_v"))
-    w = words.select(F.col("id").alias("w"), F.col("c").alias("c_w"))
-    joined = (
-        counted.withColumn("v", F.when(F.col("s").isNull(), F.shiftright("pair", 16)).otherwise(0).cast("int"))
-        .withColumn("w", F.when(F.col("s").isNull(), F.col("pair").bitwiseAND(F.lit(0xFFFF))).otherwise(0).cast("int"))
-        .join(v, "v").join(w, "w")
-    )
+    counted = pairs.withColumn("c_vw", F.sum("n").over(Window.partitionBy("v", "w", F.col("s").isNull())))
     n = F.col("n")
-    seen = F.log((F.col("c_vw") - n) / (F.col("c_v") - n))
-    backed = F.log(F.lit(backoff) * F.greatest(F.col("c_w") - n, F.lit(1)) / F.lit(float(total)))
-    log = F.when(F.col("c_vw") > n, seen).otherwise(backed)
+    seen = F.col("c_vw") > n
+    needs = counted.withColumn("word", F.when(F.col("s").isNotNull(), F.lit(START)).when(seen, F.col("v")).otherwise(F.col("w")))
+    # written, so that the pairs are counted once for both kinds of words
+    needs = write_scratch(needs.select("row", "word", "n", "s", "c_vw"), "pair-counts")
+    joined = needs.where("word >= 0").join(words, "word").unionByName(needs.where("word < 0").join(rare, "word"))
+    log = F.when(seen, F.log((F.col("c_vw") - n) / (F.col("c") - n))).otherwise(
+        F.log(F.lit(backoff) * F.greatest(F.col("c") - n, F.lit(1)) / F.lit(float(total)))
+    )
     each = joined.select("row", F.when(F.col("s").isNotNull(), F.col("s")).otherwise(F.rint(n * log * SCALE).cast("long")).alias("s"))
     scores = each.groupBy("row").agg(F.sum("s").alias("s"))
     mean = F.col("s") / (F.lit(float(SCALE)) * F.col("n_words"))

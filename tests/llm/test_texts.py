@@ -325,3 +325,20 @@ def test_scores_by_counting(spark, docs, vocabulary, frequent):
         assert have[:2] == due[:2] and have[2] == (None if due[2] is None else pytest.approx(due[2], abs=2e-6))
     assert len(got) == len(want)
     assert lm_score.score_texts(docs([]).limit(0)).collect() == []
+
+
+def test_rare_words_keep_their_counts(spark, docs, monkeypatch):
+    """With only four short ids every other word still has counts of its own."""
+    monkeypatch.setattr(lm_score, "NAMED", 4)
+    pick = random.Random(16)
+    rows = [(i, " ".join(pick.choices([f"w{k}" for k in range(60)], k=40))) for i in range(30)] + [(99, "never seen words"), (98, None)]
+    split = [words(t) for _, t in rows]
+    one, two = Counter(w for x in split for w in x), Counter(p for x in split for p in zip(["", *x], x))
+    one[""], total = sum(bool(x) for x in split), sum(len(x) for x in split)
+    got = {r.doc_id: r for r in lm_score.score_texts(docs(rows), frequent=2).collect()}
+    for (i, _), x in zip(rows, split):
+        s = 0.0
+        for (v, w), n in Counter(zip(["", *x], x)).items():
+            seen = two[v, w] - n
+            s += n * math.log(seen / (one[v] - n) if seen else lm_score.BACKOFF * max(1, one[w] - n) / total)
+        assert got[i].score == (pytest.approx(s / len(x), abs=2e-6) if x else None)
