@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewright.llm import byte_bpe, chat, decontam, licenses, lm_score, neighbours, pii, simhash, token_counts, toxicity
+from tablewright.llm import byte_bpe, chat, decontam, licenses, lm_score, neighbours, pii, runs, simhash, token_counts, toxicity
 from tablewright.llm.common import ship, table
 from tablewright.session import prepare
 
@@ -184,3 +184,20 @@ def op9_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.report(pii.find_spans(table(spark, sf_dir, "documents")))
+
+
+def looped(docs: DataFrame) -> DataFrame:
+    """documents, the words of every text whose doc_id has a crc32 divisible by 10 made to repeat from some word on."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    chosen = F.when(h % 10 == 0, F.array_remove(F.split("text", r"[\x20\x09-\x0D]+"), ""))
+    told = docs.select("doc_id", "text", chosen.alias("words"), F.floor(h / 10).alias("g"))
+    told = told.withColumn("n", F.size("words")).withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.col("n")).cast("int"))
+    told = told.withColumn("p", (1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8))).cast("int"))
+    times = F.ceil((F.col("n") - F.col("a")) / F.col("p")).cast("int")
+    again = F.concat(F.slice("words", 1, F.col("a")), F.flatten(F.array_repeat(F.slice("words", F.col("a") + 1, F.col("p")), times)))
+    return told.select("doc_id", F.when(F.col("n") > 0, F.array_join(F.slice(again, 1, F.col("n")), " ")).otherwise(F.col("text")).alias("text"))
+
+
+@query()
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs.report(runs.find_runs(looped(table(spark, sf_dir, "documents"))))
