@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewright.llm import byte_bpe, chat, decontam, licenses, lm_score, neighbours, pii, runs, simhash, token_counts, toxicity
+from tablewright.llm import byte_bpe, chat, decontam, licenses, lm_score, mixing, neighbours, pii, runs, simhash, token_counts, toxicity
 from tablewright.llm.common import ship, table
 from tablewright.session import prepare
 
@@ -186,6 +186,41 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.report(pii.find_spans(table(spark, sf_dir, "documents")))
 
 
+@query(r"""
+WITH sized AS (
+    SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size FROM documents
+), laid AS (
+    SELECT *, ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '') || '/' || size), 1, 15))::BIGINT AS h FROM sized
+), sources AS (
+    SELECT source, sum(size)::BIGINT AS words, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS no FROM laid GROUP BY source
+), weighed AS (SELECT *, [3, 1, 2][(no % 3 + 1)::BIGINT] AS w, 2 * words AS cap FROM sources
+), summed AS (
+    -- sources in the order in which they stop at twice their words
+    SELECT *, cap * (6 // w) AS due,
+        coalesce(sum(cap) OVER before, 0)::BIGINT AS cap_before, coalesce(sum(w) OVER before, 0)::BIGINT AS w_before
+    FROM weighed
+    WINDOW before AS (ORDER BY cap * (6 // w), no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+), shared AS (
+    SELECT *, (SELECT sum(words) FROM sources)::BIGINT * 3 - cap_before * 2 AS num, ((SELECT sum(w) FROM weighed) - w_before)::BIGINT * 2 AS den
+    FROM summed
+), level AS (SELECT num, den FROM shared WHERE cap::HUGEINT * den >= w::HUGEINT * num ORDER BY due, no LIMIT 1
+), goals AS (
+    SELECT source, words, least(cap::DOUBLE, (w * num)::DOUBLE / den::DOUBLE) AS target
+    FROM (SELECT source, words, cap, w FROM weighed), level
+), placed AS (
+    SELECT laid.*, words AS source_size, target, coalesce(sum(size) OVER (
+        PARTITION BY laid.source ORDER BY h, doc_id NULLS FIRST, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS pos
+    FROM laid JOIN goals ON laid.source IS NOT DISTINCT FROM goals.source
+)
+-- a row is drawn once for each round whose target lies beyond its middle
+SELECT doc_id, size, source_size, target,
+    (size * ((pos * 2 + size < target * 2)::INT + ((pos + source_size) * 2 + size < target * 2)::INT))::BIGINT AS taken
+FROM placed
+""")
+def op12_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.report(mixing.mix(table(spark, sf_dir, "documents")))
+
+
 def looped(docs: DataFrame) -> DataFrame:
     """documents, the words of every text whose doc_id has a crc32 divisible by 10 made to repeat from some word on."""
     h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
