@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewright.llm import byte_bpe, chat, decontam, licenses, lm_score, mixing, neighbours, pii, runs, simhash, token_counts, toxicity
+from tablewright.llm import byte_bpe, chat, decontam, hard_negatives, licenses, lm_score, mixing, neighbours, pii, runs, simhash, token_counts, toxicity
 from tablewright.llm.common import ship, table
 from tablewright.session import prepare
 
@@ -186,6 +186,35 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.report(pii.find_spans(table(spark, sf_dir, "documents")))
 
 
+@query("""
+WITH fine AS (
+    SELECT DISTINCT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+        [floor(256 * x::DOUBLE) FOR x IN embedding] AS v
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+        AND len([x FOR x IN embedding IF x IS NOT NULL AND isfinite(x)]) = len(embedding)
+), scored AS (
+    SELECT a.id AS anchor, a.label AS own, b.id, b.label, list_dot_product(a.v, b.v)::BIGINT AS score
+    FROM fine a JOIN fine b ON a.id % 100 = 0 AND b.id <> a.id
+), likes AS (
+    SELECT *, row_number() OVER (PARTITION BY anchor ORDER BY score DESC, id) AS nth FROM scored WHERE own = label QUALIFY nth <= 5
+)
+SELECT likes.anchor AS anchor_id, likes.id AS positive_id,
+    row_number() OVER (PARTITION BY likes.anchor, likes.id ORDER BY scored.score DESC, scored.id)::INTEGER AS rank,
+    scored.id AS negative_id, likes.score AS positive_score, scored.score AS negative_score
+FROM likes JOIN scored ON scored.anchor = likes.anchor AND scored.label <> scored.own
+    AND 30 * likes.score <= 100 * scored.score AND 100 * scored.score <= 90 * likes.score
+QUALIFY rank <= 10
+""")
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    shifted = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    found = hard_negatives.mine(table(spark, sf_dir, "embeddings").withColumn("label", shifted), F.col("id") % 100 == 0)
+    return found.select(
+        F.col("anchor").alias("anchor_id"), F.col("positive").alias("positive_id"), "rank", F.col("negative").alias("negative_id"),
+        "positive_score", "negative_score",
+    )
+
+
 @query(r"""
 WITH sized AS (
     SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size FROM documents
