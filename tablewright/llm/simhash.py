@@ -10,7 +10,8 @@ What a node found leaves it as a spanning forest, not as pairs, and `components`
 
 Edge cases: NULL, empty and blank texts have fingerprint zero, which is linked like any other; fewer words than a shingle
 make one shingle of all; rows with a NULL doc_id are kept (component_id is NULL only if its whole component has no
-doc_id); repeated rows each give their row; extra columns are left out; a table without rows gives no rows.
+doc_id); repeated rows each give their row; extra columns are left out; a table without rows gives no rows. `keep_one` keeps all
+columns, and of a group the row with the smallest doc_id (rows without doc_id come last, then by digest of the text), of rows equal in both one.
 """
 
 from __future__ import annotations
@@ -257,3 +258,24 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
     # first the fingerprints get their component's id, one row each; only then the documents theirs
     ids = named.join(lowest, "component").select("fp", "component_id")
     return marked.join(ids, "fp", "left").select(F.col("k").alias(key), "fp", "component_id")
+
+
+def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 3, distance: int = 2) -> DataFrame:
+    """The rows of ``docs`` with all their columns, one of each group of texts whose fingerprints links lead to."""
+    digest = F.md5(text_column(text).cast("binary"))
+    row = F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("id"), digest.alias("digest"))
+    found = write_scratch(near_duplicates(docs.select(row.alias("row"), F.col(text).alias("text")), "row", "text", shingle, distance), "simhash-groups")
+    # rows that equal each other in both are counted here, so that only they need to be looked at as a whole
+    kept = found.where(F.col("row") == F.col("component_id")).groupBy("row").agg(F.count("*").alias("times"))
+    kept = write_scratch(kept.select("row.id", "row.digest", "times"), "simhash-kept")
+    own = "digest"
+    while own in map(str.lower, docs.columns):
+        own += "_"
+
+    def among(rows: DataFrame) -> DataFrame:
+        # columns are named by their frame, so that no name of theirs can clash
+        told = docs.withColumn(own, F.md5(text_column(text).cast("binary")))
+        return told.join(rows, told[key].eqNullSafe(rows["id"]) & (told[own] == rows["digest"]), "left_semi")
+
+    single = among(kept.where("times = 1")).drop(own)
+    return single.union(among(kept.where("times > 1")).dropDuplicates([key, own]).drop(own))
