@@ -1,4 +1,4 @@
-"""A corpus from documents to token ids: toxic texts go, of near copies one stays, benchmark texts go, personal data is covered, and what is left is encoded.
+"""A corpus from documents to token ids: toxic texts go, of SimHash near-duplicates one stays, benchmark texts go, personal data is covered, and what is left is encoded.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; `run` writes each stage's result as Parquet to the shared scratch
 folder and reads it again for the next. Rows with NULL text or doc_id and repeated rows go through all stages by the rules of the
@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tablewright.llm import byte_bpe, decontam, near_copies, pii, toxicity
+from tablewright.llm import byte_bpe, decontam, pii, simhash, toxicity
 from tablewright.llm.common import ship, table
 from tablewright.session import prepare
 from tablewright.sources.scratch import scratch_path
@@ -27,9 +27,9 @@ def toxic_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """SimHash near-duplicates: one document of each group stays, the one with the smallest doc_id."""
+    """SimHash near-duplicates (shingles of three words, at most two bits apart): of each group the document with the smallest doc_id stays."""
     _ready(spark)
-    return near_copies.keep_one(docs)
+    return simhash.keep_one(docs, shingle=3, distance=2)
 
 
 def benchmark_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
