@@ -8,6 +8,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tablewright.operators.automata import CHUNK, scan_states
 from tablewright.operators.numbering import adjacent
 
 
@@ -96,6 +97,35 @@ def status_flow_audit(
     return near.groupBy(key).agg(F.count("*").alias("steps"), F.count(F.when(~fine, 1)).alias("violations"))
 
 
+def status_flow_machine(
+    df: DataFrame, key: str, order: Sequence[str], state: str, allowed: Sequence[tuple[str | None, str]], chunk: int = CHUNK
+) -> DataFrame:
+    """(key, steps, violations, reached): each step judged from the state that was really reached; a wrong step does not move on.
+
+    The states form a machine whose moves are ``allowed`` (from, to); from None is where every key begins, and ``reached`` is NULL for a key that never got on.
+    """
+    names = sorted({name for pair in allowed for name in pair if name is not None})
+    number = {None: 0} | {name: i + 1 for i, name in enumerate(names)}
+    moves = [F.lit(number[before] * (len(names) + 1) + number[after]) for before, after in allowed]
+    known = F.create_map(*[x for name in names for x in (F.lit(name), F.lit(number[name]))])
+    # a state no move leads to is a wrong step wherever it comes
+    rows = df.select(key, *order, F.coalesce(F.try_element_at(known, F.col(state)), F.lit(-1)).alias("_to"), F.lit(0).alias("_start"))
+
+    def fine(now: Column, to: Column) -> Column:
+        return (to > 0) & F.array_contains(F.array(*moves), now * (len(names) + 1) + to)
+
+    def step(now: Column, e: Column) -> Column:
+        return F.when(fine(now, e["_to"]), e["_to"]).otherwise(now)
+
+    found = scan_states(rows, [key], list(order), len(names) + 1, "_start", step, "_now", chunk=chunk)
+    judged = found.withColumn("_fine", fine(F.col("_now"), F.col("_to")))
+    after = F.when(F.col("_fine"), F.col("_to")).otherwise(F.col("_now"))
+    told = judged.groupBy(key).agg(
+        F.count("*").alias("steps"), F.count(F.when(~F.col("_fine"), 1)).alias("violations"), F.max_by(after, F.struct(*order)).alias("_last")
+    )
+    return told.select(key, "steps", "violations", F.get(F.array(F.lit(None).cast("string"), *[F.lit(n) for n in names]), F.col("_last")).alias("reached"))
+
+
 # comments, scripts and styles hold no tags
 _NO_TAGS = r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>"
 # a name, and a value in double quotes, in single quotes or bare
