@@ -109,6 +109,20 @@ def status_flow_audit(t):
     return ct.status_flow_audit(t.events, "user_id", ["ts", "event_id"], "event_type", ALLOWED)
 
 
+@query("""
+WITH RECURSIVE moves(a, b) AS (VALUES ('', 'signup'), ('signup', 'view'), ('view', 'click'), ('view', 'view'), ('click', 'purchase'), ('purchase', 'view')),
+ steps AS (SELECT user_id, event_type, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS pos FROM events),
+ walk AS (
+  SELECT DISTINCT user_id, CAST(0 AS BIGINT) AS pos, '' AS now, false AS wrong FROM events
+  UNION ALL
+  SELECT w.user_id, w.pos + 1, coalesce(m.b, w.now), m.b IS NULL
+  FROM walk w JOIN steps s ON s.user_id = w.user_id AND s.pos = w.pos + 1 LEFT JOIN moves m ON m.a = w.now AND m.b = s.event_type)
+SELECT user_id, max(pos) AS steps, count(*) FILTER (WHERE wrong) AS violations, nullif(arg_max(now, pos), '') AS reached FROM walk GROUP BY user_id
+""")
+def status_flow_machine(t):
+    return ct.status_flow_machine(t.events, "user_id", ["ts", "event_id"], "event_type", ALLOWED)
+
+
 # another way than the library's: comments and scripts cut out, the rest split at every tag, names and values at the quotes
 TAGS = r"""
 pieces AS (SELECT page_id, list_filter(string_split(regexp_replace(html, '(?s)<!--.*?-->|<script>.*?</script>|<style>.*?</style>', '', 'g'), '<'),

@@ -341,6 +341,50 @@ def rule_max_active(t):
     return codes(flagged).select("o_orderkey", "broken")
 
 
+# urgent orders arrive, high ones are flipped, medium ones go away; owners stay, so customers can be walked through apart
+@query("""
+WITH RECURSIVE stored AS (
+  SELECT o_custkey, count(*) AS n FROM orders WHERE o_orderstatus = 'O' AND o_orderpriority <> '1-URGENT' GROUP BY 1),
+ feed AS (SELECT o_custkey, o_orderkey AS seq, o_orderpriority <> '3-MEDIUM' AS gated,
+    CASE o_orderpriority WHEN '1-URGENT' THEN 1 WHEN '2-HIGH' THEN -1 ELSE -1 END * CAST(o_orderstatus = 'O' AS INT)
+      + CAST(o_orderpriority = '2-HIGH' AND o_orderstatus <> 'O' AS INT) AS delta,
+    row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS pos
+  FROM orders WHERE o_orderpriority IN ('1-URGENT', '2-HIGH', '3-MEDIUM')),
+ walk AS (
+  SELECT c_custkey AS o_custkey, CAST(1 AS BIGINT) AS pos, coalesce(n, 0) AS held FROM customer LEFT JOIN stored ON o_custkey = c_custkey
+  UNION ALL
+  SELECT o_custkey, pos + 1, CASE WHEN gated AND held >= 4 THEN held ELSE greatest(held + delta, 0) END FROM walk JOIN feed USING (o_custkey, pos))
+SELECT seq, CASE WHEN gated AND held >= 4 THEN 'max_active' ELSE '' END AS broken FROM feed JOIN walk USING (o_custkey, pos)
+""")
+def rule_max_active_feed(t):
+    """The limit over a batch of inserts, updates and deletes, each judged by what the ones before it left."""
+    row = F.struct("o_orderkey", "o_custkey", "o_orderstatus")
+    flipped = F.struct("o_orderkey", "o_custkey", F.when(F.col("o_orderstatus") == "O", "F").otherwise("O").alias("o_orderstatus"))
+    nothing = F.lit(None).cast("struct<o_orderkey:bigint,o_custkey:bigint,o_orderstatus:string>")
+    kind = F.col("o_orderpriority")
+    feed = t.orders.filter(kind.isin("1-URGENT", "2-HIGH", "3-MEDIUM")).select(
+        F.col("o_orderkey").alias("seq"),
+        F.when(kind == "1-URGENT", "insert").when(kind == "2-HIGH", "update").otherwise("delete").alias("op"),
+        F.when(kind != "1-URGENT", row).otherwise(nothing).alias("old"),
+        F.when(kind == "1-URGENT", row).when(kind == "2-HIGH", flipped).otherwise(nothing).alias("new"),
+    )
+    flagged = rl.rule_max_active_feed(feed, _base(t), "o_custkey", lambda r: r["o_orderstatus"] == "O", limit=4)
+    return codes(flagged).select("seq", "broken")
+
+
+@query(f"""
+WITH {LOANS}, judged AS (SELECT concat_ws(',', CASE WHEN start > DATE '{AS_OF}' THEN '1' END,
+  CASE WHEN finish < DATE '{AS_OF}' AND active THEN '2' END, CASE WHEN finish < start THEN '3' END) AS broken, finish FROM loans)
+SELECT broken, count(*) AS n, max(finish) AS latest, (SELECT count(*) FROM judged WHERE broken = '') AS valid FROM judged GROUP BY broken
+""")
+def rule_dates_split(t):
+    """Valid and rejected loans written in one pass, each part read again on its own."""
+    valid, rejected, counts = rl.split_once(rl.rule_dates(t.loans, "start", "finish", F.col("active"), as_of()).select("finish", rl.BROKEN))
+    both = valid.withColumn(rl.BROKEN, F.array().cast("array<string>")).unionByName(rejected)
+    told = codes(both).groupBy("broken").agg(F.count("*").alias("n"), F.max("finish").alias("latest"))
+    return told.withColumn("valid", F.lit(counts["valid"]).cast("bigint"))
+
+
 @query("""
 SELECT o_orderkey AS seq, CASE WHEN o_orderstatus <> 'O' THEN 'reactivated' ELSE '' END AS broken
 FROM orders WHERE o_orderpriority = '2-HIGH'
