@@ -28,11 +28,37 @@ def signed_rows(feed: DataFrame) -> DataFrame:
     )
 
 
+def net_changes(feed: DataFrame, key: str) -> DataFrame:
+    """(key, row): what a batch leaves of each key it touches; ``row`` is NULL where the key is gone at the end.
+
+    A key may change several times in a batch; its changes count in the order of ``seq``. The job ends with an error where they can't
+    follow each other (two inserts of a key, or two deletes), or where a feed without ``seq`` changes a key more than once. Each key is one row of sums and
+    extremes combined on the map side, however often it changes.
+    """
+    ordered = "seq" in feed.columns
+    seq = F.col("seq") if ordered else F.lit(0)
+    both = F.array(
+        F.struct(seq.alias("seq"), F.lit(-1).alias("sign"), F.col("old").alias("row")), F.struct(seq.alias("seq"), F.lit(1).alias("sign"), F.col("new").alias("row"))
+    )
+    signed = feed.select(F.explode(both).alias("c")).filter(F.col("c.row").isNotNull()).select(F.col(f"c.row.{key}").alias(key), "c.*")
+    at = F.struct("seq", "sign")
+    net = signed.groupBy(key).agg(
+        F.sum("sign").alias("_sum"), F.count("*").alias("_n"), F.min_by("sign", at).alias("_first"), F.max_by(F.struct("sign", "row"), at).alias("_last")
+    )
+    # removals and arrivals take turns, so their sum is the first one's sign, or zero if the last one is of the other kind
+    fits = F.col("_sum") == F.when(F.col("_first") == F.col("_last.sign"), F.col("_first")).otherwise(0)
+    if not ordered:
+        fits = fits & (F.col("_n") <= 2) & ~((F.col("_n") == 2) & (F.col("_sum") != 0))
+    message = F.concat(F.lit("changes do not follow each other for key "), F.coalesce(F.col(key).cast("string"), F.lit("NULL")))
+    checked = F.when(fits, F.col("_last.sign")).otherwise(F.raise_error(message).cast("int"))
+    return net.select(key, F.when(checked > 0, F.col("_last.row")).alias("row"))
+
+
 def apply_changes(base: DataFrame, feed: DataFrame, key: str) -> DataFrame:
-    """The table after the batch; at most one change per key and batch."""
-    gone = feed.filter(F.col("old").isNotNull()).select(F.col(f"old.{key}").alias(key))
-    arrived = feed.filter(F.col("new").isNotNull()).select("new.*")
-    return base.join(gone, key, "left_anti").select(*base.columns).unionByName(arrived.select(*base.columns))
+    """The table after the batch, in which a key may change several times (see ``net_changes``)."""
+    net = net_changes(feed, key)
+    arrived = net.filter(F.col("row").isNotNull()).select("row.*")
+    return base.join(net.select(key), key, "left_anti").select(*base.columns).unionByName(arrived.select(*base.columns))
 
 
 def _deltas(feed: DataFrame, **measures: Column) -> Column:

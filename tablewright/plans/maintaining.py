@@ -10,7 +10,7 @@ from tablewright.plans.registry import query
 from tablewright.plans.scalars import NAME_PATTERN_SQL, TITLES, titles
 from tablewright.sources.scratch import scratch_path, write_scratch
 from tablewright.sources.trial import AS_OF
-from tablewright.streaming import feeds, keeping
+from tablewright.streaming import feeds, keeping, keyed
 from tablewright.streaming import totals as st
 
 
@@ -163,6 +163,72 @@ def inc_denormalised_copy(t):
     )
 
 
+# a feed with several changes of a key: medium orders go away and come back as finished ones of the next customer, low ones are changed twice;
+# customers of BUILDING are renamed twice, those of MACHINERY go away
+@query("""
+WITH facts AS (
+  SELECT o_orderkey, CASE o_orderpriority WHEN '3-MEDIUM' THEN o_custkey + 1 ELSE o_custkey END AS o_custkey,
+    CASE o_orderpriority WHEN '3-MEDIUM' THEN 'F' WHEN '5-LOW' THEN 'X' ELSE o_orderstatus END AS o_orderstatus,
+    CAST(o_orderdate AS DATE) + CASE o_orderpriority WHEN '5-LOW' THEN 2 ELSE 0 END AS o_orderdate
+  FROM orders WHERE o_orderpriority <> '2-HIGH')
+SELECT o_orderkey, CASE c_mktsegment WHEN 'BUILDING' THEN upper(c_name) || '!' ELSE c_name END AS person, o_orderdate, o_orderstatus
+FROM facts JOIN customer ON o_custkey = c_custkey WHERE c_mktsegment <> 'MACHINERY'
+""")
+def stream_copy_renamed(t):
+    """The readable copy merged on read, over a stream in which keys change several times and people are renamed or go away."""
+    row = ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate"]
+    orders = t.dated_orders.select(*row, "o_orderpriority")
+    of = F.col("o_orderpriority")
+    first = F.struct(*row)
+    moved = F.struct("o_orderkey", (F.col("o_custkey") + 1).alias("o_custkey"), F.lit("F").alias("o_orderstatus"), "o_orderdate")
+    later = [F.struct("o_orderkey", "o_custkey", F.lit("X").alias("o_orderstatus"), F.date_add("o_orderdate", n).alias("o_orderdate")) for n in (1, 2)]
+    fact, name = "struct<o_orderkey:bigint,o_custkey:bigint,o_orderstatus:string,o_orderdate:date>", "struct<o_custkey:bigint,person:string>"
+
+    def change(seq, old, new):
+        return F.struct(F.lit(seq).alias("seq"), *[F.lit(None).cast(kind).alias(c) if v is None else v.alias(c) for c, v, kind in old + new])
+
+    def of_fact(seq, old, new):
+        nobody = [("old_person", None, name)], [("new_person", None, name)]
+        return change(seq, [("old", old, fact), *nobody[0]], [("new", new, fact), *nobody[1]])
+
+    def of_person(seq, old, new):
+        nothing = [("old", None, fact)], [("new", None, fact)]
+        return change(seq, [*nothing[0], ("old_person", old, name)], [*nothing[1], ("new_person", new, name)])
+
+    order_feed = orders.select(F.explode(
+        F.when(of == "2-HIGH", F.array(of_fact(1, first, None)))
+        .when(of == "3-MEDIUM", F.array(of_fact(1, first, None), of_fact(2, None, moved)))
+        .when(of == "5-LOW", F.array(of_fact(1, first, later[0]), of_fact(2, later[0], later[1])))
+    ).alias("c")).select("c.*")
+    people = t.customer.select(F.col("c_custkey").alias("o_custkey"), F.col("c_name").alias("person"), "c_mktsegment")
+    was = F.struct("o_custkey", "person")
+    named = [F.struct("o_custkey", n.alias("person")) for n in (F.upper("person"), F.concat(F.upper("person"), F.lit("!")))]
+    people_feed = people.select(F.explode(
+        F.when(F.col("c_mktsegment") == "BUILDING", F.array(of_person(1, was, named[0]), of_person(2, named[0], named[1])))
+        .when(F.col("c_mktsegment") == "MACHINERY", F.array(of_person(1, was, None)))
+    ).alias("c")).select("c.*")
+    # all changes of a key are in one batch
+    feed = order_feed.unionByName(people_feed).withColumn("at", F.coalesce("old.o_orderkey", "new.o_orderkey", "old_person.o_custkey"))
+    path = scratch_path(t.spark, "feed")
+    feed.repartition(3, "at").write.parquet(path)
+    stream = feeds.table_stream(t.spark, path, t.spark.read.parquet(path).schema, files_per_batch=1)
+
+    place = scratch_path(t.spark, "keyed")
+    base, names = orders.select(*row), people.select("o_custkey", "person")
+    tables = [
+        keyed.KeyedTable(t.spark, f"{place}/{folder}", key, df.schema, buckets=4, every=2).create(df)
+        for folder, key, df in (("facts", "o_orderkey", base), ("people", "o_custkey", names), ("copy", "o_orderkey", _readable(names)(base)))
+    ]
+
+    def step(batch, batch_id):
+        facts = ch.net_changes(batch.select("seq", "old", "new"), "o_orderkey")
+        persons = ch.net_changes(batch.select("seq", F.col("old_person").alias("old"), F.col("new_person").alias("new")), "o_custkey")
+        keyed.keep_copy(*tables, "o_custkey", lambda rows, known: _readable(known)(rows), batch_id, facts, persons)
+
+    keyed.keep_tables(stream, tables, step, f"{place}/checkpoint")
+    return tables[2].read()
+
+
 LAST_VISITS = f"""
 WITH {AFTER}
 SELECT c_custkey AS o_custkey, (SELECT max(o_orderdate) FROM after WHERE after.o_custkey = c_custkey) AS last_visit FROM customer"""

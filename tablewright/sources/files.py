@@ -23,3 +23,9 @@ def is_file(spark: SparkSession, path: str) -> bool:
 def child_names(spark: SparkSession, path: str) -> list[str]:
     where, fs = _at(spark, path)
     return [status.getPath().getName() for status in fs.listStatus(where)] if fs.exists(where) else []
+
+
+def drop(spark: SparkSession, path: str) -> None:
+    """Delete a folder of this library's own making, with all it holds."""
+    where, fs = _at(spark, path)
+    fs.delete(where, True)

@@ -2,7 +2,8 @@
 
 States are named tables. Those after micro-batch N lie in the folder batch=N, written whole from the states in batch=N-1 and the
 batch's own changes; the states to start from are batch=-1. A replayed batch reads the same states and writes the same folder
-again, so no change counts twice.
+again, so no change counts twice. Once a batch is finished, the folders before the one it read are dropped, as a query only ever
+replays its last batch; the states to start from stay. For large tables see `streaming.keyed`, which writes what a batch changes and not the whole.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tablewright.sources.files import child_names, exists
+from tablewright.sources.files import child_names, drop, exists
 from tablewright.streaming.feeds import run_available
 
 _BATCH = "batch="
@@ -49,6 +50,9 @@ def keep(feed: DataFrame, states: States, step: Callable[[dict[str, DataFrame],
         batch = batch.persist()
         try:
             _write(step(present, batch), f"{state_dir}/{_BATCH}{batch_id}")
+            for name in child_names(batch.sparkSession, state_dir):
+                if name.startswith(_BATCH) and 0 <= int(name.removeprefix(_BATCH)) < batch_id - 1:
+                    drop(batch.sparkSession, f"{state_dir}/{name}")
         finally:
             batch.unpersist()
 
