@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from tablewright.operators import nested as ns
 from tablewright.operators.trees import tree_flatten as flatten
+from tablewright.operators.trees import tree_preorder as preorder
 from tablewright.plans.registry import query
 
 # regions as enterprises, nations as departments, customers as employees
@@ -141,6 +142,22 @@ SELECT row_number() OVER (ORDER BY a, b NULLS FIRST, c NULLS FIRST) - 1 AS posit
 FROM nodes
 """)
 def tree_flatten(t):
+    return flatten(_places(t), "node", "parent", "ordinal", "name", "count")
+
+
+@query("""
+WITH nodes AS (
+  SELECT 'r' || r_regionkey AS node, r_regionkey AS a, NULL AS b, NULL AS c, 0 AS depth FROM region
+  UNION ALL SELECT 'n' || n_nationkey, n_regionkey, n_nationkey, NULL, 1 FROM nation
+  UNION ALL SELECT 's' || s_suppkey, n_regionkey, n_nationkey, s_suppkey, 2 FROM supplier JOIN nation ON s_nationkey = n_nationkey)
+SELECT node, row_number() OVER (ORDER BY a, b NULLS FIRST, c NULLS FIRST) - 1 AS position, CAST(depth AS INTEGER) AS depth, CAST(NULL AS VARCHAR) AS fault FROM nodes
+""")
+def tree_preorder(t):
+    return preorder(_places(t), "node", "parent", "ordinal")
+
+
+def _places(t):
+    """Regions, nations and suppliers as one tree."""
     nations = t.nation.groupBy("n_regionkey").agg(F.count("*").alias("count"))
     suppliers = t.supplier.groupBy("s_nationkey").agg(F.count("*").alias("count"))
     edges = (
@@ -159,4 +176,4 @@ def tree_flatten(t):
             F.col("s_suppkey").alias("ordinal"), F.col("s_name").alias("name"), F.lit(1).cast("bigint").alias("count"),
         ))
     )
-    return flatten(edges, "node", "parent", "ordinal", "name", "count")
+    return edges

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tablewright.operators import nested as ns
-from tablewright.operators.trees import tree_flatten
+from tablewright.operators.trees import tree_flatten, tree_preorder
 
 SCHEMA = "id bigint, name string, departments array<struct<id:bigint,name:string,employees_count:bigint>>"
 
@@ -125,3 +125,46 @@ def test_chain_of_a_thousand_nodes(spark):
     df = spark.range(1000).selectExpr("id AS n", "CASE WHEN id > 0 THEN id - 1 END AS p", "id AS o", "'x' AS name", "1L AS c")
     done = tree_flatten(df, "n", "p", "o", "name", "c").orderBy("position")
     assert [r.depth for r in done.select("depth").collect()] == list(range(1000))
+
+
+def by_hand(parent, ordinal):
+    """(node, position, depth, fault) by walking down from the roots; what is not reached is an orphan's or a cycle's."""
+    below, order = {}, []
+    for n, p in parent.items():
+        below.setdefault(p, []).append(n)
+    todo = [(n, 0) for n in sorted(below.get(None, []), key=lambda n: (ordinal[n], n), reverse=True)]
+    while todo:
+        n, depth = todo.pop()
+        order.append((n, len(order), depth, None))
+        todo += [(k, depth + 1) for k in sorted(below.get(n, []), key=lambda n: (ordinal[n], n), reverse=True)]
+    for n in parent.keys() - {r[0] for r in order}:
+        seen, at = set(), n
+        while at in parent and at not in seen:
+            seen.add(at)
+            at = parent[at]
+        order.append((n, None, None, "cycle" if at in seen else "orphan"))
+    return sorted(order)
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_preorder_by_list_ranking(spark, rows, seed):
+    """Several roots, a hot parent, chains, equal ordinals, orphans with all below them, a cycle with what hangs on it."""
+    pick = random.Random(seed)
+    parent = {n: (None if n < 3 else 5 if n % 3 == 0 else n - 1 if n < 40 else pick.randrange(n)) for n in range(120)}
+    parent |= {200: 999, 201: 200, 202: 999, 203: 201, 300: 301, 301: 302, 302: 300, 303: 301, 304: 303}
+    parent[3] = 2
+    ordinal = {n: pick.randrange(4) for n in parent}
+    df = spark.createDataFrame([(n, p, ordinal[n]) for n, p in parent.items()], "n bigint, p bigint, o int").repartition(3)
+    assert rows(tree_preorder(df, "n", "p", "o")) == by_hand(parent, ordinal)
+    texts = df.selectExpr("concat('t', n) AS n", "concat('t', p) AS p", "o")
+    assert tree_preorder(texts, "n", "p", "o").filter("fault is null").count() == 120
+    with pytest.raises(Exception, match="node repeats"):
+        tree_preorder(df.unionByName(df.limit(1)), "n", "p", "o").collect()
+    assert tree_preorder(df.limit(0), "n", "p", "o").collect() == []
+
+
+def test_preorder_of_a_long_chain(spark):
+    """Every node's row stays as small as that of a flat tree, so depth costs rounds and not memory."""
+    df = spark.range(4000).selectExpr("id AS n", "CASE WHEN id > 0 THEN id - 1 END AS p", "0 AS o")
+    found = tree_preorder(df, "n", "p", "o").collect()
+    assert sorted((r.node, r.position, r.depth) for r in found) == [(i, i, i) for i in range(4000)]
