@@ -198,3 +198,24 @@ def inc_genre_count(
     )
     deltas = linked.unionByName(lost).groupBy(genre).agg(F.sum("_delta").alias("_delta"))
     return _add_deltas(state, deltas, genre, out)
+
+
+def link_changes(links: DataFrame, batch: DataFrame, lost: DataFrame, book: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(links added, links removed, all books lost so far) of a batch of link inserts, link deletes and drops of books (op drop, the book in ``new``).
+
+    A dropped book takes its links along, and links to it that still arrive are refused, whatever their order; a link that is there already is not added
+    again, and one that is gone is not removed again, so repeated events change nothing.
+    """
+    names = links.columns
+    come = batch.filter("op = 'insert'").select(*[F.col(f"new.{c}").alias(c) for c in names]).distinct()
+    cut = batch.filter("op = 'delete'").select(*[F.col(f"old.{c}").alias(c) for c in names]).distinct()
+    dropped = lost.unionByName(batch.filter("op = 'drop'").select(F.col(f"new.{book}").alias(book))).distinct()
+    removed = links.join(cut, names, "left_semi").unionByName(links.join(dropped, book, "left_semi").select(*names)).distinct()
+    added = come.join(dropped, book, "left_anti").select(*names).join(links, names, "left_anti")
+    return added, removed, dropped
+
+
+def inc_link_count(state: DataFrame, added: DataFrame, removed: DataFrame, group: str, out: str = "books") -> DataFrame:
+    """Next number of links per group."""
+    signed = added.select(group, F.lit(1).alias("_s")).unionByName(removed.select(group, F.lit(-1).alias("_s")))
+    return _add_deltas(state, signed.groupBy(group).agg(F.sum("_s").alias("_delta")), group, out)

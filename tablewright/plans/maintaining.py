@@ -12,6 +12,7 @@ from tablewright.sources.scratch import scratch_path, write_scratch
 from tablewright.sources.trial import AS_OF
 from tablewright.streaming import feeds, keeping, keyed
 from tablewright.streaming import totals as st
+from tablewright.streaming import visits as vs
 
 
 def as_of():
@@ -253,6 +254,17 @@ def stream_last_visit(t):
     return _kept(t, t.order_feed, {"facts": _base(t), "visits": _visits(t)}, step)["visits"]
 
 
+@query(LAST_VISITS)
+def stream_last_visit_state(t):
+    """The same by a state of dates and counts per person, so that no loan is looked at twice."""
+    place = scratch_path(t.spark, "visits")
+    latest = _visits(t)
+    table = keyed.KeyedTable(t.spark, f"{place}/table", "o_custkey", latest.schema, buckets=4, every=2).create(latest)
+    found = vs.stream_last_visit(_feed_stream(t, t.order_feed), _base(t), table, "o_custkey", "o_orderdate", f"{place}/checkpoint")
+    # an order may be passed to a key that no customer has
+    return found.join(t.customer.select(F.col("c_custkey").alias("o_custkey")), "o_custkey", "left_semi")
+
+
 RATIOS = f"""
 WITH {LOANS_AFTER}
 SELECT round(count(*) FILTER (WHERE active) / (SELECT count(*) FROM customer), 6) AS books_taken,
@@ -356,21 +368,47 @@ def inc_genre_count(t):
     return ch.inc_genre_count(state, arriving, gone, links, "g_id", "b_id")
 
 
+def _kept_genres(t, feed, links, counts):
+    """Counts after a stream of link inserts, link deletes and drops of books; links and dropped books are states as well."""
+    nobody = links.select("b_id").limit(0)
+
+    def step(now, batch):
+        added, removed, lost = ch.link_changes(now["links"], batch, now["lost"], "b_id")
+        added, removed = write_scratch(added, "links-added"), write_scratch(removed, "links-removed")
+        after = now["links"].join(removed, ["b_id", "g_id"], "left_anti").unionByName(added)
+        return {"links": after, "lost": lost, "counts": ch.inc_link_count(now["counts"], added, removed, "g_id")}
+
+    return _kept(t, feed, {"links": links, "lost": nobody, "counts": counts}, step)["counts"]
+
+
+def _drops(books):
+    none = F.lit(None).cast("struct<b_id:bigint,g_id:int>")
+    return books.select(F.lit("drop").alias("op"), none.alias("old"), F.struct("b_id", F.lit(None).cast("int").alias("g_id")).alias("new"))
+
+
 @query(GENRES)
 def stream_genre_count(t):
     """Links that arrive and books that go away in one stream; the links are a state as well."""
     state, arriving, gone, links = _genre_parts(t)
-    none = F.lit(None).cast("struct<b_id:bigint,g_id:int>")
-    deletes = gone.select(F.lit("drop").alias("op"), none.alias("old"), F.struct("b_id", F.lit(None).cast("int").alias("g_id")).alias("new"))
     stored = links.filter(F.col("p_type") != "PROMO").select("b_id", "g_id")
+    return _kept_genres(t, arriving.unionByName(_drops(gone)), stored, state)
 
-    def step(now, batch):
-        come = batch.filter(F.col("op") == "insert")
-        lost = batch.filter(F.col("op") == "drop").select("new.b_id")
-        after = write_scratch(now["links"].unionByName(come.select("new.b_id", "new.g_id")), "links")
-        return {"links": after, "counts": ch.inc_genre_count(now["counts"], come, lost, after, "g_id", "b_id")}
 
-    return _kept(t, arriving.unionByName(deletes), {"links": stored, "counts": state}, step)["counts"]
+@query(f"""
+WITH {LINKS}
+SELECT n_nationkey AS g_id, count(p_partkey) AS books FROM nation LEFT JOIN bg ON g_id = n_nationkey
+LEFT JOIN part ON p_partkey = b_id AND p_type NOT IN ('LARGE', 'ECONOMY') GROUP BY n_nationkey
+""")
+def stream_genre_links(t):
+    """Links deleted one by one (ECONOMY), books dropped twice (LARGE), and links of dropped books that arrive late: they don't count."""
+    state, arriving, gone, links = _genre_parts(t)
+    none = F.lit(None).cast("struct<b_id:bigint,g_id:int>")
+    stored = links.filter(F.col("p_type") != "PROMO")
+    link = F.struct("b_id", "g_id")
+    unlinked = stored.filter(F.col("p_type") == "ECONOMY").select(F.lit("delete").alias("op"), link.alias("old"), none.alias("new"))
+    late = stored.filter(F.col("p_type") == "LARGE").select(F.lit("insert").alias("op"), none.alias("old"), link.alias("new"))
+    feed = arriving.unionByName(unlinked).unionByName(late).unionByName(_drops(gone)).unionByName(_drops(gone))
+    return _kept_genres(t, feed, stored.select("b_id", "g_id"), state)
 
 
 def codes(flagged):

@@ -139,3 +139,24 @@ def test_copy_follows_facts_and_people(spark, rows, tmp_path):
         keyed.keep_tables(stream, tables, step, str(tmp_path / "checkpoint"))
         want = sorted((k, people[p][1], v) for k, p, v in facts.values() if p in people)
         assert rows(tables[2].read()) == want and rows(tables[0].read()) == sorted(facts.values())
+
+
+def test_links_of_dropped_books(spark, rows):
+    """Dropped books take their links along once, refuse late ones, and repeated events change nothing."""
+    link = "struct<b:bigint,g:bigint>"
+    links = spark.createDataFrame([(1, 7), (1, 8), (2, 7), (3, 9)], "b bigint, g bigint")
+    counts = spark.createDataFrame([(7, 2), (8, 1), (9, 1), (10, 0)], "g bigint, books bigint")
+    lost = links.select("b").limit(0)
+    batches = [
+        [("drop", None, (1, None)), ("insert", None, (1, 9)), ("insert", None, (2, 10)), ("insert", None, (2, 10)), ("delete", (3, 9), None)],
+        [("drop", None, (1, None)), ("insert", None, (1, 7)), ("delete", (3, 9), None), ("insert", None, (2, 7)), ("insert", None, (4, 9))],
+    ]
+    now = {(1, 7), (1, 8), (2, 7), (3, 9)}
+    for n, batch in enumerate(batches):
+        feed = spark.createDataFrame(batch, f"op string, old {link}, new {link}")
+        added, removed, lost = ch.link_changes(links, feed, lost, "b")
+        counts = ch.inc_link_count(counts, added, removed, "g")
+        links = links.join(removed, ["b", "g"], "left_anti").unionByName(added)
+        now = {(2, 7), (2, 10)} if n == 0 else {(2, 7), (2, 10), (4, 9)}
+        assert rows(links) == sorted(now)
+        assert rows(counts) == [(g, sum(1 for _, h in now if h == g)) for g in (7, 8, 9, 10)]
