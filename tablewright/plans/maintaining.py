@@ -564,3 +564,17 @@ def stream_text_filter(t):
     place = scratch_path(t.spark, "lines")
     feeds.stream_text_filter(lines, "line", "license", f"{place}/out", f"{place}/checkpoint")
     return t.spark.read.schema(lines.schema).parquet(f"{place}/out")
+
+
+@query("""
+SELECT line, count(*) AS n FROM (SELECT unnest(string_split(coalesce(text, ''), chr(10))) AS line FROM documents) WHERE contains(line, 'license') GROUP BY line
+""")
+def stream_growing_text(t):
+    """Lines of a folder of text files that grows: two runs of one query, of which the second takes only what came after the first."""
+    place = scratch_path(t.spark, "growing")
+    texts = t.documents.select(F.coalesce("text", F.lit("")).alias("value"), F.pmod(F.xxhash64("doc_id"), F.lit(2)).alias("part"))
+    for part in (0, 1):
+        texts.filter(F.col("part") == part).select("value").write.mode("append").text(f"{place}/in")
+        feeds.stream_text_filter(feeds.text_stream(t.spark, f"{place}/in"), "value", "license", f"{place}/out", f"{place}/checkpoint")
+    found = t.spark.read.schema("value string").parquet(f"{place}/out")
+    return found.groupBy(F.col("value").alias("line")).agg(F.count("*").alias("n"))

@@ -48,6 +48,20 @@ def scan_nested_json_files(t):
     return read.select("event_id", "user_id", "props.k", F.col(nested_json.CORRUPT).isNotNull().alias("corrupt"))
 
 
+@query(r"""SELECT event_id, user_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k, 'x}\"{]' || event_type AS note, false AS corrupt FROM events""")
+def scan_json_array(t):
+    """Events written as JSON arrays of ten thousand, with braces and quotes in a text, and read by byte ranges."""
+    path = scratch_path(t.spark, "events-arrays")
+    inner = StructType([StructField("k", LongType())])
+    note = F.concat(F.lit('x}\\"{]'), F.col("event_type"))
+    rows = t.events.select("event_id", "user_id", F.from_json("props", inner).alias("props"), note.alias("note"))
+    lists = rows.groupBy(F.floor(F.col("event_id") / 10_000).alias("part")).agg(F.collect_list(F.struct("event_id", "user_id", "props", "note")).alias("all"))
+    lists.select(F.to_json("all", {"pretty": "true"})).write.text(path)
+    schema = StructType([StructField("event_id", LongType()), StructField("user_id", LongType()), StructField("props", inner), StructField("note", StringType())])
+    read = nested_json.scan_json_array(t.spark, path, schema)
+    return read.select("event_id", "user_id", "props.k", "note", F.col(nested_json.CORRUPT).isNotNull().alias("corrupt"))
+
+
 @query(TOTALS)
 def write_snapshot(t):
     return snapshots.write_snapshot(_totals(t), STATS, scratch_path(t.spark, "stats"))
@@ -92,4 +106,4 @@ def schema_bound_view(t):
 
 @query(" UNION ALL ".join(f"SELECT '{n}' AS table_name, count(*) AS rows_count FROM {n}" for n in TABLES))
 def table_row_counts(t):
-    return snapshots.table_row_counts({name: t.table(name) for name in TABLES})
+    return snapshots.row_counts_of_files(t.spark, {name: t.path(name) for name in TABLES})

@@ -33,3 +33,8 @@ def stream_text_filter(lines: DataFrame, col: str, word: str, out: str, checkpoi
     run_available(
         kept.writeStream.outputMode("append").format("parquet").option("path", out).option("checkpointLocation", checkpoint)
     )
+
+
+def text_stream(spark: SparkSession, folder: str, files_per_batch: int = 1000) -> DataFrame:
+    """Lines (column value) of the text files of a folder that grows: a query with a checkpoint takes only files it has not seen yet."""
+    return spark.readStream.option("lineSep", "\n").option("maxFilesPerTrigger", files_per_batch).text(folder)

@@ -144,3 +144,34 @@ def test_stream_text_filter_appends(spark, rows, tmp_path):
     (source / "b.txt").write_text("error again\n")
     feeds.stream_text_filter(spark.readStream.text(str(source)), "value", "error", out, checkpoint)
     assert rows(spark.read.parquet(out)) == [("an error here",), ("error again",)]
+
+
+def test_counts_come_from_footers(spark, rows, tmp_path):
+    from tablewright.sources.snapshots import row_counts_of_files
+
+    spark.range(1000).repartition(4).write.parquet(str(tmp_path / "many"))
+    spark.range(0).write.parquet(str(tmp_path / "none"))
+    found = row_counts_of_files(spark, {"many": str(tmp_path / "many"), "none": str(tmp_path / "none")})
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("PushedAggregation: [COUNT(*)]") == 2
+    assert rows(found) == [("many", 1000), ("none", 0)]
+    assert spark.conf.get("spark.sql.adaptive.enabled") == "true"
+
+
+def test_text_folder_that_grows(spark, rows, tmp_path):
+    """The second run of a query takes only the files that came after the first."""
+    from tablewright.streaming import feeds
+
+    def run():
+        feeds.stream_text_filter(feeds.text_stream(spark, str(tmp_path / "in")), "value", "find", str(tmp_path / "out"), str(tmp_path / "checkpoint"))
+        return rows(spark.read.parquet(str(tmp_path / "out")))
+
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.log").write_text("find me\nnot me\r\nand find\tme\n")
+    assert run() == [("and find\tme",), ("find me",)]
+    files = {p.name for p in (tmp_path / "out").glob("*.parquet")}
+    (tmp_path / "in" / "b.log").write_text("find me\n\nfinder")
+    assert run() == [("and find\tme",), ("find me",), ("find me",), ("finder",)]
+    new = [str(p) for p in (tmp_path / "out").glob("*.parquet") if p.name not in files]
+    assert rows(spark.read.parquet(*new)) == [("find me",), ("finder",)]
+    assert len(run()) == 4
