@@ -4,7 +4,8 @@ Largest inner product is turned into smallest distance by one more coordinate, s
 a query's is 0. Vectors are projected to m dimensions by Gaussian (2-stable) projections: for a point at distance r the squared
 projected distance is r**2 times a chi-square variable of m degrees. A point nearer than the k-th best found, d, that still has not come up
 when projected neighbours are at distance s is thus as unlikely as chi2_m > s**2 / d**2. A query takes its projected neighbours in
-order, leaf by leaf of the kd-tree, computes true products, and stops when that chance is at most ``miss``.
+order, verifies them by their true products a few at a time, and stops when that chance is at most ``miss``; leaves of the kd-tree whose boxes
+are too far for the test are not opened.
 
 The upper part of the tree (at most ``cells`` cells) is fitted on a bounded sample of vectors; every vector is put into its cell, and cells are
 cut into blocks that fit a task. A query is answered in its own cell first; then it goes to every other cell whose box the
@@ -33,8 +34,11 @@ from tablewright.llm.common import write_scratch
 @dataclass(frozen=True)
 class Settings:
     k: int = 20
-    dimensions: int = 8
-    miss: float = 0.01
+    #: even, as the chi-square test has a closed form then
+    dimensions: int = 40
+    miss: float = 0.15
+    #: rows of its own cell that a query verifies before the stopping test is asked
+    least: int = 256
     sample: int = 16_384
     cells: int = 256
     cell_rows: int = 8_192
@@ -98,41 +102,97 @@ def products(rows: np.ndarray, query: np.ndarray) -> np.ndarray:
     return (rows * query).sum(axis=-1)
 
 
+def chi2_bound(miss: float, degrees: int) -> float:
+    """The value that a chi-square variable exceeds with probability ``miss``."""
+    low, high = 0.0, 1.0
+    while chi2_tail(np.array([high]), degrees)[0] > miss:
+        high *= 2
+    for _ in range(60):
+        middle = (low + high) / 2
+        low, high = (middle, high) if chi2_tail(np.array([middle]), degrees)[0] > miss else (low, middle)
+    return high
+
+
+def _near_leaves(low: np.ndarray, high: np.ndarray, points: np.ndarray) -> np.ndarray:
+    """Squared distances of points to the boxes of leaves (points x leaves)."""
+    out = np.zeros((len(points), len(low)))
+    for axis in range(points.shape[1]):
+        p = points[:, axis:axis + 1]
+        out += np.maximum(np.maximum(low[:, axis] - p, p - high[:, axis]), 0) ** 2
+    return out
+
+
 def search_block(x: np.ndarray, px: np.ndarray, q: np.ndarray, pq: np.ndarray, top: float, bound: np.ndarray, s: Settings):
-    """The best k + 1 rows of a block for each query: (query, row, score).
+    """The best k + 1 rows of a block for each query: (query, row, score), and how many rows were verified in all.
 
     ``x`` and ``q`` are original vectors, ``px`` and ``pq`` projected ones, ``top`` the largest squared norm of the table, ``bound`` squared distances
-    within which k + 1 vectors are known already (infinity for none).
+    within which k + 1 vectors are known already (infinity for none). Projected distances of a leaf come from one matrix product with
+    the queries that its box leaves open; then each query verifies its projected neighbours in their order, a few at a time, up to the stopping test.
     """
-    want = s.k + 1
+    want, stop = s.k + 1, chi2_bound(s.miss, s.dimensions)
     order, begins = _leaves(px, s.leaf_rows)
     x, px = x[order], px[order]
     ends = np.append(begins[1:], len(x))
     low, high = np.minimum.reduceat(px, begins), np.maximum.reduceat(px, begins)
-    norms = products(q, q)
-    best = np.full((len(q), want), -np.inf)
-    row = np.full((len(q), want), -1, dtype=np.int64)
+    norms, limit = products(q, q), bound.astype(float).copy()
+    gaps = _near_leaves(low, high, pq)
+    found, rows_of, scores_of, verified = [], [], [], 0
+
+    # without a bound the rows of the nearest leaves are verified and give one
+    seeds: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+    sizes, taken = ends - begins, np.zeros(gaps.shape, dtype=bool)
+    for i in np.flatnonzero(~np.isfinite(limit)).tolist():
+        nearest = np.argsort(gaps[i], kind="stable")
+        nearest = nearest[: int(np.searchsorted(np.cumsum(sizes[nearest]), s.least)) + 1]
+        taken[i, nearest] = True
+        rows = np.concatenate([np.arange(begins[k], ends[k]) for k in nearest.tolist()])
+        score = products(x[rows], q[i])
+        verified += len(rows)
+        if len(rows) > want:
+            last = np.partition(score, len(score) - want)[len(score) - want]
+            rows, score = rows[score >= last], score[score >= last]
+        if len(rows) >= want:
+            limit[i] = norms[i] + top - 2 * score.min()
+        seeds[i] = score, rows
+
+    reach = np.maximum(limit, 1e-12) * stop
+    open_leaf = ~(gaps > reach[:, None]) & ~taken
+    squares_x, squares_q = products(px, px), products(pq, pq)
+    held_q, held_row, held_gap = [], [], []
+    for k in range(len(begins)):
+        asked = np.flatnonzero(open_leaf[:, k])
+        if not len(asked):
+            continue
+        part = slice(begins[k], ends[k])
+        away = squares_q[asked][:, None] + squares_x[part][None, :] - 2 * (pq[asked] @ px[part].T)
+        i, r = np.nonzero(~(away > reach[asked][:, None]))
+        held_q.append(asked[i])
+        held_row.append(r + begins[k])
+        held_gap.append(away[i, r])
+    held_q, held_row, held_gap = (np.concatenate([*h, np.empty(0)]) for h in (held_q, held_row, held_gap))
+    turn = np.lexsort((held_gap, held_q))
+    held_q, held_row, held_gap = held_q[turn], held_row[turn].astype(np.int64), held_gap[turn]
+    cuts = np.searchsorted(held_q, np.arange(len(q) + 1))
     for i in range(len(q)):
-        gap = np.maximum(np.maximum(low - pq[i], pq[i] - high), 0)
-        near = (gap**2).sum(axis=1)
-        turn = np.argsort(near, kind="stable")
-        scores, rows, limit, at = np.empty(0), np.empty(0, dtype=np.int64), bound[i], 0
-        while at < len(turn):
-            if np.isfinite(limit) and chi2_tail(np.array([near[turn[at]] / max(limit, 1e-12)]), s.dimensions)[0] <= s.miss:
-                break
-            # a few leaves at a time; the test is made between them
-            some = turn[at:at + 4]
-            at += 4
-            new = np.concatenate([np.arange(begins[k], ends[k]) for k in some])
-            scores, rows = np.append(scores, products(x[new], q[i])), np.append(rows, new)
-            if len(scores) > want:
-                keep = np.argpartition(-scores, want - 1)[:want]
-                scores, rows = scores[keep], rows[keep]
-            if len(scores) == want:
-                limit = min(limit, norms[i] + top - 2 * scores.min())
-        best[i, : len(scores)], row[i, : len(rows)] = scores, order[rows]
-    found = np.nonzero(row >= 0)
-    return found[0], row[found], best[found]
+        rows, away = held_row[cuts[i]:cuts[i + 1]], held_gap[cuts[i]:cuts[i + 1]]
+        best, kept = seeds.get(i, (np.empty(0), np.empty(0, dtype=np.int64)))
+        at, step = 0, 2 * want
+        # incremental projected neighbours, until the next one is too far for the k-th best found
+        while at < len(rows) and not away[at] > max(limit[i], 1e-12) * stop:
+            some = rows[at:at + step]
+            at, step = at + len(some), 2 * step
+            verified += len(some)
+            best, kept = np.append(best, products(x[some], q[i])), np.append(kept, some)
+            if len(best) > want:
+                last = np.partition(best, len(best) - want)[len(best) - want]
+                # all that tie with the last one stay
+                best, kept = best[best >= last], kept[best >= last]
+            if len(best) >= want:
+                limit[i] = min(limit[i], norms[i] + top - 2 * best.min())
+        found.append(np.full(len(kept), i))
+        rows_of.append(order[kept])
+        scores_of.append(best)
+    return np.concatenate(found), np.concatenate(rows_of), np.concatenate(scores_of), verified
 
 
 def usable(vectors: DataFrame, key: str, vector: str) -> DataFrame:
@@ -242,7 +302,7 @@ def nearest(vectors: DataFrame, queries, key: str = "vec_id", vector: str = "emb
             if not len(a) or not len(b):
                 return pd.DataFrame({"query": [], "ids": [], "score": []})
             x, px, q, pq = (np.stack(c.to_numpy()) for c in (a["v"], a["p"], b["v"], b["p"]))
-            of, row, score = search_block(x, px, q, pq, top, b["bound"].to_numpy(dtype=float), s)
+            of, row, score, _ = search_block(x, px, q, pq, top, b["bound"].to_numpy(dtype=float), s)
             return pd.DataFrame({"query": b["query"].to_numpy()[of], "ids": a["ids"].to_numpy()[row], "score": score})
 
         keys = ["cell", "block", "portion"]
