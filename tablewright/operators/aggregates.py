@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablewright.operators.lists import ordered_list
+from tablewright.sources.scratch import write_scratch
 
 
 def _kept(df: DataFrame, pred: Column | None) -> DataFrame:
@@ -207,6 +208,8 @@ def concat_distinct_two(
         rows.select(*keys, F.lit(label).alias("list"), F.col(col).alias("_item"))
         for rows, (col, label) in ((first, first_list), (second, second_list))
     ])
+    # both inputs may be joins, and are read for the groups and for the lists
+    tagged = write_scratch(tagged, "tagged")
     names = [f"_k{i}" for i in range(len(keys))]
     # groups with both tags; combined on the map side, a group sends two values
     both = (

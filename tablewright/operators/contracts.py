@@ -137,7 +137,10 @@ def html_attr_extract(df: DataFrame, html: str, tag: str, attr: str, keep: Seque
 
     ``match`` = (other attribute, its value) narrows to tags that bear it. Of an attribute written twice the first counts.
     """
-    body = F.regexp_replace(F.col(html), F.lit(_NO_TAGS), F.lit(""))
+    # most pages have nothing to cut out, and many not one such tag
+    holds_other = F.col(html).rlike(r"(?i)<!--|<script|<style")
+    body = F.when(holds_other, F.regexp_replace(F.col(html), F.lit(_NO_TAGS), F.lit(""))).otherwise(F.col(html))
+    df = df.filter(holds_other | F.col(html).rlike(rf"(?i)<{tag}[\s/>]"))
     pattern = rf"""(?is)<{tag}((?:[\s/](?:[^>"']++|"[^"]*+"|'[^']*+')*+)?)>"""
     found = df.select(*keep, F.posexplode(F.regexp_extract_all(body, F.lit(pattern), F.lit(1))).alias("position", "_tag"))
     names = F.transform(F.regexp_extract_all("_tag", F.lit(_ATTRIBUTE), F.lit(1)), F.lower)

@@ -169,26 +169,20 @@ def cross_anti_pairs(
     used and not with the product.
     """
     kept = (b if pred_b is None else b.filter(pred_b)).select(b_key).distinct()
-    placed = with_row_index(ordered_slices(kept, [b_key]), [], [b_key], "pos").select(b_key, "pos")
-    # written, since positions are looked up three times
-    placed = write_scratch(placed, "placed")
-    total = placed.agg(F.count("*")).scalar()
-
-    taken = used.select(a_key, b_key).distinct().join(placed, b_key).select(a_key, "pos")
+    slices = with_row_index(ordered_slices(kept, [b_key]), [], [b_key], "pos")
+    for step, name in ((-1, "key_before"), (1, "key_after")):
+        slices = with_adjacent(slices, [], [b_key], {b_key: name}, step)
+    # each key knows its neighbours, so that the ends of a run need no look-up
+    placed = write_scratch(slices.select(b_key, "pos", "key_before", "key_after"), "placed")
+    ends = placed.agg(F.struct(F.count("*").alias("n"), F.min(b_key).alias("first"), F.max(b_key).alias("last"))).scalar()
+
+    taken = used.select(a_key, b_key).distinct().join(placed, b_key).select(a_key, "pos", "key_before", "key_after")
     # a closing mark at position n for everyone, so the run after the last used key is seen as well
-    marks = taken.unionByName(a.select(a_key, total.alias("pos")))
-    near = adjacent(marks, [a_key], ["pos"], {"pos": "prev_pos"})
-    runs = near.select(
-        a_key,
-        (F.coalesce("prev_pos", F.lit(-1).cast("bigint")) + 1).alias("from_pos"),
-        (F.col("pos") - 1).alias("to_pos"),
-    )
-    runs = runs.filter(F.col("from_pos") <= F.col("to_pos"))
-    first = placed.select(F.col("pos").alias("from_pos"), F.col(b_key).alias("from_key"))
-    last = placed.select(F.col("pos").alias("to_pos"), F.col(b_key).alias("to_key"))
-    return runs.join(first, "from_pos").join(last, "to_pos").select(
-        a_key, "from_key", "to_key", (F.col("to_pos") - F.col("from_pos") + 1).alias("pairs")
-    )
+    closing = a.select(a_key, ends["n"].alias("pos"), ends["last"].alias("key_before"), ends["last"].alias("key_after"))
+    near = adjacent(taken.unionByName(closing), [a_key], ["pos"], {"pos": "prev_pos", "key_after": "key_from"})
+    runs = near.withColumn("pairs", F.col("pos") - F.coalesce("prev_pos", F.lit(-1).cast("bigint")) - 1).filter("pairs > 0")
+    from_key = F.when(F.col("prev_pos").isNull(), ends["first"]).otherwise(F.col("key_from"))
+    return runs.select(a_key, from_key.alias("from_key"), F.col("key_before").alias("to_key"), "pairs")
 
 
 def greater_than_all(df: DataFrame, id_col: str, col: str) -> DataFrame:

@@ -16,11 +16,15 @@ def _holds(pred: Column) -> Column:
 
 
 def _once(src: DataFrame, key: str) -> DataFrame:
-    """``src`` without NULL keys; a key that comes twice is an error when the plan runs, as it would multiply rows."""
+    """``src`` without NULL keys; a key that comes twice is an error when the plan runs, as it would multiply rows.
+
+    Keys alone are counted; their largest count is a scalar that the filter on the rows asks for.
+    """
     rows = src.filter(F.col(key).isNotNull())
-    held = rows.groupBy(key).agg(F.count("*").alias("_n"), F.any_value(F.struct(*src.columns)).alias("_row"))
-    twice = F.raise_error(F.concat(F.lit(f"{key} repeats: "), F.col(key).cast("string")))
-    return held.filter(F.when(F.col("_n") == 1, True).otherwise(twice.cast("boolean"))).select("_row.*")
+    counted = rows.groupBy(F.col(key).alias("_key")).agg(F.count("*").alias("_n"))
+    worst = counted.agg(F.max(F.struct("_n", "_key"))).scalar()
+    twice = F.raise_error(F.concat(F.lit(f"{key} repeats: "), worst["_key"].cast("string")))
+    return rows.filter(F.when(worst["_n"] == 1, True).otherwise(twice.cast("boolean")))
 
 
 def insert_rows(df: DataFrame, rows: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
