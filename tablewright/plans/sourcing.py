@@ -8,7 +8,7 @@ from tablewright.operators import ranking as rk
 from tablewright.plans.aggregation import TOTALS
 from tablewright.plans.ranking import FIRST_ORDERS
 from tablewright.plans.registry import query
-from tablewright.sources import nested_json, snapshots
+from tablewright.sources import bucketed, nested_json, snapshots
 from tablewright.sources.scratch import scratch_path
 from tablewright.sources.trial import TABLES
 
@@ -88,6 +88,22 @@ def refresh_stats_strict(t):
     return snapshots.refresh_stats_strict(_totals(t), path)
 
 
+@query("""
+SELECT o_orderkey, c.year, count(*) AS lines, sum(l_quantity) AS quantity
+FROM (SELECT o_orderkey, CAST(year(o_orderdate) AS INTEGER) AS year FROM orders WHERE year(o_orderdate) BETWEEN 1996 AND 1997) c
+JOIN lineitem ON l_orderkey = o_orderkey GROUP BY ALL
+""")
+def bucketed_snapshots(t):
+    """Orders and lines laid out by order key: joined and grouped without an exchange; the years asked for are read alone."""
+    place = scratch_path(t.spark, "bucketed")
+    orders = bucketed.write_bucketed(
+        t.orders.select("o_orderkey", F.year("o_orderdate").alias("year")), f"{place}/orders", "o_orderkey", 8, ["year"]
+    )
+    lines = bucketed.write_bucketed(t.lineitem.select("l_orderkey", "l_quantity"), f"{place}/lines", "l_orderkey", 8)
+    joined = orders.where("year between 1996 and 1997").join(lines, orders["o_orderkey"] == lines["l_orderkey"])
+    return joined.groupBy("o_orderkey", "year").agg(F.count("*").alias("lines"), F.sum("l_quantity").alias("quantity"))
+
+
 @query(FIRST_ORDERS)
 def named_view(t):
     orders = t.dated_orders.select("o_custkey", "o_orderkey", "o_orderdate")
