@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tablewright.sources.scratch import write_scratch
 
-__all__ = ["Bitmap", "bitmap_of", "groups_of", "mix64", "ship", "sliced", "table", "text_column", "write_scratch"]
+__all__ = ["Bitmap", "bitmap_of", "free_names", "groups_of", "mix64", "ship", "sliced", "table", "text_column", "write_scratch"]
 
 _shipped: set[str] = set()
 
@@ -55,6 +55,17 @@ def text_column(name: str = "text"):
     return F.coalesce(F.col(name), F.lit(""))
 
 
+def free_names(columns: Iterable[str], *wanted: str) -> list[str]:
+    """The wanted names, each lengthened until no column has it (names are compared in lower case, as Spark does)."""
+    taken, out = {c.lower() for c in columns}, []
+    for name in wanted:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def mix64(keys: np.ndarray) -> np.ndarray:
     """Spread 64-bit keys evenly (a multiply and xor-shift finaliser)."""
     with np.errstate(over="ignore"):

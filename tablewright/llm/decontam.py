@@ -1,6 +1,6 @@
 """Benchmark decontamination by greedy string tiling.
 
-A seed is a run of ``least`` words. The seeds of the benchmark are put into a bitmap of fixed size; one pass over the documents
+A seed is a run of ``least`` words, or a whole item that has fewer. The seeds of the benchmark are put into a bitmap of fixed size; one pass over the documents
 keeps of each text the stretches whose seeds are in it (anything else can't be part of a tile). What is left is joined with the
 benchmark by seed: pairs of text and item whose shared seeds could cover enough of the item are tiled. Tiling marks the
 longest common run of words that is unmarked on both sides, again and again down to ``least`` words; running Karp-Rabin hashes find the
@@ -9,7 +9,7 @@ pieces stand in the document.
 
 Texts with the same stretches are tiled once, so groups of copies cost one tiling.
 
-Edge cases: NULL and empty texts have no seeds; an item of fewer than ``least`` words can't have a tile and is never found; rows with a NULL
+Edge cases: NULL and empty texts have no seeds; an item without words is never found, one of fewer than ``least`` words wherever it stands word for word; rows with a NULL
 doc_id take part; repeated rows each give their rows, repeated items are items of their own; extra columns are left out; an empty
 table on either side gives no rows.
 """
@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablewright.llm.common import bitmap_of, groups_of, mix64, text_column, write_scratch
+from tablewright.llm.common import bitmap_of, free_names, groups_of, mix64, text_column, write_scratch
 
 #: Shortest tile in words, and the share of an item's words that tiles must cover.
 LEAST, COVERAGE = 5, 0.8
@@ -128,7 +128,7 @@ def benchmark_words(items: DataFrame, key: str, text: str) -> DataFrame:
         known = _WordHashes()
         for batch in batches:
             words = [word_hashes(t, known) for t in batch.column(1).to_pylist()]
-            seeds = [window_hashes(w, LEAST) for w in words]
+            seeds = [window_hashes(w, min(LEAST, len(w))) if len(w) else w for w in words]
             lists = [pa.array([x.view(np.int64) for x in column], type=pa.list_(pa.int64())) for column in (words, seeds)]
             yield pa.RecordBatch.from_arrays([batch.column(0), *lists], names=["item", "words", "seeds"])
 
@@ -139,44 +139,47 @@ def benchmark_words(items: DataFrame, key: str, text: str) -> DataFrame:
     return numbered.withColumn("content", F.xxhash64("words"))
 
 
-def stretches(docs: DataFrame, seeds: DataFrame, key_columns: list[str], text: str) -> DataFrame:
-    """Key columns, words (hashes of the stretches that may hold tiles, 0 between stretches) and seeds of the documents that have any."""
+def stretches(docs: DataFrame, seeds: DataFrame, sizes: list[int]) -> DataFrame:
+    """Documents (keys, text) that may hold tiles: keys, words (hashes of the stretches that may, 0 between stretches) and seeds.
+
+    ``sizes`` are the lengths of seeds in words that the benchmark has: ``LEAST``, and lengths of shorter items.
+    """
     bitmap = docs.sparkSession.sparkContext.broadcast(bitmap_of(seeds, "seed"))
-    plain = docs.select(*key_columns, text_column(text).alias("__text"))
-    keys = ", ".join(f"`{c}` {plain.schema[c].dataType.simpleString()}" for c in key_columns)
-    n = len(key_columns)
+    keys = docs.schema["keys"].dataType.simpleString()
 
     def run(batches):
         known = _WordHashes()
         for batch in batches:
             rows, texts, seed_lists = [], [], []
-            numbered = enumerate(batch.column(n).to_pylist())
-            for some in groups_of(numbered, lambda x: len(x[1]) // 4 + LEAST, 200_000):
+            for some in groups_of(enumerate(batch.column(1).to_pylist()), lambda x: len(x[1]) // 4 + LEAST, 200_000):
                 # the texts of a group lie in one array, LEAST zeros between them: windows with a zero are no seeds
                 hashes = [word_hashes(t, known) for _, t in some]
                 gap = np.zeros(LEAST, dtype=np.uint64)
                 flat = np.concatenate([x for h in hashes for x in (h, gap)])
                 ends = np.cumsum([len(h) + LEAST for h in hashes])
-                codes = window_hashes(flat, LEAST)
-                hit = np.flatnonzero(bitmap.value.holds(codes)) if len(codes) else np.empty(0, np.int64)
                 zero = np.concatenate(([0], np.cumsum(flat == 0)))
-                hit = hit[zero[hit + LEAST] == zero[hit]]
-                owner = np.searchsorted(ends, hit, side="right")
+                starts, lengths, found = [], [], []
+                for size in sizes:
+                    codes = window_hashes(flat, size)
+                    hit = np.flatnonzero(bitmap.value.holds(codes)) if len(codes) else np.empty(0, np.int64)
+                    hit = hit[zero[hit + size] == zero[hit]]
+                    starts.append(hit), lengths.append(np.full(len(hit), size)), found.append(codes[hit])
+                starts, lengths, found = (np.concatenate(x) for x in (starts, lengths, found))
+                owner = np.searchsorted(ends, starts, side="right")
                 for k in np.unique(owner).tolist():
-                    mine = hit[owner == k]
-                    covered = np.unique((mine[:, None] + np.arange(LEAST)).ravel())
+                    mine = owner == k
+                    of = np.repeat(starts[mine], lengths[mine])
+                    covered = np.unique(of + np.arange(len(of)) - np.repeat(np.cumsum(lengths[mine]) - lengths[mine], lengths[mine]))
                     # a zero where the next word of a stretch isn't the next word of the text
                     breaks = np.flatnonzero(np.diff(covered) > 1) + 1
                     rows.append(some[k][0])
                     texts.append(np.insert(flat[covered], breaks, 0).view(np.int64))
-                    seed_lists.append(np.unique(codes[mine]).view(np.int64))
+                    seed_lists.append(np.unique(found[mine]).view(np.int64))
             if rows:
                 lists = [pa.array(column, type=pa.list_(pa.int64())) for column in (texts, seed_lists)]
-                yield pa.RecordBatch.from_arrays(
-                    [*(batch.column(c).take(pa.array(rows)) for c in range(n)), *lists], names=[*key_columns, "words", "seeds"]
-                )
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows)), *lists], names=["keys", "words", "seeds"])
 
-    return plain.mapInArrow(run, f"{keys}, words array<long>, seeds array<long>")
+    return docs.mapInArrow(run, f"keys {keys}, words array<long>, seeds array<long>")
 
 
 def contaminated(
@@ -186,9 +189,13 @@ def contaminated(
     """Key columns, item, coverage, n_tiles: one row per document and benchmark item whose tiles cover enough of the item."""
     bench = write_scratch(benchmark_words(items, item_key, item_text), "benchmark")
     seeds = write_scratch(bench.select("item", "content", F.explode("seeds").alias("seed")).groupBy("seed", "item", "content").count(), "seeds")
-    found = write_scratch(
-        stretches(docs, seeds, key_columns, text).withColumn("stretch", F.sha2(F.array_join("words", ","), 256)), "stretches"
-    )
+    # at most LEAST of them
+    sizes = sorted(r[0] for r in bench.where("size(words) > 0").select(F.least(F.size("words"), F.lit(LEAST))).distinct().collect())
+    if not sizes:
+        seeds, sizes = seeds.limit(0), [LEAST]
+    # the keys go through as one column, so that their names can't clash
+    plain = docs.select(F.struct(*key_columns).alias("keys"), text_column(text).alias("text"))
+    found = write_scratch(stretches(plain, seeds, sizes).withColumn("stretch", F.sha2(F.array_join("words", ","), 256)), "stretches")
     # the same stretches in many documents are looked at once
     distinct = found.groupBy("stretch").agg(F.any_value("words").alias("words"), F.any_value("seeds").alias("seeds"))
     pairs = (
@@ -211,7 +218,7 @@ def contaminated(
             shares, counts = [], []
             for a, b in zip(*(columns[c] for c in ("item_words", "words"))):
                 item, words = (x.values.to_numpy(zero_copy_only=False).view(np.uint64) for x in (a, b))
-                tiles = greedy_tiles(item, words)
+                tiles = greedy_tiles(item, words, min(LEAST, len(item)))
                 shares.append(sum(t[2] for t in tiles) / len(item)), counts.append(len(tiles))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("stretch"), batch.column("item"), pa.array(shares, type=pa.float64()), pa.array(counts, type=pa.int64())],
@@ -220,14 +227,12 @@ def contaminated(
 
     scored = tiled.select("stretch", "item", "item_words", "words").mapInArrow(run, f"stretch string, item {kind}, coverage double, n_tiles long")
     hits = scored.where(F.col("coverage") >= coverage)
-    return found.select(*key_columns, "stretch").join(hits, "stretch").select(
-        *key_columns, F.col("item").alias(item_key), "coverage", "n_tiles"
-    )
+    return found.select("keys", "stretch").join(hits, "stretch").select("keys.*", F.col("item").alias(item_key), "coverage", "n_tiles")
 
 
 def keep_clean(docs: DataFrame, items: DataFrame, text: str = "text") -> DataFrame:
     """The rows of ``docs`` that hold no benchmark item, with all their columns. Texts stand or fall as a whole, copies alike."""
-    name = "__text_key"
+    (name,) = free_names([*docs.columns, *items.columns, "coverage", "n_tiles"], "digest")
     keyed = docs.withColumn(name, F.sha2(text_column(text), 256))
     bad = contaminated(keyed, items, [name], text).select(name).distinct()
     return keyed.join(bad, name, "left_anti").select(*docs.columns)

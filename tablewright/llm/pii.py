@@ -7,13 +7,16 @@ of the information in e that t carries:
     disclosure = PMI(t, e) / IC(e) = log(n(t, e) * N / (n(t) * n(e))) / log(N / n(e))
 
 with document counts over all rows. It is 1 if t occurs only with e, 0 if they are independent. A term that reaches
-``remove`` is removed, one that reaches ``generalise`` is generalised, wherever it stands in a text with the entity. Pairs of fewer than ``support``
-different texts are smoothed: they count as if the term stood in ``support`` more documents without the entity. So terms of entities that
-occur once can be found, while the words of a single text in a small table are not condemned by that text alone.
+``remove`` is removed, one that reaches ``generalise`` is generalised, wherever it stands in a text with the entity.
+
+Pairs of fewer than ``support`` different texts are no evidence by themselves: any word that occurs once would "disclose" every entity of its
+text. They count if the entity itself spells the term (a name in an address), smoothed as if the term stood in ``support`` more
+documents without the entity. So the name of someone who is mentioned once is found, and other words of that text stay.
 
 Terms and entities stand together if one text holds both, on whatever lines (``reach`` narrows this to so many characters around an entity). Only the words of
 texts with entities are shuffled, once per text; words too frequent to disclose an entity, n(t) > N * (n(e) / N) ** generalise, are left out before they
-meet it, as n(t, e) is at most n(e). The counts n(t) come from one pass over all texts that counts, per batch,
+meet it, as n(t, e) is at most n(e). Entities and terms of fewer than ``support`` texts meet only where the entity spells the term, so a text with very
+many addresses is no product of them and its words. The counts n(t) come from one pass over all texts that counts, per batch,
 the words that may be such terms (a bitmap of fixed size lets them through) and joins exactly afterwards.
 
 Edge cases: NULL and empty texts have no spans; rows with a NULL doc_id are kept; texts that repeat have the same spans; repeated rows
@@ -31,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablewright.llm.common import bitmap_of, sliced, text_column, write_scratch
+from tablewright.llm.common import bitmap_of, free_names, sliced, text_column, write_scratch
 
 #: Kinds in the order of the contract; terms found by co-occurrence come last.
 KINDS = ("email", "ip", "card", "phone", "term", "general")
@@ -195,18 +198,23 @@ def disclosing_terms(found: DataFrame, docs: DataFrame, settings: Settings = Set
     rows = held.groupBy("key").agg(F.count("*").alias("rows"))
     units = held.select("key", F.posexplode("units").alias("unit", "x")).select("key", "unit", "x.*")
     entities = write_scratch(units.select("key", "unit", F.explode("entities").alias("entity")).distinct().join(rows, "key"), "entities")
-    n_e = entities.select("key", "entity", "rows").distinct().groupBy("entity").agg(F.sum("rows").alias("n_e"))
+    once = entities.select("key", "entity", "rows").distinct()
+    n_e = once.groupBy("entity").agg(F.sum("rows").alias("n_e"), F.count("*").alias("texts_e")).where(F.col("n_e") < n)
     terms = write_scratch(units.select("key", "unit", F.explode("terms").alias("term")).distinct(), "terms")
     n_t = _document_counts(docs, terms.select("term").distinct().withColumn("code", F.xxhash64("term")))
+    n_t = n_t.join(terms.groupBy("term").agg(F.count_distinct("key").alias("texts_t")), "term")
     rare = F.col("n_t") <= n * F.pow(F.col("n_e") / n, F.lit(s.generalise)) * (1 + 1e-6)
-    pairs = write_scratch(
-        entities.join(n_e.where(F.col("n_e") < n), "entity").join(terms.join(n_t, "term"), ["key", "unit"]).where(rare)
-        .select("key", "entity", "term", "rows", "n_e", "n_t").distinct(),
-        "disclosure",
-    )
+    of, at = entities.join(n_e, "entity"), terms.join(n_t, "term")
+    often = of.where(F.col("texts_e") >= s.support).join(at.where(F.col("texts_t") >= s.support), ["key", "unit"])
+    # the entity's text after its kind; only addresses have words
+    spelled = F.array_distinct(F.regexp_extract_all(F.substring_index("entity", ":", -1), F.lit("[a-z]{3,}"), F.lit(0)))
+    spells = of.withColumn("term", F.explode(spelled)).join(at, ["key", "unit", "term"])
+    names = ["key", "entity", "term", "rows", "n_e", "n_t"]
+    pairs = write_scratch(often.where(rare).select(*names).unionByName(spells.where(rare).select(*names)).distinct(), "disclosure")
     together = pairs.groupBy("entity", "term").agg(
         F.sum("rows").alias("n_te"), F.count("*").alias("texts"), F.first("n_e").alias("n_e"), F.first("n_t").alias("n_t")
     )
+    together = together.where((F.col("texts") >= s.support) | F.array_contains(spelled, F.col("term")))
     seen = F.col("n_t") + F.when(F.col("texts") < s.support, s.support).otherwise(0)
     told = F.log(F.col("n_te") * n / (seen * F.col("n_e"))) / F.log(n / F.col("n_e"))
     chosen = together.withColumn("disclosure", F.round(told, 9)).where(F.col("disclosure") >= s.generalise).select(
@@ -328,12 +336,13 @@ def sanitise(docs: DataFrame, text: str = "text", length: str | None = None, set
         held = bitmap.value.holds(codes.to_numpy(dtype=np.int64))
         return pd.Series([None if h else one(t, None) for t, h in zip(texts, held)])
 
-    keyed = docs.withColumn("__key", F.md5(text_column(text)))
-    rest = keyed.withColumn("__new", covered_alone(text_column(text), F.xxhash64("__key"))).where(F.col("__new").isNotNull())
+    digest, new, told = free_names([*docs.columns, "key", "terms"], "digest", "new_text", "told")
+    keyed = docs.withColumn(digest, F.md5(text_column(text)))
+    rest = keyed.withColumn(new, covered_alone(text_column(text), F.xxhash64(digest))).where(F.col(new).isNotNull())
     # written, so that no task has two Python stages, and so two sets of workers, at once
-    maybe = write_scratch(keyed.where(may_have(F.xxhash64("__key"))), "maybe-terms")
-    joined = maybe.join(terms.withColumnRenamed("key", "__key"), "__key", "left").withColumn("__new", covered(text_column(text), F.col("terms")))
-    out = rest.unionByName(joined.select(*rest.columns)).withColumn(text, F.when(F.col(text).isNotNull(), F.col("__new")))
+    maybe = write_scratch(keyed.where(may_have(F.xxhash64(digest))), "maybe-terms")
+    joined = maybe.join(terms.withColumnsRenamed({"key": digest, "terms": told}), digest, "left").withColumn(new, covered(text_column(text), F.col(told)))
+    out = rest.unionByName(joined.select(*rest.columns)).withColumn(text, F.when(F.col(text).isNotNull(), F.col(new)))
     if length in docs.columns:
         kind = docs.schema[length].dataType
         out = out.withColumn(length, F.when(F.col(length).isNotNull(), F.length(F.col(text)).cast(kind)))

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablewright.llm.common import text_column, write_scratch
+from tablewright.llm.common import free_names, text_column, write_scratch
 from tablewright.llm.components import components
 
 #: Members of an index node that one task takes at once; larger nodes are factored further.
@@ -268,9 +268,7 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle:
     # rows that equal each other in both are counted here, so that only they need to be looked at as a whole
     kept = found.where(F.col("row") == F.col("component_id")).groupBy("row").agg(F.count("*").alias("times"))
     kept = write_scratch(kept.select("row.id", "row.digest", "times"), "simhash-kept")
-    own = "digest"
-    while own in map(str.lower, docs.columns):
-        own += "_"
+    (own,) = free_names([*docs.columns, "id", "digest", "times"], "text_digest")
 
     def among(rows: DataFrame) -> DataFrame:
         # columns are named by their frame, so that no name of theirs can clash

@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import time
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -243,7 +244,7 @@ def test_benchmark_passages(spark, docs):
     for i, t in rows:
         for k, item in items:
             a, b = words(item), words(t)
-            if len(a) >= 5 and (share := tiles_by_hand(a, b, 5) / len(a)) >= 0.8:
+            if a and (share := tiles_by_hand(a, b, min(5, len(a))) / len(a)) >= 0.8:
                 want[i, k] = share
     assert got == pytest.approx(want) and len(want) >= 15
     source = docs(rows)
@@ -254,6 +255,42 @@ def test_benchmark_passages(spark, docs):
     assert decontam.contaminated(source, bench.limit(0), ["doc_id"]).collect() == []
 
 
+def test_short_items_and_clashing_names(spark):
+    """Items of one to four words are found word for word; columns with the operator's own names keep their values."""
+    names = ["keys", "words", "seeds", "stretch", "item", "digest", "digest_", "__text_key", "__text"]
+    texts = [(1, "Say plain  words HERE, now"), (2, "plain words are not here"), (3, "here"), (4, "one two three four five"), (5, ""), (6, None), (7, "two, three")]
+    docs = spark.createDataFrame([(i, t, *names) for i, t in texts], ["doc_id", "text", *names]).repartition(2)
+    items = [(10, "plain words here"), (11, "Two three"), (12, "four five six"), (13, "here"), (14, ""), (15, None), (16, "a b c d e f g")]
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    got = sorted(tuple(r) for r in decontam.contaminated(docs, bench, ["doc_id", "item"]).select("doc_id", "item", "item_id", "coverage", "n_tiles").collect())
+    want = [(1, 10), (1, 13), (2, 13), (3, 13), (4, 11), (7, 11)]
+    assert got == [(d, "item", k, 1.0, 1) for d, k in want]
+    assert sorted(map(tuple, decontam.keep_clean(docs, bench).collect())) == [(5, "", *names), (6, None, *names)]
+
+
+def test_words_of_one_text_do_not_disclose(spark):
+    """What is unique to a text with an entity stays, unless the entity spells it; other columns keep their values."""
+    names = ["terms", "__key", "__new", "key", "digest", "new_text", "told", "unit"]
+    rows = [(i, f"unique{chr(97 + i % 26)}{chr(97 + i // 26)}x thing by quimby to quimby.{i}@mail{i}.org") for i in range(2)]
+    rows += [(i, f"only{chr(97 + i % 26)}{chr(97 + i // 26)}y thing {i}") for i in range(2, 300)]
+    docs = spark.createDataFrame([(i, t, *names) for i, t in rows], ["doc_id", "text", *names]).repartition(2)
+    found = {r.doc_id: r for r in pii.find_spans(docs).collect()}
+    for i in (0, 1):
+        assert [rows[i][1][s.start:s.end] for s in found[i].spans if s.kind > 3] == ["quimby"]
+    out = {r.doc_id: r for r in pii.sanitise(docs).collect()}
+    assert out[0].text == "uniqueaax thing by [GENERAL] to [EMAIL]" and all(tuple(r)[2:] == tuple(names) for r in out.values()) and len(out) == 300
+
+
+def test_a_text_with_very_many_addresses(spark, docs):
+    """1,500 addresses beside 8,000 words are no product of both."""
+    letters = [chr(97 + k) for k in range(26)]
+    many = " ".join(f"p{k}@host{k}.org" for k in range(1500)) + " " + " ".join("w" + letters[k % 26] + letters[k // 26 % 26] + letters[k // 676] for k in range(8000))
+    rows = [(0, many)] + [(i, f"note {i}") for i in range(1, 51)]
+    began = time.time()
+    (row,) = pii.report(pii.find_spans(docs(rows))).where("doc_id = 0").collect()
+    assert row.n_email == 1500 and time.time() - began < 60
+
+
 def toxic_rows(n):
     pick = random.Random(n)
     rows, labels = [], []
