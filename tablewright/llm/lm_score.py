@@ -6,11 +6,13 @@ natural logarithm over its words; its first word follows a start symbol.
 
 The vocabulary is open: every word has its own counts. The ``NAMED`` most frequent words have short ids and a count table of fixed size that goes to
 every task; all other words are told by 63 bits of hash, and their counts are a table partitioned by word. The pair counts are
-partitioned by pair: one exchange brings the exploded pairs of all texts together by pair, where they are counted. A pair then needs the count of one word,
-of v if another text has the pair and else of w; only pairs that need that of a rare word go through a second exchange, by that word. Pairs of two of the
-``frequent`` most frequent words, which most texts have, would make hot partitions; they are counted on the map side, are few by
-their number of words, and are scored where the text is. A pair with a rarer word is at most as frequent as that. With a number as ``vocabulary`` only so many
-words keep their name and all others are one symbol. Texts are told apart by 128 bits of hash: copies have the same pairs and so the same mean, however many there are.
+partitioned by pair. Texts are coded in groups of about ``GROUP`` words, a row each. Pairs of two named words, which are most, travel packed: a group sends each
+partition of pairs its distinct pairs and how often it has them as two arrays, the partition adds them up and sends the sums back in
+the same order, so a pair costs a few bytes and its text is scored where it lies. Pairs with a rare word are rows: one exchange by pair
+counts them, and those that need a rare word's count go through a second one, by that word. Pairs of two of the
+``frequent`` most frequent words, which most texts have, would make hot partitions; they are counted on the map side and are few by
+their number of words. A pair with a rarer word is at most as frequent as that. With a number as ``vocabulary`` only so many
+words keep their name and all others are one symbol.
 
 Edge cases: NULL and empty texts have no words, n_words 0 and a NULL score; a text whose words no other text has is scored by
 backed-off counts of at least one; rows with a NULL doc_id are scored; repeated rows each give their row and count as other texts
@@ -24,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tablewright.llm.common import groups_of, text_column, write_scratch
+from tablewright.llm.common import groups_of, mix64, text_column, write_scratch
 from tablewright.llm.decontam import word_hashes
 
 #: Stupid backoff's factor, and how many words keep their name (None: all).
@@ -33,6 +35,8 @@ BACKOFF, VOCABULARY = 0.4, None
 NAMED = 65_534
 #: Words whose pairs with each other are counted on the map side.
 FREQUENT = 512
+#: Words of the texts that are coded together, and of pairs that one partition of pairs adds up.
+GROUP, PART = 200_000, 1_000_000
 #: Logarithms are summed in units of 1 / SCALE.
 SCALE = 1 << 24
 #: Ids of the start of a text and of a word without a short id; named words follow.
@@ -82,39 +86,44 @@ def word_counts(texts: DataFrame) -> DataFrame:
 
 
 def coded_texts(texts: DataFrame, vocabulary: dict[int, int], open_ended: bool) -> DataFrame:
-    """(k, row, text) to (k, row, ids, rare, n_words): each whole text as ids, two bytes a word; those of rare words in order, eight bytes each."""
+    """(k, row, text) to one row per group of texts: g (the first row's number), ks, sizes in words, ids (two bytes a word), rare (eight bytes a rare word, in order).
+
+    Rows of a group are numbered one after the other.
+    """
     shared = texts.sparkSession.sparkContext.broadcast(vocabulary)
     kind = texts.schema["k"].dataType.simpleString()
 
     def run(batches):
         known = _Ids(shared.value, open_ended)
         for batch in batches:
-            ids, rare = [], []
-            for t in batch.column(2).to_pylist():
-                codes = word_hashes(t, known)
-                long = codes >= np.uint64(1 << 63)
-                ids.append(np.where(long, np.uint64(OTHER), codes).astype("<u2").tobytes())
-                rare.append(codes[long].astype("<u8").tobytes())
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:2], pa.array(ids, type=pa.binary()), pa.array(rare, type=pa.binary()), pa.array([len(x) // 2 for x in ids], type=pa.int64())],
-                names=["k", "row", "ids", "rare", "n_words"],
-            )
+            rows = batch.column(1).to_numpy()
+            for some in groups_of(enumerate(batch.column(2).to_pylist()), lambda x: len(x[1]) // 4 + 1, GROUP):
+                codes = [word_hashes(t, known) for _, t in some]
+                flat = np.concatenate(codes)
+                long = flat >= np.uint64(1 << 63)
+                first = some[0][0]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([int(rows[first])]), pa.array([batch.column(0).slice(first, len(some)).to_pylist()], type=pa.list_(batch.schema.field(0).type)),
+                        pa.array([[len(c) for c in codes]], type=pa.list_(pa.int64())),
+                        pa.array([np.where(long, np.uint64(OTHER), flat).astype("<u2").tobytes()], type=pa.binary()), pa.array([flat[long].astype("<u8").tobytes()], type=pa.binary()),
+                    ],
+                    names=["g", "ks", "sizes", "ids", "rare"],
+                )
 
-    return texts.select("k", "row", "text").mapInArrow(run, f"k {kind}, row long, ids binary, rare binary, n_words long")
+    return texts.select("k", "row", "text").mapInArrow(run, f"g long, ks array<{kind}>, sizes array<long>, ids binary, rare binary")
 
 
-def _group_pairs(some: list[tuple[bytes, bytes]]):
-    """Distinct pairs of each text of a group of (ids, rare): (text, v, w, n), sorted by text."""
-    ids = [np.frombuffer(x, dtype="<u2").astype(np.int64) for x, _ in some]
-    sizes = np.array([len(x) for x in ids])
-    w = np.concatenate(ids)
+def _group_pairs(sizes: np.ndarray, ids: bytes, rare: bytes):
+    """Distinct pairs of each text of a group: (text, v, w, n), sorted by text."""
+    w = np.frombuffer(ids, dtype="<u2").astype(np.int64)
     if not len(w):
         return None
     # rare words are numbered within the group
-    names, place = np.unique(np.concatenate([np.frombuffer(x, dtype="<i8") for _, x in some]), return_inverse=True)
+    names, place = np.unique(np.frombuffer(rare, dtype="<i8"), return_inverse=True)
     if len(names):
         w[w == OTHER] = NAMED + 2 + place
-    of = np.repeat(np.arange(len(ids), dtype=np.int64), sizes)
+    of = np.repeat(np.arange(len(sizes), dtype=np.int64), sizes)
     v = np.concatenate(([START], w[:-1]))
     v[(np.cumsum(sizes) - sizes)[sizes > 0]] = START
     # pairs are numbered too, which makes one sortable number of (text, v, w) for any number of words
@@ -125,68 +134,124 @@ def _group_pairs(some: list[tuple[bytes, bytes]]):
     return code // len(pair), real[v], real[w], n
 
 
+def _groups(batches, columns=("sizes", "ids", "rare")):
+    """(row of the batch, pairs) of each group with words."""
+    for batch in batches:
+        at = [batch.schema.get_field_index(c) for c in columns]
+        for i in range(batch.num_rows):
+            found = _group_pairs(batch.column(at[0])[i].values.to_numpy(), *(batch.column(c)[i].as_py() for c in at[1:]))
+            if found is not None:
+                yield batch, i, found
+
+
 def _is_frequent(v: np.ndarray, w: np.ndarray, frequent: int) -> np.ndarray:
     return (v >= 0) & (w >= 0) & (v < frequent + 2) & (w < frequent + 2) & (v != OTHER) & (w != OTHER)
 
 
+def _packed(v: np.ndarray, w: np.ndarray, n: np.ndarray, frequent: int, parts: int):
+    """Which pairs travel packed, their distinct codes in the order of (part, code), the part of each, and what numbers the pairs by code."""
+    both = (v >= 0) & (w >= 0) & ~_is_frequent(v, w, frequent)
+    codes, place = np.unique(v[both] << 16 | w[both], return_inverse=True)
+    part = (mix64(codes) % np.uint64(parts)).astype(np.int64)
+    turn = np.argsort(part, kind="stable")
+    back = np.empty(len(turn), dtype=np.int64)
+    back[turn] = np.arange(len(turn))
+    sums = np.bincount(back[place], weights=n[both], minlength=len(codes)).astype(np.int64)
+    return both, codes[turn], part[turn], back[place], sums
+
+
 def frequent_pairs(coded: DataFrame, frequent: int) -> dict[int, int]:
     """Counts over the whole table of the pairs of two frequent words: at most (frequent + 2)**2 of them."""
 
     def run(batches):
         held = np.zeros((frequent + 2) ** 2, dtype=np.int64)
-        for batch in batches:
-            for some in groups_of(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()), lambda x: len(x[0]) // 2 + 1, 200_000):
-                found = _group_pairs(some)
-                if found is not None:
-                    _, v, w, n = found
-                    both = _is_frequent(v, w, frequent)
-                    np.add.at(held, v[both] * (frequent + 2) + w[both], n[both])
+        for _, _, (_, v, w, n) in _groups(batches):
+            both = _is_frequent(v, w, frequent)
+            np.add.at(held, v[both] * (frequent + 2) + w[both], n[both])
         at = np.flatnonzero(held)
         pair = at // (frequent + 2) << 16 | at % (frequent + 2)
         yield pa.RecordBatch.from_arrays([pa.array(pair), pa.array(held[at])], names=["pair", "n"])
 
-    rows = coded.select("ids", "rare").mapInArrow(run, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).collect()
+    rows = coded.select("sizes", "ids", "rare").mapInArrow(run, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).collect()
     return {r["pair"]: r["n"] for r in rows}
 
 
-def text_pairs(coded: DataFrame, words: np.ndarray, pairs: dict[int, int], frequent: int, backoff: float, total: int) -> DataFrame:
-    """(row, ids, rare) to (row, v, w, n, s).
+def packed_counts(coded: DataFrame, frequent: int, parts: int) -> DataFrame:
+    """(g, counts): for each group the counts over the whole table of its packed pairs, part by part, each in the order the group sent them."""
+
+    def send(batches):
+        for batch, i, (_, v, w, n) in _groups(batches):
+            _, codes, part, _, sums = _packed(v, w, n, frequent, parts)
+            if not len(codes):
+                continue
+            cuts = np.append(np.flatnonzero(np.diff(part, prepend=-1)), len(part))
+            sums = sums.astype("<u1" if sums.max() < 1 << 8 else "<u8")
+            spans = list(zip(cuts[:-1].tolist(), cuts[1:].tolist()))
+            g = batch.column(batch.schema.get_field_index("g"))[i].as_py()
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([g] * len(spans)), pa.array(part[cuts[:-1]]),
+                    pa.array([codes[a:b].astype("<u4").tobytes() for a, b in spans], type=pa.binary()), pa.array([sums[a:b].tobytes() for a, b in spans], type=pa.binary()),
+                ],
+                names=["g", "part", "codes", "n"],
+            )
+
+    def add_up(rows):
+        codes = [np.frombuffer(c, dtype="<u4") for c in rows["codes"]]
+        n = [np.frombuffer(x, dtype="<u1" if len(x) == len(c) else "<u8") for c, x in zip(codes, rows["n"])]
+        known, place = np.unique(np.concatenate(codes), return_inverse=True)
+        sums = np.bincount(place, weights=np.concatenate(n), minlength=len(known)).astype(np.int64)[place]
+        cuts = np.cumsum([0, *map(len, codes)])
+        rows["n"] = [sums[a:b].astype("<u8" if sums[a:b].max() >= 1 << 32 else "<u4" if sums[a:b].max() >= 1 << 16 else "<u2").tobytes() for a, b in zip(cuts[:-1], cuts[1:])]
+        rows["many"] = [len(c) for c in codes]
+        return rows[["g", "part", "many", "n"]]
+
+    sent = coded.select("g", "sizes", "ids", "rare").mapInArrow(send, "g long, part long, codes binary, n binary")
+    counted = sent.groupBy("part").applyInPandas(add_up, "g long, part long, many long, n binary")
+    return counted.groupBy("g").agg(F.sort_array(F.collect_list(F.struct("part", "many", "n"))).alias("counts"))
 
-    For pairs whose count is still open, how often the text has them; for a text's pairs of frequent words, which need no
-    table beyond the bounded ones, one row with its ``row`` for v, -1 for n and the sum of their logarithms.
+
+def text_pairs(coded: DataFrame, words: np.ndarray, pairs: dict[int, int], frequent: int, parts: int, backoff: float, total: int) -> DataFrame:
+    """Groups with the counts of their packed pairs to (row, v, w, n, s).
+
+    For pairs with a rare word, how often the text has them; for a text's pairs of named words one row with its ``row`` for v, -1 for n and
+    the sum of their logarithms.
     """
     names = np.array(sorted(pairs), dtype=np.int64)
     tables = coded.sparkSession.sparkContext.broadcast((words, names, np.array([pairs[p] for p in names.tolist()], dtype=np.int64)))
 
     def run(batches):
         c, codes, counts = tables.value
-        for batch in batches:
-            rows = batch.column(0).to_numpy()
-            for some in groups_of(enumerate(zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())), lambda x: len(x[1][0]) // 2 + 1, 200_000):
-                found = _group_pairs([x for _, x in some])
-                if found is None:
-                    continue
-                at, v, w, n = found
-                row = rows[[i for i, _ in some]]
-                both = _is_frequent(v, w, frequent)
-                hot = np.searchsorted(codes, v[both] << 16 | w[both])
-                logs = np.rint(SCALE * n[both] * log_score(counts[hot], c[v[both]], c[w[both]], n[both], backoff, total))
-                sums = np.bincount(at[both], weights=logs, minlength=len(some)).astype(np.int64)
-                own, cold = np.unique(at[both]), ~both
-                none = np.zeros(len(own), np.int64)
-                known = np.concatenate((np.ones(cold.sum(), bool), np.zeros(len(own), bool)))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.concatenate((row[at[cold]], row[own]))),
-                        pa.array(np.concatenate((v[cold], row[own]))),
-                        pa.array(np.concatenate((w[cold], none))),
-                        pa.array(np.concatenate((n[cold], none - 1)).astype(np.int32)),
-                        pa.array(np.concatenate((np.zeros(cold.sum(), np.int64), sums[own])), mask=known),
-                    ],
-                    names=["row", "v", "w", "n", "s"],
-                )
+        for batch, i, (at, v, w, n) in _groups(batches):
+            g = batch.column(batch.schema.get_field_index("g"))[i].as_py()
+            sent = batch.column(batch.schema.get_field_index("counts"))[i].as_py() or []
+            both = _is_frequent(v, w, frequent)
+            hot = np.searchsorted(codes, v[both] << 16 | w[both])
+            packed, own, _, place, _ = _packed(v, w, n, frequent, parts)
+            known = [np.frombuffer(x["n"], dtype=f"<u{len(x['n']) // x['many']}") for x in sent]
+            known = np.concatenate([*known, np.empty(0, dtype=np.uint64)]).astype(np.int64)
+            if len(known) != len(own):
+                raise ValueError("counts do not fit their group")
+            c_vw = np.zeros(len(v), dtype=np.int64)
+            c_vw[both], c_vw[packed] = counts[hot], known[place]
+            done = both | packed
+            logs = np.rint(SCALE * n[done] * log_score(c_vw[done], c[v[done]], c[w[done]], n[done], backoff, total))
+            sums = np.bincount(at[done], weights=logs)
+            finished, cold = np.unique(at[done]), ~done
+            none = np.zeros(len(finished), np.int64)
+            is_open = np.concatenate((np.ones(cold.sum(), bool), np.zeros(len(finished), bool)))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(np.concatenate((g + at[cold], g + finished))),
+                    pa.array(np.concatenate((v[cold], g + finished))),
+                    pa.array(np.concatenate((w[cold], none))),
+                    pa.array(np.concatenate((n[cold], none - 1)).astype(np.int32)),
+                    pa.array(np.concatenate((np.zeros(cold.sum(), np.int64), sums[finished].astype(np.int64))), mask=is_open),
+                ],
+                names=["row", "v", "w", "n", "s"],
+            )
 
-    return coded.select("row", "ids", "rare").mapInArrow(run, "row long, v long, w long, n int, s long")
+    return coded.select("g", "sizes", "ids", "rare", "counts").mapInArrow(run, "row long, v long, w long, n int, s long")
 
 
 def log_score(c_vw, c_v, c_w, n, backoff: float, total: int) -> np.ndarray:
@@ -209,7 +274,7 @@ def score_texts(
     # rows are numbered in the job that writes them, so that every later job sees the same numbers
     named = {r["word"] & (2**64 - 1): i + 2 for i, r in enumerate(top)}
     coded = write_scratch(coded_texts(texts.withColumn("row", F.monotonically_increasing_id()), named, vocabulary is None), "coded-texts")
-    starts = coded.where("n_words > 0").count()
+    starts = coded.agg(F.sum(F.size(F.filter("sizes", lambda n: n > 0)))).first()[0] or 0
     sums = [starts, total - sum(r["n"] for r in top), *(r["n"] for r in top)]
     # at most NAMED + 2 rows, so the broadcast is bounded
     words = F.broadcast(spark.createDataFrame(list(enumerate(sums)), "word long, c long"))
@@ -217,7 +282,9 @@ def score_texts(
     # two words whose hashes differ in the first bit alone count as one, as their ids are one
     rare = counts.join(few, "word", "left_anti").groupBy(F.col("word").bitwiseOR(F.lit(RARE)).alias("word")).agg(F.sum("n").alias("c"))
 
-    pairs = text_pairs(coded, np.array(sums, dtype=np.int64), frequent_pairs(coded, frequent), frequent, backoff, total)
+    parts = -(-total // PART)
+    known = coded.join(packed_counts(coded, frequent, parts), "g", "left")
+    pairs = text_pairs(known, np.array(sums, dtype=np.int64), frequent_pairs(coded, frequent), frequent, parts, backoff, total)
     # one exchange by pair brings the rows of a pair together, and its count with them
     counted = pairs.withColumn("c_vw", F.sum("n").over(Window.partitionBy("v", "w", F.col("s").isNull())))
     n = F.col("n")
@@ -232,6 +299,9 @@ def score_texts(
     each = joined.select("row", F.when(F.col("s").isNotNull(), F.col("s")).otherwise(F.rint(n * log * SCALE).cast("long")).alias("s"))
     scores = each.groupBy("row").agg(F.sum("s").alias("s"))
     mean = F.col("s") / (F.lit(float(SCALE)) * F.col("n_words"))
-    return coded.select("k", "row", "n_words").join(scores, "row", "left").select(
+    texts = coded.select("g", F.posexplode(F.arrays_zip("ks", "sizes")).alias("i", "t")).select(
+        (F.col("g") + F.col("i")).alias("row"), F.col("t.ks").alias("k"), F.col("t.sizes").alias("n_words")
+    )
+    return texts.join(scores, "row", "left").select(
         F.col("k").alias(key), "n_words", F.when(F.col("n_words") > 0, F.round(mean, 6)).alias("score")
     )
