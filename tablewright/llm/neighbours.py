@@ -7,7 +7,7 @@ when projected neighbours are at distance s is thus as unlikely as chi2_m > s**2
 order, verifies them by their true products a few at a time, and stops when that chance is at most ``miss``; leaves of the kd-tree whose boxes
 are too far for the test are not opened.
 
-The upper part of the tree (at most ``cells`` cells) is fitted on a bounded sample of vectors; every vector is put into its cell, and cells are
+The upper part of the tree (at most ``cells`` cells, and a sixteenth of the sample) is fitted on a bounded sample of vectors; every vector is put into its cell, and cells are
 cut into blocks that fit a task. A query is answered in its own cell first; then it goes to every other cell whose box the
 test does not rule out, given the k-th best so far. Queries of a cell go in portions, so neither side of a task is unbounded.
 
@@ -40,7 +40,7 @@ class Settings:
     #: rows of its own cell that a query verifies before the stopping test is asked
     least: int = 256
     sample: int = 16_384
-    cells: int = 256
+    cells: int = 1_024
     cell_rows: int = 8_192
     leaf_rows: int = 64
     portion: int = 1_024
