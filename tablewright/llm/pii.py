@@ -193,24 +193,27 @@ def disclosing_terms(found: DataFrame, docs: DataFrame, settings: Settings = Set
     """(key, term, kind): kind 4 for terms to remove in the texts of ``key``, 5 for terms to generalise. ``found`` comes from `_scan`, ``docs`` has text."""
     s = settings
     n = F.lit(float(max(1, found.count())))
-    held = found.where(F.size("units") > 0)
-    # rows of one text are one supporting text, but as many documents
-    rows = held.groupBy("key").agg(F.count("*").alias("rows"))
-    units = held.select("key", F.posexplode("units").alias("unit", "x")).select("key", "unit", "x.*")
-    entities = write_scratch(units.select("key", "unit", F.explode("entities").alias("entity")).distinct().join(rows, "key"), "entities")
-    once = entities.select("key", "entity", "rows").distinct()
-    n_e = once.groupBy("entity").agg(F.sum("rows").alias("n_e"), F.count("*").alias("texts_e")).where(F.col("n_e") < n)
-    terms = write_scratch(units.select("key", "unit", F.explode("terms").alias("term")).distinct(), "terms")
-    n_t = _document_counts(docs, terms.select("term").distinct().withColumn("code", F.xxhash64("term")))
-    n_t = n_t.join(terms.groupBy("term").agg(F.count_distinct("key").alias("texts_t")), "term")
-    rare = F.col("n_t") <= n * F.pow(F.col("n_e") / n, F.lit(s.generalise)) * (1 + 1e-6)
-    of, at = entities.join(n_e, "entity"), terms.join(n_t, "term")
-    often = of.where(F.col("texts_e") >= s.support).join(at.where(F.col("texts_t") >= s.support), ["key", "unit"])
+    # rows of one text are one supporting text, but as many documents; its words are shuffled once, as one array
+    held = found.where(F.size("units") > 0).groupBy("key").agg(F.count("*").alias("rows"), F.any_value("units").alias("units"))
+    units = write_scratch(held.select("key", "rows", F.posexplode("units").alias("unit", "x")).select("key", "rows", "unit", "x.*"), "units")
+    entities = units.select("key", "unit", "rows", F.explode("entities").alias("entity"))
+    n_e = entities.select("key", "entity", "rows").distinct().groupBy("entity").agg(F.sum("rows").alias("n_e"), F.count("*").alias("texts_e"))
+    of = write_scratch(entities.join(n_e.where(F.col("n_e") < n), "entity"), "entities")
+    terms = units.select("key", "unit", F.explode("terms").alias("term"))
+    # terms of texts with an entity of enough texts, as far as they stand in enough of these
+    often = of.where(F.col("texts_e") >= s.support)
+    near = write_scratch(terms.join(often.select("key", "unit").distinct(), ["key", "unit"]), "terms")
+    enough = near.groupBy("term").agg(F.count_distinct("key").alias("texts_t")).where(F.col("texts_t") >= s.support).select("term")
+    near = near.join(enough, "term")
     # the entity's text after its kind; only addresses have words
     spelled = F.array_distinct(F.regexp_extract_all(F.substring_index("entity", ":", -1), F.lit("[a-z]{3,}"), F.lit(0)))
-    spells = of.withColumn("term", F.explode(spelled)).join(at, ["key", "unit", "term"])
+    spells = write_scratch(of.withColumn("term", F.explode(spelled)).join(terms, ["key", "unit", "term"]), "spelled")
+    asked = write_scratch(enough.unionByName(spells.select("term")).distinct(), "asked-terms")
+    n_t = write_scratch(_document_counts(docs, asked.withColumn("code", F.xxhash64("term"))), "term-counts")
+    rare = F.col("n_t") <= n * F.pow(F.col("n_e") / n, F.lit(s.generalise)) * (1 + 1e-6)
     names = ["key", "entity", "term", "rows", "n_e", "n_t"]
-    pairs = write_scratch(often.where(rare).select(*names).unionByName(spells.where(rare).select(*names)).distinct(), "disclosure")
+    met = often.join(near.join(n_t, "term"), ["key", "unit"]).where(rare).select(*names)
+    pairs = write_scratch(met.unionByName(spells.join(n_t, "term").where(rare).select(*names)).distinct(), "disclosure")
     together = pairs.groupBy("entity", "term").agg(
         F.sum("rows").alias("n_te"), F.count("*").alias("texts"), F.first("n_e").alias("n_e"), F.first("n_t").alias("n_t")
     )
