@@ -127,21 +127,31 @@ def contexts(text: str, spans: list[tuple[int, int, int]], reach: int | None = N
 
 
 def _units(text: str, spans: list[tuple[int, int, int]], reach: int | None) -> list[dict]:
-    """Entities and terms that stand together: of the whole text, or around each span."""
+    """Entities and terms that stand together, of the whole text or around each span, and the terms that an entity spells itself."""
     if not spans:
         return []
     if reach is None:
-        return [{"entities": sorted({entity_of(text, s) for s in spans}), "terms": sorted({t for t, _, _ in _terms(text, spans)})}]
-    near: dict[str, set] = {entity_of(text, s): set() for s in spans}
-    for entity, term, _, _ in contexts(text, spans, reach):
-        near[entity].add(term)
-    return [{"entities": [e], "terms": sorted(t)} for e, t in near.items()]
+        together = [({entity_of(text, s) for s in spans}, {t for t, _, _ in _terms(text, spans)})]
+    else:
+        near: dict[str, set] = {entity_of(text, s): set() for s in spans}
+        for entity, term, _, _ in contexts(text, spans, reach):
+            near[entity].add(term)
+        together = [({e}, t) for e, t in near.items()]
+    # the entity's text after its kind; only addresses have words
+    return [
+        {
+            "entities": sorted(entities), "terms": sorted(terms),
+            "spelled": [{"entity": e, "term": t} for e in sorted(entities) for t in sorted(terms & set(_TERM.findall(e.split(":", 1)[1])))],
+        }
+        for entities, terms in together
+    ]
 
 
 def _scan(docs: DataFrame, reach: int | None) -> DataFrame:
     """(k, key, text) to (k, key, base, units)."""
     span = pa.list_(pa.struct([("start", pa.int32()), ("kind", pa.int32()), ("end", pa.int32())]))
-    unit = pa.list_(pa.struct([("entities", pa.list_(pa.string())), ("terms", pa.list_(pa.string()))]))
+    pair = pa.struct([("entity", pa.string()), ("term", pa.string())])
+    unit = pa.list_(pa.struct([("entities", pa.list_(pa.string())), ("terms", pa.list_(pa.string())), ("spelled", pa.list_(pair))]))
     kind = docs.schema["k"].dataType.simpleString()
 
     def run(batches):
@@ -156,7 +166,7 @@ def _scan(docs: DataFrame, reach: int | None) -> DataFrame:
     return docs.mapInArrow(
         run,
         f"k {kind}, key string, base array<struct<start:int,kind:int,end:int>>,"
-        " units array<struct<entities:array<string>,terms:array<string>>>",
+        " units array<struct<entities:array<string>,terms:array<string>,spelled:array<struct<entity:string,term:string>>>>",
     )
 
 
@@ -200,24 +210,24 @@ def disclosing_terms(found: DataFrame, docs: DataFrame, settings: Settings = Set
     n_e = entities.select("key", "entity", "rows").distinct().groupBy("entity").agg(F.sum("rows").alias("n_e"), F.count("*").alias("texts_e"))
     of = write_scratch(entities.join(n_e.where(F.col("n_e") < n), "entity"), "entities")
     terms = units.select("key", "unit", F.explode("terms").alias("term"))
-    # terms of texts with an entity of enough texts, as far as they stand in enough of these
-    often = of.where(F.col("texts_e") >= s.support)
-    near = write_scratch(terms.join(often.select("key", "unit").distinct(), ["key", "unit"]), "terms")
-    enough = near.groupBy("term").agg(F.count_distinct("key").alias("texts_t")).where(F.col("texts_t") >= s.support).select("term")
-    near = near.join(enough, "term")
-    # the entity's text after its kind; only addresses have words
-    spelled = F.array_distinct(F.regexp_extract_all(F.substring_index("entity", ":", -1), F.lit("[a-z]{3,}"), F.lit(0)))
-    spells = write_scratch(of.withColumn("term", F.explode(spelled)).join(terms, ["key", "unit", "term"]), "spelled")
-    asked = write_scratch(enough.unionByName(spells.select("term")).distinct(), "asked-terms")
+    spelled = units.select("key", F.explode("spelled").alias("x")).select("key", "x.*")
+    enough = terms.groupBy("term").agg(F.count("*").alias("texts_t")).where(F.col("texts_t") >= s.support).select("term")
+    asked = write_scratch(enough.unionByName(spelled.select("term")).distinct(), "asked-terms")
     n_t = write_scratch(_document_counts(docs, asked.withColumn("code", F.xxhash64("term"))), "term-counts")
     rare = F.col("n_t") <= n * F.pow(F.col("n_e") / n, F.lit(s.generalise)) * (1 + 1e-6)
     names = ["key", "entity", "term", "rows", "n_e", "n_t"]
-    met = often.join(near.join(n_t, "term"), ["key", "unit"]).where(rare).select(*names)
-    pairs = write_scratch(met.unionByName(spells.join(n_t, "term").where(rare).select(*names)).distinct(), "disclosure")
+    # entities of too few texts meet no other terms than those they spell; the joins are merges at every size
+    often = of.where(F.col("texts_e") >= s.support)
+    met = often.join(terms.join(n_t.hint("merge"), "term").hint("merge"), ["key", "unit"]).where(rare).select(*names).distinct()
+    own = of.select("key", "entity", "rows", "n_e").distinct().join(spelled, ["key", "entity"]).join(n_t, "term").where(rare)
+    told = spelled.distinct().withColumn("spells", F.lit(True))
+    pairs = met.unionByName(own.select(*names)).distinct().join(told, ["key", "entity", "term"], "left")
+    pairs = write_scratch(pairs, "disclosure")
     together = pairs.groupBy("entity", "term").agg(
-        F.sum("rows").alias("n_te"), F.count("*").alias("texts"), F.first("n_e").alias("n_e"), F.first("n_t").alias("n_t")
+        F.sum("rows").alias("n_te"), F.count("*").alias("texts"), F.first("n_e").alias("n_e"), F.first("n_t").alias("n_t"),
+        F.max("spells").alias("spells"),
     )
-    together = together.where((F.col("texts") >= s.support) | F.array_contains(spelled, F.col("term")))
+    together = together.where((F.col("texts") >= s.support) | F.col("spells"))
     seen = F.col("n_t") + F.when(F.col("texts") < s.support, s.support).otherwise(0)
     told = F.log(F.col("n_te") * n / (seen * F.col("n_e"))) / F.log(n / F.col("n_e"))
     chosen = together.withColumn("disclosure", F.round(told, 9)).where(F.col("disclosure") >= s.generalise).select(
