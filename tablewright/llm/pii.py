@@ -171,7 +171,7 @@ def _scan(docs: DataFrame, reach: int | None) -> DataFrame:
 
 
 def _document_counts(docs: DataFrame, terms: DataFrame) -> DataFrame:
-    """(term, n_t): in how many rows of ``docs`` (text) each of the terms (term, code) occurs."""
+    """(term, n_t): in how many rows of ``docs`` (text) each of the terms (term, code) occurs; other terms that the bitmap lets through come along."""
     bitmap = docs.sparkSession.sparkContext.broadcast(bitmap_of(terms, "code"))
 
     def run(batches):
@@ -195,8 +195,7 @@ def _document_counts(docs: DataFrame, terms: DataFrame) -> DataFrame:
                 [pa.array(list(counts.keys()), type=pa.string()), pa.array(list(counts.values()), type=pa.int64())], names=["term", "n"]
             )
 
-    held = docs.select("text").mapInArrow(run, "term string, n long").groupBy("term").agg(F.sum("n").alias("n_t"))
-    return held.join(terms.select("term"), "term", "left_semi")
+    return docs.select("text").mapInArrow(run, "term string, n long").groupBy("term").agg(F.sum("n").alias("n_t"))
 
 
 def disclosing_terms(found: DataFrame, docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
