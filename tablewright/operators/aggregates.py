@@ -169,13 +169,14 @@ def max_of_group_counts(
 def distinct_pairs_count(owners: DataFrame, parts: DataFrame, owner: str, item: str, part: str, n: int, out: str = "items") -> DataFrame:
     """Owners with more than ``n`` distinct parts over all their items. ``part`` holds whole numbers.
 
-    The parts of an item are a bitmap per bucket of numbers, so an item's owners meet a few bitmaps instead of
-    each of its parts; an owner's bitmaps are joined bit by bit and counted.
+    The parts of an item are a word of 64 bits per 64 numbers, so an item's owners meet a few words instead of each of
+    its parts; an owner's words are joined bit by bit and counted. A word has eight bytes, which hash aggregates hold in place.
     """
-    bucket, place = F.bitmap_bucket_number(part), F.bitmap_bit_position(part)
-    maps = parts.groupBy(item, bucket.alias("_bucket")).agg(F.bitmap_construct_agg(place).alias("_bits"))
-    merged = owners.select(owner, item).distinct().join(maps, item).groupBy(owner, "_bucket").agg(F.bitmap_or_agg("_bits").alias("_bits"))
-    counted = merged.groupBy(owner).agg(F.sum(F.bitmap_count("_bits")).alias(out))
+    number = F.col(part).cast("bigint")
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), number.bitwiseAND(F.lit(63)).cast("int"))
+    maps = parts.groupBy(item, F.shiftright(number, 6).alias("_bucket")).agg(F.bit_or(bit).alias("_bits"))
+    merged = owners.select(owner, item).distinct().join(maps, item).groupBy(owner, "_bucket").agg(F.bit_or("_bits").alias("_bits"))
+    counted = merged.groupBy(owner).agg(F.sum(F.coalesce(F.bit_count("_bits"), F.lit(0))).alias(out))
     return counted.filter(F.col(out) > n)
 
 

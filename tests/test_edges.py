@@ -315,3 +315,12 @@ def test_limit_counts_earlier_accepted_rows(spark, rows):
     )
     done = rl.rule_max_active(batch, stored, "person", "seq", F.col("state") == "Y", F.col("ins"))
     assert rows(rl.split(done)[0], "seq") == [(1,), (6,)]
+
+
+def test_distinct_parts_travel_as_words(spark, rows):
+    """Far numbers, negative ones, NULLs and both ends of a word; no column of an exchange is a map of some thousand bytes."""
+    owners = spark.createDataFrame([(1, 1), (1, 2), (2, 1), (3, 3), (None, 1), (4, None)], "o bigint, i bigint")
+    parts = spark.createDataFrame([(1, 0), (1, 63), (1, 64), (1, -1), (2, -1), (2, 2**40), (2, None), (3, None), (None, 7)], "i bigint, p bigint")
+    done = ag.distinct_pairs_count(owners, parts, "o", "i", "p", -1)
+    assert rows(done) == [(None, 4), (1, 5), (2, 4), (3, 0)]
+    assert "bitmap" not in done._jdf.queryExecution().optimizedPlan().toString()
