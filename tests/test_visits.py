@@ -43,3 +43,36 @@ def test_latest_start_under_changes_and_restarts(spark, rows, tmp_path, seed):
             got = visits.stream_last_visit(stream, base, table, "person", "start", str(tmp_path / "checkpoint"))
             want = {p: max((s for _, q, s in loans.values() if q == p), default=None) for p in range(1, 9)}
             assert rows(got) == sorted(want.items())
+
+
+def test_people_share_a_state_and_one_value_is_read_and_written_per_batch():
+    class Handle:
+        """A state store that counts its calls."""
+
+        def __init__(self):
+            self.value, self.calls = None, 0
+
+        def getValueState(self, *_):
+            return self
+
+        def get(self):
+            self.calls += 1
+            return self.value
+
+        def update(self, value):
+            self.calls += 1
+            self.value = value
+
+        def clear(self):
+            self.calls += 1
+            self.value = None
+
+    store, made = Handle(), visits._processor("bigint")
+    made.init(store)
+    made.handleInitialState((0,), {"persons": [1, 1, 2], "days": [5, 6, 7], "counts": [1, 2, 1]}, None)
+    moves = [(1, 6, -1), (1, 6, -1), (2, 7, -1), (3, 4, 1), (3, 9, 1), (1, 5, 1)]
+    got = list(made.handleInputRows((0,), iter([dict(zip(("person", "day", "sign"), m)) for m in moves]), None))
+    assert sorted((r["person"], r["last"]) for r in got) == [(1, 5), (2, None), (3, 9)]
+    assert sorted(zip(*store.value)) == [(1, 5, 2), (3, 4, 1), (3, 9, 1)] and store.calls == 3
+    gone = [{"person": p, "day": d, "sign": -1} for p, d in ((1, 5), (1, 5), (3, 4), (3, 9))]
+    assert sorted((r["person"], r["last"]) for r in made.handleInputRows((0,), iter(gone), None)) == [(1, None), (3, None)] and store.value is None
