@@ -8,6 +8,7 @@ from tablewright.operators import rules as rl
 from tablewright.plans.joining import LINKS, LOANS
 from tablewright.plans.registry import query
 from tablewright.plans.scalars import NAME_PATTERN_SQL, TITLES, titles
+from tablewright.sources.files import bytes_below
 from tablewright.sources.scratch import scratch_path, write_scratch
 from tablewright.sources.trial import AS_OF
 from tablewright.streaming import feeds, keeping, keyed
@@ -39,11 +40,19 @@ def _after(t):
     return write_scratch(ch.apply_changes(_base(t), t.order_feed, "o_orderkey"), "orders-after")
 
 
-def _feed_stream(t, feed):
-    """A change feed as a stream of three micro-batches: written in three files, taken one by one."""
+#: Bytes of the given tables behind one file of a batch.
+FILE_BYTES = 32 << 20
+
+
+def _feed_stream(t, feed, *keys):
+    """A change feed as a stream of three micro-batches: each is taken from as many files as the tables' size asks for.
+
+    All changes of ``keys`` are in one file, and so in one batch.
+    """
     path = scratch_path(t.spark, "feed")
-    feed.repartition(3).write.parquet(path)
-    return feeds.table_stream(t.spark, path, t.spark.read.parquet(path).schema, files_per_batch=1)
+    files = -(-sum(bytes_below(t.spark, t.path(name)) for name in ("customer", "part", "orders", "lineitem")) // FILE_BYTES) or 1
+    feed.repartition(3 * files, *keys).write.parquet(path)
+    return feeds.table_stream(t.spark, path, t.spark.read.parquet(path).schema, files_per_batch=files)
 
 
 def _kept(t, feed, states, step):
@@ -210,10 +219,7 @@ def stream_copy_renamed(t):
     ).alias("c")).select("c.*")
     # all changes of a key are in one batch
     feed = order_feed.unionByName(people_feed).withColumn("at", F.coalesce("old.o_orderkey", "new.o_orderkey", "old_person.o_custkey"))
-    path = scratch_path(t.spark, "feed")
-    feed.repartition(3, "at").write.parquet(path)
-    stream = feeds.table_stream(t.spark, path, t.spark.read.parquet(path).schema, files_per_batch=1)
-
+    stream = _feed_stream(t, feed, "at")
     place = scratch_path(t.spark, "keyed")
     base, names = orders.select(*row), people.select("o_custkey", "person")
     tables = [

@@ -25,6 +25,12 @@ def child_names(spark: SparkSession, path: str) -> list[str]:
     return [status.getPath().getName() for status in fs.listStatus(where)] if fs.exists(where) else []
 
 
+def bytes_below(spark: SparkSession, path: str) -> int:
+    """Length of a file, or of all files below a folder; 0 where there is nothing."""
+    where, fs = _at(spark, path)
+    return fs.getContentSummary(where).getLength() if fs.exists(where) else 0
+
+
 def drop(spark: SparkSession, path: str) -> None:
     """Delete a folder of this library's own making, with all it holds."""
     where, fs = _at(spark, path)
