@@ -8,7 +8,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from tablewright.session import prepare
-from tablewright.sources.trial import Trial
+from tablewright.sources.files import bytes_below
+from tablewright.sources.trial import TABLES, Trial
 
 
 @dataclass(frozen=True)
@@ -18,7 +19,7 @@ class Registered:
     oracle: str | None
 
     def run(self, spark: SparkSession, folder: str) -> DataFrame:
-        prepare(spark)
+        prepare(spark, sum(bytes_below(spark, f"{folder.rstrip('/')}/{name}.parquet") for name in TABLES))
         return self.build(Trial(spark, folder))
 
 

@@ -5,11 +5,22 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 
-def prepare(spark: SparkSession) -> None:
+#: Shuffled bytes for one task; rows that it sorts or groups take some thirty times that in memory.
+TASK_BYTES = 8 << 20
+
+
+def prepare(spark: SparkSession, input_bytes: int | None = None) -> None:
     """Runtime settings the jobs count on: split hot join keys even where that costs another shuffle.
 
-    `build_session` has them; on a session of your own call this once, as the registered queries do.
+    `build_session` has them; on a session of your own call this once, as the registered queries do. With the size of the tables
+    exchanges begin with enough partitions for it, and adaptive execution joins them up to ``TASK_BYTES``, so that a task's share is the same for
+    tables of every size.
     """
+    if input_bytes is not None:
+        partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-input_bytes // (TASK_BYTES // 2)))
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(partitions))
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(TASK_BYTES))
+        spark.conf.set("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", str(4 * TASK_BYTES))
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
     spark.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
