@@ -32,9 +32,12 @@ class KeyedTable:
         return F.pmod(F.xxhash64(self.key), F.lit(self.buckets)).cast("int")
 
     def _write_base(self, rows: DataFrame, upto: int, others: dict[int, int]) -> None:
-        """Write buckets, then the manifest (bucket, upto) of all buckets: a merge is done when that is there."""
+        """Write buckets, then the manifest (bucket, upto) of all buckets: a merge is done when that is there.
+
+        A large bucket is several files, each written by a task of its own, so that no task sorts a whole bucket.
+        """
         folder = f"{self.path}/base/{_UPTO}{upto}"
-        placed = rows.select(*self.schema.names).withColumn("bucket", self._bucket()).repartition(self.buckets, "bucket")
+        placed = rows.select(*self.schema.names).withColumn("bucket", self._bucket()).hint("rebalance", F.col("bucket"))
         placed.write.mode("overwrite").partitionBy("bucket").parquet(folder)
         mine = {int(n.removeprefix(_BUCKET)): upto for n in child_names(self.spark, folder) if n.startswith(_BUCKET)}
         manifest = self.spark.createDataFrame(list((others | mine).items()), "bucket int, upto int")

@@ -160,3 +160,16 @@ def test_links_of_dropped_books(spark, rows):
         now = {(2, 7), (2, 10)} if n == 0 else {(2, 7), (2, 10), (4, 9)}
         assert rows(links) == sorted(now)
         assert rows(counts) == [(g, sum(1 for _, h in now if h == g)) for g in (7, 8, 9, 10)]
+
+
+def test_a_large_bucket_is_written_by_several_tasks(spark, rows, tmp_path):
+    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(size)
+    spark.conf.set(size, "64k")
+    try:
+        given = spark.range(0, 100_000, 1, 8).select("id", F.xxhash64("id").alias("v"))
+        table = keyed.KeyedTable(spark, str(tmp_path / "wide"), "id", given.schema, buckets=1).create(given)
+    finally:
+        spark.conf.set(size, before)
+    assert len(table.read().inputFiles()) > 4
+    assert table.read().agg(F.count("*"), F.count_distinct("id"), F.sum(F.col("v") % 1009)).first() == given.agg(F.count("*"), F.count_distinct("id"), F.sum(F.col("v") % 1009)).first()
