@@ -212,10 +212,11 @@ def concat_distinct_two(
     # both inputs may be joins, and are read for the groups and for the lists
     tagged = write_scratch(tagged, "tagged")
     names = [f"_k{i}" for i in range(len(keys))]
-    # groups with both tags; combined on the map side, a group sends two values
+    # groups with both tags, as a number that hash aggregates hold in place; combined on the map side, a group sends one
+    tag = F.when(F.col("list") == first_list[1], 1).otherwise(2)
     both = (
         tagged.groupBy(*[F.col(k).alias(n) for k, n in zip(keys, names)])
-        .agg(F.min("list").alias("_lo"), F.max("list").alias("_hi")).filter(F.col("_lo") != F.col("_hi")).select(*names)
+        .agg(F.bit_or(tag).alias("_tags")).filter(F.col("_tags") == 3).select(*names)
     )
     same = reduce(lambda x, y: x & y, [tagged[k].eqNullSafe(both[n]) for k, n in zip(keys, names)])
     return ordered_list(tagged.join(both, same, "left_semi"), [*keys, "list"], "_item", distinct=True)

@@ -324,3 +324,14 @@ def test_distinct_parts_travel_as_words(spark, rows):
     done = ag.distinct_pairs_count(owners, parts, "o", "i", "p", -1)
     assert rows(done) == [(None, 4), (1, 5), (2, 4), (3, 0)]
     assert "bitmap" not in done._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_groups_with_both_lists_are_found_by_hash_aggregates(spark, rows, monkeypatch):
+    one = spark.createDataFrame([("a", 1), ("b", 1), (None, 2)], "k string, x bigint")
+    two = spark.createDataFrame([("a", 3), ("c", 3), (None, 3)], "k string, y bigint")
+    seen = []
+    whole = ag.ordered_list
+    monkeypatch.setattr(ag, "ordered_list", lambda df, *a, **b: seen.append(df) or whole(df, *a, **b))
+    done = ag.concat_distinct_two(one, two, ["k"], ("x", "xs"), ("y", "ys"))
+    assert rows(done) == [(None, "xs", 1, 2), (None, "ys", 1, 3), ("a", "xs", 1, 1), ("a", "ys", 1, 3)]
+    assert "min(list" not in seen[0]._jdf.queryExecution().optimizedPlan().toString()
