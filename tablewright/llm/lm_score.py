@@ -5,14 +5,13 @@ the text itself has of the pair is taken out of all three, so that no text is sc
 natural logarithm over its words; its first word follows a start symbol.
 
 The vocabulary is open: every word has its own counts. The ``NAMED`` most frequent words have short ids and a count table of fixed size that goes to
-every task; all other words are told by 63 bits of hash, and their counts are a table partitioned by word. The pair counts are
-partitioned by pair. Texts are coded in groups of about ``GROUP`` words, a row each. Pairs of two named words, which are most, travel packed: a group sends each
-partition of pairs its distinct pairs and how often it has them as two arrays, the partition adds them up and sends the sums back in
-the same order, so a pair costs a few bytes and its text is scored where it lies. Pairs with a rare word are rows: one exchange by pair
-counts them, and those that need a rare word's count go through a second one, by that word. Pairs of two of the
-``frequent`` most frequent words, which most texts have, would make hot partitions; they are counted on the map side and are few by
-their number of words. A pair with a rarer word is at most as frequent as that. With a number as ``vocabulary`` only so many
-words keep their name and all others are one symbol.
+every task; all other words are told by 63 bits of hash. Texts are coded in groups of about ``GROUP`` words, a row each, and pair counts travel packed,
+a row per group and partition of pairs. Of pairs of two named words a group sends each partition its distinct pairs and how often it has them. A pair with
+a rare word goes to the partition of that word (the second one, if both are rare), where the word's own count is known too: a rare word is sent once
+by a group, followed by what stands beside it. The partition adds them up and sends the sums back in the same order, so a pair costs a few bytes
+and its text is scored where it lies. Pairs of two of the ``frequent`` most frequent words, which most texts have, would make hot
+partitions; they are counted on the map side and are few by their number of words. A pair with a rarer word is at most as frequent as that.
+With a number as ``vocabulary`` only so many words keep their name and all others are one symbol.
 
 Edge cases: NULL and empty texts have no words, n_words 0 and a NULL score; a text whose words no other text has is scored by
 backed-off counts of at least one; rows with a NULL doc_id are scored; repeated rows each give their row and count as other texts
@@ -23,7 +22,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablewright.llm.common import groups_of, mix64, text_column, write_scratch
@@ -41,8 +40,6 @@ GROUP, PART = 200_000, 1_000_000
 SCALE = 1 << 24
 #: Ids of the start of a text and of a word without a short id; named words follow.
 START, OTHER = 0, 1
-#: Added to the last 63 bits of a rare word's hash, so that its id is negative.
-RARE = -(2**63)
 
 
 class _Hashes(dict):
@@ -115,49 +112,99 @@ def coded_texts(texts: DataFrame, vocabulary: dict[int, int], open_ended: bool)
 
 
 def _group_pairs(sizes: np.ndarray, ids: bytes, rare: bytes):
-    """Distinct pairs of each text of a group: (text, v, w, n), sorted by text."""
+    """Distinct pairs of each text of a group: (text, v, w, n, names), sorted by text. From NAMED + 2 on a word's number is its place in ``names``, the group's rare words."""
     w = np.frombuffer(ids, dtype="<u2").astype(np.int64)
-    if not len(w):
-        return None
-    # rare words are numbered within the group
     names, place = np.unique(np.frombuffer(rare, dtype="<i8"), return_inverse=True)
     if len(names):
         w[w == OTHER] = NAMED + 2 + place
     of = np.repeat(np.arange(len(sizes), dtype=np.int64), sizes)
-    v = np.concatenate(([START], w[:-1]))
+    v = np.concatenate(([START], w[:-1])) if len(w) else w
     v[(np.cumsum(sizes) - sizes)[sizes > 0]] = START
     # pairs are numbered too, which makes one sortable number of (text, v, w) for any number of words
     pair, place = np.unique(v * (NAMED + 2 + len(names)) + w, return_inverse=True)
     code, n = np.unique(of * len(pair) + place, return_counts=True)
-    v, w = np.divmod(pair[code % len(pair)], NAMED + 2 + len(names))
-    real = np.concatenate((np.arange(NAMED + 2), names))
-    return code // len(pair), real[v], real[w], n
+    many = max(1, len(pair))
+    v, w = np.divmod(pair[code % many], NAMED + 2 + len(names))
+    return code // many, v, w, n, names
 
 
-def _groups(batches, columns=("sizes", "ids", "rare")):
-    """(row of the batch, pairs) of each group with words."""
+def _groups(batches):
+    """(row of the batch, pairs) of each group."""
     for batch in batches:
-        at = [batch.schema.get_field_index(c) for c in columns]
+        at = [batch.schema.get_field_index(c) for c in ("sizes", "ids", "rare")]
         for i in range(batch.num_rows):
-            found = _group_pairs(batch.column(at[0])[i].values.to_numpy(), *(batch.column(c)[i].as_py() for c in at[1:]))
-            if found is not None:
-                yield batch, i, found
+            yield batch, i, _group_pairs(batch.column(at[0])[i].values.to_numpy(), *(batch.column(c)[i].as_py() for c in at[1:]))
 
 
 def _is_frequent(v: np.ndarray, w: np.ndarray, frequent: int) -> np.ndarray:
-    return (v >= 0) & (w >= 0) & (v < frequent + 2) & (w < frequent + 2) & (v != OTHER) & (w != OTHER)
+    return (v < frequent + 2) & (w < frequent + 2) & (v != OTHER) & (w != OTHER)
 
 
-def _packed(v: np.ndarray, w: np.ndarray, n: np.ndarray, frequent: int, parts: int):
-    """Which pairs travel packed, their distinct codes in the order of (part, code), the part of each, and what numbers the pairs by code."""
-    both = (v >= 0) & (w >= 0) & ~_is_frequent(v, w, frequent)
-    codes, place = np.unique(v[both] << 16 | w[both], return_inverse=True)
-    part = (mix64(codes) % np.uint64(parts)).astype(np.int64)
+def _added(codes: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct codes, the place of each code among them, and their sums of ``n``."""
+    known, place = np.unique(codes, return_inverse=True)
+    return known, place, np.bincount(place, weights=n, minlength=len(known)).astype(np.int64)
+
+
+def _by_part(codes: np.ndarray, place: np.ndarray, sums: np.ndarray, part: np.ndarray):
+    """Codes in the order of (part, code): codes, part of each, place of each pair, sums."""
     turn = np.argsort(part, kind="stable")
     back = np.empty(len(turn), dtype=np.int64)
     back[turn] = np.arange(len(turn))
-    sums = np.bincount(back[place], weights=n[both], minlength=len(codes)).astype(np.int64)
-    return both, codes[turn], part[turn], back[place], sums
+    return codes[turn], part[turn], back[place], sums[turn]
+
+
+def _part_of(keys: np.ndarray, parts: int) -> np.ndarray:
+    return (mix64(keys) % np.uint64(parts)).astype(np.int64)
+
+
+def _named_pairs(v: np.ndarray, w: np.ndarray, n: np.ndarray, frequent: int, parts: int):
+    """Which pairs are of two named words that are not both frequent, and their codes by part."""
+    both = (v < NAMED + 2) & (w < NAMED + 2) & ~_is_frequent(v, w, frequent)
+    codes, place, sums = _added(v[both] << 16 | w[both], n[both])
+    return both, *_by_part(codes, place, sums, _part_of(codes, parts))
+
+
+def _rare_pairs(v: np.ndarray, w: np.ndarray, n: np.ndarray, names: np.ndarray, parts: int):
+    """Which pairs have a rare word, and their codes (its place in ``names``, whether it comes second, the other word's number) by the part of that word."""
+    second = w >= NAMED + 2
+    some = second | (v >= NAMED + 2)
+    v, w, second = v[some], w[some], second[some].astype(np.int64)
+    word, other = np.where(second, w, v) - NAMED - 2, np.where(second, v, w)
+    codes, place, sums = _added((word * 2 + second) * (NAMED + 2 + len(names)) + other, n[some])
+    return some, *_by_part(codes, place, sums, _part_of(names, parts)[codes // (NAMED + 2 + len(names)) // 2])
+
+
+def _rare_columns(codes: np.ndarray, names: np.ndarray) -> list[np.ndarray]:
+    """Rare words, how many pairs each has, whether it comes second in them, the other words' ids, and the hashes of those that are rare."""
+    side, other = np.divmod(codes, NAMED + 2 + len(names))
+    words, many = np.unique(side // 2, return_counts=True)
+    long = other >= NAMED + 2
+    return [names[words], many, side % 2, np.where(long, OTHER, other), names[other[long] - NAMED - 2]]
+
+
+def _word_counts(named: np.ndarray, names: np.ndarray, counts: np.ndarray, parts: int) -> np.ndarray:
+    """Counts by a word's number in the group, from those of named words and those that the parts sent for ``names``."""
+    c = np.zeros(NAMED + 2 + len(names), dtype=np.int64)
+    c[: len(named)] = named
+    c[NAMED + 2 + np.argsort(_part_of(names, parts), kind="stable")] = counts
+    return c
+
+
+def _pack(*columns: np.ndarray) -> bytes:
+    """Arrays of 64-bit numbers as bytes, each in the narrowest type that holds it."""
+    narrow = [c.view(np.uint64).astype(np.min_scalar_type(c.view(np.uint64).max()) if len(c) else np.uint8) for c in columns]
+    head = np.array([len(c) << 4 | c.itemsize for c in narrow], dtype=np.uint64)
+    return head.tobytes() + b"".join(c.tobytes() for c in narrow)
+
+
+def _unpack(packed: bytes, columns: int) -> list[np.ndarray]:
+    found, at = [], 8 * columns
+    for head in np.frombuffer(packed, dtype=np.uint64, count=columns).tolist():
+        n, size = divmod(head, 16)
+        found.append(np.frombuffer(packed, dtype=f"u{size}", count=n, offset=at).astype(np.uint64).view(np.int64))
+        at += n * size
+    return found
 
 
 def frequent_pairs(coded: DataFrame, frequent: int) -> dict[int, int]:
@@ -165,7 +212,7 @@ def frequent_pairs(coded: DataFrame, frequent: int) -> dict[int, int]:
 
     def run(batches):
         held = np.zeros((frequent + 2) ** 2, dtype=np.int64)
-        for _, _, (_, v, w, n) in _groups(batches):
+        for _, _, (_, v, w, n, _) in _groups(batches):
             both = _is_frequent(v, w, frequent)
             np.add.at(held, v[both] * (frequent + 2) + w[both], n[both])
         at = np.flatnonzero(held)
@@ -177,81 +224,69 @@ def frequent_pairs(coded: DataFrame, frequent: int) -> dict[int, int]:
 
 
 def packed_counts(coded: DataFrame, frequent: int, parts: int) -> DataFrame:
-    """(g, counts): for each group the counts over the whole table of its packed pairs, part by part, each in the order the group sent them."""
+    """(g, counts): for each group, part by part, the counts over the whole table of its pairs of named words, of its rare words, and of their pairs, in the order the group sent them."""
 
     def send(batches):
-        for batch, i, (_, v, w, n) in _groups(batches):
-            _, codes, part, _, sums = _packed(v, w, n, frequent, parts)
-            if not len(codes):
+        for batch, i, (_, v, w, n, names) in _groups(batches):
+            _, codes, part, _, sums = _named_pairs(v, w, n, frequent, parts)
+            _, rare, rare_part, _, rare_sums = _rare_pairs(v, w, n, names, parts)
+            to = np.union1d(part, rare_part)
+            if not len(to):
                 continue
-            cuts = np.append(np.flatnonzero(np.diff(part, prepend=-1)), len(part))
-            sums = sums.astype("<u1" if sums.max() < 1 << 8 else "<u8")
-            spans = list(zip(cuts[:-1].tolist(), cuts[1:].tolist()))
+            spans = [zip(np.searchsorted(p, to).tolist(), np.searchsorted(p, to, "right").tolist()) for p in (part, rare_part)]
+            sent = [_pack(codes[a:b], sums[a:b], *_rare_columns(rare[c:d], names), rare_sums[c:d]) for (a, b), (c, d) in zip(*spans)]
             g = batch.column(batch.schema.get_field_index("g"))[i].as_py()
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([g] * len(spans)), pa.array(part[cuts[:-1]]),
-                    pa.array([codes[a:b].astype("<u4").tobytes() for a, b in spans], type=pa.binary()), pa.array([sums[a:b].tobytes() for a, b in spans], type=pa.binary()),
-                ],
-                names=["g", "part", "codes", "n"],
-            )
+            yield pa.RecordBatch.from_arrays([pa.array([g] * len(to)), pa.array(to), pa.array(sent, type=pa.binary())], names=["g", "part", "sent"])
 
     def add_up(rows):
-        codes = [np.frombuffer(c, dtype="<u4") for c in rows["codes"]]
-        n = [np.frombuffer(x, dtype="<u1" if len(x) == len(c) else "<u8") for c, x in zip(codes, rows["n"])]
-        known, place = np.unique(np.concatenate(codes), return_inverse=True)
-        sums = np.bincount(place, weights=np.concatenate(n), minlength=len(known)).astype(np.int64)[place]
-        cuts = np.cumsum([0, *map(len, codes)])
-        rows["n"] = [sums[a:b].astype("<u8" if sums[a:b].max() >= 1 << 32 else "<u4" if sums[a:b].max() >= 1 << 16 else "<u2").tobytes() for a, b in zip(cuts[:-1], cuts[1:])]
-        rows["many"] = [len(c) for c in codes]
-        return rows[["g", "part", "many", "n"]]
-
-    sent = coded.select("g", "sizes", "ids", "rare").mapInArrow(send, "g long, part long, codes binary, n binary")
-    counted = sent.groupBy("part").applyInPandas(add_up, "g long, part long, many long, n binary")
-    return counted.groupBy("g").agg(F.sort_array(F.collect_list(F.struct("part", "many", "n"))).alias("counts"))
-
-
-def text_pairs(coded: DataFrame, words: np.ndarray, pairs: dict[int, int], frequent: int, parts: int, backoff: float, total: int) -> DataFrame:
-    """Groups with the counts of their packed pairs to (row, v, w, n, s).
-
-    For pairs with a rare word, how often the text has them; for a text's pairs of named words one row with its ``row`` for v, -1 for n and
-    the sum of their logarithms.
-    """
-    names = np.array(sorted(pairs), dtype=np.int64)
-    tables = coded.sparkSession.sparkContext.broadcast((words, names, np.array([pairs[p] for p in names.tolist()], dtype=np.int64)))
+        messages = [_unpack(m, 8) for m in rows["sent"]]
+        codes, n, words, many, second, other, others, rare_n = map(np.concatenate, zip(*messages))
+        _, place, sums = _added(codes, n)
+        names, word = np.unique(words, return_inverse=True)
+        word = np.repeat(word, many)
+        other[other == OTHER] = others
+        known, other = np.unique(other, return_inverse=True)
+        _, rare_place, rare_sums = _added((word * 2 + second) * len(known) + other, rare_n)
+        # every place of a word is the second of one pair
+        own = np.bincount(word, weights=rare_n * second, minlength=len(names)).astype(np.int64)
+        answers = []
+        for whole, which in ((sums[place], 0), (own[np.searchsorted(names, words)], 2), (rare_sums[rare_place], 7)):
+            answers.append(np.split(whole, np.cumsum([len(m[which]) for m in messages])[:-1]))
+        rows["n"] = [_pack(*a) for a in zip(*answers)]
+        return rows[["g", "part", "n"]]
+
+    sent = coded.select("g", "sizes", "ids", "rare").mapInArrow(send, "g long, part long, sent binary")
+    # a task for each part, so that its share stays the same when the table grows
+    counted = sent.repartition(parts, "part").groupBy("part").applyInPandas(add_up, "g long, part long, n binary")
+    return counted.groupBy("g").agg(F.sort_array(F.collect_list(F.struct("part", "n"))).alias("counts"))
+
+
+def text_sums(coded: DataFrame, words: np.ndarray, pairs: dict[int, int], frequent: int, parts: int, backoff: float, total: int) -> DataFrame:
+    """Groups with their counts to (k, n_words, s): the sum of the logarithms of each text's pairs."""
+    codes = np.array(sorted(pairs), dtype=np.int64)
+    tables = coded.sparkSession.sparkContext.broadcast((words, codes, np.array([pairs[p] for p in codes.tolist()], dtype=np.int64)))
+    kind = coded.schema["ks"].dataType.elementType.simpleString()
 
     def run(batches):
-        c, codes, counts = tables.value
-        for batch, i, (at, v, w, n) in _groups(batches):
-            g = batch.column(batch.schema.get_field_index("g"))[i].as_py()
-            sent = batch.column(batch.schema.get_field_index("counts"))[i].as_py() or []
+        named, codes, counts = tables.value
+        for batch, i, (at, v, w, n, names) in _groups(batches):
+            ks, sizes, sent = (batch.column(batch.schema.get_field_index(c))[i] for c in ("ks", "sizes", "counts"))
+            none = np.empty(0, dtype=np.int64)
+            c_named, c_names, c_rare = (np.concatenate([none, *x]) for x in zip(*([none] * 3, *(_unpack(x["n"], 3) for x in sent.as_py() or []))))
             both = _is_frequent(v, w, frequent)
-            hot = np.searchsorted(codes, v[both] << 16 | w[both])
-            packed, own, _, place, _ = _packed(v, w, n, frequent, parts)
-            known = [np.frombuffer(x["n"], dtype=f"<u{len(x['n']) // x['many']}") for x in sent]
-            known = np.concatenate([*known, np.empty(0, dtype=np.uint64)]).astype(np.int64)
-            if len(known) != len(own):
+            packed, own, _, place, _ = _named_pairs(v, w, n, frequent, parts)
+            some, rare, _, rare_place, _ = _rare_pairs(v, w, n, names, parts)
+            if (len(c_named), len(c_names), len(c_rare)) != (len(own), len(names), len(rare)):
                 raise ValueError("counts do not fit their group")
             c_vw = np.zeros(len(v), dtype=np.int64)
-            c_vw[both], c_vw[packed] = counts[hot], known[place]
-            done = both | packed
-            logs = np.rint(SCALE * n[done] * log_score(c_vw[done], c[v[done]], c[w[done]], n[done], backoff, total))
-            sums = np.bincount(at[done], weights=logs)
-            finished, cold = np.unique(at[done]), ~done
-            none = np.zeros(len(finished), np.int64)
-            is_open = np.concatenate((np.ones(cold.sum(), bool), np.zeros(len(finished), bool)))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.concatenate((g + at[cold], g + finished))),
-                    pa.array(np.concatenate((v[cold], g + finished))),
-                    pa.array(np.concatenate((w[cold], none))),
-                    pa.array(np.concatenate((n[cold], none - 1)).astype(np.int32)),
-                    pa.array(np.concatenate((np.zeros(cold.sum(), np.int64), sums[finished].astype(np.int64))), mask=is_open),
-                ],
-                names=["row", "v", "w", "n", "s"],
-            )
-
-    return coded.select("g", "sizes", "ids", "rare", "counts").mapInArrow(run, "row long, v long, w long, n int, s long")
+            c_vw[both] = counts[np.searchsorted(codes, v[both] << 16 | w[both])]
+            c_vw[packed], c_vw[some] = c_named[place], c_rare[rare_place]
+            c = _word_counts(named, names, c_names, parts)
+            logs = np.rint(SCALE * n * log_score(c_vw, c[v], c[w], n, backoff, total))
+            sums = np.bincount(at, weights=logs, minlength=len(sizes)).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([ks.values, sizes.values, pa.array(sums)], names=["k", "n_words", "s"])
+
+    return coded.select("ks", "sizes", "ids", "rare", "counts").mapInArrow(run, f"k {kind}, n_words long, s long")
 
 
 def log_score(c_vw, c_v, c_w, n, backoff: float, total: int) -> np.ndarray:
@@ -266,7 +301,7 @@ def score_texts(
     """One row per row of ``docs``: key, n_words, score."""
     if vocabulary is not None and vocabulary > NAMED:
         raise ValueError(f"a closed vocabulary has at most {NAMED} words")
-    spark = docs.sparkSession
+    frequent = min(frequent, NAMED)
     texts = docs.select(F.col(key).alias("k"), text_column(text).alias("text"))
     counts = write_scratch(word_counts(texts), "word-counts")
     top = counts.orderBy(F.desc("n"), "word").limit(NAMED if vocabulary is None else vocabulary).collect()
@@ -276,32 +311,8 @@ def score_texts(
     coded = write_scratch(coded_texts(texts.withColumn("row", F.monotonically_increasing_id()), named, vocabulary is None), "coded-texts")
     starts = coded.agg(F.sum(F.size(F.filter("sizes", lambda n: n > 0)))).first()[0] or 0
     sums = [starts, total - sum(r["n"] for r in top), *(r["n"] for r in top)]
-    # at most NAMED + 2 rows, so the broadcast is bounded
-    words = F.broadcast(spark.createDataFrame(list(enumerate(sums)), "word long, c long"))
-    few = F.broadcast(spark.createDataFrame([(r["word"],) for r in top], "word long"))
-    # two words whose hashes differ in the first bit alone count as one, as their ids are one
-    rare = counts.join(few, "word", "left_anti").groupBy(F.col("word").bitwiseOR(F.lit(RARE)).alias("word")).agg(F.sum("n").alias("c"))
-
-    parts = -(-total // PART)
+    parts = max(1, -(-total // PART))
     known = coded.join(packed_counts(coded, frequent, parts), "g", "left")
-    pairs = text_pairs(known, np.array(sums, dtype=np.int64), frequent_pairs(coded, frequent), frequent, parts, backoff, total)
-    # one exchange by pair brings the rows of a pair together, and its count with them
-    counted = pairs.withColumn("c_vw", F.sum("n").over(Window.partitionBy("v", "w", F.col("s").isNull())))
-    n = F.col("n")
-    seen = F.col("c_vw") > n
-    needs = counted.withColumn("word", F.when(F.col("s").isNotNull(), F.lit(START)).when(seen, F.col("v")).otherwise(F.col("w")))
-    # written, so that the pairs are counted once for both kinds of words
-    needs = write_scratch(needs.select("row", "word", "n", "s", "c_vw"), "pair-counts")
-    joined = needs.where("word >= 0").join(words, "word").unionByName(needs.where("word < 0").join(rare, "word"))
-    log = F.when(seen, F.log((F.col("c_vw") - n) / (F.col("c") - n))).otherwise(
-        F.log(F.lit(backoff) * F.greatest(F.col("c") - n, F.lit(1)) / F.lit(float(total)))
-    )
-    each = joined.select("row", F.when(F.col("s").isNotNull(), F.col("s")).otherwise(F.rint(n * log * SCALE).cast("long")).alias("s"))
-    scores = each.groupBy("row").agg(F.sum("s").alias("s"))
+    scores = text_sums(known, np.array(sums, dtype=np.int64), frequent_pairs(coded, frequent), frequent, parts, backoff, total)
     mean = F.col("s") / (F.lit(float(SCALE)) * F.col("n_words"))
-    texts = coded.select("g", F.posexplode(F.arrays_zip("ks", "sizes")).alias("i", "t")).select(
-        (F.col("g") + F.col("i")).alias("row"), F.col("t.ks").alias("k"), F.col("t.sizes").alias("n_words")
-    )
-    return texts.join(scores, "row", "left").select(
-        F.col("k").alias(key), "n_words", F.when(F.col("n_words") > 0, F.round(mean, 6)).alias("score")
-    )
+    return scores.select(F.col("k").alias(key), "n_words", F.when(F.col("n_words") > 0, F.round(mean, 6)).alias("score"))

@@ -379,3 +379,35 @@ def test_rare_words_keep_their_counts(spark, docs, monkeypatch):
             seen = two[v, w] - n
             s += n * math.log(seen / (one[v] - n) if seen else lm_score.BACKOFF * max(1, one[w] - n) / total)
         assert got[i].score == (pytest.approx(s / len(x), abs=2e-6) if x else None)
+
+
+def test_pairs_with_rare_words_travel_packed(spark, docs, monkeypatch):
+    """Neither scratch tables nor what is sent have a row for each pair, however rare its words."""
+    monkeypatch.setattr(lm_score, "NAMED", 4)
+    pick = random.Random(17)
+    rows = [(i, " ".join(pick.choices([f"w{k}" for k in range(60)], k=40))) for i in range(30)]
+    written, plain = [], lm_score.write_scratch
+    monkeypatch.setattr(lm_score, "write_scratch", lambda df, label: written.append(plain(df, label)) or written[-1])
+    scores = lm_score.score_texts(docs(rows), frequent=2)
+    assert scores.count() == 30 and "Window" not in scores._jdf.queryExecution().toString()
+    assert sum(df.count() for df in written) < 100
+
+
+def test_packed_columns(spark):
+    import numpy as np
+
+    for columns in ([[0, 255], [], [256], [-1, -(2**63), 5]], [[], [], [], []], [[2**40], [1], [65_535], [65_536]]):
+        arrays = [np.array(c, dtype=np.int64) for c in columns]
+        assert [c.tolist() for c in lm_score._unpack(lm_score._pack(*arrays), 4)] == columns
+
+
+def test_scores_by_counting_with_many_parts(docs, monkeypatch):
+    """One part and many give the same scores, also for pairs of two rare words in different texts and groups."""
+    monkeypatch.setattr(lm_score, "NAMED", 3)
+    pick = random.Random(18)
+    rows = [(i, " ".join(pick.choices([f"w{k}" for k in range(40)], k=pick.randrange(30)))) for i in range(60)]
+    found = []
+    for part in (10**6, 7):
+        monkeypatch.setattr(lm_score, "PART", part)
+        found.append(sorted(map(tuple, lm_score.score_texts(docs(rows), frequent=2).collect())))
+    assert found[0] == found[1] and len(found[0]) == 60
