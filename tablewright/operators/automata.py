@@ -65,13 +65,12 @@ def scan_states(
     )
     lists = write_scratch(lists, "chunks")
 
-    # only groups that go on after their first chunk need tables
-    several = lists.where("_chunk = 1").select(*group)
+    # only groups that go on after their first chunk need tables; that chunk is full, and no join by group has to bring a group's events into one task
     parts = []
-    if not several.isEmpty():
+    if not lists.where("_chunk = 1").isEmpty():
         every = F.sequence(F.lit(0), F.lit(states - 1))
         table = F.transform(every, lambda s: F.aggregate("_events", s.cast("int"), lambda a, x: step(a, x["e"]).cast("int")))
-        tables = write_scratch(_matched(lists, several, group, "left_semi").select(*keys, table.alias("_table")), "tables")
+        tables = write_scratch(lists.where((F.col("_chunk") > 0) | (F.size("_events") == chunk)).select(*keys, table.alias("_table")), "tables")
         while True:
             above = tables.withColumn("_up", F.floor(F.col("_chunk") / chunk)).groupBy(*group, "_up").agg(
                 F.sort_array(F.collect_list(F.struct("_chunk", "_table"))).alias("_parts")

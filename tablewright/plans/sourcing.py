@@ -54,8 +54,10 @@ def scan_json_array(t):
     path = scratch_path(t.spark, "events-arrays")
     inner = StructType([StructField("k", LongType())])
     note = F.concat(F.lit('x}\\"{]'), F.col("event_type"))
-    rows = t.events.select("event_id", "user_id", F.from_json("props", inner).alias("props"), note.alias("note"))
-    lists = rows.groupBy(F.floor(F.col("event_id") / 10_000).alias("part")).agg(F.collect_list(F.struct("event_id", "user_id", "props", "note")).alias("all"))
+    # parts by place and not by key, so that one that repeats makes no large array; rows move before they are collected, as a task that scans would sort all of its lists
+    parts = t.events.select(F.floor(F.monotonically_increasing_id() / 10_000).alias("part"), "event_id", "user_id", "props", "event_type").repartition("part")
+    rows = parts.select("part", "event_id", "user_id", F.from_json("props", inner).alias("props"), note.alias("note"))
+    lists = rows.groupBy("part").agg(F.collect_list(F.struct("event_id", "user_id", "props", "note")).alias("all"))
     lists.select(F.to_json("all", {"pretty": "true"})).write.text(path)
     schema = StructType([StructField("event_id", LongType()), StructField("user_id", LongType()), StructField("props", inner), StructField("note", StringType())])
     read = nested_json.scan_json_array(t.spark, path, schema)

@@ -21,6 +21,8 @@ def prepare(spark: SparkSession, input_bytes: int | None = None) -> None:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(partitions))
         spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(TASK_BYTES))
         spark.conf.set("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", str(4 * TASK_BYTES))
+        # before an exchange of more than 200 partitions a task holds all rows of its split
+        spark.conf.set("spark.sql.files.maxPartitionBytes", str(TASK_BYTES))
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
     spark.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")

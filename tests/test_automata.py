@@ -5,6 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from tablewright.operators import automata
 from tablewright.operators import contracts as ct
 from tablewright.operators import rules as rl
 from tablewright.operators.automata import scan_states
@@ -128,3 +129,15 @@ def test_valid_and_rejected_in_one_pass(spark, rows, tmp_path):
     assert "PartitionFilters: [isnotnull(_verdict" in plan and "valid" in plan
     none = rl.split_once(flagged.limit(0))
     assert none[2] == {"valid": 0, "rejected": 0} and none[0].count() == 0 and none[1].count() == 0
+
+
+def test_no_join_brings_a_group_into_one_task(spark, monkeypatch):
+    """Events of groups of several chunks, of one full chunk and of less meet their states by chunk, never by group alone."""
+    keys, plain = [], automata._matched
+    monkeypatch.setattr(automata, "_matched", lambda left, right, on, how: keys.append((tuple(on), "_events" in left.columns)) or plain(left, right, on, how))
+    sizes = {"a": 23, "b": 4, "c": 3, None: 9}
+    events = spark.createDataFrame([(g, i, i % 3) for g, n in sizes.items() for i in range(n)], "g string, i int, v int").withColumn("start", F.lit(1))
+    found = scan_states(events, ["g"], ["i"], 3, "start", lambda s, e: (s + e["v"]) % 3, "state", chunk=4).collect()
+    want = [(g, i, (1 + sum(k % 3 for k in range(i))) % 3) for g, n in sizes.items() for i in range(n)]
+    assert sorted(((r.g, r.i, r.state) for r in found), key=repr) == sorted(want, key=repr)
+    assert keys and all("_chunk" in on for on, wide in keys if wide)

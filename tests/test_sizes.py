@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from tablewright import session
 from tablewright.operators import numbering
-from tablewright.plans import maintaining
+from tablewright.plans import maintaining, sourcing
 from tablewright.sources.trial import Trial
 
 SETTINGS = [
@@ -56,3 +56,27 @@ def test_a_feed_has_three_batches_of_many_files(spark, monkeypatch, tmp_path):
             stream.writeStream.foreachBatch(lambda df, n: batches.append((len(df.select("k").distinct().collect()), df.count()))).option("checkpointLocation", str(tmp_path / f"c{size}"))
         )
         assert len(batches) == 3 and sum(k for k, _ in batches) == 500 and sum(n for _, n in batches) == 3000
+
+
+def test_splits_stay_small(settings, monkeypatch, tmp_path):
+    """A larger text is read by more tasks and not by tasks that hold more of it before an exchange."""
+    settings.range(100_000).select(F.col("id").cast("string")).coalesce(1).write.text(str(tmp_path / "t"))
+    key = "spark.sql.files.maxPartitionBytes"
+    before = settings.conf.get(key)
+    try:
+        monkeypatch.setattr(session, "TASK_BYTES", 1 << 16)
+        session.prepare(settings, 1 << 20)
+        assert settings.read.text(str(tmp_path / "t")).rdd.getNumPartitions() >= 8
+    finally:
+        settings.conf.set(key, before)
+
+
+def test_arrays_of_ten_thousand_whatever_the_ids(settings, monkeypatch, tmp_path):
+    """Events with one and the same number, or none, still make arrays of a bounded size."""
+    ids = F.when(F.col("id") < 25_000, F.lit(7))
+    rows = settings.range(0, 45_000, 1, 1).select(ids.alias("event_id"), F.col("id").alias("user_id"), F.lit("buy").alias("event_type"), F.lit('{"k": 3}').alias("props"))
+    rows.write.parquet(str(tmp_path / "events.parquet"))
+    monkeypatch.setattr(sourcing, "scratch_path", lambda spark, label: str(tmp_path / "arrays"))
+    found = sourcing.scan_json_array(Trial(settings, str(tmp_path)))
+    assert found.groupBy("event_id", "k", "note", "corrupt").count().count() == 2 and found.select("user_id").distinct().count() == 45_000
+    assert settings.read.text(str(tmp_path / "arrays")).where("value like '[ {%'").count() == 5
